@@ -29,6 +29,13 @@ def dec(v) -> Column:
     return F.lit(Decimal(str(v)))
 
 
+def ts_lit(value) -> Column:
+    """TIMESTAMP_NTZ literal from a driver-side datetime (no time-zone shift)."""
+    if value is None:
+        return F.lit(None).cast("timestamp_ntz")
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def nullif(c, v) -> Column:
     c = col(c)
     return F.when(c == F.lit(v), F.lit(None)).otherwise(c)
