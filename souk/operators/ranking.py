@@ -97,6 +97,7 @@ class Ranked:
     offsets: list[int]  # rows before each bucket
     sum_col: str | None
     sum_offsets: list | None
+    total_sum: object = None
 
     def window(self) -> Window:
         return Window.partitionBy("_bucket").orderBy(*_sort_cols(self.keys))
@@ -166,7 +167,7 @@ def rank_buckets(
     for c in counts:
         offsets.append(acc)
         acc += c
-    sum_offsets = None
+    sum_offsets, total_sum = None, None
     if sum_col:
         zero = Decimal(0) if types[sum_col].startswith("decimal") else 0
         sum_offsets, s_acc = [], zero
@@ -174,7 +175,8 @@ def rank_buckets(
             sum_offsets.append(s_acc)
             v = stats[b]["s"] if b in stats else None
             s_acc = s_acc + (v if v is not None else zero)
-    return Ranked(bucketed, keys, n, counts, offsets, sum_col, sum_offsets)
+        total_sum = s_acc
+    return Ranked(bucketed, keys, n, counts, offsets, sum_col, sum_offsets, total_sum)
 
 
 def global_row_number(df, order, tiebreak, name="row_number", **kw) -> DataFrame:
