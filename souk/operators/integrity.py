@@ -26,16 +26,28 @@ def ri_check(name: str, child: DataFrame, child_key: str, parent: DataFrame, par
     )
 
 
-def dedupe(df: DataFrame, key: str, prefer: list[str], keep: list[str]) -> DataFrame:
+def dedupe(df: DataFrame, key: str, prefer: list[str], keep: list[str], unique_flag: str | None = None) -> DataFrame:
     """One row per non-NULL key: the smallest row by ``prefer`` then all other columns.
 
-    ``min(struct(...))`` per key is a hash aggregation with map-side
-    combining, so a key with millions of rows is reduced before the shuffle
-    (a keyed ROW_NUMBER window would sort them all in one task).  The
-    remaining columns make the choice deterministic; the reference's own
+    The remaining columns make the choice deterministic; the reference's own
     tie-break (a load-constant timestamp) cannot.
+
+    ``unique_flag`` names a 0/1 column that is 0 exactly when the key has a
+    single row (the cleaning engine's ``duplicate_flag``).  Those rows pass
+    straight through - no shuffle - and only flagged rows are reduced with
+    ``min(struct(...))`` per key.  That aggregation is combined map-side, so
+    a key with millions of rows is reduced before the shuffle (a keyed
+    ROW_NUMBER window would sort them all in one task); it runs as a sort
+    aggregate (struct buffers are not hash-aggregatable), which is why it is
+    kept to the flagged minority.
     """
     rest = [c for c in df.columns if c != key and c not in prefer]
     order = prefer + rest
-    best = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*order)).alias("_m"))
-    return best.select(key, *[F.col(f"_m.{c}").alias(c) for c in keep if c != key])
+    rows = df.filter(F.col(key).isNotNull())
+    out_cols = [key] + [c for c in keep if c != key]
+    if unique_flag is not None:
+        single = rows.filter(F.col(unique_flag) == 0).select(*out_cols)
+        rows = rows.filter(F.col(unique_flag) != 0)
+    best = rows.groupBy(key).agg(F.min(F.struct(*order)).alias("_m"))
+    chosen = best.select(key, *[F.col(f"_m.{c}").alias(c) for c in keep if c != key])
+    return single.unionByName(chosen) if unique_flag is not None else chosen

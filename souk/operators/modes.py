@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def dominant(df: DataFrame, entity: str, value: str, name: str | None = None) -> DataFrame:
     """Most frequent ``value`` per ``entity``; ties go to the alphabetically first value.
 
-    Two hash aggregations, both combined map-side: count per (entity, value),
-    then ``min(struct(-count, value))`` per entity.  No per-entity sort, so
-    an entity with a huge number of rows is not funnelled through one task.
-    NULL values take part like any other value.
+    Count per (entity, value) first - a hash aggregation combined map-side,
+    so an entity with a huge number of rows shrinks to one row per distinct
+    value before anything is sorted - then ``row_number() = 1`` over the
+    counts per entity (Spark inserts a partial WindowGroupLimit before the
+    shuffle).  NULL values take part like any other value.
     """
     name = name or value
     counts = df.groupBy(entity, value).agg(F.count(F.lit(1)).alias("_c"))
-    best = counts.groupBy(entity).agg(F.min(F.struct((-F.col("_c")).alias("nc"), F.col(value).alias("v"))).alias("_m"))
-    return best.select(entity, F.col("_m.v").alias(name))
+    w = Window.partitionBy(entity).orderBy(F.col("_c").desc(), F.col(value).asc_nulls_first())
+    best = counts.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+    return best.select(entity, F.col(value).alias(name))
 
 
 def latest_by(df: DataFrame, entity: str, order: list[str], cols: list[str]) -> DataFrame:

@@ -90,7 +90,7 @@ query("reference_date")(lambda w: w.ref_date())
 def _customer_agg(w: Warehouse) -> DataFrame:
     ref = MP.reference_date(w.fact()).first()[0]
     agg = MP.customer_agg(w.fact(), ref)
-    return agg.drop("customer_city", "customer_state", *[f"orders_last_{d}d" for d in MP.RECENCY_WINDOWS])
+    return agg.drop(*[f"orders_last_{d}d" for d in MP.RECENCY_WINDOWS])
 
 
 query("customer_last_location")(lambda w: w.mart().select("customer_unique_id", "customer_city", "customer_state"))

@@ -37,24 +37,26 @@ MONEY = "decimal(18,2)"
 
 def customers_dim(customers: DataFrame) -> DataFrame:
     return dedupe(customers, "customer_id", ["duplicate_flag"],
-                  ["customer_id", "customer_unique_id", "customer_city", "customer_state"])
+                  ["customer_id", "customer_unique_id", "customer_city", "customer_state"], "duplicate_flag")
 
 
 def sellers_dim(sellers: DataFrame) -> DataFrame:
-    return dedupe(sellers, "seller_id", ["duplicate_flag"], ["seller_id", "seller_state", "seller_city"])
+    return dedupe(sellers, "seller_id", ["duplicate_flag"], ["seller_id", "seller_state", "seller_city"],
+                  "duplicate_flag")
 
 
 def products_dim(products: DataFrame) -> DataFrame:
-    return dedupe(products, "product_id", ["duplicate_flag"], ["product_id", "product_category_name"])
+    return dedupe(products, "product_id", ["duplicate_flag"], ["product_id", "product_category_name"],
+                  "duplicate_flag")
 
 
 def translation_dim(translation: DataFrame) -> DataFrame:
     return dedupe(translation, "product_category_name", ["duplicate_flag"],
-                  ["product_category_name", "product_category_name_english"])
+                  ["product_category_name", "product_category_name_english"], "duplicate_flag")
 
 
 def orders_base(orders: DataFrame) -> DataFrame:
-    return dedupe(orders, "order_id", ["duplicate_flag"], orders.columns)
+    return dedupe(orders, "order_id", ["duplicate_flag"], orders.columns, "duplicate_flag")
 
 
 # ---- per-order aggregates -------------------------------------------------------

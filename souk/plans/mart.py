@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import avg_dec, count_if, days_between, dec, flag, nullif, ratio, ts_lit, year_month
-from ..operators.modes import dominant
+from ..operators.modes import dominant, latest_by
 from ..operators.ranking import SortKey, ntile_from_rank, rank_buckets
 
 MART_COLUMNS = [
@@ -102,13 +102,22 @@ def customer_agg(fact: DataFrame, ref_date) -> DataFrame:
         count_if(F.col("order_status") == STATUS_SHIPPED).alias("shipped_orders"),
         ratio(F.sum("is_high_value_order"), orders).cast(RATIO).alias("high_value_order_ratio"),
         F.sum("review_count").cast("bigint").alias("total_reviews_given"),
-        F.max(F.struct("order_purchase_timestamp", "order_id", "customer_city", "customer_state")).alias("_loc"),
     ]
     aggs += [count_if(age <= d).alias(f"orders_last_{d}d") for d in RECENCY_WINDOWS]
     g = fact.filter(F.col("customer_unique_id").isNotNull()).groupBy("customer_unique_id").agg(*aggs)
-    return g.select(
-        "*", F.col("_loc.customer_city").alias("customer_city"), F.col("_loc.customer_state").alias("customer_state")
-    ).drop("_loc").withColumn("frequency", F.col("total_orders")).withColumn("monetary", F.col("total_spend"))
+    return g.withColumn("frequency", F.col("total_orders")).withColumn("monetary", F.col("total_spend"))
+
+
+def last_location(fact: DataFrame) -> DataFrame:
+    """City/state of the latest order (order_id breaks timestamp ties).
+
+    A narrow aggregation of its own: its struct buffer forces a sort-based
+    aggregate, which must not drag the 26 hash-aggregated measures along.
+    """
+    rows = fact.filter(F.col("customer_unique_id").isNotNull()).select(
+        "customer_unique_id", "order_purchase_timestamp", "order_id", "customer_city", "customer_state")
+    return latest_by(rows, "customer_unique_id", ["order_purchase_timestamp", "order_id"],
+                     ["customer_city", "customer_state"])
 
 
 def preferred(fact: DataFrame, value: str, name: str) -> DataFrame:
@@ -135,10 +144,12 @@ def rfm_scores(agg: DataFrame, k: int = 5) -> DataFrame:
     )
 
 
-def assemble_mart(agg: DataFrame, rfm: DataFrame, pref_cat: DataFrame, pref_day: DataFrame, ref_date) -> DataFrame:
+def assemble_mart(agg: DataFrame, loc: DataFrame, rfm: DataFrame, pref_cat: DataFrame, pref_day: DataFrame,
+                  ref_date) -> DataFrame:
     ref = ts_lit(ref_date)
     m = (
-        agg.join(rfm, "customer_unique_id", "left")
+        agg.join(loc, "customer_unique_id", "left")
+        .join(rfm, "customer_unique_id", "left")
         .join(pref_cat, "customer_unique_id", "left")
         .join(pref_day, "customer_unique_id", "left")
     )
@@ -169,4 +180,4 @@ def build_mart(fact: DataFrame, materialize=None) -> DataFrame:
     rfm = rfm_scores(agg)
     pref_cat = preferred(fact, "dominant_category", "preferred_category")
     pref_day = preferred(fact, "order_day_of_week", "preferred_day_of_week")
-    return assemble_mart(agg, rfm, pref_cat, pref_day, ref_date)
+    return assemble_mart(agg, last_location(fact), rfm, pref_cat, pref_day, ref_date)

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,7 @@ class Warehouse:
         tag = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:10]
         self.root = f"{checkpoint_dir(spark)}/souk/{spark.sparkContext.applicationId}/{tag}"
         self._tables: dict[str, DataFrame] = {}
+        self._locks: dict[str, threading.Lock] = {}
         self._clean: dict[tuple[str, str], CleanResult] = {}
 
     @classmethod
@@ -54,9 +56,20 @@ class Warehouse:
 
     def _table(self, name: str, build, partition_by=None) -> DataFrame:
         with _LOCK:
+            if name in self._tables:
+                return self._tables[name]
+            lock = self._locks.setdefault(name, threading.Lock())
+        with lock:  # one builder per table; other tables build concurrently
             if name not in self._tables:
                 self._tables[name] = materialize(self.spark, build(), f"{self.root}/{name}", partition_by)
-            return self._tables[name]
+        return self._tables[name]
+
+    def _parallel(self, names, fn) -> dict[str, DataFrame]:
+        """Materialise independent tables concurrently: Spark schedules the jobs
+        submitted from several driver threads side by side."""
+        names = list(names)
+        with ThreadPoolExecutor(max_workers=min(8, len(names))) as pool:
+            return dict(zip(names, pool.map(fn, names)))
 
     # raw inputs are cheap projections of the driver tables: not materialised
     def raw(self, name: str) -> DataFrame:
@@ -67,12 +80,14 @@ class Warehouse:
 
     def cleaning(self, name: str, mode: str = "flag") -> CleanResult:
         key = (name, mode)
-        if key not in self._clean:
+        with _LOCK:
+            if key in self._clean:
+                return self._clean[key]
             specs = cleaning.gen2_specs() if mode == "flag" else cleaning.gen1_specs()
             from ..operators.clean import clean
 
             self._clean[key] = clean(self.raw(name), specs[name], mode)
-        return self._clean[key]
+            return self._clean[key]
 
     def cleaned(self, name: str, mode: str = "flag") -> DataFrame:
         prefix = "cleaned" if mode == "flag" else "g1_cleaned"
@@ -83,10 +98,10 @@ class Warehouse:
         return self._table(f"{prefix}_{name}", lambda: self.cleaning(name, mode).rejects)
 
     def cleaned_all(self, mode: str = "flag") -> dict[str, DataFrame]:
-        return {n: self.cleaned(n, mode) for n in fixtures.RAW_BUILDERS}
+        return self._parallel(fixtures.RAW_BUILDERS, lambda n: self.cleaned(n, mode))
 
     def rejects_all(self, mode: str = "flag") -> dict[str, DataFrame]:
-        return {n: self.rejects(n, mode) for n in fixtures.RAW_BUILDERS}
+        return self._parallel(fixtures.RAW_BUILDERS, lambda n: self.rejects(n, mode))
 
     def payment_agg(self) -> DataFrame:
         return self._table("agg_order_payments", lambda: fact_plan.agg_order_payments(self.cleaned("payments")))
@@ -96,7 +111,9 @@ class Warehouse:
 
     def fact(self) -> DataFrame:
         def build():
-            return fact_plan.build_fact(self.cleaned_all(), self.threshold())
+            needed = [n for n in fixtures.RAW_BUILDERS if n != "geolocation"]
+            cleaned = self._parallel(needed, self.cleaned)
+            return fact_plan.build_fact(cleaned, self.threshold())
 
         return self._table("fact_order_master", build, partition_by=["order_year"])
 
