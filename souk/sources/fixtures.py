@@ -17,14 +17,33 @@ from . import schemas
 
 
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Scan one input table.
+
+    A source that arrives as fewer splits than the cluster has cores (one
+    big row group, a handful of files) would run all map-side work in that
+    many tasks; it is spread with a hash repartition on its key first.  Inputs
+    with enough splits - every large one - are left untouched.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want and name not in SMALL_DIMENSIONS:
+        # hash on the table's key: deterministic on retry, no sort needed
+        df = df.repartition(want, df.columns[0])
+    return df
+
+
+# fixed-size TPC-H dimensions (25 nations, 5 regions): never worth spreading
+SMALL_DIMENSIONS = {"nation", "region"}
 
 
 def _variants(df: DataFrame, *conditions: str) -> DataFrame:
-    """Explode each row into tag 0 plus tag i for every true condition i."""
+    """Explode each row into tag 0 plus tag i for every true condition i.
+
+    A plain array with NULL for false conditions, exploded and filtered:
+    everything stays in generated code (no lambda evaluation per row).
+    """
     parts = ["0"] + [f"if({c}, {i}, null)" for i, c in enumerate(conditions, start=1)]
-    tags = F.expr(f"filter(array({', '.join(parts)}), x -> x is not null)")
-    return df.withColumn("v", F.explode(tags))
+    return df.withColumn("v", F.explode(F.expr(f"array({', '.join(parts)})"))).filter(F.col("v").isNotNull())
 
 
 def _conform(df: DataFrame, schema) -> DataFrame:
