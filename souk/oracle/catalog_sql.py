@@ -102,5 +102,10 @@ ORACLE["retention_features"] = mart_cols("customer_unique_id", "cohort_month", "
                                          "is_one_time_buyer", "avg_days_between_orders", "days_since_first_order")
 
 
+from .profile_sql import Q as _PROFILE  # noqa: E402
+
+ORACLE.update(_PROFILE)
+
+
 def oracle_sql() -> dict[str, str]:
     return {k: assemble(v) for k, v in ORACLE.items()}

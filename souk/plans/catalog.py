@@ -129,3 +129,21 @@ for _key in ("vw_kpi_executive", "vw_pareto_revenue", "vw_segment_summary", "vw_
     query(_key)((lambda fn: lambda w: fn(w.mart()))(getattr(V, _key)))
 query("vw_cohort_retention")(lambda w: V.vw_cohort_retention(w.fact(), w.mart()))
 query("vw_monthly_revenue_trend")(lambda w: V.vw_monthly_revenue_trend(w.fact()))
+
+# ---- 2.2 profiling --------------------------------------------------------------------------------
+from . import profiling as PR  # noqa: E402
+
+for _key, _fn in (("profile_row_count", PR.row_counts), ("profile_null_counts", PR.null_counts),
+                  ("profile_distinct_counts", PR.distinct_counts), ("profile_duplicate_keys", PR.duplicate_keys),
+                  ("profile_exact_duplicates", PR.exact_duplicates),
+                  ("profile_value_distribution", PR.value_distributions),
+                  ("profile_top_values", PR.top_categories), ("profile_range_check", PR.range_checks),
+                  ("profile_numeric_summary", PR.numeric_summaries),
+                  ("profile_dimension_ranges", PR.dimension_ranges),
+                  ("profile_timestamp_range", PR.timestamp_ranges),
+                  ("profile_sequence_violations", PR.sequence_violations),
+                  ("profile_invalid_domain", PR.invalid_scores),
+                  ("profile_multi_record_entities", PR.multi_payment_orders),
+                  ("profile_line_number_stats", PR.line_number_stats), ("profile_key_overlap", PR.key_overlap),
+                  ("profile_listing", PR.translation_listing)):
+    query(_key)((lambda fn: lambda w: fn(w.raw_all()))(_fn))
