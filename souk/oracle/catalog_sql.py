@@ -106,6 +106,10 @@ from .profile_sql import Q as _PROFILE  # noqa: E402
 
 ORACLE.update(_PROFILE)
 
+from .checks_sql import Q as _CHECKS  # noqa: E402
+
+ORACLE.update(_CHECKS)
+
 
 def oracle_sql() -> dict[str, str]:
     return {k: assemble(v) for k, v in ORACLE.items()}

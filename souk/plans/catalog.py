@@ -147,3 +147,44 @@ for _key, _fn in (("profile_row_count", PR.row_counts), ("profile_null_counts",
                   ("profile_line_number_stats", PR.line_number_stats), ("profile_key_overlap", PR.key_overlap),
                   ("profile_listing", PR.translation_listing)):
     query(_key)((lambda fn: lambda w: fn(w.raw_all()))(_fn))
+
+# ---- 2.3 cleaning operators, 2.4 cleaning checks, 2.6 fact checks ---------------------------------
+from . import checks as CK  # noqa: E402
+
+query("clean_reject_null_key")(CK.null_key_rejects)
+query("clean_rule_cascade")(lambda w: CK.rejects_with_reason(w, 2, "payments", "INVALID_%"))
+query("clean_exact_dup_each_copy")(lambda w: CK.rejects_with_reason(w, 1, "orders", "EXACT_DUPLICATE_ROW%"))
+query("clean_exact_dup_grouped")(lambda w: CK.rejects_with_reason(w, 2, "customers", "EXACT_DUPLICATE_ROW%"))
+query("clean_dup_key_reject")(CK.dup_key_rejects)
+query("clean_dup_key_flag")(lambda w: w.cleaned("order_items"))
+query("clean_keep_first")(lambda w: w.cleaned("customers", "keep_first"))
+query("clean_distinct_rows")(lambda w: w.cleaned("geolocation", "keep_first"))
+query("clean_bounds_reject")(lambda w: CK.rejects_with_reason(w, 1, "geolocation", "COORDINATES_%"))
+query("clean_standardize_text")(lambda w: w.cleaned("sellers"))
+query("flag_timestamp_sequence")(lambda w: w.cleaned("orders"))
+query("flag_missing_attributes")(lambda w: w.cleaned("products"))
+query("flag_free_item")(lambda w: w.cleaned("order_items").filter(F.col("is_free_item") == 1).select(
+    "order_id", "order_item_id", "product_id", "price", "is_free_item"))
+query("flag_out_of_bounds")(lambda w: w.cleaned("geolocation"))
+query("clean_summary")(CK.clean_summary)
+
+query("check_row_accounting")(CK.row_accounting)
+query("check_unique_key")(CK.unique_keys)
+query("check_null_summary")(CK.null_summary)
+query("check_reject_breakdown")(CK.reject_breakdown)
+query("check_business_rules")(CK.business_rules)
+
+query("check_fact_grain")(CK.fact_grain)
+query("check_revenue_consistency")(CK.revenue_consistency)
+query("check_fact_nulls")(CK.fact_nulls)
+query("check_fact_ri_summary")(CK.fact_ri_summary)
+query("dist_delivery_bucket")(CK.delivery_buckets)
+query("dist_processing_bucket")(CK.processing_buckets)
+query("fact_flag_totals")(CK.flag_totals)
+query("fact_status_distribution")(CK.status_distribution)
+query("fact_payment_stats")(CK.payment_stats)
+query("fact_date_coverage")(CK.date_coverage)
+query("fact_top_states")(CK.top_states)
+query("fact_top_categories")(CK.top_categories)
+query("dist_review_score")(CK.review_score_distribution)
+query("dist_items_bucket")(CK.items_buckets)
