@@ -110,6 +110,10 @@ from .checks_sql import Q as _CHECKS  # noqa: E402
 
 ORACLE.update(_CHECKS)
 
+from .mart_checks_sql import Q as _MART_CHECKS  # noqa: E402
+
+ORACLE.update(_MART_CHECKS)
+
 
 def oracle_sql() -> dict[str, str]:
     return {k: assemble(v) for k, v in ORACLE.items()}

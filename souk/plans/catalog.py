@@ -188,3 +188,16 @@ query("fact_top_states")(CK.top_states)
 query("fact_top_categories")(CK.top_categories)
 query("dist_review_score")(CK.review_score_distribution)
 query("dist_items_bucket")(CK.items_buckets)
+
+# ---- 2.8 mart validation ----------------------------------------------------------------------------
+from . import mart_checks as MC  # noqa: E402
+
+for _key, _fn in (("check_mart_grain", MC.mart_grain), ("check_spend_consistency", MC.spend_consistency),
+                  ("check_order_consistency", MC.order_consistency), ("check_mart_nulls", MC.mart_nulls),
+                  ("rfm_score_distribution", MC.rfm_distribution), ("rfm_uniformity", MC.rfm_uniformity),
+                  ("check_lifecycle_ranges", MC.lifecycle_ranges), ("check_retention_flags", MC.retention_flags),
+                  ("cohort_distribution", MC.cohort_distribution), ("check_ratio_bounds", MC.ratio_bounds),
+                  ("behaviour_summary", MC.behaviour_summary), ("segment_sanity", MC.segment_sanity),
+                  ("lifecycle_spend", MC.lifecycle_spend), ("mart_top_states", MC.mart_top_states),
+                  ("cohort_heatmap", MC.cohort_heatmap)):
+    query(_key)(_fn)
