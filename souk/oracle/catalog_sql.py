@@ -114,6 +114,10 @@ from .mart_checks_sql import Q as _MART_CHECKS  # noqa: E402
 
 ORACLE.update(_MART_CHECKS)
 
+from .sources_sql import Q as _SOURCES  # noqa: E402
+
+ORACLE.update(_SOURCES)
+
 
 def oracle_sql() -> dict[str, str]:
     return {k: assemble(v) for k, v in ORACLE.items()}

@@ -201,3 +201,73 @@ for _key, _fn in (("check_mart_grain", MC.mart_grain), ("check_spend_consistency
                   ("lifecycle_spend", MC.lifecycle_spend), ("mart_top_states", MC.mart_top_states),
                   ("cohort_heatmap", MC.cohort_heatmap)):
     query(_key)(_fn)
+
+# ---- 2.1 sources and sinks ----------------------------------------------------------------------------
+from functools import reduce  # noqa: E402
+
+from ..sources import schemas as SC  # noqa: E402
+from .warehouse import audit, materialize  # noqa: E402
+
+
+def _union_all(frames):
+    return reduce(lambda a, b: a.unionByName(b), frames)
+
+
+query("load_csv")(lambda w: w.csv_loaded("orders"))
+
+
+@query("load_row_counts")
+def _load_row_counts(w: Warehouse) -> DataFrame:
+    loaded = w.csv_loaded_all()
+    return _union_all(df.agg(F.count(F.lit(1)).alias("loaded_rows")).select(F.lit(t).alias("table_name"), "loaded_rows")
+                      for t, df in loaded.items())
+
+
+@query("materialize")
+def _materialize(w: Warehouse) -> DataFrame:
+    path = f"{w.root}/ctas/agg_order_items"
+    return materialize(w.spark, FP.agg_order_items(w.cleaned("order_items")), path)
+
+
+query("append_rejects")(lambda w: w.rejects("order_items"))
+
+
+@query("named_views")
+def _named_views(w: Warehouse) -> DataFrame:
+    V.register_views(w.spark, w.fact(), w.mart())
+    return w.spark.sql("SELECT * FROM vw_segment_summary")
+
+
+@query("audit_timestamp")
+def _audit_timestamp(w: Warehouse) -> DataFrame:
+    stamped = [("cleaned_customers", audit(w.cleaned("customers"), "cleaned_at"), "cleaned_at"),
+               ("rejects_customers", audit(w.rejects("customers"), "rejected_at"), "rejected_at"),
+               ("fact_order_master", audit(w.fact(), "fact_created_at"), "fact_created_at"),
+               ("mart_customer_features", audit(w.mart(), "mart_created_at"), "mart_created_at")]
+    return _union_all(df.agg(F.count(F.lit(1)).alias("total_rows"), F.count(c).alias("audited_rows"))
+                      .select(F.lit(t).alias("table_name"), "total_rows", "audited_rows") for t, df, c in stamped)
+
+
+@query("check_schema")
+def _check_schema(w: Warehouse) -> DataFrame:
+    from .fact import FACT_COLUMNS
+    from .mart import MART_COLUMNS
+
+    rows = []
+    for name, df, expected in (("fact_order_master", w.fact(), FACT_COLUMNS),
+                               ("mart_customer_features", w.mart(), MART_COLUMNS)):
+        actual = df.columns
+        rows.append((name, len(expected), len(actual), ",".join(c for c in expected if c not in actual),
+                     ",".join(c for c in actual if c not in expected), actual == expected))
+    schema = "table_name string, expected_columns bigint, actual_columns bigint, missing_columns string, " \
+             "unexpected_columns string, ok boolean"
+    return w.spark.createDataFrame(rows, schema)
+
+
+@query("output_row_counts")
+def _output_row_counts(w: Warehouse) -> DataFrame:
+    tables = {**{f"cleaned_{t}": df for t, df in w.cleaned_all().items()},
+              **{f"rejects_{t}": df for t, df in w.rejects_all().items()},
+              "fact_order_master": w.fact(), "mart_customer_features": w.mart()}
+    return _union_all(df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
+                      for t, df in tables.items())

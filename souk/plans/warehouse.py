@@ -124,6 +124,24 @@ class Warehouse:
 
         return self._table("mart_customer_features", build)
 
+    def csv_loaded(self, name: str) -> DataFrame:
+        """Raw table unloaded to CSV in the shared folder once, then loaded back
+        with the declared schema (the reference's load step)."""
+        from ..sources import csv as csv_io
+        from ..sources import schemas
+
+        path = f"{self.root}/csv/{name}"
+        with _LOCK:
+            lock = self._locks.setdefault(f"csv_{name}", threading.Lock())
+        with lock:
+            if f"csv_{name}" not in self._tables:
+                csv_io.write_csv(self.raw(name), path)
+                self._tables[f"csv_{name}"] = csv_io.load_csv(self.spark, path, schemas.RAW_SCHEMAS[name])
+        return self._tables[f"csv_{name}"]
+
+    def csv_loaded_all(self) -> dict[str, DataFrame]:
+        return self._parallel(fixtures.RAW_BUILDERS, self.csv_loaded)
+
     def ref_date(self) -> DataFrame:
         return mart_plan.reference_date(self.fact())
 
