@@ -71,12 +71,13 @@ class Warehouse:
         with ThreadPoolExecutor(max_workers=min(8, len(names))) as pool:
             return dict(zip(names, pool.map(fn, names)))
 
-    # raw inputs are cheap projections of the driver tables: not materialised
+    # raw inputs: derived once from the driver tables and written (the load step);
+    # profiling, both cleaning generations and the accounting checks read them
     def raw(self, name: str) -> DataFrame:
-        return fixtures.RAW_BUILDERS[name](self.spark, self.sf_dir)
+        return self._table(f"raw_{name}", lambda: fixtures.RAW_BUILDERS[name](self.spark, self.sf_dir))
 
     def raw_all(self) -> dict[str, DataFrame]:
-        return {n: self.raw(n) for n in fixtures.RAW_BUILDERS}
+        return self._parallel(fixtures.RAW_BUILDERS, self.raw)
 
     def cleaning(self, name: str, mode: str = "flag") -> CleanResult:
         key = (name, mode)
@@ -139,6 +140,14 @@ class Warehouse:
                 self._tables[f"csv_{name}"] = csv_io.load_csv(self.spark, path, schemas.RAW_SCHEMAS[name])
         return self._tables[f"csv_{name}"]
 
+    def build_all(self) -> None:
+        """Materialise every layer, independent tables side by side."""
+        self.raw_all()
+        for mode in ("flag", "keep_first"):
+            self._parallel([(n, kind) for n in fixtures.RAW_BUILDERS for kind in ("cleaned", "rejects")],
+                           lambda nk: getattr(self, nk[1])(nk[0], mode))
+        self.mart()
+
     def csv_loaded_all(self) -> dict[str, DataFrame]:
         return self._parallel(fixtures.RAW_BUILDERS, self.csv_loaded)
 

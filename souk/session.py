@@ -31,17 +31,21 @@ def local_session(cores: str | int = "*", app: str = "souk", **conf) -> SparkSes
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder the cluster names for checkpoints.
 
-    On a cluster this must already be set (a shared filesystem path); only
-    when it is unset — local tests — do we create one under /tmp.
+    Looked up in ``spark.checkpoint.dir`` (session, then application conf),
+    then in a directory set through ``SparkContext.setCheckpointDir``.  Only
+    when none is set - local tests - is a folder created under /tmp.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not path and sc.getCheckpointDir():
+        path = sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="souk-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
-    return path.rstrip("/") if path.startswith(("hdfs:", "s3", "gs:", "abfs")) else os.path.abspath(path)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
+    if "://" in path or path.startswith(("hdfs:", "s3", "gs:", "abfs", "file:")):
+        return path.rstrip("/")
+    return os.path.abspath(path)

@@ -1,0 +1,8 @@
+"""Streaming.
+
+The rebuilt pipeline is batch-only: its source contains no streaming
+construct (no watermark, event-time window, state or late-data handling), so
+this package deliberately holds no operator.  Every layer is a written table
+read by the next stage; a continuous variant would re-run the layers on new
+input, not change their semantics.
+"""
