@@ -46,12 +46,11 @@ def finalize(df: DataFrame) -> DataFrame:
 
 # ---- 2.5 fact and its parts -----------------------------------------------------------
 query("fact_order_master")(lambda w: w.fact())
-query("agg_order_items")(lambda w: FP.agg_order_items(w.cleaned("order_items")))
-query("agg_dominant_category")(lambda w: FP.agg_dominant_category(w.cleaned("order_items"), w.cleaned("products")))
-query("agg_dominant_seller_state")(
-    lambda w: FP.agg_dominant_seller_state(w.cleaned("order_items"), w.cleaned("sellers")))
+query("agg_order_items")(lambda w: w.order_agg("agg_order_items"))
+query("agg_dominant_category")(lambda w: w.order_agg("agg_order_dominant_category"))
+query("agg_dominant_seller_state")(lambda w: w.order_agg("agg_order_dominant_seller"))
 query("agg_order_payments")(lambda w: w.payment_agg())
-query("agg_order_reviews")(lambda w: FP.agg_order_reviews(w.cleaned("reviews")))
+query("agg_order_reviews")(lambda w: w.order_agg("agg_order_reviews"))
 query("p75_threshold")(lambda w: w.threshold())
 query("ri_check")(lambda w: FP.ri_checks(w.cleaned_all()))
 
@@ -88,15 +87,12 @@ query("reference_date")(lambda w: w.ref_date())
 
 @query("customer_agg")
 def _customer_agg(w: Warehouse) -> DataFrame:
-    ref = MP.reference_date(w.fact()).first()[0]
-    agg = MP.customer_agg(w.fact(), ref)
-    return agg.drop(*[f"orders_last_{d}d" for d in MP.RECENCY_WINDOWS])
+    return w.customer_agg().drop(*[f"orders_last_{d}d" for d in MP.RECENCY_WINDOWS])
 
 
 query("customer_last_location")(lambda w: w.mart().select("customer_unique_id", "customer_city", "customer_state"))
-query("customer_preferred_category")(
-    lambda w: MP.preferred(w.fact(), "dominant_category", "preferred_category"))
-query("customer_preferred_day")(lambda w: MP.preferred(w.fact(), "order_day_of_week", "preferred_day_of_week"))
+query("customer_preferred_category")(lambda w: w.preferred("category"))
+query("customer_preferred_day")(lambda w: w.preferred("day"))
 query("customer_recency_windows")(lambda w: w.mart().select(
     "customer_unique_id", *[f"orders_last_{d}d" for d in MP.RECENCY_WINDOWS]))
 query("rfm_scores")(lambda w: w.mart().select(
@@ -225,8 +221,8 @@ def _load_row_counts(w: Warehouse) -> DataFrame:
 
 @query("materialize")
 def _materialize(w: Warehouse) -> DataFrame:
-    path = f"{w.root}/ctas/agg_order_items"
-    return materialize(w.spark, FP.agg_order_items(w.cleaned("order_items")), path)
+    """CREATE TABLE AS: the per-order item aggregate, written by the warehouse and read back."""
+    return w.order_agg("agg_order_items")
 
 
 query("append_rejects")(lambda w: w.rejects("order_items"))

@@ -120,13 +120,27 @@ def high_value_threshold(payment_agg: DataFrame) -> DataFrame:
 
 # ---- the fact ------------------------------------------------------------------
 
-def build_fact(cleaned: dict[str, DataFrame], threshold: DataFrame | None = None) -> DataFrame:
+def order_aggregates(cleaned: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The five per-order inputs of the fact (the reference's agg_* tables)."""
+    return {
+        "agg_order_items": lambda: agg_order_items(cleaned["order_items"]),
+        "agg_order_dominant_category": lambda: agg_dominant_category(cleaned["order_items"], cleaned["products"]),
+        "agg_order_dominant_seller": lambda: agg_dominant_seller_state(cleaned["order_items"], cleaned["sellers"]),
+        "agg_order_payments": lambda: agg_order_payments(cleaned["payments"]),
+        "agg_order_reviews": lambda: agg_order_reviews(cleaned["reviews"]),
+    }
+
+
+def build_fact(cleaned: dict[str, DataFrame], threshold: DataFrame | None = None,
+               aggs: dict[str, DataFrame] | None = None) -> DataFrame:
+    """``aggs`` may hold the five per-order aggregates already written as tables."""
+    aggs = aggs or {name: build() for name, build in order_aggregates(cleaned).items()}
     orders = orders_base(cleaned["orders"])
-    items = agg_order_items(cleaned["order_items"])
-    cat = agg_dominant_category(cleaned["order_items"], cleaned["products"])
-    seller = agg_dominant_seller_state(cleaned["order_items"], cleaned["sellers"])
-    pay = agg_order_payments(cleaned["payments"])
-    rev = agg_order_reviews(cleaned["reviews"])
+    items = aggs["agg_order_items"]
+    cat = aggs["agg_order_dominant_category"]
+    seller = aggs["agg_order_dominant_seller"]
+    pay = aggs["agg_order_payments"]
+    rev = aggs["agg_order_reviews"]
     if threshold is None:
         threshold = high_value_threshold(pay)
     p75 = threshold.first()

@@ -178,6 +178,6 @@ def build_mart(fact: DataFrame, materialize=None) -> DataFrame:
     ref_date = reference_date(fact).first()[0]
     agg = materialize(customer_agg(fact, ref_date), "customer_agg")
     rfm = rfm_scores(agg)
-    pref_cat = preferred(fact, "dominant_category", "preferred_category")
-    pref_day = preferred(fact, "order_day_of_week", "preferred_day_of_week")
+    pref_cat = materialize(preferred(fact, "dominant_category", "preferred_category"), "customer_preferred_cat")
+    pref_day = materialize(preferred(fact, "order_day_of_week", "preferred_day_of_week"), "customer_preferred_day")
     return assemble_mart(agg, last_location(fact), rfm, pref_cat, pref_day, ref_date)

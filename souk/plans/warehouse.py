@@ -104,8 +104,20 @@ class Warehouse:
     def rejects_all(self, mode: str = "flag") -> dict[str, DataFrame]:
         return self._parallel(fixtures.RAW_BUILDERS, lambda n: self.rejects(n, mode))
 
+    def order_agg(self, name: str) -> DataFrame:
+        """One of the five per-order aggregate tables feeding the fact."""
+        needed = {"agg_order_items": ["order_items"], "agg_order_dominant_category": ["order_items", "products"],
+                  "agg_order_dominant_seller": ["order_items", "sellers"], "agg_order_payments": ["payments"],
+                  "agg_order_reviews": ["reviews"]}[name]
+        return self._table(name, lambda: fact_plan.order_aggregates(
+            {t: self.cleaned(t) for t in needed})[name]())
+
+    def order_aggs(self) -> dict[str, DataFrame]:
+        return self._parallel(["agg_order_items", "agg_order_dominant_category", "agg_order_dominant_seller",
+                               "agg_order_payments", "agg_order_reviews"], self.order_agg)
+
     def payment_agg(self) -> DataFrame:
-        return self._table("agg_order_payments", lambda: fact_plan.agg_order_payments(self.cleaned("payments")))
+        return self.order_agg("agg_order_payments")
 
     def threshold(self) -> DataFrame:
         return self._table("hv_threshold", lambda: fact_plan.high_value_threshold(self.payment_agg()))
@@ -114,7 +126,7 @@ class Warehouse:
         def build():
             needed = [n for n in fixtures.RAW_BUILDERS if n != "geolocation"]
             cleaned = self._parallel(needed, self.cleaned)
-            return fact_plan.build_fact(cleaned, self.threshold())
+            return fact_plan.build_fact(cleaned, self.threshold(), self.order_aggs())
 
         return self._table("fact_order_master", build, partition_by=["order_year"])
 
@@ -151,6 +163,14 @@ class Warehouse:
     def csv_loaded_all(self) -> dict[str, DataFrame]:
         return self._parallel(fixtures.RAW_BUILDERS, self.csv_loaded)
 
+    def customer_agg(self) -> DataFrame:
+        self.mart()
+        return self._tables["customer_agg"]
+
+    def preferred(self, kind: str) -> DataFrame:
+        self.mart()
+        return self._tables[{"category": "customer_preferred_cat", "day": "customer_preferred_day"}[kind]]
+
     def ref_date(self) -> DataFrame:
         return mart_plan.reference_date(self.fact())
 
