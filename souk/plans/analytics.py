@@ -126,10 +126,23 @@ def kpi_summary(mart: DataFrame) -> DataFrame:
     )
 
 
-def spend_ranking(mart: DataFrame, cols=("customer_unique_id", "total_spend")):
-    """Customers with spend > 0 ranked by spend desc (id breaks ties), with running spend."""
-    base = mart.filter(F.col("total_spend") > 0).select(*cols)
-    return rank_buckets(base, [SortKey("total_spend", True)], ["customer_unique_id"], sum_col="total_spend")
+_RANKINGS: dict = {}
+SPEND_RANK_COLUMNS = ("customer_unique_id", "total_spend", "segment_label", "lifecycle_stage")
+
+
+def spend_ranking(mart: DataFrame, cols=SPEND_RANK_COLUMNS):
+    """Customers with spend > 0 ranked by spend desc (id breaks ties), with running spend.
+
+    Deciles, both Pareto answers and the Pareto view share one ranking of the
+    same table: the bucket boundaries, counts and sums are computed once per
+    (plan, columns) and reused.
+    """
+    key = (mart._jdf.queryExecution().analyzed().semanticHash(), tuple(cols))
+    if key not in _RANKINGS:
+        base = mart.filter(F.col("total_spend") > 0).select(*cols)
+        _RANKINGS[key] = rank_buckets(base, [SortKey("total_spend", True)], ["customer_unique_id"],
+                                      sum_col="total_spend")
+    return _RANKINGS[key]
 
 
 def revenue_deciles(mart: DataFrame) -> DataFrame:

@@ -59,8 +59,8 @@ def vw_kpi_executive(mart: DataFrame) -> DataFrame:
 
 
 def vw_pareto_revenue(mart: DataFrame) -> DataFrame:
-    cols = ("customer_unique_id", "total_spend", "segment_label", "lifecycle_stage")
-    r = A.spend_ranking(mart, cols)
+    cols = A.SPEND_RANK_COLUMNS
+    r = A.spend_ranking(mart)
     rows = r.with_running_sum("cumulative_spend", "spend_rank")
     n = F.lit(r.n).cast("bigint")
     grand = F.lit(r.total_sum).cast("decimal(38,2)")
