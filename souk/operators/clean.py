@@ -1,9 +1,10 @@
 """Rule-based cleaning with quarantine.
 
-One pass per table: every raw row is tagged with the reason of the FIRST rule
-it breaks (or none) and a validity bit, then the table is aggregated ONCE on
-all columns + tag.  That single hash aggregation (map-side combined, so hot
-groups of identical rows collapse before the shuffle) yields everything:
+One pass per table: the table is aggregated ONCE on all its columns into
+groups of identical rows (map-side combined, so hot groups of copies
+collapse before the shuffle); each group is tagged with the reason of the
+FIRST rule its rows break (or none) and a validity bit - pure functions of
+the values, so one grouping serves every rule set.  That yields everything:
 
 * rule rejects   - groups with a reason, re-expanded to one row per raw row;
 * exact copies   - valid groups with more than one member;
@@ -110,11 +111,20 @@ def _valid_column(spec: CleanSpec) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
-def tag_groups(df: DataFrame, spec: CleanSpec) -> DataFrame:
-    """One aggregation over all columns + (reason, valid): the engine's only full shuffle."""
-    cols = df.columns
-    tagged = df.select(*cols, _reason_column(spec).alias("_reason"), _valid_column(spec).alias("_valid"))
-    return tagged.groupBy(*cols, "_reason", "_valid").agg(F.count(F.lit(1)).alias("_n"))
+def row_groups(df: DataFrame) -> DataFrame:
+    """Groups of identical rows with their size ``_n``: the engine's only full shuffle.
+
+    Combined map-side, so a hot group of copies collapses before the shuffle.
+    Reasons and validity are pure functions of a row's values, so the same
+    groups serve every rule set (both generations) and both outputs.
+    """
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def tag_groups(df: DataFrame, spec: CleanSpec, groups: DataFrame | None = None) -> DataFrame:
+    """Row groups tagged with the first broken rule's reason and the validity bit."""
+    g = groups if groups is not None else row_groups(df)
+    return g.select(*df.columns, "_n", _reason_column(spec).alias("_reason"), _valid_column(spec).alias("_valid"))
 
 
 def _expand(df: DataFrame, start: int) -> DataFrame:
@@ -146,13 +156,14 @@ def _first_per_key(rows: DataFrame, spec: CleanSpec, cols: list[str]) -> DataFra
     return joined.withColumn("_first", F.struct(*rest).eqNullSafe(F.col("_min"))).drop("_min", *names)
 
 
-def clean(df: DataFrame, spec: CleanSpec, mode: str = "flag") -> CleanResult:
+def clean(df: DataFrame, spec: CleanSpec, mode: str = "flag", groups: DataFrame | None = None) -> CleanResult:
+    """``groups`` may be the precomputed (often written) ``row_groups(df)``."""
     if mode not in ("flag", "keep_first"):
         raise ValueError(f"unknown mode {mode!r}")
     cols = df.columns
     if mode == "keep_first" and spec.dedup_all_rows:
-        return _clean_dedup_first(df, spec, cols)
-    g = tag_groups(df, spec)
+        return _clean_dedup_first(df, spec, cols, groups)
+    g = tag_groups(df, spec, groups)
     reject_cols = [*cols, "reject_reason", "rejected_row_count"]
 
     rule_rejects = _expand(g.filter(F.col("_reason").isNotNull()), 1).select(
@@ -191,14 +202,14 @@ def clean(df: DataFrame, spec: CleanSpec, mode: str = "flag") -> CleanResult:
     return CleanResult(cleaned=cleaned, rejects=rejects.select(reject_cols))
 
 
-def _clean_dedup_first(df: DataFrame, spec: CleanSpec, cols: list[str]) -> CleanResult:
+def _clean_dedup_first(df: DataFrame, spec: CleanSpec, cols: list[str], groups=None) -> CleanResult:
     """keep_first variant where exact copies are judged over all rows before the rules.
 
     Surplus copies -> EXACT_DUPLICATE_ROW; the first copy of a group that breaks a
     rule -> that rule's reason; the cleaned table is DISTINCT over the
     normalised valid rows (so rows equal only after normalising collapse).
     """
-    g = tag_groups(df, spec)
+    g = tag_groups(df, spec, groups)
     dup_rejects = _expand(g.filter(F.col("_n") > 1), 2).select(
         *cols, F.lit("EXACT_DUPLICATE_ROW").alias("reject_reason"),
         F.lit(1).cast("bigint").alias("rejected_row_count"),

@@ -87,9 +87,15 @@ class Warehouse:
             specs = cleaning.gen2_specs() if mode == "flag" else cleaning.gen1_specs()
             from ..operators.clean import clean
 
-            self._clean[key] = clean(self.raw(name), specs[name], mode)
+            self._clean[key] = clean(self.raw(name), specs[name], mode, groups=self.row_groups(name))
             return self._clean[key]
 
+    def row_groups(self, name: str) -> DataFrame:
+        """Identical-row groups of a raw table, written once for both generations and both outputs."""
+        from ..operators.clean import row_groups
+
+        return self._table(f"row_groups_{name}", lambda: row_groups(self.raw(name)))
+
     def cleaned(self, name: str, mode: str = "flag") -> DataFrame:
         prefix = "cleaned" if mode == "flag" else "g1_cleaned"
         return self._table(f"{prefix}_{name}", lambda: self.cleaning(name, mode).cleaned)
