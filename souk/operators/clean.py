@@ -147,13 +147,23 @@ def _key_counts_flag(rows: DataFrame, spec: CleanSpec) -> DataFrame:
 
 
 def _first_per_key(rows: DataFrame, spec: CleanSpec, cols: list[str]) -> DataFrame:
-    """Mark the first distinct row of each key (_first = true); total order on the other columns."""
+    """Mark the first distinct row of each key (_first = true); total order on the other columns.
+
+    Row count per key is a hash aggregation; a key with a single row is its
+    own first.  Only keys with several distinct rows go through
+    ``min(struct)`` (a sort-based aggregate, partially combined map-side).
+    """
     rows, names = _with_dup_keys(rows, spec.dup_key)
-    rest = [c for c in cols]
-    firsts = rows.groupBy(*names).agg(F.min(F.struct(*rest)).alias("_min"))
-    cond = [rows[n].eqNullSafe(firsts[n]) for n in names]
-    joined = rows.join(firsts, cond, "left").select(rows["*"], firsts["_min"])
-    return joined.withColumn("_first", F.struct(*rest).eqNullSafe(F.col("_min"))).drop("_min", *names)
+    counts = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_kc"))
+    cond = [rows[n].eqNullSafe(counts[n]) for n in names]
+    j = rows.join(counts, cond, "left").select(rows["*"], counts["_kc"])
+    single = j.filter(F.col("_kc") == 1).withColumn("_first", F.lit(True))
+    multi = j.filter(F.col("_kc") > 1)
+    firsts = multi.groupBy(*names).agg(F.min(F.struct(*cols)).alias("_min"))
+    cond = [multi[n].eqNullSafe(firsts[n]) for n in names]
+    marked = multi.join(firsts, cond, "left").select(multi["*"], firsts["_min"]) \
+        .withColumn("_first", F.struct(*cols).eqNullSafe(F.col("_min"))).drop("_min")
+    return single.unionByName(marked).drop("_kc", *names)
 
 
 def clean(df: DataFrame, spec: CleanSpec, mode: str = "flag", groups: DataFrame | None = None) -> CleanResult:

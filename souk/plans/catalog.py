@@ -131,7 +131,6 @@ from . import profiling as PR  # noqa: E402
 
 for _key, _fn in (("profile_row_count", PR.row_counts), ("profile_null_counts", PR.null_counts),
                   ("profile_distinct_counts", PR.distinct_counts), ("profile_duplicate_keys", PR.duplicate_keys),
-                  ("profile_exact_duplicates", PR.exact_duplicates),
                   ("profile_value_distribution", PR.value_distributions),
                   ("profile_top_values", PR.top_categories), ("profile_range_check", PR.range_checks),
                   ("profile_numeric_summary", PR.numeric_summaries),
@@ -143,6 +142,8 @@ for _key, _fn in (("profile_row_count", PR.row_counts), ("profile_null_counts",
                   ("profile_line_number_stats", PR.line_number_stats), ("profile_key_overlap", PR.key_overlap),
                   ("profile_listing", PR.translation_listing)):
     query(_key)((lambda fn: lambda w: fn(w.raw_all()))(_fn))
+query("profile_exact_duplicates")(
+    lambda w: PR.exact_duplicates_from_groups(w._parallel(list(w.raw_all()), w.row_groups)))
 
 # ---- 2.3 cleaning operators, 2.4 cleaning checks, 2.6 fact checks ---------------------------------
 from . import checks as CK  # noqa: E402

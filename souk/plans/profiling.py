@@ -85,6 +85,14 @@ def exact_duplicates(raw):
     return _union(P.exact_duplicate_groups(df, t) for t, df in raw.items())
 
 
+def exact_duplicates_from_groups(groups):
+    """Same answer from the written identical-row groups (column ``_n``)."""
+    from pyspark.sql import functions as F
+
+    return _union(g.filter(F.col("_n") > 1).agg(F.count(F.lit(1)).alias("exact_duplicate_groups"))
+                  .select(F.lit(t).alias("table_name"), "exact_duplicate_groups") for t, g in groups.items())
+
+
 def value_distributions(raw):
     return _union(P.value_distribution(raw[t], t, c) for t, c in DISTRIBUTIONS)
 
