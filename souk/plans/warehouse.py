@@ -26,13 +26,26 @@ _LOCK = threading.RLock()
 _CACHE: dict[tuple[str, str], "Warehouse"] = {}
 
 
-def materialize(spark: SparkSession, df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Full refresh of a table (DROP + CREATE AS): overwrite, then read back."""
+def materialize(spark: SparkSession, df: DataFrame, path: str, partition_by: list[str] | None = None,
+                bucket_by: str | None = None, table: str | None = None) -> DataFrame:
+    """Full refresh of a table (DROP + CREATE AS): overwrite, then read back.
+
+    ``bucket_by`` writes an external bucketed table (files under ``path``,
+    registered as ``table``): tables bucketed on the same unique key with the
+    same bucket count join without any shuffle, and a non-bucketed partner is
+    shuffled once to match.  Only one-row-per-key tables are bucketed, so no
+    bucket can hold a hot key.
+    """
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    back = spark.read.parquet(path)
+    if bucket_by:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        w.bucketBy(buckets, bucket_by).sortBy(bucket_by).option("path", path).saveAsTable(table)
+        back = spark.table(table)
+    else:
+        w.parquet(path)
+        back = spark.read.parquet(path)
     return back.select(*df.columns)
 
 
@@ -42,6 +55,7 @@ class Warehouse:
         self.sf_dir = sf_dir.rstrip("/")
         tag = hashlib.sha1(self.sf_dir.encode()).hexdigest()[:10]
         self.root = f"{checkpoint_dir(spark)}/souk/{spark.sparkContext.applicationId}/{tag}"
+        self.table_prefix = "souk_" + hashlib.sha1(self.root.encode()).hexdigest()[:10]
         self._tables: dict[str, DataFrame] = {}
         self._locks: dict[str, threading.Lock] = {}
         self._clean: dict[tuple[str, str], CleanResult] = {}
@@ -54,14 +68,15 @@ class Warehouse:
                 _CACHE[key] = cls(spark, sf_dir)
             return _CACHE[key]
 
-    def _table(self, name: str, build, partition_by=None) -> DataFrame:
+    def _table(self, name: str, build, partition_by=None, bucket_by=None) -> DataFrame:
         with _LOCK:
             if name in self._tables:
                 return self._tables[name]
             lock = self._locks.setdefault(name, threading.Lock())
         with lock:  # one builder per table; other tables build concurrently
             if name not in self._tables:
-                self._tables[name] = materialize(self.spark, build(), f"{self.root}/{name}", partition_by)
+                self._tables[name] = materialize(self.spark, build(), f"{self.root}/{name}", partition_by,
+                                                 bucket_by, f"{self.table_prefix}_{name}")
         return self._tables[name]
 
     def _parallel(self, names, fn) -> dict[str, DataFrame]:
@@ -116,7 +131,7 @@ class Warehouse:
                   "agg_order_dominant_seller": ["order_items", "sellers"], "agg_order_payments": ["payments"],
                   "agg_order_reviews": ["reviews"]}[name]
         return self._table(name, lambda: fact_plan.order_aggregates(
-            {t: self.cleaned(t) for t in needed})[name]())
+            {t: self.cleaned(t) for t in needed})[name](), bucket_by="order_id")
 
     def order_aggs(self) -> dict[str, DataFrame]:
         return self._parallel(["agg_order_items", "agg_order_dominant_category", "agg_order_dominant_seller",
@@ -138,10 +153,10 @@ class Warehouse:
 
     def mart(self) -> DataFrame:
         def build():
-            mat = lambda df, name: self._table(name, lambda: df)
+            mat = lambda df, name: self._table(name, lambda: df, bucket_by="customer_unique_id")
             return mart_plan.build_mart(self.fact(), materialize=mat)
 
-        return self._table("mart_customer_features", build)
+        return self._table("mart_customer_features", build, bucket_by="customer_unique_id")
 
     def csv_loaded(self, name: str) -> DataFrame:
         """Raw table unloaded to CSV in the shared folder once, then loaded back

@@ -51,3 +51,22 @@ def test_customer_measures_stay_hash_aggregated(spark):
     ref = reference_date(w.fact()).first()[0]
     plan = _plan(customer_agg(w.fact(), ref))
     assert "SortAggregate" not in plan
+
+
+def test_fact_joins_read_bucketed_aggregates_without_shuffle(spark):
+    from souk.plans import fact as FP
+
+    w = warehouse(spark, SMALL)
+    cleaned = {t: w.cleaned(t) for t in ("orders", "customers", "category_translation")}
+    aggs = w.order_aggs()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = FP.build_fact(cleaned, w.threshold(), aggs)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # the five per-order aggregates are scanned as buckets: no exchange on their side of the joins
+    assert plan.count("Bucketed: true") >= 5
+    for name in aggs:
+        scan = [ln for ln in plan.splitlines() if name in ln and "FileScan" in ln]
+        assert scan, name
