@@ -137,3 +137,27 @@ def test_csv_binds_by_position(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("text", T.StringType())])
     rows = load_csv(spark, str(p), schema).orderBy("id").collect()
     assert [(r.id, r.text) for r in rows] == [(1, 'a "q" b'), (2, "line1\nline2"), (3, None)]
+
+
+def test_hot_value_is_split_across_buckets(spark):
+    # one sort value holds a third of all rows: the id tie-break still cuts it into several buckets
+    n = 3000
+    rows = [(1 if i % 3 == 0 else i, f"id{i:05d}") for i in range(n)]
+    df = spark.createDataFrame(rows, "v int, id string")
+    r = rank_buckets(df, [SortKey("v")], ["id"], min_rows=100)
+    hot_buckets = {row["_bucket"] for row in r.df.filter("v = 1").select("_bucket").distinct().collect()}
+    assert len(hot_buckets) > 1
+    assert max(r.counts) < n / 2
+    got = [x.id for x in r.with_row_number("rn").orderBy("rn").collect()]
+    assert got == [i for _, i in sorted(rows)]
+
+
+def test_hot_key_dedupe_and_dominant(spark):
+    # one order with a third of all rows
+    rows = [("hot", f"c{i % 4}") for i in range(1000)] + [(f"o{i}", "c9") for i in range(2000)]
+    df = spark.createDataFrame(rows, "o string, c string")
+    got = {r.o: r.c for r in dominant(df, "o", "c").collect()}
+    assert got["hot"] == "c0" and len(got) == 2001
+    flagged = df.withColumn("duplicate_flag", F.when(F.col("o") == "hot", 1).otherwise(0))
+    one = {r.o: r.c for r in dedupe(flagged, "o", ["duplicate_flag"], ["o", "c"], "duplicate_flag").collect()}
+    assert one["hot"] == "c0" and len(one) == 2001
