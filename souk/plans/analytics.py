@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import (
-    LIFECYCLE_ORDER, WEEKDAYS, avg_dec, bucketize, count_if, dec, field_position, flag,
-    month_index, nullif, pct, year_month,
+    LIFECYCLE_ORDER, WEEKDAYS, avg_dec, bucketize, count_if, dec, field_position, month_index, nullif, pct,
+    year_month,
 )
 from ..operators.ranking import SortKey, ntile_from_rank, rank_buckets, value_at_positions
 

@@ -202,8 +202,7 @@ for _key, _fn in (("check_mart_grain", MC.mart_grain), ("check_spend_consistency
 # ---- 2.1 sources and sinks ----------------------------------------------------------------------------
 from functools import reduce  # noqa: E402
 
-from ..sources import schemas as SC  # noqa: E402
-from .warehouse import audit, materialize  # noqa: E402
+from .warehouse import audit  # noqa: E402
 
 
 def _union_all(frames):

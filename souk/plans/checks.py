@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import avg_dec, bucketize, count_if
+from ..functions.exprs import bucketize, count_if
 from ..operators import profile as P
 from .cleaning import LAT_MAX, LAT_MIN, LNG_MAX, LNG_MIN, PAYMENT_TYPES
 from .warehouse import Warehouse

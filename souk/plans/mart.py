@@ -125,13 +125,24 @@ def preferred(fact: DataFrame, value: str, name: str) -> DataFrame:
     return dominant(rows, "customer_unique_id", value, name)
 
 
-def rfm_scores(agg: DataFrame, k: int = 5) -> DataFrame:
-    """r/f/m NTILE(k) over all customers, ties broken by customer id (deterministic)."""
+def rfm_scores(agg: DataFrame, k: int = 5, parallel=None) -> DataFrame:
+    """r/f/m NTILE(k) over all customers, ties broken by customer id (deterministic).
+
+    The three rankings are independent: their boundary/offset jobs may run
+    side by side (``parallel(items, fn) -> dict``).
+    """
     base = agg.select("customer_unique_id", "recency_days", "frequency", "monetary")
+    keys = {"r_score": SortKey("recency_days", True), "f_score": SortKey("frequency"),
+            "m_score": SortKey("monetary")}
+
+    def ranked(name):
+        key = keys[name]
+        return rank_buckets(base.select("customer_unique_id", key.column), [key], ["customer_unique_id"])
+
+    ranks = parallel(list(keys), ranked) if parallel else {n: ranked(n) for n in keys}
     out = None
-    for name, key in (("r_score", SortKey("recency_days", True)), ("f_score", SortKey("frequency")),
-                      ("m_score", SortKey("monetary"))):
-        r = rank_buckets(base.select("customer_unique_id", key.column), [key], ["customer_unique_id"])
+    for name in keys:
+        r = ranks[name]
         scored = r.with_row_number("_rn").select(
             "customer_unique_id", ntile_from_rank(F.col("_rn"), r.n, k).cast("int").alias(name)
         )
@@ -172,12 +183,20 @@ def assemble_mart(agg: DataFrame, loc: DataFrame, rfm: DataFrame, pref_cat: Data
     return m.select(*MART_COLUMNS)
 
 
-def build_mart(fact: DataFrame, materialize=None) -> DataFrame:
-    """``materialize(df, name) -> df`` cuts lineage (written table); identity when None."""
+def build_mart(fact: DataFrame, materialize=None, parallel=None) -> DataFrame:
+    """``materialize(df, name) -> df`` cuts lineage (written table); identity when None.
+    ``parallel(items, fn) -> dict`` runs independent steps side by side."""
     materialize = materialize or (lambda df, name: df)
     ref_date = reference_date(fact).first()[0]
-    agg = materialize(customer_agg(fact, ref_date), "customer_agg")
-    rfm = rfm_scores(agg)
-    pref_cat = materialize(preferred(fact, "dominant_category", "preferred_category"), "customer_preferred_cat")
-    pref_day = materialize(preferred(fact, "order_day_of_week", "preferred_day_of_week"), "customer_preferred_day")
-    return assemble_mart(agg, last_location(fact), rfm, pref_cat, pref_day, ref_date)
+    steps = {
+        "customer_agg": lambda: materialize(customer_agg(fact, ref_date), "customer_agg"),
+        "customer_preferred_cat": lambda: materialize(
+            preferred(fact, "dominant_category", "preferred_category"), "customer_preferred_cat"),
+        "customer_preferred_day": lambda: materialize(
+            preferred(fact, "order_day_of_week", "preferred_day_of_week"), "customer_preferred_day"),
+    }
+    done = parallel(list(steps), lambda n: steps[n]()) if parallel else {n: f() for n, f in steps.items()}
+    agg = done["customer_agg"]
+    rfm = rfm_scores(agg, parallel=parallel)
+    return assemble_mart(agg, last_location(fact), rfm, done["customer_preferred_cat"],
+                         done["customer_preferred_day"], ref_date)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import count_if, dec, pct
+from ..functions.exprs import dec, pct
 from . import analytics as A
 
 # ---- fixed values (must equal the reference's literals) ----------------------

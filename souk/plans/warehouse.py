@@ -147,14 +147,15 @@ class Warehouse:
         def build():
             needed = [n for n in fixtures.RAW_BUILDERS if n != "geolocation"]
             cleaned = self._parallel(needed, self.cleaned)
-            return fact_plan.build_fact(cleaned, self.threshold(), self.order_aggs())
+            aggs = self.order_aggs()  # the five aggregates side by side, then the threshold over one of them
+            return fact_plan.build_fact(cleaned, self.threshold(), aggs)
 
         return self._table("fact_order_master", build, partition_by=["order_year"])
 
     def mart(self) -> DataFrame:
         def build():
             mat = lambda df, name: self._table(name, lambda: df, bucket_by="customer_unique_id")
-            return mart_plan.build_mart(self.fact(), materialize=mat)
+            return mart_plan.build_mart(self.fact(), materialize=mat, parallel=self._parallel)
 
         return self._table("mart_customer_features", build, bucket_by="customer_unique_id")
 
