@@ -57,16 +57,16 @@ query("ri_check")(lambda w: FP.ri_checks(w.cleaned_all()))
 
 @query("dim_dedupe")
 def _dim_dedupe(w: Warehouse) -> DataFrame:
-    c = FP.customers_dim(w.cleaned("customers")).select(
+    c = w.dim("dim_customers").select(
         F.lit("customers").alias("dim"), F.col("customer_id").alias("key"),
         F.concat_ws("|", "customer_unique_id", "customer_city", "customer_state").alias("attributes"))
-    s = FP.sellers_dim(w.cleaned("sellers")).select(
+    s = w.dim("dim_sellers").select(
         F.lit("sellers").alias("dim"), F.col("seller_id").alias("key"),
         F.concat_ws("|", "seller_state", "seller_city").alias("attributes"))
-    p = FP.products_dim(w.cleaned("products")).select(
+    p = w.dim("dim_products").select(
         F.lit("products").alias("dim"), F.col("product_id").alias("key"),
         F.coalesce(F.col("product_category_name"), F.lit("")).alias("attributes"))
-    t = FP.translation_dim(w.cleaned("category_translation")).select(
+    t = w.dim("dim_translation").select(
         F.lit("category_translation").alias("dim"), F.col("product_category_name").alias("key"),
         F.coalesce(F.col("product_category_name_english"), F.lit("")).alias("attributes"))
     return c.unionByName(s).unionByName(p).unionByName(t)

@@ -75,17 +75,19 @@ def agg_order_items(items: DataFrame) -> DataFrame:
     )
 
 
-def agg_dominant_category(items: DataFrame, products: DataFrame) -> DataFrame:
+def agg_dominant_category(items: DataFrame, products: DataFrame, dim: DataFrame | None = None) -> DataFrame:
     pairs = items.filter(F.col("order_id").isNotNull()).select("order_id", "product_id").distinct()
-    cats = pairs.join(products_dim(products), "product_id", "left").select(
+    dim = dim if dim is not None else products_dim(products)
+    cats = pairs.join(dim, "product_id", "left").select(
         "order_id", F.coalesce(F.col("product_category_name"), F.lit("uncategorised")).alias("category_name")
     )
     return dominant(cats, "order_id", "category_name", "dominant_category")
 
 
-def agg_dominant_seller_state(items: DataFrame, sellers: DataFrame) -> DataFrame:
+def agg_dominant_seller_state(items: DataFrame, sellers: DataFrame, dim: DataFrame | None = None) -> DataFrame:
     pairs = items.filter(F.col("order_id").isNotNull()).select("order_id", "seller_id").distinct()
-    states = pairs.join(sellers_dim(sellers), "seller_id", "left").select(
+    dim = dim if dim is not None else sellers_dim(sellers)
+    states = pairs.join(dim, "seller_id", "left").select(
         "order_id", F.coalesce(F.col("seller_state"), F.lit("unknown")).alias("seller_state")
     )
     best = dominant(states, "order_id", "seller_state", "dominant_seller_state")
@@ -120,21 +122,44 @@ def high_value_threshold(payment_agg: DataFrame) -> DataFrame:
 
 # ---- the fact ------------------------------------------------------------------
 
-def order_aggregates(cleaned: dict[str, DataFrame]) -> dict[str, DataFrame]:
+DIMENSIONS = {  # name -> (cleaned table, key)
+    "dim_customers": ("customers", "customer_id"),
+    "dim_sellers": ("sellers", "seller_id"),
+    "dim_products": ("products", "product_id"),
+    "dim_translation": ("category_translation", "product_category_name"),
+}
+
+
+def dimension_views(cleaned: dict[str, DataFrame]) -> dict:
+    """One-row-per-key dimension builders (the reference's deduplicated views)."""
+    fns = {"dim_customers": customers_dim, "dim_sellers": sellers_dim, "dim_products": products_dim,
+           "dim_translation": translation_dim}
+    return {name: (lambda fn=fns[name], t=table: fn(cleaned[t])) for name, (table, _) in DIMENSIONS.items()}
+
+
+def order_aggregates(cleaned: dict[str, DataFrame], dims: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """The five per-order inputs of the fact (the reference's agg_* tables)."""
+    dims = dims or {}
     return {
         "agg_order_items": lambda: agg_order_items(cleaned["order_items"]),
-        "agg_order_dominant_category": lambda: agg_dominant_category(cleaned["order_items"], cleaned["products"]),
-        "agg_order_dominant_seller": lambda: agg_dominant_seller_state(cleaned["order_items"], cleaned["sellers"]),
+        "agg_order_dominant_category": lambda: agg_dominant_category(
+            cleaned["order_items"], cleaned.get("products"), dims.get("dim_products")),
+        "agg_order_dominant_seller": lambda: agg_dominant_seller_state(
+            cleaned["order_items"], cleaned.get("sellers"), dims.get("dim_sellers")),
         "agg_order_payments": lambda: agg_order_payments(cleaned["payments"]),
         "agg_order_reviews": lambda: agg_order_reviews(cleaned["reviews"]),
     }
 
 
 def build_fact(cleaned: dict[str, DataFrame], threshold: DataFrame | None = None,
-               aggs: dict[str, DataFrame] | None = None) -> DataFrame:
-    """``aggs`` may hold the five per-order aggregates already written as tables."""
+               aggs: dict[str, DataFrame] | None = None, dims: dict[str, DataFrame] | None = None) -> DataFrame:
+    """``aggs`` / ``dims`` may hold the per-order aggregates and the dimensions already written as tables."""
     aggs = aggs or {name: build() for name, build in order_aggregates(cleaned).items()}
+    dims = dims or {}
+    customers = dims.get("dim_customers")
+    customers = customers if customers is not None else customers_dim(cleaned["customers"])
+    translation = dims.get("dim_translation")
+    translation = translation if translation is not None else translation_dim(cleaned["category_translation"])
     orders = orders_base(cleaned["orders"])
     items = aggs["agg_order_items"]
     cat = aggs["agg_order_dominant_category"]
@@ -153,8 +178,8 @@ def build_fact(cleaned: dict[str, DataFrame], threshold: DataFrame | None = None
         .join(seller.alias("ds"), "order_id", "left")
         .join(pay.withColumn("_pay", F.lit(1)).alias("pa"), "order_id", "left")
         .join(rev.withColumn("_rev", F.lit(1)).alias("ra"), "order_id", "left")
-        .join(customers_dim(cleaned["customers"]).withColumn("_cust", F.lit(1)).alias("c"), "customer_id", "left")
-        .join(translation_dim(cleaned["category_translation"]).alias("tr"),
+        .join(customers.withColumn("_cust", F.lit(1)).alias("c"), "customer_id", "left")
+        .join(translation.alias("tr"),
               F.col("dc.dominant_category") == F.col("tr.product_category_name"), "left")
     )
     delay = F.when(

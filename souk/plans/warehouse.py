@@ -125,13 +125,24 @@ class Warehouse:
     def rejects_all(self, mode: str = "flag") -> dict[str, DataFrame]:
         return self._parallel(fixtures.RAW_BUILDERS, lambda n: self.rejects(n, mode))
 
+    def dim(self, name: str) -> DataFrame:
+        """A one-row-per-key dimension, written bucketed by its key."""
+        table, key = fact_plan.DIMENSIONS[name]
+        return self._table(name, lambda: fact_plan.dimension_views({table: self.cleaned(table)})[name](),
+                           bucket_by=key)
+
+    def dims(self) -> dict[str, DataFrame]:
+        return self._parallel(list(fact_plan.DIMENSIONS), self.dim)
+
     def order_agg(self, name: str) -> DataFrame:
         """One of the five per-order aggregate tables feeding the fact."""
-        needed = {"agg_order_items": ["order_items"], "agg_order_dominant_category": ["order_items", "products"],
-                  "agg_order_dominant_seller": ["order_items", "sellers"], "agg_order_payments": ["payments"],
+        needed = {"agg_order_items": ["order_items"], "agg_order_dominant_category": ["order_items"],
+                  "agg_order_dominant_seller": ["order_items"], "agg_order_payments": ["payments"],
                   "agg_order_reviews": ["reviews"]}[name]
+        dims = {"agg_order_dominant_category": {"dim_products": lambda: self.dim("dim_products")},
+                "agg_order_dominant_seller": {"dim_sellers": lambda: self.dim("dim_sellers")}}.get(name, {})
         return self._table(name, lambda: fact_plan.order_aggregates(
-            {t: self.cleaned(t) for t in needed})[name](), bucket_by="order_id")
+            {t: self.cleaned(t) for t in needed}, {k: v() for k, v in dims.items()})[name](), bucket_by="order_id")
 
     def order_aggs(self) -> dict[str, DataFrame]:
         return self._parallel(["agg_order_items", "agg_order_dominant_category", "agg_order_dominant_seller",
@@ -147,8 +158,9 @@ class Warehouse:
         def build():
             needed = [n for n in fixtures.RAW_BUILDERS if n != "geolocation"]
             cleaned = self._parallel(needed, self.cleaned)
+            dims = self.dims()
             aggs = self.order_aggs()  # the five aggregates side by side, then the threshold over one of them
-            return fact_plan.build_fact(cleaned, self.threshold(), aggs)
+            return fact_plan.build_fact(cleaned, self.threshold(), aggs, dims)
 
         return self._table("fact_order_master", build, partition_by=["order_year"])
 
