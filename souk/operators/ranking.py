@@ -136,11 +136,21 @@ def rank_buckets(
     order,
     tiebreak: list[str],
     sum_col: str | None = None,
-    max_rows: int = 2_000_000,
-    min_rows: int = 10_000,
+    max_rows: int | None = None,
+    min_rows: int | None = None,
     seed: int = 7,
 ) -> Ranked:
-    """Assign range buckets over the total order ``order + tiebreak`` (keys must be non-NULL)."""
+    """Assign range buckets over the total order ``order + tiebreak`` (keys must be non-NULL).
+
+    Bucket sizing: at most ``max_rows`` rows per bucket (session setting
+    ``souk.ranking.maxRowsPerBucket``, default 2,000,000) and at least one
+    bucket per core once there are ``min_rows`` rows per bucket
+    (``souk.ranking.minRowsPerBucket``, default 10,000).  Below that a
+    single bucket is used: the input is small by construction.
+    """
+    conf = df.sparkSession.conf
+    max_rows = max_rows or int(conf.get("souk.ranking.maxRowsPerBucket", "2000000"))
+    min_rows = min_rows or int(conf.get("souk.ranking.minRowsPerBucket", "10000"))
     keys = _keys(order) + [SortKey(t) for t in tiebreak]
     key_names = [k.column for k in keys]
     types = dict(df.dtypes)
