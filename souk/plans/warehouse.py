@@ -99,11 +99,13 @@ class Warehouse:
         with _LOCK:
             if key in self._clean:
                 return self._clean[key]
-            specs = cleaning.gen2_specs() if mode == "flag" else cleaning.gen1_specs()
-            from ..operators.clean import clean
+        from ..operators.clean import clean
 
-            self._clean[key] = clean(self.raw(name), specs[name], mode, groups=self.row_groups(name))
-            return self._clean[key]
+        specs = cleaning.gen2_specs() if mode == "flag" else cleaning.gen1_specs()
+        # inputs are materialised without the global lock, so other tables build meanwhile
+        result = clean(self.raw(name), specs[name], mode, groups=self.row_groups(name))
+        with _LOCK:
+            return self._clean.setdefault(key, result)
 
     def row_groups(self, name: str) -> DataFrame:
         """Identical-row groups of a raw table, written once for both generations and both outputs."""
