@@ -27,7 +27,8 @@ _CACHE: dict[tuple[str, str], "Warehouse"] = {}
 
 
 def materialize(spark: SparkSession, df: DataFrame, path: str, partition_by: list[str] | None = None,
-                bucket_by: str | None = None, table: str | None = None) -> DataFrame:
+                bucket_by: str | None = None, table: str | None = None, audit_col: str | None = None,
+                full: bool = False) -> DataFrame:
     """Full refresh of a table (DROP + CREATE AS): overwrite, then read back.
 
     ``bucket_by`` writes an external bucketed table (files under ``path``,
@@ -36,6 +37,9 @@ def materialize(spark: SparkSession, df: DataFrame, path: str, partition_by: lis
     shuffled once to match.  Only one-row-per-key tables are bucketed, so no
     bucket can hold a hot key.
     """
+    cols = df.columns
+    if audit_col:  # stamped when the table is written (DEFAULT CURRENT_TIMESTAMP)
+        df = audit(df, audit_col)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -46,7 +50,7 @@ def materialize(spark: SparkSession, df: DataFrame, path: str, partition_by: lis
     else:
         w.parquet(path)
         back = spark.read.parquet(path)
-    return back.select(*df.columns)
+    return back if full else back.select(*cols)
 
 
 class Warehouse:
@@ -57,6 +61,7 @@ class Warehouse:
         self.root = f"{checkpoint_dir(spark)}/souk/{spark.sparkContext.applicationId}/{tag}"
         self.table_prefix = "souk_" + hashlib.sha1(self.root.encode()).hexdigest()[:10]
         self._tables: dict[str, DataFrame] = {}
+        self._stored: dict[str, DataFrame] = {}  # as written, audit column included
         self._locks: dict[str, threading.Lock] = {}
         self._clean: dict[tuple[str, str], CleanResult] = {}
 
@@ -68,17 +73,24 @@ class Warehouse:
                 _CACHE[key] = cls(spark, sf_dir)
             return _CACHE[key]
 
-    def _table(self, name: str, build, partition_by=None, bucket_by=None) -> DataFrame:
+    def _table(self, name: str, build, partition_by=None, bucket_by=None, audit_col=None) -> DataFrame:
         with _LOCK:
             if name in self._tables:
                 return self._tables[name]
             lock = self._locks.setdefault(name, threading.Lock())
         with lock:  # one builder per table; other tables build concurrently
             if name not in self._tables:
-                self._tables[name] = materialize(self.spark, build(), f"{self.root}/{name}", partition_by,
-                                                 bucket_by, f"{self.table_prefix}_{name}")
+                df = build()
+                stored = materialize(self.spark, df, f"{self.root}/{name}", partition_by, bucket_by,
+                                     f"{self.table_prefix}_{name}", audit_col, full=True)
+                self._stored[name] = stored
+                self._tables[name] = stored.select(*df.columns)
         return self._tables[name]
 
+    def stored(self, name: str) -> DataFrame:
+        """A written layer as stored, audit column included."""
+        return self._stored[name]
+
     def _parallel(self, names, fn) -> dict[str, DataFrame]:
         """Materialise independent tables concurrently: Spark schedules the jobs
         submitted from several driver threads side by side."""
@@ -115,11 +127,11 @@ class Warehouse:
 
     def cleaned(self, name: str, mode: str = "flag") -> DataFrame:
         prefix = "cleaned" if mode == "flag" else "g1_cleaned"
-        return self._table(f"{prefix}_{name}", lambda: self.cleaning(name, mode).cleaned)
+        return self._table(f"{prefix}_{name}", lambda: self.cleaning(name, mode).cleaned, audit_col="cleaned_at")
 
     def rejects(self, name: str, mode: str = "flag") -> DataFrame:
         prefix = "rejects" if mode == "flag" else "g1_rejects"
-        return self._table(f"{prefix}_{name}", lambda: self.cleaning(name, mode).rejects)
+        return self._table(f"{prefix}_{name}", lambda: self.cleaning(name, mode).rejects, audit_col="rejected_at")
 
     def cleaned_all(self, mode: str = "flag") -> dict[str, DataFrame]:
         return self._parallel(fixtures.RAW_BUILDERS, lambda n: self.cleaned(n, mode))
@@ -164,14 +176,15 @@ class Warehouse:
             aggs = self.order_aggs()  # the five aggregates side by side, then the threshold over one of them
             return fact_plan.build_fact(cleaned, self.threshold(), aggs, dims)
 
-        return self._table("fact_order_master", build, partition_by=["order_year"])
+        return self._table("fact_order_master", build, partition_by=["order_year"], audit_col="fact_created_at")
 
     def mart(self) -> DataFrame:
         def build():
             mat = lambda df, name: self._table(name, lambda: df, bucket_by="customer_unique_id")
             return mart_plan.build_mart(self.fact(), materialize=mat, parallel=self._parallel)
 
-        return self._table("mart_customer_features", build, bucket_by="customer_unique_id")
+        return self._table("mart_customer_features", build, bucket_by="customer_unique_id",
+                           audit_col="mart_created_at")
 
     def csv_loaded(self, name: str) -> DataFrame:
         """Raw table unloaded to CSV in the shared folder once, then loaded back
