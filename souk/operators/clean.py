@@ -127,9 +127,28 @@ def tag_groups(df: DataFrame, spec: CleanSpec, groups: DataFrame | None = None)
     return g.select(*df.columns, "_n", _reason_column(spec).alias("_reason"), _valid_column(spec).alias("_valid"))
 
 
-def _expand(df: DataFrame, start: int) -> DataFrame:
-    """Turn a group with count _n back into (_n - start + 1) rows."""
-    return df.withColumn("_copy", F.explode(F.sequence(F.lit(start), F.col("_n")))).drop("_copy")
+EXPAND_CHUNK = 1_000_000  # rows one task emits for one group at most
+
+
+def _expand(df: DataFrame, start: int, chunk: int | None = None) -> DataFrame:
+    """Turn a group with count _n back into (_n - start + 1) rows.
+
+    Groups up to ``chunk`` rows expand in place.  A bigger group (one
+    identical row repeated a third of the table) is first cut into chunk
+    descriptors - a handful of rows - that are spread over tasks by a
+    shuffle, and each task expands one chunk, so no task emits the whole
+    group.
+    """
+    chunk = chunk or EXPAND_CHUNK
+    size = F.col("_n") - F.lit(start - 1)
+    small = df.filter(size <= chunk).withColumn("_copy", F.explode(F.sequence(F.lit(start), F.col("_n"))))
+    big = df.filter(size > chunk).withColumn("_lo", F.explode(F.sequence(F.lit(start), F.col("_n"), F.lit(chunk))))
+    # an explicit partition count: AQE must not merge the (tiny) descriptor shuffle back into one task
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    big = big.repartition(parts, "_lo", *[c for c in df.columns if c != "_n"])
+    big = big.withColumn("_copy", F.explode(F.sequence(F.col("_lo"), F.least(F.col("_lo") + F.lit(chunk - 1),
+                                                                              F.col("_n"))))).drop("_lo")
+    return small.unionByName(big).drop("_copy")
 
 
 def _with_dup_keys(df: DataFrame, exprs: list[str]) -> tuple[DataFrame, list[str]]:

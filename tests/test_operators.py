@@ -161,3 +161,20 @@ def test_hot_key_dedupe_and_dominant(spark):
     flagged = df.withColumn("duplicate_flag", F.when(F.col("o") == "hot", 1).otherwise(0))
     one = {r.o: r.c for r in dedupe(flagged, "o", ["duplicate_flag"], ["o", "c"], "duplicate_flag").collect()}
     assert one["hot"] == "c0" and len(one) == 2001
+
+
+def test_hot_group_expansion_is_chunked(spark):
+    # a third of the rows are identical NULL-key copies: every copy is a reject row,
+    # produced chunk by chunk rather than by one task
+    from souk.operators import clean as C
+
+    rows = [(None, "same")] * 3000 + [(f"k{i}", "v") for i in range(6000)]
+    df = spark.createDataFrame(rows, "id string, v string")
+    spec = CleanSpec("t", key=["id"], null_reason="NULL_ID", dup_key=["id"])
+    g = C.tag_groups(df, spec)
+    out = C._expand(g.filter(F.col("_reason").isNotNull()), 1, chunk=500)
+    assert out.count() == 3000
+    per_task = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in per_task) <= 1000 and len(per_task) >= 3
+    r = clean(df, spec)
+    assert r.rejects.count() == 3000 and r.cleaned.count() == 6000
