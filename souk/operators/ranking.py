@@ -139,6 +139,7 @@ def rank_buckets(
     max_rows: int | None = None,
     min_rows: int | None = None,
     seed: int = 7,
+    n: int | None = None,
 ) -> Ranked:
     """Assign range buckets over the total order ``order + tiebreak`` (keys must be non-NULL).
 
@@ -154,7 +155,7 @@ def rank_buckets(
     keys = _keys(order) + [SortKey(t) for t in tiebreak]
     key_names = [k.column for k in keys]
     types = dict(df.dtypes)
-    n = df.count()
+    n = df.count() if n is None else n  # callers ranking one input several ways count it once
     parallelism = df.sparkSession.sparkContext.defaultParallelism
     want = max(math.ceil(n / max_rows), min(parallelism, math.ceil(n / min_rows)), 1)
     buckets = min(MAX_BUCKETS, want)

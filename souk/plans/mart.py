@@ -132,12 +132,13 @@ def rfm_scores(agg: DataFrame, k: int = 5, parallel=None) -> DataFrame:
     side by side (``parallel(items, fn) -> dict``).
     """
     base = agg.select("customer_unique_id", "recency_days", "frequency", "monetary")
+    n = base.count()  # one count serves the three rankings
     keys = {"r_score": SortKey("recency_days", True), "f_score": SortKey("frequency"),
             "m_score": SortKey("monetary")}
 
     def ranked(name):
         key = keys[name]
-        return rank_buckets(base.select("customer_unique_id", key.column), [key], ["customer_unique_id"])
+        return rank_buckets(base.select("customer_unique_id", key.column), [key], ["customer_unique_id"], n=n)
 
     ranks = parallel(list(keys), ranked) if parallel else {n: ranked(n) for n in keys}
     out = None
