@@ -23,6 +23,22 @@ def _stack(df: DataFrame, ids: list[str], pairs: list[tuple[str, str]], name: st
     return df.selectExpr(*[f"`{i}`" for i in ids], f"stack({len(pairs)}, {args}) AS ({name}, {value})")
 
 
+def table_profile(df: DataFrame, table: str) -> DataFrame:
+    """ONE aggregation pass: row count and the NULL count of every column (a 1-row frame)."""
+    return df.agg(F.count(F.lit(1)).alias("total_rows"),
+                  *[count_if(F.col(c).isNull()).alias(f"null__{c}") for c in df.columns]) \
+        .withColumn("table_name", F.lit(table))
+
+
+def row_count_from_profile(profile: DataFrame) -> DataFrame:
+    return profile.select("table_name", "total_rows")
+
+
+def null_counts_from_profile(profile: DataFrame) -> DataFrame:
+    pairs = [(c[len("null__"):], c) for c in profile.columns if c.startswith("null__")]
+    return _stack(profile, ["table_name"], pairs, "column_name", "null_count")
+
+
 def row_count(df: DataFrame, table: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("total_rows")).select(F.lit(table).alias("table_name"), "total_rows")
 

@@ -127,10 +127,10 @@ query("vw_cohort_retention")(lambda w: V.vw_cohort_retention(w.fact(), w.mart())
 query("vw_monthly_revenue_trend")(lambda w: V.vw_monthly_revenue_trend(w.fact()))
 
 # ---- 2.2 profiling --------------------------------------------------------------------------------
+from ..operators import profile as PO  # noqa: E402
 from . import profiling as PR  # noqa: E402
 
-for _key, _fn in (("profile_row_count", PR.row_counts), ("profile_null_counts", PR.null_counts),
-                  ("profile_distinct_counts", PR.distinct_counts), ("profile_duplicate_keys", PR.duplicate_keys),
+for _key, _fn in (("profile_distinct_counts", PR.distinct_counts), ("profile_duplicate_keys", PR.duplicate_keys),
                   ("profile_value_distribution", PR.value_distributions),
                   ("profile_top_values", PR.top_categories), ("profile_range_check", PR.range_checks),
                   ("profile_numeric_summary", PR.numeric_summaries),
@@ -142,6 +142,9 @@ for _key, _fn in (("profile_row_count", PR.row_counts), ("profile_null_counts",
                   ("profile_line_number_stats", PR.line_number_stats), ("profile_key_overlap", PR.key_overlap),
                   ("profile_listing", PR.translation_listing)):
     query(_key)((lambda fn: lambda w: fn(w.raw_all()))(_fn))
+# row count and NULL counts come from ONE written profile pass per table
+query("profile_row_count")(lambda w: PR._union(PO.row_count_from_profile(p) for p in w.profiles().values()))
+query("profile_null_counts")(lambda w: PR._union(PO.null_counts_from_profile(p) for p in w.profiles().values()))
 query("profile_exact_duplicates")(
     lambda w: PR.exact_duplicates_from_groups(w._parallel(list(w.raw_all()), w.row_groups)))
 

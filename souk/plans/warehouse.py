@@ -119,6 +119,15 @@ class Warehouse:
         with _LOCK:
             return self._clean.setdefault(key, result)
 
+    def profile(self, name: str) -> DataFrame:
+        """One-pass profile of a raw table (row count + per-column NULL counts), written as 1 row."""
+        from ..operators.profile import table_profile
+
+        return self._table(f"profile_{name}", lambda: table_profile(self.raw(name), name))
+
+    def profiles(self) -> dict[str, DataFrame]:
+        return self._parallel(list(fixtures.RAW_BUILDERS), self.profile)
+
     def row_groups(self, name: str) -> DataFrame:
         """Identical-row groups of a raw table, written once for both generations and both outputs."""
         from ..operators.clean import row_groups
