@@ -24,12 +24,22 @@ def _stack(df: DataFrame, ids: list[str], pairs: list[tuple[str, str]], name: st
 
 
 def table_profile(df: DataFrame, table: str) -> DataFrame:
-    """ONE aggregation pass: row count and the NULL count of every column (a 1-row frame)."""
+    """ONE aggregation pass (a 1-row frame): row count, the NULL count of every
+    column, and min/max of every timestamp column."""
+    ts_cols = [f.name for f in df.schema.fields if f.dataType.typeName().startswith("timestamp")]
     return df.agg(F.count(F.lit(1)).alias("total_rows"),
-                  *[count_if(F.col(c).isNull()).alias(f"null__{c}") for c in df.columns]) \
+                  *[count_if(F.col(c).isNull()).alias(f"null__{c}") for c in df.columns],
+                  *[F.min(c).alias(f"min__{c}") for c in ts_cols],
+                  *[F.max(c).alias(f"max__{c}") for c in ts_cols]) \
         .withColumn("table_name", F.lit(table))
 
 
+def timestamp_range_from_profile(profile: DataFrame, cols: list[str]) -> DataFrame:
+    parts = [f"'{c}', `min__{c}`, `max__{c}`" for c in cols]
+    return profile.selectExpr("table_name",
+                              f"stack({len(cols)}, {', '.join(parts)}) AS (column_name, min_value, max_value)")
+
+
 def row_count_from_profile(profile: DataFrame) -> DataFrame:
     return profile.select("table_name", "total_rows")
 

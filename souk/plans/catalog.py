@@ -135,7 +135,6 @@ for _key, _fn in (("profile_distinct_counts", PR.distinct_counts), ("profile_dup
                   ("profile_top_values", PR.top_categories), ("profile_range_check", PR.range_checks),
                   ("profile_numeric_summary", PR.numeric_summaries),
                   ("profile_dimension_ranges", PR.dimension_ranges),
-                  ("profile_timestamp_range", PR.timestamp_ranges),
                   ("profile_sequence_violations", PR.sequence_violations),
                   ("profile_invalid_domain", PR.invalid_scores),
                   ("profile_multi_record_entities", PR.multi_payment_orders),
@@ -145,6 +144,8 @@ for _key, _fn in (("profile_distinct_counts", PR.distinct_counts), ("profile_dup
 # row count and NULL counts come from ONE written profile pass per table
 query("profile_row_count")(lambda w: PR._union(PO.row_count_from_profile(p) for p in w.profiles().values()))
 query("profile_null_counts")(lambda w: PR._union(PO.null_counts_from_profile(p) for p in w.profiles().values()))
+query("profile_timestamp_range")(lambda w: PR._union(
+    PO.timestamp_range_from_profile(w.profile(t), cols) for t, cols in PR.TIMESTAMPS.items()))
 query("profile_exact_duplicates")(
     lambda w: PR.exact_duplicates_from_groups(w._parallel(list(w.raw_all()), w.row_groups)))
 
