@@ -6,6 +6,10 @@
   model merges exactly the pair with the lowest rank first, as rank-based BPE does.
 * Text is cut into pre-tokens by the tokenizer's pattern; each pre-token is
   encoded on its own (a pre-token that is itself a vocabulary entry is that id).
+* A space between two other characters that are no white space always begins a
+  pre-token.  Texts whose spaces all stand alone are cut there first, and the ids of
+  a stretch between spaces are remembered; other texts go through the
+  pattern as a whole.
 * Decoding maps every id back to its bytes.
 
 The work is per row in Arrow batches: no shuffle, memory bounded by one batch,
@@ -29,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_TOKENS = 300_000
+CACHE_TOKENS = 400_000  # pre-tokens, and as many stretches between spaces, that a worker remembers
 _ENCODERS: dict = {}
 
 
@@ -120,6 +124,9 @@ class Encoder:
         self.ranks = ranks
         self.to_alphabet = dict(enumerate(byte_alphabet()))
         self.known: dict[str, bytes] = {}
+        self.stretches: dict[str, bytes] = {}  # by the stretch without the space that it begins with
+        spaces = [c for c in map(chr, range(0x3001)) if regex.match(r"\s", c) or c.isspace()]
+        self.other_space = regex.compile("[" + "".join(map(regex.escape, set(spaces) - {" ", "\n"})) + "]").search
 
     def _learn(self, tokens: list[str]) -> None:
         if len(self.known) > CACHE_TOKENS:
@@ -141,7 +148,22 @@ class Encoder:
         if not text:
             return b""
         cut = self.exact if self.exact_from and not text.isascii() and max(text) >= self.exact_from else self.fast
-        tokens = cut(text)
+        if "  " in text or " \n" in text or "\n " in text or self.other_space(text):
+            return self._pieces(cut(text))
+        first, *rest = text.split(" ")
+        try:
+            ids = b"".join(map(self.stretches.__getitem__, rest))
+        except KeyError:
+            if len(self.stretches) > CACHE_TOKENS:
+                self.stretches.clear()
+            fresh = list({x for x in rest if x not in self.stretches})
+            tokens = [cut(" " + x) for x in fresh]
+            self._learn([t for ts in tokens for t in ts])
+            self.stretches.update((x, b"".join(map(self.known.__getitem__, ts))) for x, ts in zip(fresh, tokens))
+            ids = b"".join(map(self.stretches.__getitem__, rest))
+        return self._pieces(cut(first)) + ids
+
+    def _pieces(self, tokens: list[str]) -> bytes:
         try:
             return b"".join(map(self.known.__getitem__, tokens))
         except KeyError:

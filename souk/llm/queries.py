@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, toxicity
+from . import bpe, jaccard, langid, mixing, pii, toxicity
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -19,14 +19,36 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_ids(table(spark, sf_dir, "documents"))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data_spans(table(spark, sf_dir, "documents"))
+
+
+def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, str(sf_dir))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_language_id": op3_language_id,
+    "op4_personal_data": op4_personal_data,
+    "op5_mixture": op5_mixture,
     "op6_toxicity": op6_toxicity,
+    "op7_jaccard": op7_jaccard,
+    "pipeline": pipeline,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_mixture": mixing.MIXTURE_SQL}
