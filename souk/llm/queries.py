@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard, langid, mixing, pii, toxicity
+from . import bpe, chat, chunks, embeddings, jaccard, langid, mixing, pii, quality, toxicity
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -15,6 +15,10 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
 
 
+def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_ids(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,18 @@ def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.conversation_digests(chat.with_quoting_conversation(table(spark, sf_dir, "conversations")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -43,12 +59,16 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_near_vectors": op2_near_vectors,
     "op3_language_id": op3_language_id,
     "op4_personal_data": op4_personal_data,
     "op5_mixture": op5_mixture,
     "op6_toxicity": op6_toxicity,
     "op7_jaccard": op7_jaccard,
+    "op8_repeated_passages": op8_repeated_passages,
+    "op9_quality": op9_quality,
+    "op10_chat": op10_chat,
     "pipeline": pipeline,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_mixture": mixing.MIXTURE_SQL}
+ORACLE_SQL: dict[str, str] = {"op5_mixture": mixing.MIXTURE_SQL, "op10_chat": chat.CONVERSATIONS_SQL}
