@@ -3,8 +3,8 @@
 Each round points nodes at smaller neighbours; after a logarithmic number
 of rounds every node points at the smallest node it can reach.  Links never
 leave the executors; each round's links are written to the shared folder.
-Minima are combined before the shuffle, and they are written before they are joined, so
-both sides of that join are plain shuffles whose large keys Spark can split.
+Minima are combined before the shuffle; for large link tables they are written before they are
+joined, so that both sides of that join are plain shuffles whose large keys Spark can split.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from .common import Stage
 
+WRITE_MINIMA = 1_000_000  # links from which a round's minima are written; the result is the same
+
 
 def _state(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
@@ -24,11 +26,12 @@ def components(links: DataFrame, stage: Stage) -> DataFrame:
     now = stage.write(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     before = _state(now)
     while before[0]:
+        kept = stage.write if before[0] >= WRITE_MINIMA else (lambda df, name: df)
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = stage.write(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")
+        least = kept(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")
         large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stage.write(large.unionByName(least.filter("m < a").select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), "large")
-        least = stage.write(large.groupBy("a").agg(F.min("b").alias("m")), "least")
+        least = kept(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         now = stage.write(small.unionByName(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), "small")

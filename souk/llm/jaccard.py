@@ -18,12 +18,16 @@ Cost-based allocation decides what each set relies on:
    among the sets that lack segments; any other partner has enough of its own.
 3. Sets that still lack some are, mostly, parts of large groups.  They are indexed by their
    rarest shingles (as many as a partner can miss, plus one).  Rare ones give
-   pairs at once.  For frequent ones each member is compared with a leader of
-   the key's group, for a few rounds; only pairs that then lie in different components
-   are compared one by one.  Nothing is capped or dropped.
+   pairs at once.  For frequent ones, where comparing one by one costs
+   more, each member is first compared with a leader of the key's group, for a few
+   rounds; pairs that still lie in different components are then compared one
+   by one.  Nothing is capped or dropped.
 
-Every candidate is verified on the two whole sets.  Sets are compared as
-64-bit shingle hashes; classes of equal sets by 128-bit digests.
+Candidates first meet as parity bitmaps: bits in which two bitmaps differ are
+at most as many as the elements in which the sets differ, so a pair with more of
+them than ``(|R| + |S|) // 9`` cannot be a link.  What remains is
+verified on the two whole sets.  Sets are compared as 64-bit shingle hashes; classes of equal sets by
+128-bit digests.
 
 Copies of a set are one class throughout, and inside a task only the
 first copy writes index keys, so a huge group of copies costs as many keys as there are tasks.
@@ -51,6 +55,7 @@ from .components import components
 WORDS = 5
 SMALL = 32  # an index key of at most so many sets pairs them all
 LEADER_ROUNDS = 3
+ONE_BY_ONE = 64  # comparisons per member up to which a group needs no leader
 BROADCAST_IDS = 1_000_000  # ids; 16 MB at most
 _HASHER = WordHasher()
 _C = odd_constants(2 * WORDS + 2, 7)
@@ -223,35 +228,64 @@ def _whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, stage: S
                 for doc_id, text, d1, d2 in zip(*(part[c] for c in ("doc_id", "__text", "d1", "d2"))):
                     s = shingles(text)
                     if digest(s) == (d1, d2):  # an id may stand on several rows
-                        out.append((d1, doc_id, s.tobytes()))
-                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary()))], names=["set", "rep", "s"])
+                        out.append((d1, doc_id, len(s), bitmap(s), s.tobytes()))
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)], names=["set", "rep", "n", "bits", "s"])
 
-    return stage.write(_texts_of(docs, ids).mapInArrow(run, "set long, rep long, s binary"), name)
+    return stage.write(_texts_of(docs, ids).mapInArrow(run, "set long, rep long, n long, bits binary, s binary"), name)
+
+
+def bitmap(s: np.ndarray) -> bytes:
+    """Parity bitmap of a set: a bit flips with each element that falls on it; between 2 and 4 bits an element."""
+    size = max(64, 1 << int(2 * len(s)).bit_length())
+    odd = np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _may_link(n: int, bits: bytes, m: int, other: bytes) -> bool:
+    if 4 * max(n, m) > 5 * min(n, m):
+        return False
+    x, y = (int.from_bytes(v, "little") for v in (bits, other))
+    size, least = 8 * max(len(bits), len(other)), 8 * min(len(bits), len(other))
+    if len(bits) < len(other):
+        x, y = y, x
+    while size > least:  # folding halves keeps parities
+        size //= 2
+        x = (x >> size) ^ (x & ((1 << size) - 1))
+    return (x ^ y).bit_count() <= (n + m) // 9
 
 
 def _linked(a: bytes, b: bytes) -> bool:
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    if not 4 * max(len(x), len(y)) <= 5 * min(len(x), len(y)):
-        return False
     both = np.concatenate([x, y])
     both.sort()
     same = int((both[1:] == both[:-1]).sum())
     return 100 * same >= 80 * (len(both) - same)
 
 
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The links (a, b), as representatives' ids, among candidate pairs of classes."""
-    left = sets.select(F.col("set").alias("a"), F.col("rep").alias("ra"), F.col("s").alias("sa"))
-    right = sets.select(F.col("set").alias("b"), F.col("rep").alias("rb"), F.col("s").alias("sb"))
+def _verify(pairs: DataFrame, sets: DataFrame, stage: Stage) -> DataFrame:
+    """The links (a, b), as representatives' ids, among candidate pairs (a, b) of classes; written."""
+
+    def side(key: str, *columns: str) -> DataFrame:
+        return sets.select(F.col("set").alias(key), *[F.col(c).alias(key + c) for c in columns])
+
+    def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            p = b.to_pydict()
+            ok = pa.array([_may_link(*x) for x in zip(p["an"], p["abits"], p["bn"], p["bbits"])], pa.bool_())
+            yield pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(ok)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, 1024):
-                p = b.slice(at, 1024).to_pydict()
-                ok = [(x, y) for x, y, u, v in zip(p["ra"], p["rb"], p["sa"], p["sb"]) if _linked(u, v)]
+            for at in range(0, b.num_rows, 256):
+                p = b.slice(at, 256).to_pydict()
+                ok = [(x, y) for x, y, u, v in zip(p["arep"], p["brep"], p["as"], p["bs"]) if _linked(u, v)]
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in ok], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return pairs.join(left, "a").join(right, "b").select("ra", "rb", "sa", "sb").mapInArrow(run, "a long, b long")
+    near = pairs.join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b")
+    near = stage.write(near.select("a", "b", "an", "abits", "bn", "bbits").mapInArrow(may, "a long, b long").distinct(), "near-pairs")
+    both = near.join(side("a", "rep", "s"), "a").join(side("b", "rep", "s"), "b")
+    return stage.write(both.select("arep", "brep", "as", "bs").mapInArrow(run, "a long, b long"), "links")
 
 
 def _second(short: DataFrame) -> DataFrame:
@@ -314,31 +348,45 @@ def _prefixes(rest: DataFrame, stage: Stage) -> DataFrame:
     return each.select("set", F.explode(F.slice("t", 1, (F.size("t") - F.ceil(F.size("t") * 4 / 5) + 1).cast("int"))).alias("t")).select(F.col("t.key").alias("key"), "set")
 
 
-def _large_groups(grouped: DataFrame, sets: DataFrame, links: list[DataFrame], stage: Stage) -> list[DataFrame]:
-    """Links inside the groups (key, set) of frequent keys, enough to connect what is connected."""
+def _merge(comp: DataFrame, links: DataFrame, stage: Stage) -> DataFrame:
+    """Components after more links: those of the links between components, put on the nodes."""
+    label = lambda df, c: df.join(comp.select(F.col("node").alias(c), F.col("component").alias("c" + c)), c, "left").withColumn(c, F.coalesce("c" + c, c))
+    joined = label(label(links.select("a", "b"), "a"), "b").select("a", "b").filter("a <> b")
+    joined = stage.write(joined, "joined")
+    if not joined.take(1):
+        return comp
+    more = stage.write(components(joined, stage), "merged").select(F.col("node").alias("component"), F.col("component").alias("c"))
+    moved = comp.join(more, "component", "left").select("node", F.coalesce("c", "component").alias("component"))
+    new = more.select(F.col("component").alias("node"), F.col("c").alias("component")).join(comp, "node", "left_anti")
+    return stage.write(moved.unionByName(new), "components")
+
+
+def _large_groups(grouped: DataFrame, sets: DataFrame, comp: DataFrame, stage: Stage) -> DataFrame:
+    """Components after comparing inside the groups (key, set) of frequent keys, until all that is connected is found."""
     ids = sets.select("set", F.col("rep").alias("node"))
-    for turn in range(LEADER_ROUNDS + 1):
-        linked = links[0]
-        for more in links[1:]:
-            linked = linked.unionByName(more)
-        comp = components(linked, stage)
-        state = grouped.join(ids, "set").join(comp, "node", "left")
-        state = stage.write(state.select("key", "set", F.coalesce("component", "node").alias("c")), "members")
-        open_keys = state.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("key")
-        state = stage.write(state.join(stage.write(open_keys, "open"), "key"), "open-members")
-        if not state.take(1):
-            break
-        if turn < LEADER_ROUNDS:  # one leader a group, another one each round
+    turn = 0
+    while True:
+        state = grouped.join(ids, "set").join(comp, "node", "left").select("key", "set", F.coalesce("component", "node").alias("c"))
+        state = stage.write(state.distinct(), "members")
+        parts = state.groupBy("key", "c").count().groupBy("key").agg(F.sum("count").alias("n"), F.max(F.struct("count", "c")).alias("most"))
+        parts = parts.select("key", "n", F.col("most.c").alias("top"), (F.col("n") - F.col("most.count")).alias("few")).filter("few > 0")
+        parts = stage.write(parts, "open-groups")
+        members, cost = parts.agg(F.sum("n"), F.sum(F.col("n").cast("double") * F.col("few"))).first()
+        if not members:
+            return comp
+        state = stage.write(state.join(parts, "key"), "open-members")
+        last = turn >= LEADER_ROUNDS or cost <= ONE_BY_ONE * members
+        if last:  # the smaller parts of each group against all of it
+            few = stage.write(state.filter("c <> top").select("key", F.col("set").alias("a"), F.col("c").alias("ca")), "small-parts")
+            pairs = state.select("key", "set", "c").join(few, "key").filter("c <> ca").select(F.least("a", "set").alias("a"), F.greatest("a", "set").alias("b")).distinct()
+        else:  # one leader a group, another one each round
             order = F.struct(F.xxhash64("set", F.lit(turn)).alias("h"), "set", "c")
             leader = state.groupBy("key").agg(F.min(order).alias("l")).select("key", F.col("l.set").alias("b"), F.col("l.c").alias("lc"))
             pairs = state.join(stage.write(leader, "leaders"), "key").filter("c <> lc").select(F.col("set").alias("a"), "b").distinct()
-        else:  # the rest one by one: the smaller parts of each group against all of it
-            parts = state.groupBy("key", "c").count().groupBy("key").agg(F.max(F.struct("count", "c")).alias("most"))
-            few = state.join(stage.write(parts.select("key", F.col("most.c").alias("top")), "largest-parts"), "key").filter("c <> top")
-            few = stage.write(few.select("key", F.col("set").alias("a"), F.col("c").alias("ca")), "small-parts")
-            pairs = state.join(few, "key").filter("c <> ca").select(F.least("a", "set").alias("a"), F.greatest("a", "set").alias("b")).distinct()
-        links = [*links, stage.write(_verify(stage.write(pairs, "group-pairs"), sets), "group-links")]
-    return links
+        comp = _merge(comp, _verify(stage.write(pairs, "group-pairs"), sets, stage), stage)
+        if last:
+            return comp
+        turn += 1
 
 
 def similar_documents(docs: DataFrame, stage: Stage | None = None, small: int = SMALL) -> DataFrame:
@@ -370,13 +418,9 @@ def similar_documents(docs: DataFrame, stage: Stage | None = None, small: int =
             groups = third.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("set"))
     wanted = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
     whole = _whole_sets(docs, classes, wanted, stage, "candidate-sets")
-    links = [stage.write(_verify(pairs, whole), "links")]
+    comp = stage.write(components(_verify(pairs, whole, stage), stage), "components")
     if groups is not None:
-        links = _large_groups(groups, short_sets, links, stage)
-    linked = links[0]
-    for more in links[1:]:
-        linked = linked.unionByName(more)
-    comp = components(linked, stage)
+        comp = _large_groups(groups, short_sets, comp, stage)
     special = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").filter("copies > 1 or component is not null")
     special = stage.write(special.select("d1", "d2", F.coalesce("component", "rep").alias("component")), "special")
     out = sets.select("doc_id", "n", "d1", "d2").join(special, ["d1", "d2"], "left")

@@ -133,6 +133,13 @@ def _best_literal(counts: dict, thresholds: dict[str, list[float]], s: Settings)
     return best and best[1:]
 
 
+def _centred(x: Literal, rows: DataFrame) -> Literal:
+    """The literal with its threshold halfway between the nearest values on its two sides."""
+    v = F.col(x.feature).cast("double")
+    near = rows.agg(F.max(F.when(v <= x.threshold, v)).alias("a"), F.min(F.when(v > x.threshold, v)).alias("b")).first()
+    return x if near["a"] is None or near["b"] is None else Literal(x.feature, x.above, (near["a"] + near["b"]) / 2)
+
+
 def learn(stats: DataFrame, labels: DataFrame, settings: Settings = Settings(), stage: Stage | None = None) -> list[list[Literal]]:
     """The ordered rules that reject, from ``labels`` (doc_id, quality)."""
     s, stage = settings, stage or Stage(stats.sparkSession, "rules")
@@ -151,7 +158,7 @@ def learn(stats: DataFrame, labels: DataFrame, settings: Settings = Settings(),
             found = _best_literal(_counts(left.filter(F.col("growing") & _all(rule)), thresholds), thresholds, s)
             if not found:
                 break
-            rule.append(found[0])
+            rule.append(_centred(found[0], left.filter(F.col("growing") & _all(rule))))
             if found[2] <= 0.02 * found[1]:
                 break
         if not rule:
