@@ -4,33 +4,33 @@ discrete percentiles and the median over a whole table.
 ``Window.orderBy(...)`` without ``partitionBy`` plans ``Exchange SinglePartition``:
 one task sorts the whole table.  Instead:
 
-1. sample the sort key INCLUDING a unique tie-break (bounded sample, a few
-   dozen rows per bucket) and pick bucket boundaries on the driver;
-2. bucket = position of the row's key among the boundaries, found by a
-   balanced CASE tree of struct comparisons (log2(buckets) deep).  It is a
-   pure function of the row, so recomputation after a lost executor gives
-   the same bucket (unlike ``spark_partition_id``);
-3. ``groupBy(bucket)`` -> row count and sum per bucket (bucket count rows
-   reach the driver: bounded), prefix sums become literal offsets;
-4. ``row_number`` / running ``sum`` over ``partitionBy(bucket).orderBy(key)``
-   plus the bucket's offset.
+1. ``repartitionByRange`` over the sort key INCLUDING a unique tie-break deals the
+   rows into ranges, and the range number is written with the rows to the
+   shared folder, so a retried task cannot move a row to another range;
+2. ``groupBy(range)`` gives a count and a sum per range; their prefix sums are the
+   offsets, a table with one row per range, which bounds its broadcast;
+3. ``row_number`` / running ``sum`` over ``partitionBy(range).orderBy(key)`` plus
+   the range's offset.
 
 Because the tie-break is part of the key, a value shared by a third of the
-rows is still cut into many buckets.  Buckets hold at most ``max_rows`` rows
-(plus sampling noise), so each window task sorts a bounded slice.
+rows is still cut into many ranges.  NULL keys are ranked: first in ascending
+order, last in descending order, as the window orders them.
+
+Percentiles and the median rank the distinct values with their counts, so a
+repeated value is one row however often it occurs.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 8192
-SAMPLES_PER_BUCKET = 40
+from ..session import checkpoint_dir
 
 
 @dataclass
@@ -55,73 +55,28 @@ def _sort_cols(keys: list[SortKey]) -> list[Column]:
     return [F.col(k.column).desc_nulls_last() if k.descending else F.col(k.column).asc_nulls_first() for k in keys]
 
 
-def _less_than(keys: list[SortKey], values: tuple, types: dict) -> Column:
-    """Row key strictly before the boundary tuple in the sort order (non-NULL keys)."""
-    expr = None
-    for k, v in reversed(list(zip(keys, values))):
-        lit = F.lit(v).cast(types[k.column])
-        c = F.col(k.column)
-        before = (c > lit) if k.descending else (c < lit)
-        expr = before if expr is None else (before | ((c == lit) & expr))
-    return expr
-
-
-def _bucket_expr(keys, boundaries, types) -> Column:
-    def tree(lo: int, hi: int) -> Column:
-        # boundaries[lo:hi] still undecided; answer is in [lo, hi]
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(_less_than(keys, boundaries[mid], types), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    return tree(0, len(boundaries))
-
-
-def _py_sort_key(keys: list[SortKey], row) -> tuple:
-    out = []
-    for k, v in zip(keys, row):
-        if k.descending:
-            if isinstance(v, str):
-                raise ValueError("descending string sort keys are not supported")
-            v = -v
-        out.append(v)
-    return tuple(out)
-
-
 @dataclass
 class Ranked:
-    df: DataFrame  # input columns + _bucket
+    df: DataFrame  # input columns + _bucket, written
     keys: list[SortKey]
     n: int
-    counts: list[int]  # rows per bucket
-    offsets: list[int]  # rows before each bucket
+    counts: list[int]  # rows per range
+    offsets: DataFrame  # _bucket, _rows_before, _sum_before: one row per range
     sum_col: str | None
-    sum_offsets: list | None
-    total_sum: object = None
-
-    def window(self) -> Window:
-        return Window.partitionBy("_bucket").orderBy(*_sort_cols(self.keys))
 
-    def _offset(self, values) -> Column:
-        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("_bucket") + 1)
+    def _windowed(self) -> tuple[Window, DataFrame]:
+        return Window.partitionBy("_bucket").orderBy(*_sort_cols(self.keys)), self.df.join(F.broadcast(self.offsets), "_bucket")
 
     def with_row_number(self, name: str = "row_number") -> DataFrame:
-        return self.df.withColumn(name, F.row_number().over(self.window()) + self._offset(self.offsets))
+        w, rows = self._windowed()
+        return rows.withColumn(name, F.row_number().over(w) + F.col("_rows_before")).drop("_rows_before", "_sum_before")
 
     def with_running_sum(self, name: str = "running_sum", rank_name: str = "row_number") -> DataFrame:
-        w = self.window()
-        out = self.df.withColumn(rank_name, F.row_number().over(w) + self._offset(self.offsets))
+        w, rows = self._windowed()
         run = F.sum(self.sum_col).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        dtype = dict(self.df.dtypes)[self.sum_col]
-        sums = [F.lit(v).cast(run_type(dtype)) for v in self.sum_offsets]
-        return out.withColumn(name, run + F.element_at(F.array(*sums), F.col("_bucket") + 1))
-
-    def locate(self, position: int) -> tuple[int, int]:
-        """(bucket, 1-based position inside it) of a global 1-based position."""
-        for b, (off, cnt) in enumerate(zip(self.offsets, self.counts)):
-            if off < position <= off + cnt:
-                return b, position - off
-        raise IndexError(position)
+        before = F.col("_sum_before").cast(run_type(dict(self.df.dtypes)[self.sum_col]))
+        rows = rows.withColumn(rank_name, F.row_number().over(w) + F.col("_rows_before"))
+        return rows.withColumn(name, run + before).drop("_rows_before", "_sum_before")
 
 
 def run_type(dtype: str) -> str:
@@ -131,63 +86,23 @@ def run_type(dtype: str) -> str:
     return "double" if dtype in ("float", "double") else "bigint"
 
 
-def rank_buckets(
-    df: DataFrame,
-    order,
-    tiebreak: list[str],
-    sum_col: str | None = None,
-    max_rows: int | None = None,
-    min_rows: int | None = None,
-    seed: int = 7,
-    n: int | None = None,
-) -> Ranked:
-    """Assign range buckets over the total order ``order + tiebreak`` (keys must be non-NULL).
-
-    Bucket sizing: at most ``max_rows`` rows per bucket (session setting
-    ``souk.ranking.maxRowsPerBucket``, default 2,000,000) and at least one
-    bucket per core once there are ``min_rows`` rows per bucket
-    (``souk.ranking.minRowsPerBucket``, default 10,000).  Below that a
-    single bucket is used: the input is small by construction.
-    """
-    conf = df.sparkSession.conf
-    max_rows = max_rows or int(conf.get("souk.ranking.maxRowsPerBucket", "2000000"))
-    min_rows = min_rows or int(conf.get("souk.ranking.minRowsPerBucket", "10000"))
+def rank_buckets(df: DataFrame, order, tiebreak: list[str], sum_col: str | None = None, buckets: int | None = None) -> Ranked:
+    """Deal the rows into ``buckets`` ranges (default ``spark.sql.shuffle.partitions``) of the total order ``order + tiebreak``."""
+    spark = df.sparkSession
     keys = _keys(order) + [SortKey(t) for t in tiebreak]
-    key_names = [k.column for k in keys]
-    types = dict(df.dtypes)
-    n = df.count() if n is None else n  # callers ranking one input several ways count it once
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    want = max(math.ceil(n / max_rows), min(parallelism, math.ceil(n / min_rows)), 1)
-    buckets = min(MAX_BUCKETS, want)
-    boundaries: list[tuple] = []
-    if buckets > 1:
-        fraction = min(1.0, buckets * SAMPLES_PER_BUCKET / max(n, 1))
-        sample = [tuple(r) for r in df.select(*key_names).sample(False, fraction, seed).collect()]
-        sample.sort(key=lambda r: _py_sort_key(keys, r))
-        step = len(sample) / buckets
-        picked = [sample[int(i * step)] for i in range(1, buckets) if int(i * step) < len(sample)]
-        boundaries = sorted(set(picked), key=lambda r: _py_sort_key(keys, r))
-    bucketed = df.withColumn("_bucket", _bucket_expr(keys, boundaries, types) if boundaries else F.lit(0))
-    aggs = [F.count(F.lit(1)).alias("c")]
-    if sum_col:
-        aggs.append(F.sum(sum_col).alias("s"))
-    stats = {r["_bucket"]: r for r in bucketed.groupBy("_bucket").agg(*aggs).collect()}
-    nb = len(boundaries) + 1
-    counts = [stats[b]["c"] if b in stats else 0 for b in range(nb)]
-    offsets, acc = [], 0
-    for c in counts:
-        offsets.append(acc)
-        acc += c
-    sum_offsets, total_sum = None, None
-    if sum_col:
-        zero = Decimal(0) if types[sum_col].startswith("decimal") else 0
-        sum_offsets, s_acc = [], zero
-        for b in range(nb):
-            sum_offsets.append(s_acc)
-            v = stats[b]["s"] if b in stats else None
-            s_acc = s_acc + (v if v is not None else zero)
-        total_sum = s_acc
-    return Ranked(bucketed, keys, n, counts, offsets, sum_col, sum_offsets, total_sum)
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{checkpoint_dir(spark)}/souk/{spark.sparkContext.applicationId}/ranking-{uuid.uuid4().hex[:12]}"
+    df.repartitionByRange(buckets, *_sort_cols(keys)).withColumn("_bucket", F.spark_partition_id()).write.parquet(path)
+    placed = spark.read.parquet(path)
+    kind = run_type(dict(df.dtypes)[sum_col]) if sum_col else "bigint"
+    total = F.coalesce(F.sum(sum_col), F.lit(0)).cast(kind) if sum_col else F.lit(0).cast(kind)
+    stats = sorted(placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("c"), total.alias("s")).collect(), key=lambda r: r["_bucket"])
+    rows, before, s_before = [], 0, Decimal(0) if kind.startswith("decimal") else 0
+    for r in stats:  # one row per range
+        rows.append((r["_bucket"], before, s_before))
+        before, s_before = before + r["c"], s_before + r["s"]
+    offsets = spark.createDataFrame(rows, f"_bucket int, _rows_before bigint, _sum_before {kind}")
+    return Ranked(placed, keys, before, [r["c"] for r in stats], offsets, sum_col)
 
 
 def global_row_number(df, order, tiebreak, name="row_number", **kw) -> DataFrame:
@@ -212,31 +127,29 @@ def global_ntile(df, k: int, order, tiebreak, name="ntile", **kw) -> DataFrame:
     return out.withColumn(name, ntile_from_rank(F.col("_rn"), r.n, k)).drop("_rn", "_bucket")
 
 
-def value_at_positions(df: DataFrame, value_col: str, positions: list[int], tiebreak: list[str] | None = None,
-                       descending: bool = False, **kw) -> DataFrame:
-    """Rows at the given 1-based positions of the order on ``value_col``.
-
-    Only the buckets holding those positions are sorted.
-    """
-    r = rank_buckets(df, [SortKey(value_col, descending)], tiebreak or [], **kw)
-    if r.n == 0:
-        return df.select(F.lit(None).cast("bigint").alias("position"), F.col(value_col)).limit(0)
-    located = [r.locate(p) for p in positions if 1 <= p <= r.n]
-    if not located:
-        return df.select(F.lit(None).cast("bigint").alias("position"), F.col(value_col)).limit(0)
-    wanted = sorted({b for b, _ in located})
-    cond = None
-    for b, j in located:
-        c = (F.col("_bucket") == b) & (F.col("_local") == j)
-        cond = c if cond is None else (cond | c)
-    local = r.df.filter(F.col("_bucket").isin(wanted)).withColumn("_local", F.row_number().over(r.window()))
-    offs = F.element_at(F.array(*[F.lit(o) for o in r.offsets]), F.col("_bucket") + 1)
-    return local.filter(cond).select((F.col("_local") + offs).cast("bigint").alias("position"), F.col(value_col))
-
-
-def percentile_disc(df: DataFrame, value_col: str, p: float, tiebreak: list[str] | None = None, **kw) -> DataFrame:
-    """Smallest value whose CUME_DIST reaches p: the value at position ceil(p * n). One row."""
-    n = df.count()
-    pos = max(1, math.ceil(Decimal(str(p)) * n)) if n else 0
-    rows = value_at_positions(df, value_col, [pos], tiebreak, **kw)
-    return rows.select(F.col(value_col))
+def _value_counts(df: DataFrame, value_col: str, **kw) -> Ranked:
+    counts = df.filter(F.col(value_col).isNotNull()).groupBy(value_col).agg(F.count(F.lit(1)).alias("_count"))
+    return rank_buckets(counts, [SortKey(value_col)], [], sum_col="_count", **kw)
+
+
+def _at_positions(ranked: Ranked, value_col: str, positions: list[int]) -> DataFrame:
+    rows = ranked.with_running_sum("_to", "_rn").withColumn("position", F.explode(F.array(*[F.lit(p).cast("bigint") for p in positions])))
+    return rows.filter((F.col("position") <= F.col("_to")) & (F.col("position") > F.col("_to") - F.col("_count"))).select("position", value_col)
+
+
+def _total(ranked: Ranked) -> int:
+    return ranked.df.agg(F.coalesce(F.sum("_count"), F.lit(0))).first()[0]
+
+
+def percentile_disc(df: DataFrame, value_col: str, p: float, **kw) -> DataFrame:
+    """Smallest non-NULL value whose CUME_DIST reaches p: the value at position ceil(p * n). One row, none without values."""
+    ranked = _value_counts(df, value_col, **kw)
+    n = _total(ranked)
+    return _at_positions(ranked, value_col, [max(1, math.ceil(Decimal(str(p)) * n))]).select(value_col)
+
+
+def median_values(df: DataFrame, value_col: str, **kw) -> list:
+    """The one or two middle values of the non-NULL ones (two positions, so two rows reach the driver)."""
+    ranked = _value_counts(df, value_col, **kw)
+    n = _total(ranked)
+    return [r[value_col] for r in _at_positions(ranked, value_col, [(n + 1) // 2, (n + 2) // 2]).collect()] if n else []

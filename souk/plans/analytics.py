@@ -2,7 +2,7 @@
 
 Most answers are "aggregate the mart by a small key, then window over the
 aggregate" - the window runs on tens of rows.  Questions that rank ALL
-customers (deciles, Pareto, median) use the bucketed ranking operator, so no
+customers (deciles, Pareto, median) use the range ranking operator, so no
 plan contains a single-partition window over the mart.  Questions that join
 the fact to the mart first reduce the fact to DISTINCT (customer, month)
 pairs - a customer with a third of all orders collapses to a few hundred
@@ -18,7 +18,7 @@ from ..functions.exprs import (
     LIFECYCLE_ORDER, WEEKDAYS, avg_dec, bucketize, count_if, dec, field_position, month_index, nullif, pct,
     year_month,
 )
-from ..operators.ranking import SortKey, ntile_from_rank, rank_buckets, value_at_positions
+from ..operators.ranking import SortKey, median_values, ntile_from_rank, rank_buckets
 
 def total_window() -> Window:
     """OVER () - only ever applied to small aggregated frames (tens of rows)."""
@@ -94,13 +94,8 @@ def stage_pct(stage: str) -> Column:
 
 def _median(values: DataFrame, col: str) -> Column:
     """Median as the mean of the rows at positions floor((n+1)/2) and ceil((n+1)/2)."""
-    n = values.count()
-    if n == 0:
-        return F.lit(None).cast("decimal(18,2)")
-    lo, hi = (n + 1) // 2, (n + 2) // 2
-    rows = value_at_positions(values, col, sorted({lo, hi}))
-    vals = [r[col] for r in rows.collect()]  # at most two rows
-    return F.lit(sum(vals) / len(vals)).cast("decimal(22,6)") if vals else F.lit(None)
+    vals = median_values(values, col)
+    return F.lit(sum(vals) / len(vals)).cast("decimal(22,6)") if vals else F.lit(None).cast("decimal(18,2)")
 
 
 def kpi_summary(mart: DataFrame) -> DataFrame:
@@ -126,7 +121,6 @@ def kpi_summary(mart: DataFrame) -> DataFrame:
     )
 
 
-_RANKINGS: dict = {}
 SPEND_RANK_COLUMNS = ("customer_unique_id", "total_spend", "segment_label", "lifecycle_stage")
 
 
@@ -134,15 +128,13 @@ def spend_ranking(mart: DataFrame, cols=SPEND_RANK_COLUMNS):
     """Customers with spend > 0 ranked by spend desc (id breaks ties), with running spend.
 
     Deciles, both Pareto answers and the Pareto view share one ranking of the
-    same table: the bucket boundaries, counts and sums are computed once per
-    (plan, columns) and reused.
+    same table, kept with the table object that the warehouse holds.
     """
-    key = (mart._jdf.queryExecution().analyzed().semanticHash(), tuple(cols))
-    if key not in _RANKINGS:
+    kept = mart.__dict__.setdefault("_spend_rankings", {})
+    if tuple(cols) not in kept:
         base = mart.filter(F.col("total_spend") > 0).select(*cols)
-        _RANKINGS[key] = rank_buckets(base, [SortKey("total_spend", True)], ["customer_unique_id"],
-                                      sum_col="total_spend")
-    return _RANKINGS[key]
+        kept[tuple(cols)] = rank_buckets(base, [SortKey("total_spend", True)], ["customer_unique_id"], sum_col="total_spend")
+    return kept[tuple(cols)]
 
 
 def revenue_deciles(mart: DataFrame) -> DataFrame:

@@ -234,8 +234,10 @@ query("append_rejects")(lambda w: w.rejects("order_items"))
 
 @query("named_views")
 def _named_views(w: Warehouse) -> DataFrame:
-    V.register_views(w.spark, w.fact(), w.mart())
-    return w.spark.sql("SELECT * FROM vw_segment_summary")
+    """Every registered view, read by its name: rows and columns of each."""
+    names = V.register_views(w.spark, w.fact(), w.mart(), w.dims())
+    return _union_all(w.spark.sql(f"SELECT '{v}' AS view_name, count(*) AS row_count, {len(w.spark.table(v).columns)} AS column_count FROM {v}")
+                      for v in names)
 
 
 @query("audit_timestamp")

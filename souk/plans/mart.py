@@ -6,7 +6,7 @@ Plan shape:
   order_id, city, state))``) - partial aggregation map-side, so a customer
   with a third of all orders is reduced before the shuffle;
 * preferred category / weekday: ``dominant`` (two more aggregations);
-* r/f/m scores: three global NTILE(5) from the bucketed ranking operator
+* r/f/m scores: three global NTILE(5) from the range ranking operator
   over the (materialised) aggregate - never a single-partition window;
 * the reference date is a single scalar (MAX over the fact).
 """
@@ -69,7 +69,7 @@ def reference_date(fact: DataFrame) -> DataFrame:
 
 
 def customer_agg(fact: DataFrame, ref_date) -> DataFrame:
-    """Per-customer measures, recency windows and last location in one aggregation.
+    """Per-customer measures and recency windows in one aggregation (the last location is one of its own).
 
     ``total_orders`` counts rows: the fact has exactly one row per order_id,
     so it equals COUNT(DISTINCT order_id) without a distinct aggregation.
@@ -132,13 +132,12 @@ def rfm_scores(agg: DataFrame, k: int = 5, parallel=None) -> DataFrame:
     side by side (``parallel(items, fn) -> dict``).
     """
     base = agg.select("customer_unique_id", "recency_days", "frequency", "monetary")
-    n = base.count()  # one count serves the three rankings
     keys = {"r_score": SortKey("recency_days", True), "f_score": SortKey("frequency"),
             "m_score": SortKey("monetary")}
 
     def ranked(name):
         key = keys[name]
-        return rank_buckets(base.select("customer_unique_id", key.column), [key], ["customer_unique_id"], n=n)
+        return rank_buckets(base.select("customer_unique_id", key.column), [key], ["customer_unique_id"])
 
     ranks = parallel(list(keys), ranked) if parallel else {n: ranked(n) for n in keys}
     out = None

@@ -1,7 +1,7 @@
 """The nine reporting views: lazily evaluated DataFrames registered by name.
 
 ORDER BY inside a view is not a contract; readers order.  Views over the
-whole customer table (Pareto) use the bucketed ranking operator.
+whole customer table (Pareto) use the range ranking operator.
 """
 
 from __future__ import annotations
@@ -192,9 +192,11 @@ def vw_customer_profile_distribution(mart: DataFrame) -> DataFrame:
                     "avg_order_value", "avg_recency_days")
 
 
-def register_views(spark: SparkSession, fact: DataFrame, mart: DataFrame) -> list[str]:
-    """CREATE VIEW: register every view as a temp view; returns the names."""
+def register_views(spark: SparkSession, fact: DataFrame, mart: DataFrame, dims: dict[str, DataFrame]) -> list[str]:
+    """CREATE VIEW: register the nine reporting views and the one-row-per-key views as temp views; returns the names."""
     views = {
+        **{f"vw_{name}": df for name, df in dims.items()},
+        "vw_pareto_revenue": vw_pareto_revenue(mart),
         "vw_kpi_executive": vw_kpi_executive(mart),
         "vw_segment_summary": vw_segment_summary(mart),
         "vw_lifecycle_summary": vw_lifecycle_summary(mart),

@@ -149,10 +149,10 @@ class Warehouse:
         return self._parallel(fixtures.RAW_BUILDERS, lambda n: self.rejects(n, mode))
 
     def dim(self, name: str) -> DataFrame:
-        """A one-row-per-key dimension, written bucketed by its key."""
-        table, key = fact_plan.DIMENSIONS[name]
-        return self._table(name, lambda: fact_plan.dimension_views({table: self.cleaned(table)})[name](),
-                           bucket_by=key)
+        """A one-row-per-key dimension.  Not bucketed: a join on a foreign key shuffles both sides,
+        so Spark can split the partition of a popular value."""
+        table, _ = fact_plan.DIMENSIONS[name]
+        return self._table(name, lambda: fact_plan.dimension_views({table: self.cleaned(table)})[name]())
 
     def dims(self) -> dict[str, DataFrame]:
         return self._parallel(list(fact_plan.DIMENSIONS), self.dim)
@@ -207,7 +207,7 @@ class Warehouse:
         with lock:
             if f"csv_{name}" not in self._tables:
                 csv_io.write_csv(self.raw(name), path)
-                self._tables[f"csv_{name}"] = csv_io.load_csv(self.spark, path, schemas.RAW_SCHEMAS[name])
+                self._tables[f"csv_{name}"] = csv_io.load_csv(self.spark, path, schemas.RAW_SCHEMAS[name], free_text=name == "reviews")
         return self._tables[f"csv_{name}"]
 
     def build_all(self) -> None:

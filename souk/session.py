@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -36,13 +37,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
     Looked up in ``spark.checkpoint.dir`` (session, then application conf),
-    then in a directory set through ``SparkContext.setCheckpointDir``.  Only
-    when none is set - local tests - is a folder created under /tmp.
+    then in a directory set through ``SparkContext.setCheckpointDir``.  When
+    none is set, a local session (one process, as in tests) gets a folder of its own; on a
+    cluster that is an error, since executors would write to their own disks.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path and sc.getCheckpointDir():
         path = sc.getCheckpointDir()
+    if not path and not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="souk-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)

@@ -2,7 +2,10 @@
 
 Columns bind by POSITION to the declared schema (the header row is skipped,
 its names are not trusted), an empty field is NULL, quoted fields may hold
-commas, doubled quotes and newlines.  Never ``inferSchema``.
+commas and doubled quotes.  Newlines inside a field are read only for tables with
+free text (``free_text``): such files cannot be split, all others are read in
+parallel.  A malformed field stops the load; it never becomes a silent NULL.
+Never ``inferSchema``.
 """
 
 from __future__ import annotations
@@ -13,12 +16,11 @@ from pyspark.sql import types as T
 CSV_READ_OPTIONS = {
     "header": "true",
     "enforceSchema": "true",  # bind by position, like COPY without a column list
-    "multiLine": "true",
     "quote": '"',
     "escape": '"',
     "nullValue": "",
     "sep": ",",
-    "mode": "PERMISSIVE",
+    "mode": "FAILFAST",
 }
 CSV_WRITE_OPTIONS = {
     "header": "true",
@@ -30,8 +32,8 @@ CSV_WRITE_OPTIONS = {
 }
 
 
-def load_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV_READ_OPTIONS).csv(path)
+def load_csv(spark: SparkSession, path: str, schema: T.StructType, free_text: bool = False) -> DataFrame:
+    return spark.read.schema(schema).options(**CSV_READ_OPTIONS, multiLine=free_text).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -70,7 +70,7 @@ def test_dedupe_prefers_unflagged_then_smallest(spark):
 @pytest.mark.parametrize("n", [0, 1, 3, 5, 7, 23])
 def test_ntile_matches_sql_for_small_n(spark, n):
     df = spark.createDataFrame([(i, f"c{i:03d}") for i in range(n)], "v int, id string")
-    got = sorted((r.id, r.ntile) for r in global_ntile(df, 5, [SortKey("v", True)], ["id"], min_rows=2).collect())
+    got = sorted((r.id, r.ntile) for r in global_ntile(df, 5, [SortKey("v", True)], ["id"], buckets=4).collect())
     # SQL NTILE(5) OVER (ORDER BY v DESC, id)
     order = sorted(range(n), key=lambda i: -i)
     q, rem = divmod(n, 5)
@@ -86,14 +86,14 @@ def test_ntile_matches_sql_for_small_n(spark, n):
 def test_ntile_positional_ties(spark):
     # D17: all frequencies equal -> scores follow the id tie-break, evenly sized
     df = spark.createDataFrame([(1, f"c{i:02d}") for i in range(10)], "f int, id string")
-    got = [r.ntile for r in global_ntile(df, 5, [SortKey("f")], ["id"], min_rows=2).orderBy("id").collect()]
+    got = [r.ntile for r in global_ntile(df, 5, [SortKey("f")], ["id"], buckets=4).orderBy("id").collect()]
     assert got == [1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
 
 
 def test_global_row_number_and_running_sum_across_buckets(spark):
     rows = [(i % 3, Decimal(i % 7) + Decimal("0.25"), f"id{i:05d}") for i in range(3000)]
     df = spark.createDataFrame(rows, "g int, v decimal(18,2), id string")
-    r = rank_buckets(df, [SortKey("v", True)], ["id"], sum_col="v", min_rows=100)
+    r = rank_buckets(df, [SortKey("v", True)], ["id"], sum_col="v", buckets=12)
     assert len(r.counts) > 1  # really split into several buckets
     got = r.with_running_sum("run", "rn").orderBy("rn").collect()
     ordered = sorted(rows, key=lambda x: (-x[1], x[2]))
@@ -106,7 +106,7 @@ def test_global_row_number_and_running_sum_across_buckets(spark):
 def test_percentile_disc_is_cume_dist_threshold(spark):
     vals = [5, 1, 3, 3, 9, 7, 7, 7]
     df = spark.createDataFrame([(v,) for v in vals], "v int")
-    got = percentile_disc(df, "v", 0.75, min_rows=2).collect()[0].v
+    got = percentile_disc(df, "v", 0.75, buckets=4).collect()[0].v
     s = sorted(vals)
     # smallest v with (#rows <= v) / n >= 0.75
     expect = min(v for v in s if sum(1 for x in s if x <= v) / len(s) >= 0.75)
@@ -135,7 +135,7 @@ def test_csv_binds_by_position(spark, tmp_path):
     p = tmp_path / "in.csv"
     p.write_text('idd,txt\n1,"a ""q"" b"\n2,"line1\nline2"\n3,\n')
     schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("text", T.StringType())])
-    rows = load_csv(spark, str(p), schema).orderBy("id").collect()
+    rows = load_csv(spark, str(p), schema, free_text=True).orderBy("id").collect()
     assert [(r.id, r.text) for r in rows] == [(1, 'a "q" b'), (2, "line1\nline2"), (3, None)]
 
 
@@ -144,7 +144,7 @@ def test_hot_value_is_split_across_buckets(spark):
     n = 3000
     rows = [(1 if i % 3 == 0 else i, f"id{i:05d}") for i in range(n)]
     df = spark.createDataFrame(rows, "v int, id string")
-    r = rank_buckets(df, [SortKey("v")], ["id"], min_rows=100)
+    r = rank_buckets(df, [SortKey("v")], ["id"], buckets=12)
     hot_buckets = {row["_bucket"] for row in r.df.filter("v = 1").select("_bucket").distinct().collect()}
     assert len(hot_buckets) > 1
     assert max(r.counts) < n / 2
@@ -178,3 +178,62 @@ def test_hot_group_expansion_is_chunked(spark):
     assert max(r["count"] for r in per_task) <= 1000 and len(per_task) >= 3
     r = clean(df, spec)
     assert r.rejects.count() == 3000 and r.cleaned.count() == 6000
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_null_keys_are_ranked_over_many_buckets(spark, descending):
+    rows = [(None if i % 50 == 0 else i % 97, f"id{i:05d}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "v int, id string")
+    got = [x.id for x in rank_buckets(df, [SortKey("v", descending)], ["id"], buckets=16).with_row_number("rn").orderBy("rn").collect()]
+    nulls, rest = sorted(i for v, i in rows if v is None), [x for x in rows if x[0] is not None]
+    rest = [i for _, i in sorted(rest, key=lambda x: (-x[0] if descending else x[0], x[1]))]
+    assert got == (rest + nulls if descending else nulls + rest)
+
+
+def test_percentile_and_median_rank_a_hot_value_once(spark):
+    from souk.operators.ranking import _value_counts, median_values
+
+    values = [7] * 5000 + list(range(5000)) + [None] * 10
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    assert max(_value_counts(df, "v", buckets=8).counts) < 1500  # rows of a range, not copies of a value
+    s = sorted(v for v in values if v is not None)
+    assert percentile_disc(df, "v", 0.75).first().v == s[-(-len(s) * 3 // 4) - 1]
+    assert sorted(median_values(df, "v")) == [s[len(s) // 2 - 1], s[len(s) // 2]]
+    assert median_values(df.filter("v < 0"), "v") == [] and percentile_disc(df.filter("v < 0"), "v", 0.75).count() == 0
+
+
+def test_csv_stops_at_a_malformed_number_and_splits_files(spark, tmp_path):
+    from pyspark.sql import types as T
+    from souk.sources.csv import load_csv
+
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("n", T.IntegerType())])
+    (tmp_path / "bad.csv").write_text("id,n\n1,2\n3,x\n")
+    with pytest.raises(Exception, match="(?i)malformed|FAILFAST"):
+        load_csv(spark, str(tmp_path / "bad.csv"), schema).collect()
+    (tmp_path / "big.csv").write_text("id,n\n" + "".join(f"{i},{i}\n" for i in range(200_000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        df = load_csv(spark, str(tmp_path / "big.csv"), schema)
+        assert df.rdd.getNumPartitions() > 3 and df.count() == 200_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    from types import SimpleNamespace
+
+    from souk.session import checkpoint_dir
+
+    none = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getConf=lambda: none, getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=none))
+
+
+def test_ri_check_counts_a_hot_key_first(spark):
+    from souk.operators.integrity import ri_check
+
+    child = spark.createDataFrame([("hot",)] * 900 + [(f"k{i}",) for i in range(90)] + [(None,)] * 10, "k string")
+    parent = spark.createDataFrame([("hot",), ("hot",), ("k1",)], "k string")
+    assert tuple(ri_check("x", child, "k", parent, "k").first())[:3] == ("x", 1000, 99)

@@ -18,7 +18,7 @@ def test_global_rankings_never_use_a_single_partition(spark):
     w = warehouse(spark, SMALL)
     base = w.mart().filter(F.col("total_spend") > 0).select("customer_unique_id", "total_spend")
     r = rank_buckets(base, [SortKey("total_spend", True)], ["customer_unique_id"], sum_col="total_spend",
-                     min_rows=50)
+                     buckets=6)
     assert len(r.counts) > 1
     plan = _plan(r.with_running_sum("s", "rn"))
     assert "SinglePartition" not in plan
