@@ -112,12 +112,11 @@ def _terms(line: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(_TERM), F.lit(0)), F.lower))
 
 
-def disclosing_terms(found: DataFrame, settings: Settings, stage: Stage, text: str = "text") -> DataFrame:
-    """(entity, term, removed): terms that disclose an entity, from the rows of ``base_spans``.
-
-    ``found`` is read from storage: rows with base spans give pairs, all rows give counts."""
+def disclosing_terms(docs: DataFrame, marked: DataFrame, settings: Settings, stage: Stage, text: str = "text") -> DataFrame:
+    """(entity, term, removed): terms that disclose an entity.  ``marked``, the written rows with base
+    spans, give the pairs; all rows of ``docs`` give the counts of terms and lines."""
     spans = F.concat(*[F.col(f"__{k}") for k in KINDS])
-    hot = found.filter(F.size(spans) > 0).select(spans.alias("spans"), F.explode(_lines(F.col(text))).alias("l"))
+    hot = marked.select(spans.alias("spans"), F.explode(_lines(F.col(text))).alias("l"))
     inside = F.filter("spans", lambda x: (x["start"] >= F.col("l.start")) & (x["end"] <= F.col("l.start") + F.length("l.line")))
     # entities and terms of each line that holds an entity; terms inside a base span are no terms of their own
     hot = hot.select(F.col("l.line").alias("line"), F.array_distinct(F.transform(inside, lambda x: x["value"])).alias("entities")).filter(F.size("entities") > 0)
@@ -125,10 +124,10 @@ def disclosing_terms(found: DataFrame, settings: Settings, stage: Stage, text: s
     pairs = hot.select(F.explode("entities").alias("entity"), shared.alias("terms")).select("entity", F.explode("terms").alias("term"))
     pairs = stage.write(pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= settings.min_together), "together")
     entities = hot.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("of_entity"))
-    total = found.agg(F.sum(F.size(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1))).alias("lines"))
+    total = docs.agg(F.sum(F.size(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1))).alias("lines"))
     wanted = stage.write(pairs.select("term").distinct(), "wanted")
     # count of the wanted terms over all lines: words of a line once each, combined before the shuffle
-    words = found.select(F.explode(F.split(F.col(text), "\n", -1)).alias("line")).select(F.explode(_terms(F.col("line"))).alias("term"))
+    words = docs.select(F.explode(F.split(F.col(text), "\n", -1)).alias("line")).select(F.explode(_terms(F.col("line"))).alias("term"))
     counts = stage.write(words.groupBy("term").agg(F.count(F.lit(1)).alias("of_term")), "terms").join(wanted, "term")
     lines = (total.first()["lines"] or 0) * 1.0
     ic = -F.log2(F.col("of_entity") / F.lit(lines))
@@ -137,15 +136,12 @@ def disclosing_terms(found: DataFrame, settings: Settings, stage: Stage, text: s
     return stage.write(out.select("entity", "term", (F.col("both") == F.col("of_term")).alias("removed")), "disclosing")
 
 
-def all_spans(found: DataFrame, terms: DataFrame, stage: Stage, text: str = "text") -> DataFrame:
-    """``found`` and ``spans`` (array<struct<start, end, kind>>): base spans by kind, then disclosing terms by start."""
+def all_spans(marked: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
+    """The marked rows and ``spans`` (array<struct<start, end, kind>>): base spans by kind, then disclosing terms by start."""
     base = F.concat(*[F.transform(f"__{k}", _as_span(k)) for k in KINDS])
-    found = found.withColumn("__base", base)
+    marked = marked.withColumn("__base", base)
     values = F.array_distinct(F.flatten(F.array(*[F.transform(f"__{k}", lambda x: x["value"]) for k in KINDS])))
     empty = F.array().cast("array<struct<entity:string,term:string,removed:boolean>>")
-    plain = found.filter(F.size("__base") == 0).withColumn("__known", empty)
-    marked = found.filter(F.size("__base") > 0).withColumn("__row", F.expr("uuid()"))
-    marked = stage.write(marked, "marked")
     known = marked.select("__row", F.explode(values).alias("entity")).join(terms, "entity").groupBy("__row").agg(F.collect_list(F.struct("entity", "term", "removed")).alias("__known"))
     marked = marked.join(known, "__row", "left").withColumn("__known", F.coalesce("__known", empty)).drop("__row")
 
@@ -169,16 +165,18 @@ def all_spans(found: DataFrame, terms: DataFrame, stage: Stage, text: str = "tex
 
     lines = F.filter(_lines(F.col(text)), lambda l: F.exists(every, lambda x: in_line(x, l)))
     extra = F.when(F.size("__known") > 0, F.flatten(F.transform(lines, of_line))).otherwise(F.array().cast(SPAN))
-    marked = marked.withColumn("spans", F.concat("__base", extra))
-    plain = plain.withColumn("spans", F.array().cast(SPAN))
-    return marked.unionByName(plain).drop("__known", "__base")
+    return marked.withColumn("spans", F.concat("__base", extra)).drop("__known", "__base")
 
 
 def find_personal_data(docs: DataFrame, settings: Settings = Settings(), stage: Stage | None = None) -> DataFrame:
     """``docs`` with a column per base kind and ``spans``."""
     stage = stage or Stage(docs.sparkSession, "pii")
     found = base_spans(docs)
-    return all_spans(found, disclosing_terms(found, settings, stage), stage)
+    some = F.greatest(*[F.size(f"__{k}") for k in KINDS]) > 0
+    # rows with base spans are written with an identity of their own, so a repeated document stays a row
+    marked = stage.write(found.filter(some).withColumn("__row", F.expr("uuid()")), "marked")
+    terms = disclosing_terms(docs, marked, settings, stage)
+    return all_spans(marked, terms).unionByName(found.filter(~some).withColumn("spans", F.array().cast(SPAN)))
 
 
 def _digest_text(spans: Column) -> Column:
