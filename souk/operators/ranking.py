@@ -63,6 +63,7 @@ class Ranked:
     counts: list[int]  # rows per range
     offsets: DataFrame  # _bucket, _rows_before, _sum_before: one row per range
     sum_col: str | None
+    total_sum: object = None
 
     def _windowed(self) -> tuple[Window, DataFrame]:
         return Window.partitionBy("_bucket").orderBy(*_sort_cols(self.keys)), self.df.join(F.broadcast(self.offsets), "_bucket")
@@ -102,7 +103,7 @@ def rank_buckets(df: DataFrame, order, tiebreak: list[str], sum_col: str | None
         rows.append((r["_bucket"], before, s_before))
         before, s_before = before + r["c"], s_before + r["s"]
     offsets = spark.createDataFrame(rows, f"_bucket int, _rows_before bigint, _sum_before {kind}")
-    return Ranked(placed, keys, before, [r["c"] for r in stats], offsets, sum_col)
+    return Ranked(placed, keys, before, [r["c"] for r in stats], offsets, sum_col, s_before)
 
 
 def global_row_number(df, order, tiebreak, name="row_number", **kw) -> DataFrame:
