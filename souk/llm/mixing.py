@@ -43,17 +43,22 @@ def uniform(*parts: Column) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(2.0**52)
 
 
-def poisson(rate: Column, u: Column) -> Column:
-    """Smallest k with P(X <= k) > u for a Poisson mean of at most CHUNK; u is a hashed uniform number."""
+def distribution(rate: Column) -> Column:
+    """P(X <= 0), P(X <= 1), ... of a Poisson mean of at most CHUNK, as far as the sums still grow."""
     first = F.exp(-rate)
-    zero = F.struct(F.lit(0).alias("k"), first.alias("p"), first.alias("below"))
+    zero = F.struct(first.alias("p"), F.array(first).alias("sums"))
 
-    def step(acc, i):
-        p = acc["p"] * rate / i
-        onward = F.struct((acc["k"] + 1).alias("k"), p.alias("p"), (acc["below"] + p).alias("below"))
-        return F.when(u >= acc["below"], onward).otherwise(acc)
+    def step(acc, k):
+        p = acc["p"] * rate / k
+        below = F.element_at(acc["sums"], -1)
+        return F.struct(p.alias("p"), F.when(below + p > below, F.concat(acc["sums"], F.array(below + p))).otherwise(acc["sums"]).alias("sums"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), zero, step, lambda acc: acc["k"])
+    return F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), zero, step, lambda acc: acc["sums"])
+
+
+def invert(sums: Column, u: Column) -> Column:
+    """Smallest k with P(X <= k) > u."""
+    return F.size(F.filter(sums, lambda x: x <= u))
 
 
 def rates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -75,12 +80,13 @@ def rates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 def replicate(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs``' columns, ``__copy`` (from 1) and ``__order`` (hash of the global order), one row per copy."""
     s = settings
-    salted = rates(docs, s).select(F.col("source").alias("__s"), F.col("rate").alias("__rate"), F.explode(F.sequence(F.lit(0), F.lit(s.salts - 1))).alias("__salt"))
+    chunks = F.greatest(F.ceil(F.col("rate") / CHUNK), F.lit(1)).cast("int")
+    of_source = rates(docs, s).withColumn("__chunks", chunks).withColumn("__sums", distribution(F.col("rate") / F.col("__chunks")))
+    salted = of_source.select(F.col("source").alias("__s"), F.col("rate").alias("__rate"), "__chunks", "__sums", F.explode(F.sequence(F.lit(0), F.lit(s.salts - 1))).alias("__salt"))
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(s.salts)).cast("int")
     joined = docs.withColumn("__salt", salt).join(salted.withColumnRenamed("__salt", "__t"), F.col("source").eqNullSafe(F.col("__s")) & (F.col("__salt") == F.col("__t")))
-    chunks = F.greatest(F.ceil(F.col("__rate") / CHUNK), F.lit(1)).cast("int")
-    one = lambda i: poisson(F.col("__rate") / chunks, uniform(F.lit(s.seed), F.col("doc_id"), i))
-    count = F.aggregate(F.sequence(F.lit(1), chunks), F.lit(0), lambda acc, i: acc + one(i))
+    one = lambda i: invert(F.col("__sums"), uniform(F.lit(s.seed), F.col("doc_id"), i))
+    count = F.aggregate(F.sequence(F.lit(1), F.col("__chunks")), F.lit(0), lambda acc, i: acc + one(i))
     copies = joined.withColumn("__count", F.when(F.col("__rate") > 0, count).otherwise(F.lit(0))).filter("__count > 0")
     copies = copies.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__count"))))
     order = F.md5(F.concat_ws(":", F.lit(f"order{s.seed}"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("__copy").cast("string")).cast("binary"))
