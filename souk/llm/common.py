@@ -33,10 +33,17 @@ class Stage:
         self.root = f"{checkpoint_dir(spark)}/souk-llm/{spark.sparkContext.applicationId}/{what}-{uuid.uuid4().hex[:12]}"
         self._n = 0
 
-    def write(self, df: DataFrame, name: str) -> DataFrame:
+    def write(self, df: DataFrame, name: str, rows_per_batch: int | None = None) -> DataFrame:
+        """``rows_per_batch``: rows that a Python worker gets at once during this write (whole texts are large)."""
         self._n += 1
-        path = f"{self.root}/{self._n:03d}-{name}"
-        df.write.parquet(path)
+        path, key, conf = f"{self.root}/{self._n:03d}-{name}", "spark.sql.execution.arrow.maxRecordsPerBatch", self.spark.conf
+        before = conf.get(key)
+        if rows_per_batch:
+            conf.set(key, str(rows_per_batch))
+        try:
+            df.write.parquet(path)
+        finally:
+            conf.set(key, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def partitions(self) -> int:

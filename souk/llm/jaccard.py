@@ -55,9 +55,10 @@ from .components import components
 WORDS = 5
 SMALL = 32  # an index key of at most so many sets pairs them all
 LEADER_ROUNDS = 3
+TEXTS = 500  # whole texts that a Python worker gets at once
 ONE_BY_ONE = 64  # comparisons per member up to which a group needs no leader
 BROADCAST_IDS = 1_000_000  # ids; 16 MB at most
-_HASHER = WordHasher()
+_HASHER = WordHasher(100_000)
 _C = odd_constants(2 * WORDS + 2, 7)
 _DIGEST = odd_constants(2, 70)
 
@@ -151,8 +152,8 @@ def _expand(sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for at in range(0, b.num_rows, 1024):
-                part = b.slice(at, 1024)
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
                 keys = [np.frombuffer(k, np.int64) for k in part.column(1).to_pylist()]
                 own = np.repeat(part.column(0).to_numpy(), [len(k) for k in keys])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(own)], names=["key", "set"])
@@ -232,7 +233,7 @@ def _whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, stage: S
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)], names=["set", "rep", "n", "bits", "s"])
 
-    return stage.write(_texts_of(docs, ids).mapInArrow(run, "set long, rep long, n long, bits binary, s binary"), name)
+    return stage.write(_texts_of(docs, ids).mapInArrow(run, "set long, rep long, n long, bits binary, s binary"), name, TEXTS)
 
 
 def bitmap(s: np.ndarray) -> bytes:
@@ -285,7 +286,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, stage: Stage) -> DataFrame:
     near = pairs.join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b")
     near = stage.write(near.select("a", "b", "an", "abits", "bn", "bbits").mapInArrow(may, "a long, b long").distinct(), "near-pairs")
     both = near.join(side("a", "rep", "s"), "a").join(side("b", "rep", "s"), "b")
-    return stage.write(both.select("arep", "brep", "as", "bs").mapInArrow(run, "a long, b long"), "links")
+    return stage.write(both.select("arep", "brep", "as", "bs").mapInArrow(run, "a long, b long"), "links", TEXTS)
 
 
 def _second(short: DataFrame) -> DataFrame:
@@ -394,7 +395,7 @@ def similar_documents(docs: DataFrame, stage: Stage | None = None, small: int =
     spark = docs.sparkSession
     stage = stage or Stage(spark, "jaccard")
     p = stage.partitions()
-    sets = stage.write(_sets(docs), "sets")
+    sets = stage.write(_sets(docs), "sets", TEXTS)
     classes = stage.write(
         sets.filter("doc_id is not null and n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")),
         "classes",

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import WordHasher, letter_words, mix64, odd_constants
 
 THRESHOLD = 0.7
-_HASHER = WordHasher()
+_HASHER = WordHasher(200_000)
 
 
 @dataclass(frozen=True)
