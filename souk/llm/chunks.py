@@ -120,7 +120,10 @@ def _rows(docs: DataFrame, s: Settings, places: bool) -> DataFrame:
 
 
 def repeated_passages(docs: DataFrame, settings: Settings = Settings(), stage: Stage | None = None) -> DataFrame:
-    """doc_id, start, end (code points), n_words, first_doc_id, is_first of each passage that another document repeats."""
+    """doc_id, start, end (code points), n_words, first_doc_id, is_first of each passage that another document repeats.
+
+    ``first_doc_id`` is the latest of the documents that hold a unit of the passage first: parts of
+    it, a common line say, may occur in still earlier ones."""
     stage = stage or Stage(docs.sparkSession, "chunks")
     seen = _rows(docs, settings, False).groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     repeated = stage.write(seen.filter("first < last").select("digest", "first"), "repeated")
@@ -128,9 +131,9 @@ def repeated_passages(docs: DataFrame, settings: Settings = Settings(), stage: S
     text = Window.partitionBy("doc_id", "text_id").orderBy("i")
     runs = found.withColumn("fresh", F.coalesce(F.col("i") - F.lag("i").over(text) > 1, F.lit(True)).cast("int"))
     runs = runs.withColumn("run", F.sum("fresh").over(text.rowsBetween(Window.unboundedPreceding, 0)))
-    out = runs.groupBy("doc_id", "text_id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), (F.max("w1") - F.min("w0")).alias("n_words"), F.min("first").alias("first_doc_id"), F.max("first").alias("latest"), (F.max("v1") - F.min("v0")).alias("reach"))
+    out = runs.groupBy("doc_id", "text_id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), (F.max("w1") - F.min("w0")).alias("n_words"), F.max("first").alias("first_doc_id"), (F.max("v1") - F.min("v0")).alias("reach"))
     out = out.filter((F.col("n_words") >= settings.least_words) & (F.col("reach") >= settings.words))
-    return out.select("doc_id", F.col("start").cast("long"), F.col("end").cast("long"), F.col("n_words").cast("long"), "first_doc_id", (F.col("latest") == F.col("doc_id")).alias("is_first"))
+    return out.select("doc_id", F.col("start").cast("long"), F.col("end").cast("long"), F.col("n_words").cast("long"), "first_doc_id", (F.col("first_doc_id") == F.col("doc_id")).alias("is_first"))
 
 
 def without_repeats(docs: DataFrame, settings: Settings = Settings(), stage: Stage | None = None) -> DataFrame:
