@@ -218,8 +218,8 @@ def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("text").alias("__text")).join(wanted, "doc_id")
 
 
-def _whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, stage: Stage, name: str) -> DataFrame:
-    """(set, rep, s): the whole shingle set of each wanted class (set = d1)."""
+def _whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, stage: Stage, name: str, whole: bool = True) -> DataFrame:
+    """(set, rep, n, bits, s) of each wanted class (set = d1): size, parity bitmap and, if asked for, the whole shingle set."""
     ids = stage.write(classes.join(wanted.select(F.col("set").alias("d1")).distinct(), "d1", "left_semi").select(F.col("rep").alias("doc_id"), "d1", "d2"), f"{name}-ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +229,7 @@ def _whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, stage: S
                 for doc_id, text, d1, d2 in zip(*(part[c] for c in ("doc_id", "__text", "d1", "d2"))):
                     s = shingles(text)
                     if digest(s) == (d1, d2):  # an id may stand on several rows
-                        out.append((d1, doc_id, len(s), bitmap(s), s.tobytes()))
+                        out.append((d1, doc_id, len(s), bitmap(s), s.tobytes() if whole else None))
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)], names=["set", "rep", "n", "bits", "s"])
 
@@ -264,11 +264,12 @@ def _linked(a: bytes, b: bytes) -> bool:
     return 100 * same >= 80 * (len(both) - same)
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, stage: Stage) -> DataFrame:
-    """The links (a, b), as representatives' ids, among candidate pairs (a, b) of classes; written."""
+def _side(sets: DataFrame, key: str, *columns: str) -> DataFrame:
+    return sets.select(F.col("set").alias(key), *[F.col(c).alias(key + c) for c in columns])
 
-    def side(key: str, *columns: str) -> DataFrame:
-        return sets.select(F.col("set").alias(key), *[F.col(c).alias(key + c) for c in columns])
+
+def _near(pairs: DataFrame, sets: DataFrame, stage: Stage) -> DataFrame:
+    """The candidate pairs (a, b) of classes whose bitmaps allow a link; written."""
 
     def may(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -276,6 +277,14 @@ def _verify(pairs: DataFrame, sets: DataFrame, stage: Stage) -> DataFrame:
             ok = pa.array([_may_link(*x) for x in zip(p["an"], p["abits"], p["bn"], p["bbits"])], pa.bool_())
             yield pa.RecordBatch.from_arrays(b.columns[:2], names=["a", "b"]).filter(ok)
 
+    both = pairs.join(_side(sets, "a", "n", "bits"), "a").join(_side(sets, "b", "n", "bits"), "b")
+    both = both.select("a", "b", "an", "abits", "bn", "bbits")
+    return stage.write(both.mapInArrow(may, "a long, b long").distinct(), "near-pairs", TEXTS)
+
+
+def _links(near: DataFrame, sets: DataFrame, stage: Stage) -> DataFrame:
+    """The links (a, b), as representatives' ids, among pairs of classes whose whole sets are given; written."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
@@ -283,12 +292,14 @@ def _verify(pairs: DataFrame, sets: DataFrame, stage: Stage) -> DataFrame:
                 ok = [(x, y) for x, y, u, v in zip(p["arep"], p["brep"], p["as"], p["bs"]) if _linked(u, v)]
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in ok], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    near = pairs.join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b")
-    near = stage.write(near.select("a", "b", "an", "abits", "bn", "bbits").mapInArrow(may, "a long, b long").distinct(), "near-pairs")
-    both = near.join(side("a", "rep", "s"), "a").join(side("b", "rep", "s"), "b")
+    both = near.join(_side(sets, "a", "rep", "s"), "a").join(_side(sets, "b", "rep", "s"), "b")
     return stage.write(both.select("arep", "brep", "as", "bs").mapInArrow(run, "a long, b long"), "links", TEXTS)
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
+
+
 def _second(short: DataFrame) -> DataFrame:
     """(key, set) rows of the sets that lack segments: all their segments and one-deletion neighbourhoods."""
 
@@ -384,7 +395,7 @@ def _large_groups(grouped: DataFrame, sets: DataFrame, comp: DataFrame, stage: S
             order = F.struct(F.xxhash64("set", F.lit(turn)).alias("h"), "set", "c")
             leader = state.groupBy("key").agg(F.min(order).alias("l")).select("key", F.col("l.set").alias("b"), F.col("l.c").alias("lc"))
             pairs = state.join(stage.write(leader, "leaders"), "key").filter("c <> lc").select(F.col("set").alias("a"), "b").distinct()
-        comp = _merge(comp, _verify(stage.write(pairs, "group-pairs"), sets, stage), stage)
+        comp = _merge(comp, _links(_near(stage.write(pairs, "group-pairs"), sets, stage), sets, stage), stage)
         if last:
             return comp
         turn += 1
@@ -417,9 +428,9 @@ def similar_documents(docs: DataFrame, stage: Stage | None = None, small: int =
             third = stage.write(_runs(_prefixes(rest, stage), p, small), "third")
             pairs = stage.write(pairs.unionByName(third.filter("kind = 0").select("a", "b")).distinct(), "pairs")
             groups = third.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("set"))
-    wanted = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
-    whole = _whole_sets(docs, classes, wanted, stage, "candidate-sets")
-    comp = stage.write(components(_verify(pairs, whole, stage), stage), "components")
+    near = _near(pairs, _whole_sets(docs, classes, _ends(pairs), stage, "candidate-bitmaps", whole=False), stage)
+    whole = _whole_sets(docs, classes, _ends(near), stage, "candidate-sets")
+    comp = stage.write(components(_links(near, whole, stage), stage), "components")
     if groups is not None:
         comp = _large_groups(groups, short_sets, comp, stage)
     special = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").filter("copies > 1 or component is not null")
