@@ -1,22 +1,23 @@
-"""Near-duplicate vectors by sorted projection passes.
+"""Near-duplicate vectors by random-hyperplane passes.
 
-Each pass gives every vector a key: the signs of its projections on random
-directions, 64 of them joined to one number.  Vectors are put in the global order of the key, so
-those that agree in many leading signs are neighbours, and each is compared, in
-double precision, with the ``window`` vectors that follow it.  Links found in
+Each pass gives every vector a key: the signs of its projections on ``bits``
+random directions, joined to one number.  Vectors of one pass with one key are a
+run, and all vectors of a run are compared in double precision; a long run is cut
+into blocks, and every block meets every block, spread over tasks.  Links found in
 any pass are joined into components.
 
-Windows bound the work of a pass, not the result for large groups: neighbours in
-a chain of windows lie in one component, and a last step counts the direct links
-inside each component exactly, block of members against block of members.  Blocks of
-one component are spread over tasks, and a task returns one count per member,
-never a list of pairs.
+Finding probability: a pair at the threshold (cosine 0.9) agrees in a sign with
+probability 0.856 whatever the other vectors are, so it shares a run of ``bits`` signs with
+0.856 ** bits.  The number of passes is derived from the bits so that such a pair is missed
+in all passes with a probability of at most ``miss``, at every table size and inside
+hot groups; closer pairs are missed less often.  The bits are those with the least work by the
+counted run lengths of one pass; small tables have no bits, one run, and an exact result.
 
-Equal vectors are one class throughout: their number enters the counts.
+A last step counts the direct links inside each component exactly, block of members
+against block of members.  Blocks of one component are spread over tasks, and a task
+returns one count per member, never a list of pairs.
 
-Finding probability: a pair at the threshold (cosine 0.9) agrees in a sign with
-probability 0.86, one at 0.98 with 0.94; ``passes`` independent orders make a miss
-of close pairs rare (see the test against brute force).
+Equal vectors are one class throughout: their number enters the counts.
 
 Defined results: vectors that are null, zero, hold a null or a non-finite component, or
 whose length differs from the most frequent one link with nothing and are kept.
@@ -26,6 +27,7 @@ repeat an id count as one vector each towards others' links.  Labels and other c
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,20 +44,26 @@ from .components import components
 @dataclass(frozen=True)
 class Settings:
     threshold: float = 0.9
-    passes: int = 16
-    bits: int = 64  # signs of a key
-    window: int = 64  # following neighbours that a vector is compared with
-    block: int = 4096  # rows of a comparison block
+    miss: float = 1e-4  # probability that a pair at the threshold meets in no pass
+    block: int = 1024  # rows of a comparison block
+    gather: int = 4096  # rows of short runs that a task compares at once
     seed: int = 2
 
 
-def _directions(dim: int, s: Settings) -> np.ndarray:
-    """(passes * bits, dim) random directions, the same in every task."""
-    return np.random.default_rng([s.seed, dim]).standard_normal((s.passes * s.bits, dim))
+def _directions(dim: int, count: int, s: Settings) -> np.ndarray:
+    """(count, dim) random directions, the same in every task; a larger count begins with the smaller one's."""
+    return np.random.default_rng([s.seed, dim]).standard_normal((count, dim))
+
+
+def passes(bits: int, s: Settings) -> int:
+    """Passes after which a pair at the threshold was in one run with a probability of 1 - ``miss``."""
+    together = (1 - math.acos(s.threshold) / math.pi) ** bits
+    return 1 if together >= 1 else math.ceil(math.log(s.miss) / math.log1p(-together))
 
 
 def _unit(raw: list[bytes]) -> np.ndarray:
     x = np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1)
+    x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -69,76 +77,89 @@ def _classes(vectors: DataFrame, stage: Stage) -> DataFrame:
     return stage.write(v.groupBy("e").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")), "classes")
 
 
-def _keyed(classes: DataFrame, s: Settings) -> DataFrame:
-    """(pass, key, node, x) of every class and pass."""
+def _keyed(classes: DataFrame, n_passes: int, bits: int, s: Settings, vectors: bool = True) -> DataFrame:
+    """(pass, key, node, x) of every class and pass; x is null without ``vectors``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         directions = None
-        shifts = np.arange(s.bits, dtype=np.uint64)[::-1]
+        shifts = np.arange(bits, dtype=np.int64)[::-1]
         for b in batches:
             for at in range(0, b.num_rows, 1024):
                 part = b.slice(at, 1024)
                 x = np.array(part.column(1).to_pylist(), np.float64)
-                directions = _directions(x.shape[1], s) if directions is None else directions
-                raw = pa.array([row.tobytes() for row in x], pa.binary())
+                directions = _directions(x.shape[1], n_passes * bits, s) if directions is None else directions
+                raw = pa.array([row.tobytes() for row in x] if vectors else [None] * len(x), pa.binary())
                 with np.errstate(over="ignore", invalid="ignore"):
                     peak = np.abs(x).max(axis=1, keepdims=True)
                     signs = (x / peak) @ directions.T >= 0
-                for p in range(s.passes):
-                    bits = signs[:, p * s.bits : (p + 1) * s.bits].astype(np.uint64)
-                    key = (bits << shifts).sum(axis=1, dtype=np.uint64).view(np.int64)
+                for p in range(n_passes):
+                    key = (signs[:, p * bits : (p + 1) * bits].astype(np.int64) << shifts).sum(axis=1, dtype=np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), p, np.int32)), pa.array(key), part.column(0), raw], names=["pass", "key", "node", "x"])
 
     return classes.select("node", "e").mapInArrow(run, "pass int, key long, node long, x binary")
 
 
-def _ranked(keyed: DataFrame, stage: Stage) -> DataFrame:
-    """``keyed`` in the order of pass and key with ``rank``, its place in that order; written, so places stay."""
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = 0
-        for b in batches:
-            at = pa.array(np.arange(n, n + b.num_rows))
-            n += b.num_rows
-            yield pa.RecordBatch.from_arrays([*b.columns, at], names=[*b.schema.names, "at"])
-
-    order = keyed.repartitionByRange(stage.partitions(), "pass", "key", "node").sortWithinPartitions("pass", "key", "node").withColumn("part", F.spark_partition_id())
-    placed = stage.write(order.mapInArrow(number, order.select("*").schema.add("at", "long")), "placed")
-    sizes = sorted((r["part"], r["n"]) for r in placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect())  # one row per partition
-    before = dict(zip([p for p, _ in sizes], np.cumsum([0, *[n for _, n in sizes]]).tolist()))
-    starts = stage.spark.createDataFrame(sorted(before.items()) or [(0, 0)], "part int, before long")
-    return placed.join(F.broadcast(starts), "part").withColumn("rank", F.col("at") + F.col("before")).drop("part", "at", "before")
-
-
-def _pass_links(ranked: DataFrame, s: Settings) -> DataFrame:
-    """Links (a, b) between each vector and its following neighbours, as a forest per block."""
-    block = F.floor(F.col("rank") / s.block)
-    # the first rows of a block are also the neighbours of the last rows of the block before
-    blocks = F.when((F.col("rank") % s.block < s.window) & (F.col("rank") >= s.block), F.array(block, block - 1)).otherwise(F.array(block))
+def _bits(classes: DataFrame, n: int, s: Settings) -> int:
+    """Number of signs with the least work: copies of rows that are dealt, and comparisons by the run lengths of one pass."""
+    if n <= s.block:
+        return 0
+    usual = math.ceil(math.log2(n / s.block))
+    tried, most = list(range(max(usual - 3, 0), usual + 9)), usual + 8
+    keys = _keyed(classes, 1, most, s, vectors=False).select("key", F.explode(F.array(*[F.lit(x) for x in tried])).alias("bits"))
+    runs = keys.groupBy("bits", F.expr(f"shiftright(key, {most} - bits)").alias("run")).agg(F.count(F.lit(1)).alias("size"))
+    pairs = {r["bits"]: r["pairs"] for r in runs.groupBy("bits").agg(F.sum(F.col("size").cast("double") * F.col("size")).alias("pairs")).collect()}  # one row per number of bits
+    # to deal a row out costs as much as some thousand comparisons
+    return min(tried, key=lambda x: passes(x, s) * (1000.0 * n + pairs[x] * (1 + 1000 / s.block)))
+
+
+def _forest(near: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int]]:
+    """A spanning forest of the links ``near`` between the rows ``lo`` and the columns ``hi``."""
+    out, rows, cols = [], near.any(axis=1), np.ones(near.shape[1], bool)
+    for start in np.flatnonzero(rows):
+        if not rows[start]:
+            continue
+        rows[start], front = False, [start]
+        while front:
+            i = front.pop()
+            new = np.flatnonzero(near[i] & cols)
+            cols[new] = False
+            out += [(lo[i], hi[j]) for j in new]
+            for j in new:
+                if rows.any() and len(back := np.flatnonzero(near[:, j] & rows)):
+                    rows[back] = False
+                    out += [(lo[k], hi[j]) for k in back]
+                    front += back.tolist()
+    return out
+
+
+def _pass_links(keyed: DataFrame, n: int, s: Settings, stage: Stage) -> DataFrame:
+    """Links (a, b) inside the runs of each pass, as a forest per run or pair of blocks."""
+    sizes = stage.write(keyed.groupBy("pass", "key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > s.block), "long-runs")
+    dealt = keyed.join(sizes, ["pass", "key"], "left").withColumn("n", F.ceil(F.col("size") / s.block).cast("int"))
+    dealt = dealt.withColumn("own", F.when(F.col("n").isNotNull(), F.pmod(F.xxhash64("node"), F.col("n")).cast("int")))
+    # short runs are gathered by a hash of their key; each block of a long one meets every block of it once
+    gathered = F.pmod(F.xxhash64("key"), F.lit(math.ceil(n / s.gather)))
+    other = F.explode(F.when(F.col("n").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("n") - 1)))
+    met = dealt.withColumn("other", other).withColumn("part", F.when(F.col("n").isNull(), gathered).otherwise(F.col("key")))
+    met = met.select("pass", "part", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "key", "node", "x")
 
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rank")
-        u, node, turn = _unit(pdf["x"].tolist()), pdf["node"].to_numpy(), pdf["pass"].to_numpy()
-        root = np.arange(len(u))
-
-        def find(i):
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
+        pdf = pdf.sort_values("key")
+        u, node, key, own = _unit(pdf["x"].tolist()), pdf["node"].to_numpy(), pdf["key"].to_numpy(), pdf["own"]
+        lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
         out = []
-        for at in range(0, len(u), 256):
-            near = u[at : at + 256] @ u[at : at + 256 + s.window].T
-            i, j = np.nonzero(near >= s.threshold)
-            ok = (j > i) & (j - i <= s.window)
-            for a, b in zip(i[ok] + at, j[ok] + at):
-                if turn[a] == turn[b] and (ra := find(a)) != (rb := find(b)):
-                    root[max(ra, rb)] = min(ra, rb)
-                    out.append((node[a], node[b]))
+        if lo != hi:
+            is_lo = (own == lo).to_numpy()
+            return pd.DataFrame(_forest(u[is_lo] @ u[~is_lo].T >= s.threshold, node[is_lo], node[~is_lo]), columns=["a", "b"]).astype("int64")
+        starts = np.r_[0, np.flatnonzero(np.diff(key)) + 1, len(key)]
+        for a, b in zip(starts[:-1], starts[1:]):
+            if b - a > 1:
+                near = u[a:b] @ u[a:b].T >= s.threshold
+                np.fill_diagonal(near, False)
+                out += _forest(near, node[a:b], node[a:b])
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
-    return ranked.withColumn("block", F.explode(blocks)).groupBy("block").applyInPandas(links, "a long, b long")
+    return met.groupBy("pass", "part", "lo", "hi").applyInPandas(links, "a long, b long")
 
 
 def _direct_links(members: DataFrame, s: Settings, stage: Stage) -> DataFrame:
@@ -173,7 +194,11 @@ def near_vectors(vectors: DataFrame, settings: Settings = Settings(), stage: Sta
     """vec_id, n_links, component_id and kept of every row of ``vectors`` (vec_id, embedding)."""
     s, stage = settings, stage or Stage(vectors.sparkSession, "vectors")
     classes = _classes(vectors, stage)
-    comp = components(stage.write(_pass_links(_ranked(_keyed(classes, s), stage), s), "links"), stage)
+    n = classes.count()
+    bits = _bits(classes, n, s)
+    # keys are written: the run lengths and the rows of the runs come from the same table
+    keyed = stage.write(_keyed(classes, passes(bits, s), bits, s), "keyed")
+    comp = components(stage.write(_pass_links(keyed, n, s, stage), "links"), stage)
     comp = stage.write(comp, "components")
     linked = _direct_links(classes.join(comp, "node"), s, stage)
     known = classes.join(comp, "node", "left").join(linked, "node", "left").filter("copies > 1 or component is not null")

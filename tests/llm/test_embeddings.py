@@ -41,3 +41,27 @@ def test_edge_rows(spark):
     got = sorted((tuple(x) for x in embeddings.near_vectors(df).collect()), key=str)
     assert got == sorted([(None, 0, None, True), (1, 1, 1, True), (2, 1, 1, False)], key=str)
     assert embeddings.near_vectors(df.limit(0)).count() == 0
+
+
+def test_recall_in_a_hot_topic_and_at_size(spark):
+    """Pairs at cosine 0.901 to 0.93, a third of them inside a topic of mutual cosine 0.8, among far more rows than a run holds."""
+    r = np.random.default_rng(8)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    n, dim, pairs = 12_000, 64, 600
+    base = unit(r.standard_normal((n, dim)))
+    topic = unit(r.standard_normal(dim))
+    hot = n // 3
+    side = unit(base[:hot] - (base[:hot] @ topic)[:, None] * topic)
+    base[:hot] = np.sqrt(0.8) * topic + np.sqrt(0.2) * side  # mutual cosine 0.8
+    at = r.choice(n, pairs, replace=False)
+    cos = r.uniform(0.901, 0.93, pairs)[:, None]
+    off = r.standard_normal((pairs, dim))
+    off = unit(off - (off * base[at]).sum(axis=1, keepdims=True) * base[at])
+    x = np.vstack([base, cos * base[at] + np.sqrt(1 - cos**2) * off])
+    near = x @ x.T >= 0.9
+    want = near.sum(axis=1) - 1
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>").repartition(8)
+    got = {v.vec_id: v.n_links for v in embeddings.near_vectors(df, embeddings.Settings(block=512)).collect()}
+    assert embeddings._bits(df.selectExpr("vec_id as node", "embedding as e"), len(x), embeddings.Settings(block=512)) > 0
+    assert want.sum() >= 2 * pairs
+    assert sum(got.values()) >= 0.999 * want.sum()
