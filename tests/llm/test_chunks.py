@@ -38,3 +38,24 @@ def test_chunks_do_not_shift():
     assert len(a - b) <= 3
     data = chunks.np.frombuffer(b"a" * 200_000, chunks.np.uint8)
     assert chunks.np.diff(chunks.cuts(data, 32)).max() <= chunks.LONGEST
+
+
+def words(r, n):
+    return " ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(3, 8))) for _ in range(n))
+
+
+def test_passages_just_over_the_limit_are_found_exactly(spark):
+    r = random.Random(11)
+    rows, planted = [], {}
+    for k in range(150):
+        passage = words(r, 51)
+        for copy in range(2):
+            before, after = (words(r, 80) + " " if k % 3 else ""), (" " + words(r, 80) if k % 3 != 2 else "")
+            rows.append((2 * k + copy, before + passage + after))
+            planted[2 * k + copy] = passage
+    rows += [(1000 + k, words(r, 80) + " " + x + " " + words(r, 80)) for k, x in enumerate([words(r, 49)] * 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    texts, got = dict(rows), chunks.repeated_passages(docs).collect()
+    assert all(texts[x.doc_id][x.start : x.end] == planted[x.doc_id] and x.n_words == 51 and x.first_doc_id == x.doc_id // 2 * 2 for x in got)
+    # a candidate needs three cuts in common, which a passage of this length lacks once in some 170 cases
+    assert len(got) == len({x.doc_id for x in got}) >= 2 * 147
