@@ -185,26 +185,32 @@ def _exact(pairs: DataFrame, s: Settings) -> DataFrame:
 
 
 def _spans(own: int, found: list[dict]) -> list[tuple[int, int, int, int]]:
-    """start, end, n_words, first_doc_id: copied passages that no longer one holds, then those that begin here."""
+    """start, end, n_words, first_doc_id: copied passages that no longer one holds, then what is left of those that begin here."""
     out, covered = [], -1
     for x in sorted((x for x in found if x["partner"] < own), key=lambda x: (x["start"], -x["end"], x["partner"])):
         if x["end"] > covered:
             covered = x["end"]
             out.append((x["start"], x["end"], x["n_words"], x["partner"]))
-    pieces = []
+    copied, pieces = list(out), []
     for x in sorted((x for x in found if x["partner"] > own), key=lambda x: (x["start"], -x["end"])):
         if pieces and x["start"] < pieces[-1][1]:
             pieces[-1][1], pieces[-1][2] = max(pieces[-1][1], x["end"]), pieces[-1][2] | set(x["at"])
         else:
             pieces.append([x["start"], x["end"], set(x["at"])])
-    out += [(start, end, len(words), own) for start, end, words in pieces]
+    for start, end, words in pieces:
+        for a, b in [*((c[0], c[1]) for c in copied if c[1] > start and c[0] < end), (end, end)]:
+            n = sum(start <= w < a for w in words)
+            if n:
+                out.append((start, a, n, own))
+            start = max(start, b)
     return out
 
 
 def repeated_passages(docs: DataFrame, settings: Settings = Settings(), stage: Stage | None = None) -> DataFrame:
     """doc_id, start, end (code points), n_words, first_doc_id, is_first of each passage that another document repeats.
 
-    The span stands word for word in ``first_doc_id``."""
+    The span stands word for word in ``first_doc_id``.  A passage that begins here (``is_first``) is counted whole
+    for the word limit, with copied passages in it, but its spans are the parts of it that are not copied."""
     stage = stage or Stage(docs.sparkSession, "chunks")
     seen = _rows(docs, settings, False).groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     repeated = stage.write(seen.filter("first < last"), "repeated")

@@ -59,3 +59,20 @@ def test_passages_just_over_the_limit_are_found_exactly(spark):
     assert all(texts[x.doc_id][x.start : x.end] == planted[x.doc_id] and x.n_words == 51 and x.first_doc_id == x.doc_id // 2 * 2 for x in got)
     # a candidate needs three cuts in common, which a passage of this length lacks once in some 170 cases
     assert len(got) == len({x.doc_id for x in got}) >= 2 * 147
+
+
+def test_first_holder_of_edited_copies_and_of_copies_beside_originals(spark):
+    r = random.Random(12)
+    parts = [words(r, 120) for _ in range(3)]
+    one = " ".join(parts)
+    five = " ".join([parts[0], words(r, 20), parts[1], words(r, 20), parts[2]])
+    original = words(r, 100)
+    mixed = parts[1] + " " + original
+    rows = [(1, one), (5, five), (7, five), (8, mixed), (9, words(r, 30) + " " + original)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    texts, got = dict(rows), chunks.repeated_passages(docs).collect()
+    assert all(texts[x.doc_id][x.start : x.end] in texts[x.first_doc_id] for x in got)
+    spans = lambda i, first: sorted(texts[i][x.start : x.end] for x in got if x.doc_id == i and x.first_doc_id == first)
+    assert spans(5, 1) == sorted(parts) and spans(7, 5) == [five] and spans(9, 8) == [original] and spans(8, 1) == [parts[1]]
+    cut = {x.doc_id: x.text for x in chunks.without_repeats(docs).collect()}
+    assert cut[1] == one and cut[7] == "" and len(cut[5].split()) == 40 and cut[8].strip() == original and len(cut[9].split()) == 30
