@@ -6,13 +6,15 @@ in which things occur together, a term ``t`` discloses an entity ``c`` to the
 degree of their pointwise mutual information
 ``PMI(c; t) = log2(p(c, t) / (p(c) p(t)))``; the entity itself carries
 ``IC(c) = -log2 p(c)``.  In lines that hold the entity, a term with
-``PMI >= IC / alpha`` is a span of its own, if the two share at least
-``min_together`` lines: ``removed`` where it gives the entity away completely
-(``PMI >= IC``: it occurs nowhere else), ``general`` otherwise.
+``PMI >= IC / alpha`` is a span of its own: ``removed`` where it gives the entity away
+completely (it occurs nowhere else), ``general`` otherwise.  The counts of the entity and of the
+term are raised by ``smooth`` in both measures, so the fewer lines support a pair, the larger the
+corpus and the rarer the term must be; no number of shared lines is required.  Terms are whole
+words of letters and digits of any length.
 
 All counts are plain aggregations, combined before their shuffles.  Lines
 without an entity contribute term counts only for terms that were seen with an
-entity often enough.  The most frequent entity or term is one row per task.
+entity.  A row gets the disclosing terms of its own lines, never all those of an entity.  The most frequent entity or term is one row per task.
 
 Matching: ``split`` and ``regexp_extract_all`` of one pattern give the text
 between matches and the matches, so their lengths give each match's place in
@@ -46,14 +48,14 @@ HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "ph
 #: What stands for a removed or generalised span.
 MARKS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "removed": "", "general": "[TERM]"}
 _PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
-_TERM = r"\p{L}{4,}+"
+_TERM = r"[\p{L}\p{M}\p{N}]++"
 SPAN = "array<struct<start:int,end:int,kind:string>>"
 
 
 @dataclass(frozen=True)
 class Settings:
     alpha: float = 1.2  # at 1 only terms that give an entity away completely count
-    min_together: int = 3  # lines that hold both
+    smooth: float = 1.0  # added to the counts of entities and terms
 
 
 def _valid(kind: str, m: Column) -> Column:
@@ -112,17 +114,24 @@ def _terms(line: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(line, F.lit(_TERM), F.lit(0)), F.lower))
 
 
+def _hot_lines(marked: DataFrame, text: str) -> DataFrame:
+    """(__row, line, entities, terms) of each line that holds an entity; terms inside a base span are no terms of their own."""
+    spans = F.concat(*[F.col(f"__{k}") for k in KINDS])
+    hot = marked.select("__row", spans.alias("spans"), F.explode(_lines(F.col(text))).alias("l"))
+    inside = F.filter("spans", lambda x: (x["start"] >= F.col("l.start")) & (x["end"] <= F.col("l.start") + F.length("l.line")))
+    hot = hot.select("__row", F.col("l.line").alias("line"), F.array_distinct(F.transform(inside, lambda x: x["value"])).alias("entities")).filter(F.size("entities") > 0)
+    return hot.withColumn("terms", F.array_except(_terms(F.col("line")), F.flatten(F.transform("entities", _terms))))
+
+
+def _pairs(hot: DataFrame) -> DataFrame:
+    return hot.select("__row", F.explode("entities").alias("entity"), "terms").select("__row", "entity", F.explode("terms").alias("term"))
+
+
 def disclosing_terms(docs: DataFrame, marked: DataFrame, settings: Settings, stage: Stage, text: str = "text") -> DataFrame:
     """(entity, term, removed): terms that disclose an entity.  ``marked``, the written rows with base
     spans, give the pairs; all rows of ``docs`` give the counts of terms and lines."""
-    spans = F.concat(*[F.col(f"__{k}") for k in KINDS])
-    hot = marked.select(spans.alias("spans"), F.explode(_lines(F.col(text))).alias("l"))
-    inside = F.filter("spans", lambda x: (x["start"] >= F.col("l.start")) & (x["end"] <= F.col("l.start") + F.length("l.line")))
-    # entities and terms of each line that holds an entity; terms inside a base span are no terms of their own
-    hot = hot.select(F.col("l.line").alias("line"), F.array_distinct(F.transform(inside, lambda x: x["value"])).alias("entities")).filter(F.size("entities") > 0)
-    shared = F.array_except(_terms(F.col("line")), F.flatten(F.transform("entities", _terms)))
-    pairs = hot.select(F.explode("entities").alias("entity"), shared.alias("terms")).select("entity", F.explode("terms").alias("term"))
-    pairs = stage.write(pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).filter(F.col("both") >= settings.min_together), "together")
+    hot = _hot_lines(marked, text)
+    pairs = stage.write(_pairs(hot).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")), "together")
     entities = hot.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count(F.lit(1)).alias("of_entity"))
     total = docs.agg(F.sum(F.size(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1))).alias("lines"))
     wanted = stage.write(pairs.select("term").distinct(), "wanted")
@@ -130,8 +139,9 @@ def disclosing_terms(docs: DataFrame, marked: DataFrame, settings: Settings, sta
     words = docs.select(F.explode(F.split(F.col(text), "\n", -1)).alias("line")).select(F.explode(_terms(F.col("line"))).alias("term"))
     counts = stage.write(words.groupBy("term").agg(F.count(F.lit(1)).alias("of_term")), "terms").join(wanted, "term")
     lines = (total.first()["lines"] or 0) * 1.0
-    ic = -F.log2(F.col("of_entity") / F.lit(lines))
-    pmi = F.log2(F.col("both") * F.lit(lines) / (F.col("of_entity") * F.col("of_term")))
+    of_entity, of_term = F.col("of_entity") + settings.smooth, F.col("of_term") + settings.smooth
+    ic = -F.log2(of_entity / F.lit(lines))
+    pmi = F.log2(F.col("both") * F.lit(lines) / (of_entity * of_term))
     out = pairs.join(entities, "entity").join(counts, "term").filter(pmi >= ic / F.lit(settings.alpha))
     return stage.write(out.select("entity", "term", (F.col("both") == F.col("of_term")).alias("removed")), "disclosing")
 
@@ -140,9 +150,9 @@ def all_spans(marked: DataFrame, terms: DataFrame, text: str = "text") -> DataFr
     """The marked rows and ``spans`` (array<struct<start, end, kind>>): base spans by kind, then disclosing terms by start."""
     base = F.concat(*[F.transform(f"__{k}", _as_span(k)) for k in KINDS])
     marked = marked.withColumn("__base", base)
-    values = F.array_distinct(F.flatten(F.array(*[F.transform(f"__{k}", lambda x: x["value"]) for k in KINDS])))
     empty = F.array().cast("array<struct<entity:string,term:string,removed:boolean>>")
-    known = marked.select("__row", F.explode(values).alias("entity")).join(terms, "entity").groupBy("__row").agg(F.collect_list(F.struct("entity", "term", "removed")).alias("__known"))
+    here = _pairs(_hot_lines(marked, text)).join(terms, ["entity", "term"])
+    known = here.groupBy("__row").agg(F.collect_set(F.struct("entity", "term", "removed")).alias("__known"))
     marked = marked.join(known, "__row", "left").withColumn("__known", F.coalesce("__known", empty)).drop("__row")
 
     every = F.concat(*[F.col(f"__{k}") for k in KINDS])

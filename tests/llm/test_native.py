@@ -129,3 +129,14 @@ def test_typed_parts(spark):
     assert got[1].loss == "see <turn> \\l \\b</turn><image 1 4>" and got[None].loss == "é\U0001f600"
     assert [tuple(a) for a in got[1].attachments] == [(2, 1, "audio", "b.wav", 25), (2, 2, "document", "c.pdf", 1600), (3, 2, "image", "a.png", 4)]
     assert chat.format_conversations(turns.limit(0)).count() == 0
+
+
+def test_rare_entities_short_names_and_identifiers(spark):
+    line = "Li has badge 77Q with zorblax and writes from li@site.org about gardens"
+    rows = [(0, line)] + [(10 + i, "gardens and words has a badge with writes from about") for i in range(2000)]
+    got = pii.personal_data_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    spans = {line[int(a) : int(b)]: kind for kind, a, b in (x.split(":") for x in got[[x.doc_id for x in got].index(0)].spans.split(","))}
+    assert spans == {"li@site.org": "email", "77Q": "removed", "zorblax": "removed"} and all(x.spans == "" for x in got if x.doc_id)
+    rows[0] = (0, "Ana wrote from x1@site.org")
+    clean = {x.doc_id: x.text for x in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert "Ana" not in clean[0] and "[EMAIL]" in clean[0]
