@@ -1,7 +1,7 @@
 """Near-duplicate vectors by random-hyperplane passes.
 
 Each pass gives every vector a key: the signs of its projections on ``bits``
-random directions, joined to one number.  Vectors of one pass with one key are a
+random directions, joined to one number.  Vectors of one pass and length with one key are a
 run, and all vectors of a run are compared in double precision; a long run is cut
 into blocks, and every block meets every block, spread over tasks.  Links found in
 any pass are joined into components.
@@ -19,8 +19,8 @@ returns one count per member, never a list of pairs.
 
 Equal vectors are one class throughout: their number enters the counts.
 
-Defined results: vectors that are null, zero, hold a null or a non-finite component, or
-whose length differs from the most frequent one link with nothing and are kept.
+Defined results: vectors that are null, zero, or hold a null or a non-finite component link with
+nothing and are kept.  Vectors link with those of their own length only, and each length is compared among its own.
 Rows with a null id link with nothing and have a null component.  Rows that
 repeat an id count as one vector each towards others' links.  Labels and other columns are not read.
 """
@@ -34,6 +34,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,31 +73,32 @@ def _classes(vectors: DataFrame, stage: Stage) -> DataFrame:
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("e")).filter("vec_id is not null and e is not null and size(e) > 0")
     fine = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("e", lambda x: x != 0)
     v = v.filter(fine)
-    usual = v.groupBy(F.size("e").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).limit(1).select("dim")
-    v = v.join(F.broadcast(usual), F.size("e") == F.col("dim"), "left_semi")
     return stage.write(v.groupBy("e").agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("copies")), "classes")
 
 
 def _keyed(classes: DataFrame, n_passes: int, bits: int, s: Settings, vectors: bool = True) -> DataFrame:
-    """(pass, key, node, x) of every class and pass; x is null without ``vectors``."""
+    """(pass, dim, key, node, x) of every class and pass; x is null without ``vectors``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        directions = None
+        directions = {}
         shifts = np.arange(bits, dtype=np.int64)[::-1]
         for b in batches:
-            for at in range(0, b.num_rows, 1024):
-                part = b.slice(at, 1024)
+            sizes = pc.list_value_length(b.column(1)).to_numpy(zero_copy_only=False)
+            for dim, at in ((int(d), at) for d in np.unique(sizes) for at in range(0, int((sizes == d).sum()), 1024)):
+                if dim not in directions:
+                    directions = {dim: _directions(dim, n_passes * bits, s)}  # those of one length at a time
+                part = b.take(pa.array(np.flatnonzero(sizes == dim)[at : at + 1024]))
                 x = np.array(part.column(1).to_pylist(), np.float64)
-                directions = _directions(x.shape[1], n_passes * bits, s) if directions is None else directions
                 raw = pa.array([row.tobytes() for row in x] if vectors else [None] * len(x), pa.binary())
                 with np.errstate(over="ignore", invalid="ignore"):
                     peak = np.abs(x).max(axis=1, keepdims=True)
-                    signs = (x / peak) @ directions.T >= 0
+                    signs = (x / peak) @ directions[dim].T >= 0
                 for p in range(n_passes):
                     key = (signs[:, p * bits : (p + 1) * bits].astype(np.int64) << shifts).sum(axis=1, dtype=np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), p, np.int32)), pa.array(key), part.column(0), raw], names=["pass", "key", "node", "x"])
+                    same = [pa.array(np.full(len(x), v, np.int32)) for v in (p, dim)]
+                    yield pa.RecordBatch.from_arrays([*same, pa.array(key), part.column(0), raw], names=["pass", "dim", "key", "node", "x"])
 
-    return classes.select("node", "e").mapInArrow(run, "pass int, key long, node long, x binary")
+    return classes.select("node", "e").mapInArrow(run, "pass int, dim int, key long, node long, x binary")
 
 
 def _bits(classes: DataFrame, n: int, s: Settings) -> int:
@@ -105,8 +107,8 @@ def _bits(classes: DataFrame, n: int, s: Settings) -> int:
         return 0
     usual = math.ceil(math.log2(n / s.block))
     tried, most = list(range(max(usual - 3, 0), usual + 9)), usual + 8
-    keys = _keyed(classes, 1, most, s, vectors=False).select("key", F.explode(F.array(*[F.lit(x) for x in tried])).alias("bits"))
-    runs = keys.groupBy("bits", F.expr(f"shiftright(key, {most} - bits)").alias("run")).agg(F.count(F.lit(1)).alias("size"))
+    keys = _keyed(classes, 1, most, s, vectors=False).select("dim", "key", F.explode(F.array(*[F.lit(x) for x in tried])).alias("bits"))
+    runs = keys.groupBy("bits", "dim", F.expr(f"shiftright(key, {most} - bits)").alias("run")).agg(F.count(F.lit(1)).alias("size"))
     pairs = {r["bits"]: r["pairs"] for r in runs.groupBy("bits").agg(F.sum(F.col("size").cast("double") * F.col("size")).alias("pairs")).collect()}  # one row per number of bits
     # to deal a row out costs as much as some thousand comparisons
     return min(tried, key=lambda x: passes(x, s) * (1000.0 * n + pairs[x] * (1 + 1000 / s.block)))
@@ -134,14 +136,14 @@ def _forest(near: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> list[tuple[int,
 
 def _pass_links(keyed: DataFrame, n: int, s: Settings, stage: Stage) -> DataFrame:
     """Links (a, b) inside the runs of each pass, as a forest per run or pair of blocks."""
-    sizes = stage.write(keyed.groupBy("pass", "key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > s.block), "long-runs")
-    dealt = keyed.join(sizes, ["pass", "key"], "left").withColumn("n", F.ceil(F.col("size") / s.block).cast("int"))
+    sizes = stage.write(keyed.groupBy("pass", "dim", "key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > s.block), "long-runs")
+    dealt = keyed.join(sizes, ["pass", "dim", "key"], "left").withColumn("n", F.ceil(F.col("size") / s.block).cast("int"))
     dealt = dealt.withColumn("own", F.when(F.col("n").isNotNull(), F.pmod(F.xxhash64("node"), F.col("n")).cast("int")))
     # short runs are gathered by a hash of their key; each block of a long one meets every block of it once
     gathered = F.pmod(F.xxhash64("key"), F.lit(math.ceil(n / s.gather)))
     other = F.explode(F.when(F.col("n").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("n") - 1)))
     met = dealt.withColumn("other", other).withColumn("part", F.when(F.col("n").isNull(), gathered).otherwise(F.col("key")))
-    met = met.select("pass", "part", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "key", "node", "x")
+    met = met.select("pass", "dim", "part", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "key", "node", "x")
 
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("key")
@@ -159,7 +161,7 @@ def _pass_links(keyed: DataFrame, n: int, s: Settings, stage: Stage) -> DataFram
                 out += _forest(near, node[a:b], node[a:b])
         return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
-    return met.groupBy("pass", "part", "lo", "hi").applyInPandas(links, "a long, b long")
+    return met.groupBy("pass", "dim", "part", "lo", "hi").applyInPandas(links, "a long, b long")
 
 
 def _direct_links(members: DataFrame, s: Settings, stage: Stage) -> DataFrame:

@@ -65,3 +65,15 @@ def test_recall_in_a_hot_topic_and_at_size(spark):
     assert embeddings._bits(df.selectExpr("vec_id as node", "embedding as e"), len(x), embeddings.Settings(block=512)) > 0
     assert want.sum() >= 2 * pairs
     assert sum(got.values()) >= 0.999 * want.sum()
+
+
+def test_each_length_is_compared_among_its_own(spark):
+    r = np.random.default_rng(9)
+    rows = [(i, v.tolist()) for i, v in enumerate(r.standard_normal((300, 16)))]
+    base = r.standard_normal((50, 24))
+    rows += [(1000 + i, v.tolist()) for i, v in enumerate(base)] + [(2000 + i, (v + 0.01).tolist()) for i, v in enumerate(base)]
+    rows += [(3000, [1.0, 2.0]), (3001, [1.0, 2.0]), (3002, [2.0, 4.0]), (3003, [2.0, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = {x.vec_id: (x.n_links, x.component_id) for x in embeddings.near_vectors(df, embeddings.Settings(block=64)).collect()}
+    assert all(got[1000 + i] == (1, 1000 + i) == got[2000 + i] for i in range(50))
+    assert [got[i] for i in range(3000, 3004)] == [(2, 3000)] * 3 + [(0, 3003)]
