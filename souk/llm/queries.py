@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, chunks, embeddings, jaccard, langid, mixing, pii, quality, toxicity
+from . import bpe, chat, chunks, embeddings, jaccard, langid, lines, mixing, negatives, pii, quality, runs, toxicity
 from .common import table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -51,6 +51,18 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digests(chat.with_quoting_conversation(table(spark, sf_dir, "conversations")))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_digests(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(runs.with_planted_runs(table(spark, sf_dir, "documents")))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mined(negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -68,7 +80,15 @@ QUERIES = {
     "op8_repeated_passages": op8_repeated_passages,
     "op9_quality": op9_quality,
     "op10_chat": op10_chat,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_hard_negatives": op13_hard_negatives,
     "pipeline": pipeline,
 }
 
-ORACLE_SQL: dict[str, str] = {"op5_mixture": mixing.MIXTURE_SQL, "op10_chat": chat.CONVERSATIONS_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op5_mixture": mixing.MIXTURE_SQL,
+    "op10_chat": chat.CONVERSATIONS_SQL,
+    "op11_line_dedup": lines.LINES_SQL,
+    "op13_hard_negatives": negatives.NEGATIVES_SQL,
+}
