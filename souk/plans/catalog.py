@@ -153,15 +153,15 @@ query("profile_exact_duplicates")(
 from . import checks as CK  # noqa: E402
 
 query("clean_reject_null_key")(CK.null_key_rejects)
-query("clean_rule_cascade")(lambda w: CK.rejects_with_reason(w, 2, "payments", "INVALID_%"))
-query("clean_exact_dup_each_copy")(lambda w: CK.rejects_with_reason(w, 1, "orders", "EXACT_DUPLICATE_ROW%"))
-query("clean_exact_dup_grouped")(lambda w: CK.rejects_with_reason(w, 2, "customers", "EXACT_DUPLICATE_ROW%"))
+query("clean_rule_cascade")(CK.rule_rejects)
+query("clean_exact_dup_each_copy")(lambda w: CK.exact_duplicate_rejects(w, 1))
+query("clean_exact_dup_grouped")(lambda w: CK.exact_duplicate_rejects(w, 2))
 query("clean_dup_key_reject")(CK.dup_key_rejects)
-query("clean_dup_key_flag")(lambda w: w.cleaned("order_items"))
-query("clean_keep_first")(lambda w: w.cleaned("customers", "keep_first"))
-query("clean_distinct_rows")(lambda w: w.cleaned("geolocation", "keep_first"))
+query("clean_dup_key_flag")(CK.duplicate_flags)
+query("clean_keep_first")(CK.kept_rows)
+query("clean_distinct_rows")(CK.distinct_rows)
 query("clean_bounds_reject")(lambda w: CK.rejects_with_reason(w, 1, "geolocation", "COORDINATES_%"))
-query("clean_standardize_text")(lambda w: w.cleaned("sellers"))
+query("clean_standardize_text")(CK.standardized_texts)
 query("flag_timestamp_sequence")(lambda w: w.cleaned("orders"))
 query("flag_missing_attributes")(lambda w: w.cleaned("products"))
 query("flag_free_item")(lambda w: w.cleaned("order_items").filter(F.col("is_free_item") == 1).select(
@@ -206,7 +206,7 @@ for _key, _fn in (("check_mart_grain", MC.mart_grain), ("check_spend_consistency
 # ---- 2.1 sources and sinks ----------------------------------------------------------------------------
 from functools import reduce  # noqa: E402
 
-from .warehouse import audit  # noqa: E402
+from .warehouse import AUDIT_COLUMNS  # noqa: E402
 
 
 def _union_all(frames):
@@ -229,7 +229,12 @@ def _materialize(w: Warehouse) -> DataFrame:
     return w.order_agg("agg_order_items")
 
 
-query("append_rejects")(lambda w: w.rejects("order_items"))
+@query("append_rejects")
+def _append_rejects(w: Warehouse) -> DataFrame:
+    """The rejects of all tables and both generations as appended to the log by this run."""
+    log = w.reject_log()
+    return log.filter(F.col("run_id") == w.spark.sparkContext.applicationId).drop("run_id", "rejected_at")
+
 
 
 @query("named_views")
@@ -242,15 +247,14 @@ def _named_views(w: Warehouse) -> DataFrame:
 
 @query("audit_timestamp")
 def _audit_timestamp(w: Warehouse) -> DataFrame:
-    """Audit columns as stored in the written tables (stamped at write time)."""
-    w.cleaned("customers"), w.rejects("customers"), w.mart()
-    stamped = [("cleaned_customers", "cleaned_customers", "cleaned_at"),
-               ("rejects_customers", "rejects_customers", "rejected_at"),
-               ("fact_order_master", "fact_order_master", "fact_created_at"),
-               ("mart_customer_features", "mart_customer_features", "mart_created_at")]
-    return _union_all(w.stored(t).agg(F.count(F.lit(1)).alias("total_rows"), F.count(c).alias("audited_rows"))
-                      .select(F.lit(name).alias("table_name"), "total_rows", "audited_rows")
-                      for name, t, c in stamped)
+    """Audit columns as stored in all 38 audited tables (stamped at write time), read in one scan."""
+    w.clean_both(), w.mart()
+    names = [*w.cleaning_tables(), "fact_order_master", "mart_customer_features"]
+    stored = w.read_stored(names, ", ".join(f"{c} timestamp" for c in AUDIT_COLUMNS))
+    counts = stored.groupBy("table_name").agg(F.count(F.lit(1)).alias("total_rows"), F.count(F.coalesce(*AUDIT_COLUMNS)).alias("audited_rows"))
+    of = w.spark.createDataFrame([(n,) for n in names], "table_name string")  # a table without rows has no group
+    zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("total_rows", "audited_rows")]
+    return of.join(counts, "table_name", "left").select("table_name", *zero)
 
 
 @query("check_schema")
@@ -271,8 +275,6 @@ def _check_schema(w: Warehouse) -> DataFrame:
 
 @query("output_row_counts")
 def _output_row_counts(w: Warehouse) -> DataFrame:
-    tables = {**{f"cleaned_{t}": df for t, df in w.cleaned_all().items()},
-              **{f"rejects_{t}": df for t, df in w.rejects_all().items()},
-              "fact_order_master": w.fact(), "mart_customer_features": w.mart()}
-    return _union_all(df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(t).alias("table_name"), "row_count")
-                      for t, df in tables.items())
+    """Rows of the cleaned and reject tables, the fact and the mart, as counted while they were written."""
+    kept = (F.col("generation") == 2) | F.col("layer").isin("fact", "mart")
+    return w.ledger().filter(kept & (F.col("measure") == "rows")).select("table_name", F.col("value").alias("row_count"))

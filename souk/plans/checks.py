@@ -14,10 +14,9 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import bucketize, count_if
 from ..operators import profile as P
-from .cleaning import LAT_MAX, LAT_MIN, LNG_MAX, LNG_MIN, PAYMENT_TYPES
-from .warehouse import Warehouse
+from .cleaning import LAT_MAX, LAT_MIN, LNG_MAX, LNG_MIN, PAYMENT_TYPES, gen1_specs, gen2_specs, row_key, tagged
+from .warehouse import GENERATIONS, Warehouse
 
-GENERATIONS = {1: "keep_first", 2: "flag"}
 TABLES = ["customers", "orders", "order_items", "payments", "products", "sellers", "reviews", "geolocation",
           "category_translation"]
 UNIQUE_KEYS = {
@@ -95,19 +94,56 @@ def _rules(rules, default) -> Column:
 
 # ---- 2.3 cleaning operators as queries -----------------------------------------------------
 
+def _specs(gen: int):
+    return gen1_specs() if gen == 1 else gen2_specs()
+
+
 def rejects_with_reason(w: Warehouse, gen: int, table: str, like: str) -> DataFrame:
     return w.rejects(table, GENERATIONS[gen]).filter(F.col("reject_reason").like(like))
 
 
+def _tagged_rejects(w: Warehouse, chosen) -> DataFrame:
+    """Rejects of (generation, table, condition) in the one format of all tables."""
+    return _union(tagged(w.rejects(t, GENERATIONS[gen]).filter(cond), gen, t, ("reject_reason", "rejected_row_count"))
+                  for gen, t, cond in chosen)
+
+
+def rule_rejects(w: Warehouse) -> DataFrame:
+    """Rows that broke a business rule, with the first rule's reason, of every table that has rules."""
+    return _tagged_rejects(w, [(gen, t, F.col("reject_reason").isin([r for r, _ in spec.rules]))
+                               for gen in GENERATIONS for t, spec in _specs(gen).items() if spec.rules])
+
+
+def exact_duplicate_rejects(w: Warehouse, gen: int) -> DataFrame:
+    """Surplus copies of all tables: one row per copy (generation 1) or per group (generation 2)."""
+    return _tagged_rejects(w, [(gen, t, F.col("reject_reason").startswith("EXACT_DUPLICATE_ROW")) for t in TABLES])
+
+
+def duplicate_flags(w: Warehouse) -> DataFrame:
+    """Every cleaned row of the tables with a duplicate flag (generation 2): its key and the flag."""
+    return _union(w.cleaned(t).select(F.lit(t).alias("table_name"), P.key_string(row_key(t)).alias("key_value"), "duplicate_flag")
+                  for t, spec in gen2_specs().items() if spec.duplicate_flag)
+
+
+def kept_rows(w: Warehouse) -> DataFrame:
+    """The row that generation 1 keeps of each key, of all tables with a keep-first rule."""
+    return _union(tagged(w.cleaned(t, GENERATIONS[1]), 1, t) for t, spec in gen1_specs().items() if spec.dup_reason)
+
+
+def distinct_rows(w: Warehouse) -> DataFrame:
+    """Distinct geolocation rows of both generations: after normalising and the bounds (1), before both (2)."""
+    return _union(tagged(w.cleaned("geolocation", mode), gen, "geolocation") for gen, mode in GENERATIONS.items())
+
+
+def standardized_texts(w: Warehouse) -> DataFrame:
+    """Normalised text columns of the cleaned rows of all tables that have some, both generations."""
+    return _union(tagged(w.cleaned(t, mode), gen, t, values=list(_specs(gen)[t].normalise))
+                  for gen, mode in GENERATIONS.items() for t in TABLES if _specs(gen)[t].normalise)
+
+
 def null_key_rejects(w: Warehouse) -> DataFrame:
-    out = []
-    for gen, mode in GENERATIONS.items():
-        for t in TABLES:
-            r = w.rejects(t, mode).filter(F.col("reject_reason").startswith("NULL_"))
-            out.append(r.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("rejected_rows")).select(
-                F.lit(gen).cast("bigint").alias("generation"), F.lit(t).alias("dataset"), "reject_reason",
-                "rejected_rows"))
-    return _union(out)
+    r = w.reject_reasons().filter(F.col("reject_reason").startswith("NULL_"))
+    return r.select("generation", "dataset", "reject_reason", F.col("cnt").alias("rejected_rows"))
 
 
 def dup_key_rejects(w: Warehouse) -> DataFrame:
@@ -120,34 +156,27 @@ def dup_key_rejects(w: Warehouse) -> DataFrame:
     return _union(out)
 
 
+def _entry(layer: str, measure: str = "rows") -> Column:
+    """Value of one measure of the ledger, where rows of one dataset are grouped."""
+    return F.max(F.when((F.col("layer") == layer) & (F.col("measure") == measure), F.col("value")))
+
+
 def clean_summary(w: Warehouse) -> DataFrame:
-    out = []
-    for t in TABLES:
-        c = w.cleaned(t)
-        flag_col = "is_out_of_bounds" if t == "geolocation" else "duplicate_flag"
-        cs = c.agg(F.count(F.lit(1)).alias("cleaned_rows"), F.sum(flag_col).cast("bigint").alias("flagged_rows"))
-        rs = w.rejects(t).agg(F.count(F.lit(1)).alias("rejected_rows"))
-        out.append(cs.crossJoin(rs).select(F.lit(t).alias("table_name"), "cleaned_rows", "flagged_rows",
-                                           "rejected_rows"))
-    return _union(out)
+    g = w.ledger().filter("generation = 2").groupBy(F.col("dataset").alias("table_name"))
+    return g.agg(_entry("cleaned").alias("cleaned_rows"), _entry("cleaned", "flagged").alias("flagged_rows"),
+                 _entry("rejects").alias("rejected_rows"))
 
 
 # ---- 2.4 cleaning validation --------------------------------------------------------------------
 
 def row_accounting(w: Warehouse) -> DataFrame:
-    out = []
-    for gen, mode in GENERATIONS.items():
-        for t in TABLES:
-            raw = w.raw(t).agg(F.count(F.lit(1)).alias("raw_rows"))
-            cl = w.cleaned(t, mode).agg(F.count(F.lit(1)).alias("cleaned_rows"))
-            rj = w.rejects(t, mode).agg(F.count(F.lit(1)).alias("rejected_rows"),
-                                        F.sum("rejected_row_count").cast("bigint").alias("represented_rows"))
-            out.append(raw.crossJoin(cl).crossJoin(rj).select(
-                F.lit(gen).cast("bigint").alias("generation"), F.lit(t).alias("dataset"), "raw_rows", "cleaned_rows",
-                "rejected_rows", F.coalesce("represented_rows", F.lit(0)).alias("represented_rows"),
-                (F.col("raw_rows") - F.col("cleaned_rows") - F.coalesce("represented_rows", F.lit(0)))
-                .alias("unaccounted_rows")))
-    return _union(out)
+    """raw = cleaned + represented by rejects, for both generations, from the ledger alone."""
+    both = F.explode(F.when(F.col("generation").isNull(), F.array(*[F.lit(g).cast("bigint") for g in GENERATIONS])).otherwise(F.array("generation")))
+    entries = w.ledger().filter(F.col("layer").isin("raw", "cleaned", "rejects")).withColumn("generation", both)
+    g = entries.groupBy("generation", "dataset").agg(
+        _entry("raw").alias("raw_rows"), _entry("cleaned").alias("cleaned_rows"), _entry("rejects").alias("rejected_rows"),
+        _entry("rejects", "represented").alias("represented_rows"))
+    return g.withColumn("unaccounted_rows", F.col("raw_rows") - F.col("cleaned_rows") - F.col("represented_rows"))
 
 
 def unique_keys(w: Warehouse) -> DataFrame:
@@ -175,10 +204,7 @@ def null_summary(w: Warehouse) -> DataFrame:
 
 
 def reject_breakdown(w: Warehouse) -> DataFrame:
-    tagged = _union(w.rejects(t, mode).select(F.lit(gen).cast("bigint").alias("generation"),
-                                              F.lit(t).alias("dataset"), "reject_reason")
-                    for gen, mode in GENERATIONS.items() for t in TABLES)
-    return tagged.groupBy("generation", "dataset", "reject_reason").agg(F.count(F.lit(1)).alias("cnt"))
+    return w.reject_reasons()
 
 
 def business_rules(w: Warehouse) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators.clean import CleanResult, CleanSpec, clean
+from ..operators.tagged import tagged_rows
 
 # ---- fixed values (must equal the reference's literals) ----------------------
 PAYMENT_TYPES = ("credit_card", "boleto", "voucher", "debit_card", "not_defined")
@@ -160,6 +161,17 @@ def gen1_specs() -> dict[str, CleanSpec]:
     }
 
 
+def row_key(table: str) -> list[str]:
+    """Columns that name a row of the table in tagged form (geolocation has no key: the zip prefix)."""
+    spec = gen2_specs()[table]
+    return spec.dup_key if spec.dup_key and all(k.isidentifier() for k in spec.dup_key) else spec.key or ["geolocation_zip_code_prefix"]
+
+
+def tagged(df: DataFrame, generation: int, table: str, extra: tuple[str, ...] = (), values: list[str] | None = None) -> DataFrame:
+    """Rows of a cleaned or reject table in the one format of all tables; ``values`` are the columns in JSON, all others by default."""
+    return tagged_rows(df, generation, table, row_key(table), values or [c for c in df.columns if c not in extra], extra)
+
+
 def clean_all(raw: dict[str, DataFrame], mode: str = "flag") -> dict[str, CleanResult]:
     specs = gen2_specs() if mode == "flag" else gen1_specs()
     return {name: clean(df, specs[name], mode) for name, df in raw.items()}

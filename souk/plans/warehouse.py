@@ -6,6 +6,10 @@ filesystem on a cluster - so later stages and every query read a table
 instead of recomputing its lineage, and a lost executor only costs the
 tasks of the stage that is running.  One Warehouse per (application,
 input directory); tables are built lazily on first use.
+
+Every table is counted while it is written: its rows and a few sums are observed on top of the
+plan, in the stage that writes, where Spark counts each task once whatever is retried.  The
+counts of all tables are the ledger, a small table that the accounting checks read instead of the layers.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ import hashlib
 import threading
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import CleanResult
@@ -22,13 +26,17 @@ from ..session import checkpoint_dir
 from ..sources import fixtures
 from . import cleaning, fact as fact_plan, mart as mart_plan
 
+GENERATIONS = {1: "keep_first", 2: "flag"}
+AUDIT_COLUMNS = ["cleaned_at", "rejected_at", "fact_created_at", "mart_created_at"]
+LEDGER = "table_name string, layer string, generation bigint, dataset string, measure string, value bigint"
+
 _LOCK = threading.RLock()
 _CACHE: dict[tuple[str, str], "Warehouse"] = {}
 
 
 def materialize(spark: SparkSession, df: DataFrame, path: str, partition_by: list[str] | None = None,
                 bucket_by: str | None = None, table: str | None = None, audit_col: str | None = None,
-                full: bool = False) -> DataFrame:
+                full: bool = False, observe: tuple[Observation, list[Column]] | None = None) -> DataFrame:
     """Full refresh of a table (DROP + CREATE AS): overwrite, then read back.
 
     ``bucket_by`` writes an external bucketed table (files under ``path``,
@@ -40,6 +48,8 @@ def materialize(spark: SparkSession, df: DataFrame, path: str, partition_by: lis
     cols = df.columns
     if audit_col:  # stamped when the table is written (DEFAULT CURRENT_TIMESTAMP)
         df = audit(df, audit_col)
+    if observe:
+        df = df.observe(observe[0], *observe[1])
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -64,6 +74,7 @@ class Warehouse:
         self._stored: dict[str, DataFrame] = {}  # as written, audit column included
         self._locks: dict[str, threading.Lock] = {}
         self._clean: dict[tuple[str, str], CleanResult] = {}
+        self._counts: dict[str, dict[str, int]] = {}  # table -> measure -> value, as written
 
     @classmethod
     def get(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
@@ -73,7 +84,8 @@ class Warehouse:
                 _CACHE[key] = cls(spark, sf_dir)
             return _CACHE[key]
 
-    def _table(self, name: str, build, partition_by=None, bucket_by=None, audit_col=None) -> DataFrame:
+    def _table(self, name: str, build, partition_by=None, bucket_by=None, audit_col=None, sums: dict[str, str] | None = None) -> DataFrame:
+        """``sums``: columns whose sums are observed beside the rows, by the name of the measure."""
         with _LOCK:
             if name in self._tables:
                 return self._tables[name]
@@ -81,8 +93,13 @@ class Warehouse:
         with lock:  # one builder per table; other tables build concurrently
             if name not in self._tables:
                 df = build()
+                measures = [F.count(F.lit(1)).alias("rows")] + [
+                    F.coalesce(F.sum(F.col(c).cast("bigint")), F.lit(0)).alias(m) for m, c in (sums or {}).items() if c in df.columns]
+                seen = Observation()
                 stored = materialize(self.spark, df, f"{self.root}/{name}", partition_by, bucket_by,
-                                     f"{self.table_prefix}_{name}", audit_col, full=True)
+                                     f"{self.table_prefix}_{name}", audit_col, full=True, observe=(seen, measures))
+                # an empty plan may be written without the node that counts
+                self._counts[name] = dict(seen.get) or stored.agg(*measures).first().asDict()
                 self._stored[name] = stored
                 self._tables[name] = stored.select(*df.columns)
         return self._tables[name]
@@ -136,11 +153,12 @@ class Warehouse:
 
     def cleaned(self, name: str, mode: str = "flag") -> DataFrame:
         prefix = "cleaned" if mode == "flag" else "g1_cleaned"
-        return self._table(f"{prefix}_{name}", lambda: self.cleaning(name, mode).cleaned, audit_col="cleaned_at")
+        flag = "is_out_of_bounds" if name == "geolocation" else "duplicate_flag"
+        return self._table(f"{prefix}_{name}", lambda: self.cleaning(name, mode).cleaned, audit_col="cleaned_at", sums={"flagged": flag})
 
     def rejects(self, name: str, mode: str = "flag") -> DataFrame:
         prefix = "rejects" if mode == "flag" else "g1_rejects"
-        return self._table(f"{prefix}_{name}", lambda: self.cleaning(name, mode).rejects, audit_col="rejected_at")
+        return self._table(f"{prefix}_{name}", lambda: self.cleaning(name, mode).rejects, audit_col="rejected_at", sums={"represented": "rejected_row_count"})
 
     def cleaned_all(self, mode: str = "flag") -> dict[str, DataFrame]:
         return self._parallel(fixtures.RAW_BUILDERS, lambda n: self.cleaned(n, mode))
@@ -148,6 +166,62 @@ class Warehouse:
     def rejects_all(self, mode: str = "flag") -> dict[str, DataFrame]:
         return self._parallel(fixtures.RAW_BUILDERS, lambda n: self.rejects(n, mode))
 
+    def clean_both(self) -> None:
+        """Both cleaning generations of all tables, side by side."""
+        self._parallel([(n, kind, mode) for mode in GENERATIONS.values() for n in fixtures.RAW_BUILDERS for kind in ("cleaned", "rejects")],
+                       lambda x: getattr(self, x[1])(x[0], x[2]))
+
+    def cleaning_tables(self) -> dict[str, tuple[str, int, str]]:
+        """Written table -> (layer, generation, dataset) of the 36 cleaned and reject tables."""
+        return {f"{'g1_' if gen == 1 else ''}{layer}_{t}": (layer, gen, t) for gen in GENERATIONS for layer in ("cleaned", "rejects")
+                for t in fixtures.RAW_BUILDERS}
+
+    def read_stored(self, names: list[str], schema: str) -> DataFrame:
+        """The columns of ``schema`` of written tables in one scan, with the table's name; a column that a table lacks is NULL."""
+        files = self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*[f"{self.root}/{n}" for n in names])
+        tag = self.root.rsplit("/", 1)[1]
+        name = F.split_part(F.split_part(F.col("_metadata.file_path"), F.lit(f"/{tag}/"), F.lit(2)), F.lit("/"), F.lit(1))
+        return files.withColumn("table_name", name)
+
+    def ledger(self) -> DataFrame:
+        """Counts of every written layer, one row per table and measure, collected while the tables were written."""
+        def build():
+            self.clean_both()
+            self.fact(), self.mart()
+            tables = {f"raw_{t}": ("raw", None, t) for t in fixtures.RAW_BUILDERS} | self.cleaning_tables()
+            tables |= {"fact_order_master": ("fact", None, "fact_order_master"), "mart_customer_features": ("mart", None, "mart_customer_features")}
+            return self.spark.createDataFrame([(n, *t, m, v) for n, t in tables.items() for m, v in self._counts[n].items()], LEDGER)
+
+        return self._table("ledger", build)
+
+    def reject_reasons(self) -> DataFrame:
+        """Reject rows by table and reason: the part of the ledger that has no fixed number of measures, counted once."""
+        def build():
+            self.clean_both()
+            names = {n: t for n, t in self.cleaning_tables().items() if t[0] == "rejects"}
+            of = self.spark.createDataFrame([(n, gen, t) for n, (_, gen, t) in names.items()], "table_name string, generation bigint, dataset string")
+            counts = self.read_stored(list(names), "reject_reason string").groupBy("table_name", "reject_reason").agg(F.count(F.lit(1)).alias("cnt"))
+            return counts.join(F.broadcast(of), "table_name").select("generation", "dataset", "reject_reason", "cnt")  # 18 names
+
+        return self._table("reject_reasons", build)
+
+    def reject_log(self, run_id: str | None = None) -> DataFrame:
+        """All rejects of both generations appended to the log as the rows of one run; the same run again replaces its rows."""
+        from ..operators.tagged import replace_run
+
+        run_id = run_id or self.spark.sparkContext.applicationId
+        with _LOCK:
+            lock = self._locks.setdefault("reject_log", threading.Lock())
+        with lock:
+            self.clean_both()
+            by = [(gen, t) for gen in GENERATIONS for t in fixtures.RAW_BUILDERS]
+            rows = None
+            for gen, t in by:
+                one = cleaning.tagged(self.rejects(t, GENERATIONS[gen]), gen, t, ("reject_reason", "rejected_row_count"))
+                rows = one if rows is None else rows.unionByName(one)
+            partitions = self.spark.createDataFrame(by, "generation bigint, table_name string")
+            return replace_run(audit(rows, "rejected_at"), f"{self.root}/reject_log", run_id, partitions)
+
     def dim(self, name: str) -> DataFrame:
         """A one-row-per-key dimension.  Not bucketed: a join on a foreign key shuffles both sides,
         so Spark can split the partition of a popular value."""
@@ -213,9 +287,7 @@ class Warehouse:
     def build_all(self) -> None:
         """Materialise every layer, independent tables side by side."""
         self.raw_all()
-        for mode in ("flag", "keep_first"):
-            self._parallel([(n, kind) for n in fixtures.RAW_BUILDERS for kind in ("cleaned", "rejects")],
-                           lambda nk: getattr(self, nk[1])(nk[0], mode))
+        self.clean_both()
         self.mart()
 
     def csv_loaded_all(self) -> dict[str, DataFrame]:
