@@ -22,7 +22,15 @@ def dominant(df: DataFrame, entity: str, value: str, name: str | None = None) ->
     return best.select(entity, F.col(value).alias(name))
 
 
-def latest_by(df: DataFrame, entity: str, order: list[str], cols: list[str]) -> DataFrame:
-    """Columns of the row with the greatest ``order`` tuple per entity (max_by on a struct)."""
-    best = df.groupBy(entity).agg(F.max(F.struct(*order, *cols)).alias("_m"))
-    return best.select(entity, *[F.col(f"_m.{c}").alias(c) for c in cols])
+def latest_by(df: DataFrame, entity: str, when: str, ties: list[str], cols: list[str], latest: DataFrame | None = None) -> DataFrame:
+    """Columns of the row with the greatest ``when`` per entity; of several, the greatest ``ties``.
+
+    ``latest`` may hold the greatest ``when`` per entity already, under the same names.  A timestamp or number is
+    kept in a fixed-width buffer, so that maximum is a hash aggregation; then only rows that reach it are
+    ordered, one per entity but for ties.  An entity whose ``when`` is always NULL keeps its greatest ``ties``.
+    """
+    latest = latest if latest is not None else df.groupBy(entity).agg(F.max(when).alias(when))
+    top = latest.select(F.col(entity).alias("_entity"), F.col(when).alias("_when"))
+    reached = df.join(top, (F.col(entity) == F.col("_entity")) & F.col(when).eqNullSafe(F.col("_when")))
+    order = Window.partitionBy(entity).orderBy(*[F.col(t).desc() for t in ties], *[F.col(c).desc() for c in cols])
+    return reached.withColumn("_rn", F.row_number().over(order)).filter(F.col("_rn") == 1).select(entity, *cols)

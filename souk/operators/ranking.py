@@ -1,5 +1,5 @@
-"""Global (unpartitioned) ranking that scales: ROW_NUMBER, running SUM, NTILE,
-discrete percentiles and the median over a whole table.
+"""Global (unpartitioned) ranking that scales: ROW_NUMBER, running SUM and NTILE of every row of a whole table
+(``selection`` has tiles, percentiles and medians that need no ranking of all rows).
 
 ``Window.orderBy(...)`` without ``partitionBy`` plans ``Exchange SinglePartition``:
 one task sorts the whole table.  Instead:
@@ -15,14 +15,11 @@ one task sorts the whole table.  Instead:
 Because the tie-break is part of the key, a value shared by a third of the
 rows is still cut into many ranges.  NULL keys are ranked: first in ascending
 order, last in descending order, as the window orders them.
-
-Percentiles and the median rank the distinct values with their counts, so a
-repeated value is one row however often it occurs.
+The number of ranges is ``spark.sql.shuffle.partitions``: that setting bounds the rows of a task.
 """
 
 from __future__ import annotations
 
-import math
 import uuid
 from dataclasses import dataclass
 from decimal import Decimal
@@ -126,31 +123,3 @@ def global_ntile(df, k: int, order, tiebreak, name="ntile", **kw) -> DataFrame:
     r = rank_buckets(df, order, tiebreak, **kw)
     out = r.with_row_number("_rn")
     return out.withColumn(name, ntile_from_rank(F.col("_rn"), r.n, k)).drop("_rn", "_bucket")
-
-
-def _value_counts(df: DataFrame, value_col: str, **kw) -> Ranked:
-    counts = df.filter(F.col(value_col).isNotNull()).groupBy(value_col).agg(F.count(F.lit(1)).alias("_count"))
-    return rank_buckets(counts, [SortKey(value_col)], [], sum_col="_count", **kw)
-
-
-def _at_positions(ranked: Ranked, value_col: str, positions: list[int]) -> DataFrame:
-    rows = ranked.with_running_sum("_to", "_rn").withColumn("position", F.explode(F.array(*[F.lit(p).cast("bigint") for p in positions])))
-    return rows.filter((F.col("position") <= F.col("_to")) & (F.col("position") > F.col("_to") - F.col("_count"))).select("position", value_col)
-
-
-def _total(ranked: Ranked) -> int:
-    return ranked.df.agg(F.coalesce(F.sum("_count"), F.lit(0))).first()[0]
-
-
-def percentile_disc(df: DataFrame, value_col: str, p: float, **kw) -> DataFrame:
-    """Smallest non-NULL value whose CUME_DIST reaches p: the value at position ceil(p * n). One row, none without values."""
-    ranked = _value_counts(df, value_col, **kw)
-    n = _total(ranked)
-    return _at_positions(ranked, value_col, [max(1, math.ceil(Decimal(str(p)) * n))]).select(value_col)
-
-
-def median_values(df: DataFrame, value_col: str, **kw) -> list:
-    """The one or two middle values of the non-NULL ones (two positions, so two rows reach the driver)."""
-    ranked = _value_counts(df, value_col, **kw)
-    n = _total(ranked)
-    return [r[value_col] for r in _at_positions(ranked, value_col, [(n + 1) // 2, (n + 2) // 2]).collect()] if n else []

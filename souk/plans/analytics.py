@@ -1,12 +1,10 @@
 """The 25 analytics questions over the mart and the fact.
 
 Most answers are "aggregate the mart by a small key, then window over the
-aggregate" - the window runs on tens of rows.  Questions that rank ALL
-customers (deciles, Pareto, median) use the range ranking operator, so no
-plan contains a single-partition window over the mart.  Questions that join
-the fact to the mart first reduce the fact to DISTINCT (customer, month)
-pairs - a customer with a third of all orders collapses to a few hundred
-rows before the shuffle join.
+aggregate" - the window runs on tens of rows.  Deciles and the median are found from counts of
+values; Pareto, which needs every customer's rank, uses the range ranking operator: no
+plan contains a single-partition window over the mart.  Cohort and retention questions read one
+bitmap of active months per customer, neither the fact nor the mart.
 """
 
 from __future__ import annotations
@@ -18,7 +16,8 @@ from ..functions.exprs import (
     LIFECYCLE_ORDER, WEEKDAYS, avg_dec, bucketize, count_if, dec, field_position, month_index, nullif, pct,
     year_month,
 )
-from ..operators.ranking import SortKey, median_values, ntile_from_rank, rank_buckets
+from ..operators.ranking import Ranked, SortKey, rank_buckets
+from ..operators.selection import median_values, tiles
 
 def total_window() -> Window:
     """OVER () - only ever applied to small aggregated frames (tens of rows)."""
@@ -124,22 +123,17 @@ def kpi_summary(mart: DataFrame) -> DataFrame:
 SPEND_RANK_COLUMNS = ("customer_unique_id", "total_spend", "segment_label", "lifecycle_stage")
 
 
-def spend_ranking(mart: DataFrame, cols=SPEND_RANK_COLUMNS):
-    """Customers with spend > 0 ranked by spend desc (id breaks ties), with running spend.
-
-    Deciles, both Pareto answers and the Pareto view share one ranking of the
-    same table, kept with the table object that the warehouse holds.
-    """
-    kept = mart.__dict__.setdefault("_spend_rankings", {})
-    if tuple(cols) not in kept:
-        base = mart.filter(F.col("total_spend") > 0).select(*cols)
-        kept[tuple(cols)] = rank_buckets(base, [SortKey("total_spend", True)], ["customer_unique_id"], sum_col="total_spend")
-    return kept[tuple(cols)]
+def spend_ranking(mart: DataFrame) -> Ranked:
+    """Customers with spend > 0 ranked by spend desc (id breaks ties), with running spend: one ranking serves
+    both Pareto answers and the Pareto view (the warehouse keeps it)."""
+    base = mart.filter(F.col("total_spend") > 0).select(*SPEND_RANK_COLUMNS)
+    return rank_buckets(base, [SortKey("total_spend", True)], ["customer_unique_id"], sum_col="total_spend")
 
 
 def revenue_deciles(mart: DataFrame) -> DataFrame:
-    r = spend_ranking(mart)
-    scored = r.with_row_number("_rn").withColumn("spend_decile", ntile_from_rank(F.col("_rn"), r.n, 10))
+    base = mart.filter(F.col("total_spend") > 0).select("customer_unique_id", "total_spend")
+    decile = tiles(base, {"spend": SortKey("total_spend", True)}, "customer_unique_id", 10)["spend"]
+    scored = base.withColumn("spend_decile", decile.cast("bigint"))
     g = scored.groupBy("spend_decile").agg(F.count(F.lit(1)).alias("customer_count"),
                                            F.sum("total_spend").alias("_rev"))
     running = F.sum("_rev").over(Window.orderBy("spend_decile").rowsBetween(Window.unboundedPreceding, 0))
@@ -154,8 +148,7 @@ def revenue_deciles(mart: DataFrame) -> DataFrame:
 
 # ---- 2. Pareto --------------------------------------------------------------------
 
-def _pareto_rows(mart: DataFrame, pct_digits: int) -> DataFrame:
-    r = spend_ranking(mart)
+def _pareto_rows(r: Ranked, pct_digits: int) -> DataFrame:
     rows = r.with_running_sum("cumulative_spend", "spend_rank")
     total = F.lit(r.n).cast("bigint")
     grand = F.lit(r.total_sum).cast("decimal(38,2)")
@@ -167,8 +160,8 @@ def _pareto_rows(mart: DataFrame, pct_digits: int) -> DataFrame:
     )
 
 
-def pareto_bands(mart: DataFrame) -> DataFrame:
-    p = _pareto_rows(mart, 4).withColumn("_band", F.round("customer_pct", 0))
+def pareto_bands(ranking: Ranked) -> DataFrame:
+    p = _pareto_rows(ranking, 4).withColumn("_band", F.round("customer_pct", 0))
     g = p.filter(F.col("_band").isin(*PARETO_BANDS)).groupBy("_band").agg(
         F.max("spend_rank").alias("max_customer_rank"),
         F.round(F.max("cumulative_revenue_pct"), 2).alias("cumulative_revenue_pct"),
@@ -180,8 +173,8 @@ def pareto_bands(mart: DataFrame) -> DataFrame:
     )
 
 
-def pareto_80_threshold(mart: DataFrame) -> DataFrame:
-    p = _pareto_rows(mart, 2).filter(F.col("cumulative_revenue_pct") >= 80)
+def pareto_80_threshold(ranking: Ranked) -> DataFrame:
+    p = _pareto_rows(ranking, 2).filter(F.col("cumulative_revenue_pct") >= 80)
     return p.agg(
         F.min("spend_rank").alias("customers_needed_for_80pct_revenue"),
         F.round(F.min("customer_pct"), 2).alias("customer_percentile_that_drives_80pct"),
@@ -300,43 +293,63 @@ def cohort_sizes(mart: DataFrame) -> DataFrame:
     )
 
 
-def customer_months(fact: DataFrame, mart: DataFrame) -> DataFrame:
-    """DISTINCT (customer, purchase month) joined to the customer's cohort.
+WORD = 62  # months in one word of a bitmap
+
 
-    Distinct pairs first (partial aggregation on the fact side), so the join
-    input is bounded by customers x active months, not by orders.
+def active_months(fact: DataFrame) -> DataFrame:
+    """One bitmap of the months with a purchase per customer, and the first such month, in one aggregation.
+
+    Bit i of the words (``WORD`` bits each) is month ``base_month`` + i; the number of words follows from the months
+    that the fact covers.  A word is a bigint that rows are OR-ed into: a hash aggregation, combined
+    map-side, so a customer with a third of all orders is one row per task.
     """
-    pairs = fact.filter(F.col("customer_unique_id").isNotNull() & F.col("order_purchase_timestamp").isNotNull()) \
-        .select("customer_unique_id", year_month("order_purchase_timestamp").alias("order_month"),
-                month_index("order_purchase_timestamp").alias("_mi")).distinct()
-    cohorts = mart.select("customer_unique_id", "cohort_month", month_index("first_order_date").alias("_ci"))
-    return pairs.join(cohorts, "customer_unique_id").select(
-        "customer_unique_id", "order_month", "cohort_month", (F.col("_mi") - F.col("_ci")).alias("period_num")
-    )
+    rows = fact.filter(F.col("customer_unique_id").isNotNull() & F.col("order_purchase_timestamp").isNotNull()) \
+        .select("customer_unique_id", month_index("order_purchase_timestamp").alias("_m"))
+    lo, hi = rows.agg(F.min("_m"), F.max("_m")).first()
+    lo, hi = (0, 0) if lo is None else (lo, hi)
+    rows = rows.withColumn("_i", F.col("_m") - F.lit(lo))
+    words = [F.bit_or(F.expr(f"CASE WHEN _i DIV {WORD} = {k} THEN shiftleft(1L, CAST(_i % {WORD} AS INT)) ELSE 0L END")).alias(f"_w{k}")
+             for k in range((hi - lo) // WORD + 1)]
+    g = rows.groupBy("customer_unique_id").agg(F.min("_m").cast("int").alias("first_month"), *words)
+    return g.select("customer_unique_id", "first_month", F.lit(lo).alias("base_month"),
+                    F.array(*[f"_w{k}" for k in range(len(words))]).alias("months"))
+
 
+def is_active(month: Column) -> Column:
+    """1 if the bitmap ``months`` has the month (an index as ``first_month``), else 0; months it does not cover are 0."""
+    i = month - F.col("base_month")
+    word = F.when((i >= 0) & (i < F.size("months") * WORD), F.get("months", F.floor(i / WORD).cast("int")))
+    return F.coalesce(F.call_function("shiftright", word, F.pmod(i, F.lit(WORD)).cast("int")).bitwiseAND(F.lit(1)), F.lit(0)).cast("bigint")
 
-def cohort_activity(fact: DataFrame, mart: DataFrame) -> DataFrame:
+
+def month_label(index) -> Column:
+    """yyyy-MM of a month index (12 * year + month)."""
+    m = F.col(index) - 1
+    return F.format_string("%04d-%02d", F.floor(m / 12).cast("int"), (m % 12 + 1).cast("int"))
+
+
+def cohort_activity(months: DataFrame) -> DataFrame:
+    """Active customers per cohort and period: one aggregation of the customers' bitmaps."""
     lo, hi = RETENTION_PERIODS
-    cm = customer_months(fact, mart).filter(F.col("period_num").between(lo, hi))
-    # rows are distinct per (customer, month), and a month fixes the period: count = distinct customers
-    act = cm.groupBy("cohort_month", "period_num").agg(F.count(F.lit(1)).alias("active_customers"))
-    sizes = mart.groupBy("cohort_month").agg(F.count(F.lit(1)).alias("cohort_size"))
-    return act.join(sizes, "cohort_month").select(
-        "cohort_month", "cohort_size", "period_num", "active_customers",
-        pct(F.col("active_customers"), F.col("cohort_size")).alias("retention_pct"),
-    )
+    g = months.groupBy("first_month").agg(
+        F.count(F.lit(1)).alias("cohort_size"),
+        *[F.sum(is_active(F.col("first_month") + p)).alias(f"_p{p}") for p in range(lo, hi + 1)])
+    pairs = ", ".join(f"{p}, _p{p}" for p in range(lo, hi + 1))
+    long = g.select(month_label("first_month").alias("cohort_month"), "cohort_size",
+                    F.expr(f"stack({hi - lo + 1}, {pairs}) AS (period_num, active_customers)")).filter("active_customers > 0")
+    return long.withColumn("retention_pct", pct(F.col("active_customers"), F.col("cohort_size")))
 
 
-def cohort_retention_matrix(fact: DataFrame, mart: DataFrame, activity: DataFrame | None = None) -> DataFrame:
-    a = activity if activity is not None else cohort_activity(fact, mart)
+def cohort_retention_matrix(months: DataFrame) -> DataFrame:
+    a = cohort_activity(months)
     label = F.when(F.col("period_num") == 0, F.lit("Month 0 (acquisition)")).otherwise(
         F.concat(F.lit("Month "), F.col("period_num").cast("string")))
     return a.select("cohort_month", "cohort_size", "period_num", "active_customers", "retention_pct",
                     label.alias("period_label"))
 
 
-def retention_by_period(fact: DataFrame, mart: DataFrame, activity: DataFrame | None = None) -> DataFrame:
-    a = activity if activity is not None else cohort_activity(fact, mart)
+def retention_by_period(months: DataFrame) -> DataFrame:
+    a = cohort_activity(months)
     return a.groupBy("period_num").agg(
         F.round(F.avg("retention_pct"), 2).alias("avg_retention_pct"),
         F.round(F.min("retention_pct"), 2).alias("min_retention_pct"),
@@ -347,10 +360,11 @@ def retention_by_period(fact: DataFrame, mart: DataFrame, activity: DataFrame |
 
 # ---- 6. Retention trends ------------------------------------------------------------------
 
-def new_vs_returning(fact: DataFrame, mart: DataFrame) -> DataFrame:
-    cm = customer_months(fact, mart)
-    is_new = F.col("order_month") == F.col("cohort_month")
-    g = cm.groupBy("order_month").agg(
+def new_vs_returning(months: DataFrame) -> DataFrame:
+    covered = F.sequence(F.col("first_month"), F.col("base_month") + F.size("months") * WORD - 1)
+    cm = months.select("first_month", F.explode(F.filter(covered, lambda m: is_active(m) == 1)).alias("_m"))
+    is_new = F.col("_m") == F.col("first_month")
+    g = cm.groupBy(month_label("_m").alias("order_month")).agg(
         count_if(is_new).alias("new_customers"),
         count_if(~is_new).alias("returning_customers"),
         F.count(F.lit(1)).alias("total_active_customers"),

@@ -106,24 +106,28 @@ query("retention_features")(lambda w: w.mart().select(
 query("mart_distributions")(lambda w: A.mart_distributions(w.mart()))
 
 # ---- 2.9 analytics -------------------------------------------------------------------------
-for _key in ("kpi_summary", "revenue_deciles", "pareto_bands", "pareto_80_threshold", "segment_metrics",
+for _key in ("kpi_summary", "revenue_deciles", "segment_metrics",
              "segment_ranking", "segment_top_customers", "lifecycle_distribution", "revenue_at_risk",
              "dormant_recovery", "cohort_sizes", "repeat_rate_trend", "delay_review_impact",
              "high_value_categories", "delay_retention", "state_ranking", "buyer_type_comparison",
              "repurchase_interval", "segment_lifecycle_matrix", "segment_top_categories"):
     query(_key)((lambda fn: lambda w: fn(w.mart()))(getattr(A, _key)))
 
+for _key in ("pareto_bands", "pareto_80_threshold"):
+    query(_key)((lambda fn: lambda w: fn(w.spend_ranking()))(getattr(A, _key)))
+
 for _key in ("cohort_retention_matrix", "retention_by_period", "new_vs_returning"):
-    query(_key)((lambda fn: lambda w: fn(w.fact(), w.mart()))(getattr(A, _key)))
+    query(_key)((lambda fn: lambda w: fn(w.active_months()))(getattr(A, _key)))
 
 for _key in ("monthly_trend", "weekday_distribution"):
     query(_key)((lambda fn: lambda w: fn(w.fact()))(getattr(A, _key)))
 
 # ---- 2.10 views --------------------------------------------------------------------------------
-for _key in ("vw_kpi_executive", "vw_pareto_revenue", "vw_segment_summary", "vw_lifecycle_summary",
+for _key in ("vw_kpi_executive", "vw_segment_summary", "vw_lifecycle_summary",
              "vw_risk_behavior", "vw_geographic_summary", "vw_customer_profile_distribution"):
     query(_key)((lambda fn: lambda w: fn(w.mart()))(getattr(V, _key)))
-query("vw_cohort_retention")(lambda w: V.vw_cohort_retention(w.fact(), w.mart()))
+query("vw_pareto_revenue")(lambda w: V.vw_pareto_revenue(w.spend_ranking()))
+query("vw_cohort_retention")(lambda w: V.vw_cohort_retention(w.active_months()))
 query("vw_monthly_revenue_trend")(lambda w: V.vw_monthly_revenue_trend(w.fact()))
 
 # ---- 2.2 profiling --------------------------------------------------------------------------------
@@ -240,7 +244,7 @@ def _append_rejects(w: Warehouse) -> DataFrame:
 @query("named_views")
 def _named_views(w: Warehouse) -> DataFrame:
     """Every registered view, read by its name: rows and columns of each."""
-    names = V.register_views(w.spark, w.fact(), w.mart(), w.dims())
+    names = V.register_views(w.spark, w.fact(), w.mart(), w.dims(), w.spend_ranking(), w.active_months())
     return _union_all(w.spark.sql(f"SELECT '{v}' AS view_name, count(*) AS row_count, {len(w.spark.table(v).columns)} AS column_count FROM {v}")
                       for v in names)
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import avg_dec, days_between, dec, flag, nullif, weekday_name
 from ..operators.integrity import dedupe, ri_check
 from ..operators.modes import dominant
-from ..operators.ranking import percentile_disc
+from ..operators.selection import percentile_disc
 
 FACT_COLUMNS = [
     "order_id", "customer_id", "customer_unique_id", "order_status", "order_purchase_timestamp",

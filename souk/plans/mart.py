@@ -1,13 +1,14 @@
 """Customer feature mart: one row per customer_unique_id, 48 data columns.
 
 Plan shape:
-* ONE ``groupBy(customer_unique_id)`` computes the 26 measures, the
-  recency-window counts and the last known location (``max(struct(ts,
-  order_id, city, state))``) - partial aggregation map-side, so a customer
+* ONE ``groupBy(customer_unique_id)`` computes the 26 measures and the
+  recency-window counts - partial aggregation map-side, so a customer
   with a third of all orders is reduced before the shuffle;
+* the last known location is read from the orders at the customer's last order date,
+  which that aggregation has found already (no struct buffer, no sort aggregate);
 * preferred category / weekday: ``dominant`` (two more aggregations);
-* r/f/m scores: three global NTILE(5) from the range ranking operator
-  over the (materialised) aggregate - never a single-partition window;
+* r/f/m scores: three NTILE(5) as comparisons with the ends of the tiles, which are found from
+  counts of values over the (materialised) aggregate - no window over it;
 * the reference date is a single scalar (MAX over the fact).
 """
 
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import avg_dec, count_if, days_between, dec, flag, nullif, ratio, ts_lit, year_month
 from ..operators.modes import dominant, latest_by
-from ..operators.ranking import SortKey, ntile_from_rank, rank_buckets
+from ..operators.ranking import SortKey
+from ..operators.selection import tiles
 
 MART_COLUMNS = [
     "customer_unique_id", "customer_city", "customer_state", "total_orders", "total_spend",
@@ -108,16 +110,16 @@ def customer_agg(fact: DataFrame, ref_date) -> DataFrame:
     return g.withColumn("frequency", F.col("total_orders")).withColumn("monetary", F.col("total_spend"))
 
 
-def last_location(fact: DataFrame) -> DataFrame:
+def last_location(fact: DataFrame, agg: DataFrame) -> DataFrame:
     """City/state of the latest order (order_id breaks timestamp ties).
 
-    A narrow aggregation of its own: its struct buffer forces a sort-based
-    aggregate, which must not drag the 26 hash-aggregated measures along.
+    ``agg`` (one row per customer, bucketed) holds the last order date, so the fact is joined with it and
+    only the orders at that date go on; of several, the greatest order_id is the latest.
     """
     rows = fact.filter(F.col("customer_unique_id").isNotNull()).select(
         "customer_unique_id", "order_purchase_timestamp", "order_id", "customer_city", "customer_state")
-    return latest_by(rows, "customer_unique_id", ["order_purchase_timestamp", "order_id"],
-                     ["customer_city", "customer_state"])
+    return latest_by(rows, "customer_unique_id", "order_purchase_timestamp", ["order_id"], ["customer_city", "customer_state"],
+                     agg.select("customer_unique_id", F.col("last_order_date").alias("order_purchase_timestamp")))
 
 
 def preferred(fact: DataFrame, value: str, name: str) -> DataFrame:
@@ -125,42 +127,24 @@ def preferred(fact: DataFrame, value: str, name: str) -> DataFrame:
     return dominant(rows, "customer_unique_id", value, name)
 
 
-def rfm_scores(agg: DataFrame, k: int = 5, parallel=None) -> DataFrame:
-    """r/f/m NTILE(k) over all customers, ties broken by customer id (deterministic).
+RFM_KEYS = {"r_score": SortKey("recency_days", True), "f_score": SortKey("frequency"), "m_score": SortKey("monetary")}
 
-    The three rankings are independent: their boundary/offset jobs may run
-    side by side (``parallel(items, fn) -> dict``).
-    """
-    base = agg.select("customer_unique_id", "recency_days", "frequency", "monetary")
-    keys = {"r_score": SortKey("recency_days", True), "f_score": SortKey("frequency"),
-            "m_score": SortKey("monetary")}
-
-    def ranked(name):
-        key = keys[name]
-        return rank_buckets(base.select("customer_unique_id", key.column), [key], ["customer_unique_id"])
-
-    ranks = parallel(list(keys), ranked) if parallel else {n: ranked(n) for n in keys}
-    out = None
-    for name in keys:
-        r = ranks[name]
-        scored = r.with_row_number("_rn").select(
-            "customer_unique_id", ntile_from_rank(F.col("_rn"), r.n, k).cast("int").alias(name)
-        )
-        out = scored if out is None else out.join(scored, "customer_unique_id")
-    return out.select(
-        "customer_unique_id", "r_score", "f_score", "m_score",
-        (F.col("r_score") + F.col("f_score") + F.col("m_score")).alias("rfm_score"),
-        F.concat(F.col("r_score").cast("string"), F.col("f_score").cast("string"),
-                 F.col("m_score").cast("string")).alias("rfm_label"),
+
+def with_rfm(agg: DataFrame, k: int = 5) -> DataFrame:
+    """r/f/m NTILE(k) over all customers, ties broken by customer id: one projection, after the ends of the
+    tiles have been found from counts of the three values."""
+    scores = tiles(agg, RFM_KEYS, "customer_unique_id", k)
+    scored = agg.select("*", *[c.alias(name) for name, c in scores.items()])
+    return scored.select(
+        "*", (F.col("r_score") + F.col("f_score") + F.col("m_score")).alias("rfm_score"),
+        F.concat(*[F.col(name).cast("string") for name in RFM_KEYS]).alias("rfm_label"),
     )
 
 
-def assemble_mart(agg: DataFrame, loc: DataFrame, rfm: DataFrame, pref_cat: DataFrame, pref_day: DataFrame,
-                  ref_date) -> DataFrame:
+def assemble_mart(scored: DataFrame, loc: DataFrame, pref_cat: DataFrame, pref_day: DataFrame, ref_date) -> DataFrame:
     ref = ts_lit(ref_date)
     m = (
-        agg.join(loc, "customer_unique_id", "left")
-        .join(rfm, "customer_unique_id", "left")
+        scored.join(loc, "customer_unique_id", "left")
         .join(pref_cat, "customer_unique_id", "left")
         .join(pref_day, "customer_unique_id", "left")
     )
@@ -197,6 +181,5 @@ def build_mart(fact: DataFrame, materialize=None, parallel=None) -> DataFrame:
     }
     done = parallel(list(steps), lambda n: steps[n]()) if parallel else {n: f() for n, f in steps.items()}
     agg = done["customer_agg"]
-    rfm = rfm_scores(agg, parallel=parallel)
-    return assemble_mart(agg, last_location(fact), rfm, done["customer_preferred_cat"],
+    return assemble_mart(with_rfm(agg), last_location(fact, agg), done["customer_preferred_cat"],
                          done["customer_preferred_day"], ref_date)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import dec, pct
+from ..operators.ranking import Ranked, ntile_from_rank
 from . import analytics as A
 
 # ---- fixed values (must equal the reference's literals) ----------------------
@@ -58,17 +59,14 @@ def vw_kpi_executive(mart: DataFrame) -> DataFrame:
     )
 
 
-def vw_pareto_revenue(mart: DataFrame) -> DataFrame:
+def vw_pareto_revenue(r: Ranked) -> DataFrame:
     cols = A.SPEND_RANK_COLUMNS
-    r = A.spend_ranking(mart)
     rows = r.with_running_sum("cumulative_spend", "spend_rank")
     n = F.lit(r.n).cast("bigint")
     grand = F.lit(r.total_sum).cast("decimal(38,2)")
     share = F.col("spend_rank") * dec("100.0") / n
     tier = F.when(share <= PARETO_TIERS[0][0], F.lit(PARETO_TIERS[0][1])) \
         .when(share <= PARETO_TIERS[1][0], F.lit(PARETO_TIERS[1][1])).otherwise(F.lit(PARETO_TIER_DEFAULT))
-    from ..operators.ranking import ntile_from_rank
-
     return rows.select(
         *cols, "spend_rank", n.alias("total_customers"),
         F.round(share, 2).alias("customer_percentile"),
@@ -126,8 +124,8 @@ def vw_lifecycle_summary(mart: DataFrame) -> DataFrame:
     )
 
 
-def vw_cohort_retention(fact: DataFrame, mart: DataFrame, activity: DataFrame | None = None) -> DataFrame:
-    a = activity if activity is not None else A.cohort_activity(fact, mart)
+def vw_cohort_retention(months: DataFrame) -> DataFrame:
+    a = A.cohort_activity(months)
     rate = F.round(F.col("active_customers") * dec("100.0") / F.col("cohort_size"), 2)
     band = F.when(rate >= RETENTION_BANDS[0][0], F.lit(RETENTION_BANDS[0][1])) \
         .when(rate >= RETENTION_BANDS[1][0], F.lit(RETENTION_BANDS[1][1])).otherwise(F.lit(RETENTION_BAND_DEFAULT))
@@ -192,15 +190,16 @@ def vw_customer_profile_distribution(mart: DataFrame) -> DataFrame:
                     "avg_order_value", "avg_recency_days")
 
 
-def register_views(spark: SparkSession, fact: DataFrame, mart: DataFrame, dims: dict[str, DataFrame]) -> list[str]:
+def register_views(spark: SparkSession, fact: DataFrame, mart: DataFrame, dims: dict[str, DataFrame], ranking: Ranked,
+                   months: DataFrame) -> list[str]:
     """CREATE VIEW: register the nine reporting views and the one-row-per-key views as temp views; returns the names."""
     views = {
         **{f"vw_{name}": df for name, df in dims.items()},
-        "vw_pareto_revenue": vw_pareto_revenue(mart),
+        "vw_pareto_revenue": vw_pareto_revenue(ranking),
         "vw_kpi_executive": vw_kpi_executive(mart),
         "vw_segment_summary": vw_segment_summary(mart),
         "vw_lifecycle_summary": vw_lifecycle_summary(mart),
-        "vw_cohort_retention": vw_cohort_retention(fact, mart),
+        "vw_cohort_retention": vw_cohort_retention(months),
         "vw_monthly_revenue_trend": vw_monthly_revenue_trend(fact),
         "vw_risk_behavior": vw_risk_behavior(mart),
         "vw_geographic_summary": vw_geographic_summary(mart),

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ..operators.clean import CleanResult
 from ..session import checkpoint_dir
 from ..sources import fixtures
-from . import cleaning, fact as fact_plan, mart as mart_plan
+from . import analytics, cleaning, fact as fact_plan, mart as mart_plan
 
 GENERATIONS = {1: "keep_first", 2: "flag"}
 AUDIT_COLUMNS = ["cleaned_at", "rejected_at", "fact_created_at", "mart_created_at"]
@@ -75,6 +75,7 @@ class Warehouse:
         self._locks: dict[str, threading.Lock] = {}
         self._clean: dict[tuple[str, str], CleanResult] = {}
         self._counts: dict[str, dict[str, int]] = {}  # table -> measure -> value, as written
+        self._spend = None
 
     @classmethod
     def get(cls, spark: SparkSession, sf_dir: str) -> "Warehouse":
@@ -269,6 +270,19 @@ class Warehouse:
         return self._table("mart_customer_features", build, bucket_by="customer_unique_id",
                            audit_col="mart_created_at")
 
+    def spend_ranking(self):
+        """Customers ranked by spend, ranked once for the Pareto answers and view."""
+        with _LOCK:
+            lock = self._locks.setdefault("spend_ranking", threading.Lock())
+        with lock:
+            if self._spend is None:
+                self._spend = analytics.spend_ranking(self.mart())
+        return self._spend
+
+    def active_months(self) -> DataFrame:
+        """One bitmap of active months per customer."""
+        return self._table("customer_active_months", lambda: analytics.active_months(self.fact()), bucket_by="customer_unique_id")
+
     def csv_loaded(self, name: str) -> DataFrame:
         """Raw table unloaded to CSV in the shared folder once, then loaded back
         with the declared schema (the reference's load step)."""

@@ -40,11 +40,12 @@ def main(argv):
         "clean_orders": clean(w.raw("orders"), gen2_specs()["orders"], groups=w.row_groups("orders")).cleaned,
         "row_groups_order_items": w.raw("order_items").groupBy(*w.raw("order_items").columns).count(),
         "fact_join": FP.build_fact(cleaned, w.threshold(), w.order_aggs(), w.dims()),
+        "last_location": MP.last_location(fact, w.customer_agg()),
         "customer_agg": MP.customer_agg(fact, ref),
-        "rfm_scores": MP.rfm_scores(w.customer_agg()),
+        "rfm_scores": MP.with_rfm(w.customer_agg()),
         "revenue_deciles": A.revenue_deciles(mart),
-        "pareto_bands": A.pareto_bands(mart),
-        "cohort_retention_matrix": A.cohort_retention_matrix(fact, mart),
+        "pareto_bands": A.pareto_bands(w.spend_ranking()),
+        "cohort_retention_matrix": A.cohort_retention_matrix(w.active_months()),
         "segment_top_customers": A.segment_top_customers(mart),
         "monthly_trend": A.monthly_trend(fact),
         "check_order_consistency": MC.order_consistency(w),
