@@ -1,8 +1,7 @@
 """Rule-based cleaning with quarantine.
 
-One pass per table: the table is aggregated ONCE on all its columns into
-groups of identical rows (map-side combined, so hot groups of copies
-collapse before the shuffle); each group is tagged with the reason of the
+The table is turned ONCE into groups of identical rows (hashes of rows are counted first, and only
+rows whose hash repeats are compared whole); each group is tagged with the reason of the
 FIRST rule its rows break (or none) and a validity bit - pure functions of
 the values, so one grouping serves every rule set.  That yields everything:
 
@@ -73,20 +72,14 @@ def flag_when(predicate: str | Column) -> Column:
     return F.when(p, F.lit(1)).otherwise(F.lit(0))
 
 
-def flag_sequence(ordered_cols: list[str]) -> Column:
-    """1 when any adjacent pair of the ordered timestamps is out of order."""
-    pairs = [F.col(a) > F.col(b) for a, b in zip(ordered_cols, ordered_cols[1:])]
-    cond = pairs[0]
-    for p in pairs[1:]:
-        cond = cond | p
-    return flag_when(cond)
+def flag_sequence(ordered_cols: list[str]) -> str:
+    """SQL of a flag: 1 when any adjacent pair of the ordered timestamps is out of order (a NULL is in order)."""
+    return "CASE WHEN " + " OR ".join(f"{a} > {b}" for a, b in zip(ordered_cols, ordered_cols[1:])) + " THEN 1 ELSE 0 END"
 
 
-def flag_missing(cols: list[str]) -> Column:
-    cond = F.col(cols[0]).isNull()
-    for c in cols[1:]:
-        cond = cond | F.col(c).isNull()
-    return flag_when(cond)
+def flag_missing(cols: list[str]) -> str:
+    """SQL of a flag: 1 when any of the columns is NULL."""
+    return "CASE WHEN " + " OR ".join(f"{c} IS NULL" for c in cols) + " THEN 1 ELSE 0 END"
 
 
 def _reason_column(spec: CleanSpec) -> Column:
@@ -111,14 +104,29 @@ def _valid_column(spec: CleanSpec) -> Column:
     return F.coalesce(cond, F.lit(False))
 
 
-def row_groups(df: DataFrame) -> DataFrame:
-    """Groups of identical rows with their size ``_n``: the engine's only full shuffle.
+def row_hashes(df: DataFrame, row_hash=None) -> DataFrame:
+    """Hashes that more than one row has, with the number of rows: 8 bytes a row are shuffled, not the rows."""
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns]) if row_hash is None else row_hash
+    return df.select(row_hash.alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_hc")).filter("_hc > 1").select("_h")
 
-    Combined map-side, so a hot group of copies collapses before the shuffle.
+
+def row_groups(df: DataFrame, repeated: DataFrame | None = None, row_hash=None) -> DataFrame:
+    """Groups of identical rows with their size ``_n``.
+
+    Rows whose hash no other row has are groups of their own.  Only rows whose hash repeats are
+    compared whole: they are grouped by all columns, combined map-side, so a hot group of copies
+    collapses before the shuffle and rows that merely share a hash stay apart.
+    ``repeated`` may be the written ``row_hashes(df)``: its size is known then, and where it is small enough for Spark to
+    broadcast, rows are not shuffled at all.
     Reasons and validity are pure functions of a row's values, so the same
     groups serve every rule set (both generations) and both outputs.
     """
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns]) if row_hash is None else row_hash
+    repeated = (repeated if repeated is not None else row_hashes(df, row_hash)).withColumn("_seen", F.lit(True))
+    marked = df.withColumn("_h", row_hash).join(repeated, "_h", "left").drop("_h")
+    single = marked.filter(F.col("_seen").isNull()).select(*df.columns, F.lit(1).cast("bigint").alias("_n"))
+    several = marked.filter(F.col("_seen").isNotNull()).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    return single.unionByName(several)
 
 
 def tag_groups(df: DataFrame, spec: CleanSpec, groups: DataFrame | None = None) -> DataFrame:

@@ -3,15 +3,13 @@
 Counts that fit one aggregation (row count, NULL counts, min/max, rule
 counts) are fused into ONE pass per table; the resulting single wide row is
 turned into long form (one row per column) with ``stack`` - on one row, so
-the reshaping costs nothing.  Exact distinct counts use one distinct
-aggregate per column in a single plan (Spark expands rows once per
-column); ``approx=True`` switches to ``approx_count_distinct`` for very
-large tables.
+the reshaping costs nothing.  What needs counts per value (distinct counts, duplicate keys,
+overlaps) is in ``counts``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import avg_dec, count_if
@@ -60,26 +58,10 @@ def null_counts(df: DataFrame, table: str, cols: list[str] | None = None) -> Dat
     return _stack(wide, ["table_name"], [(c, f"n{i}") for i, c in enumerate(cols)], "column_name", "null_count")
 
 
-def distinct_counts(df: DataFrame, table: str, cols: list[str], approx: bool = False) -> DataFrame:
-    fn = (lambda c: F.approx_count_distinct(c)) if approx else (lambda c: F.countDistinct(c))
-    wide = df.agg(*[fn(F.col(c)).alias(f"d{i}") for i, c in enumerate(cols)]).withColumn("table_name", F.lit(table))
-    return _stack(wide, ["table_name"], [(c, f"d{i}") for i, c in enumerate(cols)], "column_name", "distinct_count")
-
-
 def key_string(cols: list[str]) -> Column:
     return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in cols])
 
 
-def duplicate_keys(df: DataFrame, table: str, keys: list[str], top: int | None = 20) -> DataFrame:
-    """Keys seen more than once, most frequent first (key breaks ties); top-k is the report."""
-    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("occurrences")).filter(F.col("occurrences") > 1)
-    g = g.select(F.lit(table).alias("table_name"), key_string(keys).alias("key_value"), "occurrences")
-    if top is None:
-        return g
-    w = Window.partitionBy("table_name").orderBy(F.col("occurrences").desc(), F.col("key_value"))
-    return g.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= top).drop("_rn")
-
-
 def exact_duplicate_groups(df: DataFrame, table: str) -> DataFrame:
     """Number of GROUPS of identical rows with more than one member (NULLs group together)."""
     g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
@@ -154,21 +136,6 @@ def invalid_domain(df: DataFrame, table: str, col: str, lo, hi) -> DataFrame:
         F.lit(table).alias("table_name"), F.lit(col).alias("column_name"), "invalid_rows")
 
 
-def multi_record_entities(df: DataFrame, key: str) -> DataFrame:
-    """Entities with more than one row; a NULL key is not an entity (COUNT(key) skips it)."""
-    g = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-    return g.agg(F.count(key).alias("entities_with_multiple_rows"))
-
-
 def line_number_stats(df: DataFrame, col: str) -> DataFrame:
     return df.agg(F.max(col).cast("bigint").alias("max_line_number"),
                   avg_dec(col, 4, in_scale=0).cast("double").alias("avg_line_number"))
-
-
-def key_overlap(frames: dict[str, tuple[DataFrame, str]], key_name: str) -> DataFrame:
-    out = None
-    for table, (df, key) in frames.items():
-        one = df.agg(F.countDistinct(key).alias("distinct_keys")).select(
-            F.lit(key_name).alias("key_name"), F.lit(table).alias("table_name"), "distinct_keys")
-        out = one if out is None else out.unionByName(one)
-    return out

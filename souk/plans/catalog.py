@@ -134,17 +134,19 @@ query("vw_monthly_revenue_trend")(lambda w: V.vw_monthly_revenue_trend(w.fact())
 from ..operators import profile as PO  # noqa: E402
 from . import profiling as PR  # noqa: E402
 
-for _key, _fn in (("profile_distinct_counts", PR.distinct_counts), ("profile_duplicate_keys", PR.duplicate_keys),
-                  ("profile_value_distribution", PR.value_distributions),
+for _key, _fn in (("profile_value_distribution", PR.value_distributions),
                   ("profile_top_values", PR.top_categories), ("profile_range_check", PR.range_checks),
                   ("profile_numeric_summary", PR.numeric_summaries),
                   ("profile_dimension_ranges", PR.dimension_ranges),
                   ("profile_sequence_violations", PR.sequence_violations),
                   ("profile_invalid_domain", PR.invalid_scores),
-                  ("profile_multi_record_entities", PR.multi_payment_orders),
-                  ("profile_line_number_stats", PR.line_number_stats), ("profile_key_overlap", PR.key_overlap),
+                  ("profile_line_number_stats", PR.line_number_stats),
                   ("profile_listing", PR.translation_listing)):
     query(_key)((lambda fn: lambda w: fn(w.raw_all()))(_fn))
+# one stored count per key and value of each table answers these four
+for _key, _fn in (("profile_distinct_counts", PR.distinct_counts), ("profile_duplicate_keys", PR.duplicate_keys),
+                  ("profile_multi_record_entities", PR.multi_payment_orders), ("profile_key_overlap", PR.key_overlap)):
+    query(_key)((lambda fn: lambda w: fn(w.key_counts_all()))(_fn))
 # row count and NULL counts come from ONE written profile pass per table
 query("profile_row_count")(lambda w: PR._union(PO.row_count_from_profile(p) for p in w.profiles().values()))
 query("profile_null_counts")(lambda w: PR._union(PO.null_counts_from_profile(p) for p in w.profiles().values()))
@@ -210,6 +212,8 @@ for _key, _fn in (("check_mart_grain", MC.mart_grain), ("check_spend_consistency
 # ---- 2.1 sources and sinks ----------------------------------------------------------------------------
 from functools import reduce  # noqa: E402
 
+from ..operators.schema import check_schema  # noqa: E402
+from ..operators.tagged import json_text  # noqa: E402
 from .warehouse import AUDIT_COLUMNS  # noqa: E402
 
 
@@ -217,12 +221,19 @@ def _union_all(frames):
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-query("load_csv")(lambda w: w.csv_loaded("orders"))
+@query("load_csv")
+def _load_csv(w: Warehouse) -> DataFrame:
+    """Every line of the nine files: loaded rows in the one format of all tables, and lines that were rejected, raw."""
+    out = []
+    for t, loaded in w.csv_loaded_all().items():
+        out.append(loaded.rows.select(F.lit(t).alias("table_name"), F.lit("loaded").alias("status"), json_text(loaded.rows.columns).alias("line")))
+        out.append(loaded.rejects.select(F.lit(t).alias("table_name"), F.lit("rejected").alias("status"), F.col("raw_line").alias("line")))
+    return _union_all(out)
 
 
 @query("load_row_counts")
 def _load_row_counts(w: Warehouse) -> DataFrame:
-    loaded = w.csv_loaded_all()
+    loaded = {t: x.rows for t, x in w.csv_loaded_all().items()}
     return _union_all(df.agg(F.count(F.lit(1)).alias("loaded_rows")).select(F.lit(t).alias("table_name"), "loaded_rows")
                       for t, df in loaded.items())
 
@@ -263,18 +274,9 @@ def _audit_timestamp(w: Warehouse) -> DataFrame:
 
 @query("check_schema")
 def _check_schema(w: Warehouse) -> DataFrame:
-    from .fact import FACT_COLUMNS
-    from .mart import MART_COLUMNS
-
-    rows = []
-    for name, df, expected in (("fact_order_master", w.fact(), FACT_COLUMNS),
-                               ("mart_customer_features", w.mart(), MART_COLUMNS)):
-        actual = df.columns
-        rows.append((name, len(expected), len(actual), ",".join(c for c in expected if c not in actual),
-                     ",".join(c for c in actual if c not in expected), actual == expected))
-    schema = "table_name string, expected_columns bigint, actual_columns bigint, missing_columns string, " \
-             "unexpected_columns string, ok boolean"
-    return w.spark.createDataFrame(rows, schema)
+    """Columns and types of the fact and the mart as stored, against the declared schemas, with rows and NULLs."""
+    return _union_all([check_schema(w.fact(), "fact_order_master", FP.FACT_SCHEMA),
+                       check_schema(w.mart(), "mart_customer_features", MP.MART_SCHEMA)])
 
 
 @query("output_row_counts")

@@ -180,14 +180,12 @@ def row_accounting(w: Warehouse) -> DataFrame:
 
 
 def unique_keys(w: Warehouse) -> DataFrame:
-    out = []
-    for gen, mode in GENERATIONS.items():
-        for t, keys in UNIQUE_KEYS.items():
-            g = w.cleaned(t, mode).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-            out.append(g.agg(F.count(F.lit(1)).alias("duplicate_count")).select(
-                F.lit(gen).cast("bigint").alias("generation"), F.lit(t).alias("table_name"),
-                F.lit(", ".join(keys)).alias("key_columns"), "duplicate_count"))
-    return _union(out)
+    """Keys that stand on several rows of a cleaned table, from its stored counts per key."""
+    todo = [(gen, mode, t, keys) for gen, mode in GENERATIONS.items() for t, keys in UNIQUE_KEYS.items()]
+    counts = w._parallel([(t, mode, tuple(keys)) for _, mode, t, keys in todo], lambda x: w.unique_key_counts(x[0], x[1], list(x[2])))
+    return _union(counts[t, mode, tuple(keys)].agg(F.count(F.when(F.col("occurrences") > 1, 1)).alias("duplicate_count")).select(
+        F.lit(gen).cast("bigint").alias("generation"), F.lit(t).alias("table_name"), F.lit(", ".join(keys)).alias("key_columns"), "duplicate_count")
+        for gen, mode, t, keys in todo)
 
 
 def null_summary(w: Warehouse) -> DataFrame:

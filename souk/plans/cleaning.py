@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..operators.clean import CleanResult, CleanSpec, clean
+from ..operators.clean import CleanResult, CleanSpec, clean, flag_missing, flag_sequence
 from ..operators.tagged import tagged_rows
 
 # ---- fixed values (must equal the reference's literals) ----------------------
@@ -22,24 +22,14 @@ LNG_MIN, LNG_MAX = "-73.99", "-34.79"
 _TYPES = ", ".join(f"'{t}'" for t in PAYMENT_TYPES)
 _PAY_VALUE_OK = "payment_value IS NOT NULL AND payment_value > 0"
 
-_ORDER_SEQUENCE = (
-    "CASE WHEN (order_purchase_timestamp IS NOT NULL AND order_approved_at IS NOT NULL "
-    "AND order_purchase_timestamp > order_approved_at) "
-    "OR (order_approved_at IS NOT NULL AND order_delivered_carrier_date IS NOT NULL "
-    "AND order_approved_at > order_delivered_carrier_date) "
-    "OR (order_delivered_carrier_date IS NOT NULL AND order_delivered_customer_date IS NOT NULL "
-    "AND order_delivered_carrier_date > order_delivered_customer_date) THEN 1 ELSE 0 END"
-)
-_CATEGORY_MISSING = "CASE WHEN product_category_name IS NULL THEN 1 ELSE 0 END"
-_DIMENSIONS_MISSING = (
-    "CASE WHEN product_weight_g IS NULL OR product_length_cm IS NULL OR product_height_cm IS NULL "
-    "OR product_width_cm IS NULL THEN 1 ELSE 0 END"
-)
+_ORDER_SEQUENCE = flag_sequence(["order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
+                                 "order_delivered_customer_date"])
+_CATEGORY_MISSING = flag_missing(["product_category_name"])
+_DIMENSIONS_MISSING = flag_missing(["product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"])
 _OUT_OF_BOUNDS = (
     f"CASE WHEN geolocation_lat NOT BETWEEN {LAT_MIN} AND {LAT_MAX} "
     f"OR geolocation_lng NOT BETWEEN {LNG_MIN} AND {LNG_MAX} THEN 1 ELSE 0 END"
 )
-_CITY_STATE = {"lower": "lower", "upper": "upper"}
 
 
 def _spec(name, **kw):

@@ -31,6 +31,16 @@ FACT_COLUMNS = [
 ]
 
 MONEY = "decimal(18,2)"
+_FACT_TYPES = {
+    "timestamp_ntz": ["order_purchase_timestamp", "order_delivered_customer_date"],
+    MONEY: ["total_order_value", "total_freight_value", "total_payment_value", "avg_payment_installments", "avg_review_score"],
+    "bigint": ["total_items", "unique_products", "unique_sellers", "review_count"],
+    "int": ["order_month", "order_year", "delivery_delay_days", "processing_time_days", "is_delayed_delivery",
+            "is_high_value_order", "is_multi_payment", "is_multi_item_order", "timestamp_sequence_flag",
+            "ri_missing_customer", "ri_missing_items", "ri_missing_payment", "ri_missing_review"],
+}
+#: declared schema: column -> type, in order (text unless named above)
+FACT_SCHEMA = {c: next((kind for kind, cols in _FACT_TYPES.items() if c in cols), "string") for c in FACT_COLUMNS}
 
 
 # ---- one-row-per-key dimension views ------------------------------------------

@@ -38,6 +38,20 @@ MART_COLUMNS = [
 MONEY = "decimal(18,2)"
 RATIO = "decimal(10,4)"
 RECENCY_WINDOWS = (30, 60, 90, 180)
+_MART_TYPES = {
+    "timestamp_ntz": ["first_order_date", "last_order_date"],
+    "decimal(18,1)": ["avg_days_between_orders"],
+    RATIO: ["delayed_order_ratio", "multi_item_ratio", "multi_payment_ratio", "high_value_order_ratio"],
+    MONEY: ["total_spend", "avg_order_value", "min_order_value", "max_order_value", "monetary", "avg_delivery_delay",
+            "avg_customer_review_score", "avg_items_per_order", "avg_freight_per_order", "avg_sellers_per_order",
+            "avg_products_per_order"],
+    "int": ["customer_lifetime_days", "recency_days", "r_score", "f_score", "m_score", "rfm_score", "cohort_year",
+            "repeat_purchase_flag", "is_one_time_buyer", "days_since_first_order"],
+    "bigint": ["total_orders", "frequency", "total_categories_purchased", "total_reviews_given", "delivered_orders",
+               "cancelled_orders", "shipped_orders", *(f"orders_last_{d}d" for d in RECENCY_WINDOWS)],
+}
+#: declared schema: column -> type, in order (text unless named above)
+MART_SCHEMA = {c: next((kind for kind, cols in _MART_TYPES.items() if c in cols), "string") for c in MART_COLUMNS}
 
 # ---- fixed values (must equal the reference's literals) ----------------------
 # segment rules, first match wins: (label, condition on r/f/m scores and total_orders)

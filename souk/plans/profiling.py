@@ -5,7 +5,9 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..operators import counts as C
 from ..operators import profile as P
 from .cleaning import LAT_MAX, LAT_MIN, LNG_MAX, LNG_MIN
 
@@ -72,12 +74,20 @@ def null_counts(raw):
     return _union(P.null_counts(df, t) for t, df in raw.items())
 
 
-def distinct_counts(raw):
-    return _union(P.distinct_counts(raw[t], t, cols) for t, cols in DISTINCT_COLUMNS.items())
+def raw_keys(table: str) -> list[list[str]]:
+    """Every key of a raw table that some profile counts."""
+    keys = [[c] for c in DISTINCT_COLUMNS[table]] + [k for t, k in DUPLICATE_KEYS.items() if t == table]
+    keys += [[c] for pairs in KEY_OVERLAP.values() for t, c in pairs if t == table]
+    return [list(k) for k in dict.fromkeys(map(tuple, keys))]
 
 
-def duplicate_keys(raw):
-    return _union(P.duplicate_keys(raw[t], t, keys, None if t in UNLIMITED_DUPLICATE_LIST else 20)
+def distinct_counts(counts: dict[str, DataFrame]) -> DataFrame:
+    return _union(C.distinct_counts(counts[t], [[c] for c in cols]).select(
+        F.lit(t).alias("table_name"), F.col("key_columns").alias("column_name"), "distinct_count") for t, cols in DISTINCT_COLUMNS.items())
+
+
+def duplicate_keys(counts: dict[str, DataFrame]) -> DataFrame:
+    return _union(C.duplicate_keys(counts[t], keys, None if t in UNLIMITED_DUPLICATE_LIST else 20).select(F.lit(t).alias("table_name"), "*")
                   for t, keys in DUPLICATE_KEYS.items())
 
 
@@ -87,8 +97,6 @@ def exact_duplicates(raw):
 
 def exact_duplicates_from_groups(groups):
     """Same answer from the written identical-row groups (column ``_n``)."""
-    from pyspark.sql import functions as F
-
     return _union(g.filter(F.col("_n") > 1).agg(F.count(F.lit(1)).alias("exact_duplicate_groups"))
                   .select(F.lit(t).alias("table_name"), "exact_duplicate_groups") for t, g in groups.items())
 
@@ -125,16 +133,18 @@ def invalid_scores(raw):
     return P.invalid_domain(raw["reviews"], "reviews", "review_score", SCORE_MIN, SCORE_MAX)
 
 
-def multi_payment_orders(raw):
-    return P.multi_record_entities(raw["payments"], "order_id")
+def multi_payment_orders(counts: dict[str, DataFrame]) -> DataFrame:
+    entities = C.repeated_keys(counts["payments"], [["order_id"]], with_null=False)
+    return entities.agg(F.coalesce(F.sum("keys_with_multiple_rows"), F.lit(0)).alias("entities_with_multiple_rows"))
 
 
 def line_number_stats(raw):
     return P.line_number_stats(raw["order_items"], "order_item_id")
 
 
-def key_overlap(raw):
-    return _union(P.key_overlap({t: (raw[t], c) for t, c in pairs}, key) for key, pairs in KEY_OVERLAP.items())
+def key_overlap(counts: dict[str, DataFrame]) -> DataFrame:
+    return _union(C.distinct_counts(counts[t], [[c]]).select(F.lit(key).alias("key_name"), F.lit(t).alias("table_name"), F.col("distinct_count").alias("distinct_keys"))
+                  for key, pairs in KEY_OVERLAP.items() for t, c in pairs)
 
 
 def translation_listing(raw):

@@ -22,9 +22,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import CleanResult
+from ..operators.counts import key_counts
 from ..session import checkpoint_dir
-from ..sources import fixtures
-from . import analytics, cleaning, fact as fact_plan, mart as mart_plan
+from ..sources import csv as csv_io, fixtures, schemas
+from . import analytics, cleaning, fact as fact_plan, mart as mart_plan, profiling
 
 GENERATIONS = {1: "keep_first", 2: "flag"}
 AUDIT_COLUMNS = ["cleaned_at", "rejected_at", "fact_created_at", "mart_created_at"]
@@ -148,9 +149,21 @@ class Warehouse:
 
     def row_groups(self, name: str) -> DataFrame:
         """Identical-row groups of a raw table, written once for both generations and both outputs."""
-        from ..operators.clean import row_groups
+        from ..operators.clean import row_groups, row_hashes
 
-        return self._table(f"row_groups_{name}", lambda: row_groups(self.raw(name)))
+        return self._table(f"row_groups_{name}", lambda: row_groups(
+            self.raw(name), self._table(f"row_hashes_{name}", lambda: row_hashes(self.raw(name)))))
+
+    def key_counts(self, name: str) -> DataFrame:
+        """Rows per key and value of a raw table, all its keys in one scan, stored."""
+        return self._table(f"key_counts_{name}", lambda: key_counts(self.raw(name), profiling.raw_keys(name)))
+
+    def key_counts_all(self) -> dict[str, DataFrame]:
+        return self._parallel(fixtures.RAW_BUILDERS, self.key_counts)
+
+    def unique_key_counts(self, name: str, mode: str, key: list[str]) -> DataFrame:
+        """Rows per key of a cleaned table, stored."""
+        return self._table(f"key_counts_{'g1_' if mode == GENERATIONS[1] else ''}cleaned_{name}", lambda: key_counts(self.cleaned(name, mode), [key]))
 
     def cleaned(self, name: str, mode: str = "flag") -> DataFrame:
         prefix = "cleaned" if mode == "flag" else "g1_cleaned"
@@ -283,20 +296,15 @@ class Warehouse:
         """One bitmap of active months per customer."""
         return self._table("customer_active_months", lambda: analytics.active_months(self.fact()), bucket_by="customer_unique_id")
 
-    def csv_loaded(self, name: str) -> DataFrame:
-        """Raw table unloaded to CSV in the shared folder once, then loaded back
-        with the declared schema (the reference's load step)."""
-        from ..sources import csv as csv_io
-        from ..sources import schemas
+    def csv_loaded(self, name: str) -> csv_io.Loaded:
+        """Raw table unloaded to CSV in the shared folder once, then loaded back with the declared schema (the
+        reference's load step): good rows, and lines that do not fit the schema."""
+        def build():
+            path = f"{self.root}/csv/{name}"
+            csv_io.write_csv(self.raw(name), path)
+            return csv_io.read_csv(self.spark, path, schemas.RAW_SCHEMAS[name], free_text=name == "reviews")
 
-        path = f"{self.root}/csv/{name}"
-        with _LOCK:
-            lock = self._locks.setdefault(f"csv_{name}", threading.Lock())
-        with lock:
-            if f"csv_{name}" not in self._tables:
-                csv_io.write_csv(self.raw(name), path)
-                self._tables[f"csv_{name}"] = csv_io.load_csv(self.spark, path, schemas.RAW_SCHEMAS[name], free_text=name == "reviews")
-        return self._tables[f"csv_{name}"]
+        return csv_io.split(self._table(f"csv_lines_{name}", build), schemas.RAW_SCHEMAS[name])
 
     def build_all(self) -> None:
         """Materialise every layer, independent tables side by side."""
@@ -304,7 +312,7 @@ class Warehouse:
         self.clean_both()
         self.mart()
 
-    def csv_loaded_all(self) -> dict[str, DataFrame]:
+    def csv_loaded_all(self) -> dict[str, csv_io.Loaded]:
         return self._parallel(fixtures.RAW_BUILDERS, self.csv_loaded)
 
     def customer_agg(self) -> DataFrame:

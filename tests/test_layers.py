@@ -13,9 +13,10 @@ from .conftest import SMALL
 
 @pytest.mark.parametrize("table", TABLES)
 def test_csv_round_trip_matches_raw(spark, duck, table):
-    df = warehouse(spark, SMALL).csv_loaded(table)
-    problems = compare.diff(df, duck, assemble(f"SELECT * FROM raw_{table}"))
+    loaded = warehouse(spark, SMALL).csv_loaded(table)
+    problems = compare.diff(loaded.rows, duck, assemble(f"SELECT * FROM raw_{table}"))
     assert not problems, "\n".join(problems)
+    assert loaded.rejects.count() == 0
 
 
 @pytest.mark.parametrize("mode,prefix", [("flag", ""), ("keep_first", "g1_")])

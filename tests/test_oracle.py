@@ -30,7 +30,7 @@ def test_matches_oracle(spark, duck, key):
 
 def test_check_schema_ok(spark):
     rows = entry.queries()["check_schema"](spark, SMALL).collect()
-    assert {r["table_name"]: r["ok"] for r in rows} == {"fact_order_master": True, "mart_customer_features": True}
+    assert len(rows) == 34 + 48 and all(r["ok"] for r in rows)
 
 
 def test_entry_smoke(spark):
