@@ -265,8 +265,8 @@ def _audit_timestamp(w: Warehouse) -> DataFrame:
     """Audit columns as stored in all 38 audited tables (stamped at write time), read in one scan."""
     w.clean_both(), w.mart()
     names = [*w.cleaning_tables(), "fact_order_master", "mart_customer_features"]
-    stored = w.read_stored(names, ", ".join(f"{c} timestamp" for c in AUDIT_COLUMNS))
-    counts = stored.groupBy("table_name").agg(F.count(F.lit(1)).alias("total_rows"), F.count(F.coalesce(*AUDIT_COLUMNS)).alias("audited_rows"))
+    counts = w.count_stored(names, ", ".join(f"{c} timestamp" for c in AUDIT_COLUMNS), [],
+                            {"total_rows": F.count(F.lit(1)), "audited_rows": F.count(F.coalesce(*AUDIT_COLUMNS))})
     of = w.spark.createDataFrame([(n,) for n in names], "table_name string")  # a table without rows has no group
     zero = [F.coalesce(c, F.lit(0)).alias(c) for c in ("total_rows", "audited_rows")]
     return of.join(counts, "table_name", "left").select("table_name", *zero)

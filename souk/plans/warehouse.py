@@ -190,12 +190,14 @@ class Warehouse:
         return {f"{'g1_' if gen == 1 else ''}{layer}_{t}": (layer, gen, t) for gen in GENERATIONS for layer in ("cleaned", "rejects")
                 for t in fixtures.RAW_BUILDERS}
 
-    def read_stored(self, names: list[str], schema: str) -> DataFrame:
-        """The columns of ``schema`` of written tables in one scan, with the table's name; a column that a table lacks is NULL."""
+    def count_stored(self, names: list[str], schema: str, by: list[str], counts: dict[str, Column]) -> DataFrame:
+        """``counts`` per table and ``by`` over the columns of ``schema`` of written tables, in one scan; a column
+        that a table lacks is NULL.  Rows are counted per file first, so the table's name is derived once per file."""
         files = self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*[f"{self.root}/{n}" for n in names])
         tag = self.root.rsplit("/", 1)[1]
-        name = F.split_part(F.split_part(F.col("_metadata.file_path"), F.lit(f"/{tag}/"), F.lit(2)), F.lit("/"), F.lit(1))
-        return files.withColumn("table_name", name)
+        of_file = files.groupBy(F.col("_metadata.file_path").alias("_file"), *by).agg(*[c.alias(n) for n, c in counts.items()])
+        name = F.split_part(F.split_part(F.col("_file"), F.lit(f"/{tag}/"), F.lit(2)), F.lit("/"), F.lit(1))
+        return of_file.groupBy(name.alias("table_name"), *by).agg(*[F.sum(n).alias(n) for n in counts])
 
     def ledger(self) -> DataFrame:
         """Counts of every written layer, one row per table and measure, collected while the tables were written."""
@@ -214,7 +216,7 @@ class Warehouse:
             self.clean_both()
             names = {n: t for n, t in self.cleaning_tables().items() if t[0] == "rejects"}
             of = self.spark.createDataFrame([(n, gen, t) for n, (_, gen, t) in names.items()], "table_name string, generation bigint, dataset string")
-            counts = self.read_stored(list(names), "reject_reason string").groupBy("table_name", "reject_reason").agg(F.count(F.lit(1)).alias("cnt"))
+            counts = self.count_stored(list(names), "reject_reason string", ["reject_reason"], {"cnt": F.count(F.lit(1))})
             return counts.join(F.broadcast(of), "table_name").select("generation", "dataset", "reject_reason", "cnt")  # 18 names
 
         return self._table("reject_reasons", build)
