@@ -10,18 +10,20 @@ usable segments than a partner can differ in, at least one of them is equal in b
 
 Cost-based allocation decides what each set relies on:
 
-1. Keys held by at most ``small`` sets are cheap: all their pairs become
+1. Keys held by at most ``small`` sets are cheap: their pairs become
    candidates.  More frequent keys are left out (value 0).
 2. Sets that then lack usable segments also index the one-deletion
    neighbourhoods of their cheap segments: such a segment still detects a partner that
    differs in one element there, so it counts twice.  This step is exact
    among the sets that lack segments; any other partner has enough of its own.
 3. Sets that still lack some are, mostly, parts of large groups.  They are indexed by their
-   rarest shingles (as many as a partner can miss, plus one).  Rare ones give
-   pairs at once.  For frequent ones, where comparing one by one costs
-   more, each member is first compared with a leader of the key's group, for a few
-   rounds; pairs that still lie in different components are then compared one
-   by one.  Nothing is capped or dropped.
+   rarest shingles (as many as a partner can miss, plus one) and size band.  Rare ones give
+   pairs at once.  For frequent ones each member's difference from a leader of the group is measured, for a few
+   rounds; sets that are still in different components then only meet those whose differences from the leaders
+   are close enough for a link (differences are a metric).  Nothing is capped or dropped.
+
+Since components are asked for, pairs already connected need not meet: sets with frequent segment keys are first
+compared with a leader each (``_stars``), and cheap keys then only pair sets of different components.
 
 Candidates first meet as parity bitmaps: bits in which two bitmaps differ are
 at most as many as the elements in which the sets differ, so a pair with more of
@@ -35,8 +37,7 @@ first copy writes index keys, so a huge group of copies costs as many keys as th
 Defined results: a null or empty text, or one of white space only, has an empty
 set, no link and itself as component.  Fewer than five words: the whole
 sequence is the one shingle.  A row whose id is null gets its count and a null component and
-links with nothing.  Rows that repeat an id count as one document each row of
-which is returned.  Other columns are not read.
+links with nothing.  Rows that repeat an id are judged each by its own text.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Stage, WordHasher, ascii_words, mix64, odd_constants
@@ -54,10 +55,10 @@ from .components import components
 
 WORDS = 5
 SMALL = 32  # an index key of at most so many sets pairs them all
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 2  # rounds with one leader per large group, before rings around the leaders decide who meets
 TEXTS = 500  # whole texts that a Python worker gets at once
-ONE_BY_ONE = 64  # comparisons per member up to which a group needs no leader
-BROADCAST_IDS = 1_000_000  # ids; 16 MB at most
+REMEMBERED = 200_000  # sets that a task knows as written already; more are only written again
+BROADCAST_IDS = 1_000_000  # rows of at most three longs; 24 MB
 _HASHER = WordHasher(100_000)
 _C = odd_constants(2 * WORDS + 2, 7)
 _DIGEST = odd_constants(2, 70)
@@ -124,7 +125,7 @@ def deletion_keys(s: np.ndarray, start: np.ndarray, size: np.ndarray, base: np.n
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n, d1, d2, spare, keys: of each document; keys (binary) only with the first copy of a set in a task.
+    """doc_id, text_id, n, d1, d2, spare, keys: of each document; keys (binary) only with the first copy of a set in a task.
     ``spare``: segments beyond the needed ones, the least over the schemes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,19 +133,22 @@ def _sets(docs: DataFrame) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part, out = b.slice(at, 512), []
-                for doc_id, text in zip(part.column(0), part.column(1)):
+                for doc_id, text in zip(part.column(0), part.column(2)):
                     s = shingles(text.as_py())
                     d, spare, keys = digest(s), None, None
                     if len(s) and doc_id.is_valid and d not in seen:
+                        if len(seen) >= REMEMBERED:
+                            seen.clear()
                         seen.add(d)
                         each = [(segment_keys(s, k, m)[0], need) for k, m, need in schemes(len(s))]
                         spare = min(len(k) - need for k, need in each)
                         keys = b"".join(k.tobytes() for k, _ in each)
                     out.append((len(s), *d, spare, keys))
                 columns = [pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
-                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["doc_id", "n", "d1", "d2", "spare", "keys"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], names=["doc_id", "text_id", "n", "d1", "d2", "spare", "keys"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").alias("__text")).mapInArrow(run, "doc_id long, n long, d1 long, d2 long, spare long, keys binary")
+    chosen = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), F.col("text").alias("__text"))
+    return chosen.mapInArrow(run, "doc_id long, text_id long, n long, d1 long, d2 long, spare long, keys binary")
 
 
 def _expand(sets: DataFrame) -> DataFrame:
@@ -162,56 +166,88 @@ def _expand(sets: DataFrame) -> DataFrame:
 
 
 def _runs(keyed: DataFrame, partitions: int, small: int) -> DataFrame:
-    """Reads (key, set) sorted by key: (0, a, b) for each pair of a key of at most ``small`` sets,
-    (1, key, set) for each row of a more frequent one.  Memory: one batch and one run of ``small`` rows."""
+    """Reads (key, set, c) sorted by key, c a component or null: (0, a, b) for each pair of sets in different components
+    of a key of at most ``small`` sets; (1, key, set) for each row of a more frequent one; without the column c,
+    (2, key, set) for each row of a key of two to ``small`` sets instead of pairs.
+    Memory: one batch and one run of ``small`` rows."""
+    labelled = "c" in keyed.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(kind, a, b):
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b)], names=["kind", "a", "b"])
 
-        def closed(key, own):
+        def closed(key, own, label):
             start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             size = np.diff(np.r_[start, len(key)])
-            pairs = []
-            for k in np.unique(size[(size > 1) & (size <= small)]):
-                rows = own[start[size == k][:, None] + np.arange(k)]
-                i, j = np.triu_indices(k, 1)
-                pairs.append(np.stack([rows[:, i].ravel(), rows[:, j].ravel()], 1))
-            if pairs:
-                pairs = np.unique(np.concatenate(pairs), axis=0)  # rows of a run are sorted by set, so a < b
-                yield out(0, np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]))
+            few = (size > 1) & (size <= small)
+            if labelled:
+                pairs = []
+                for k in np.unique(size[few]):
+                    at = start[size == k][:, None] + np.arange(k)
+                    i, j = np.triu_indices(k, 1)
+                    x, y = at[:, i].ravel(), at[:, j].ravel()
+                    apart = label[x] != label[y]
+                    pairs.append(np.stack([own[x[apart]], own[y[apart]]], 1))
+                if pairs:
+                    pairs = np.unique(np.concatenate(pairs), axis=0)  # rows of a run are sorted by set, so a < b
+                    yield out(0, np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]))
+            elif few.any():
+                shared = np.repeat(few, size)
+                yield out(2, key[shared], own[shared])
             often = np.repeat(size > small, size)
             if often.any():
                 yield out(1, key[often], own[often])
 
-        key = own = np.zeros(0, np.int64)
+        key = own = label = np.zeros(0, np.int64)
         hot = None  # (key, last set) of a frequent run that goes on
         for b in batches:
             key, own = np.r_[key, b.column(0).to_numpy()], np.r_[own, b.column(1).to_numpy()]
+            label = np.r_[label, b.column(2).to_numpy()] if labelled else own
             fresh = np.r_[True, (key[1:] != key[:-1]) | (own[1:] != own[:-1])]
-            key, own = key[fresh], own[fresh]
+            key, own, label = key[fresh], own[fresh], label[fresh]
             if hot is not None:
                 n = int(np.searchsorted(key, hot[0], side="right"))
                 more = own[:n][own[:n] != hot[1]]
                 if len(more):
                     yield out(1, np.full(len(more), hot[0]), more)
                     hot = (hot[0], more[-1])
-                key, own = key[n:], own[n:]
+                key, own, label = key[n:], own[n:], label[n:]
                 hot = hot if not len(key) else None
             if len(key):
                 last = int(np.searchsorted(key, key[-1]))
-                yield from closed(key[:last], own[:last]) if last else ()
-                key, own = key[last:], own[last:]
+                yield from closed(key[:last], own[:last], label[:last]) if last else ()
+                key, own, label = key[last:], own[last:], label[last:]
                 if len(key) > small:
                     yield out(1, key, own)
-                    hot, key, own = (key[0], own[-1]), key[:0], own[:0]
+                    hot, key, own, label = (key[0], own[-1]), key[:0], own[:0], label[:0]
         if len(key):
-            yield from closed(key, own)
+            yield from closed(key, own, label)
 
     dealt = keyed.repartition(partitions, "key").sortWithinPartitions("key", "set")
     return dealt.mapInArrow(run, "kind int, a long, b long")
 
 
+def _labelled(keyed: DataFrame, comp: DataFrame) -> DataFrame:
+    """(key, set, c) of (key, set) rows: the set's component so far, itself where it has no link yet."""
+    known = comp.withColumnRenamed("node", "set")
+    return keyed.join(known, "set", "left").select("key", "set", F.coalesce("component", "set").alias("c"))
+
+
+def _stars(often: DataFrame, keys: DataFrame) -> DataFrame:
+    """Pairs (a, b) that connect large groups: a set with the leader of each of its two most frequent segment keys.
+
+    ``often`` has (key, set) of the frequent keys, ``keys`` the number of keys of each set.  The leader is the set with the fewest keys that
+    are not frequent, in large groups of copies the text that was changed least."""
+    of_key = often.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    own = often.groupBy("set").agg(F.count(F.lit(1)).alias("m")).join(keys, "set").select("set", (F.col("k") - F.col("m")).alias("odd"))
+    rows = often.join(of_key, "key").join(own, "set")
+    rank = Window.partitionBy("set").orderBy(F.col("n").desc(), "key")
+    top = rows.withColumn("r", F.row_number().over(rank)).filter("r <= 2").select("key", "set", "odd")
+    leader = top.groupBy("key").agg(F.min(F.struct("odd", "set")).alias("l")).select("key", F.col("l.set").alias("leader"))
+    pairs = top.join(leader, "key").filter("set <> leader")
+    return pairs.select(F.least("set", "leader").alias("a"), F.greatest("set", "leader").alias("b")).distinct()
+
+
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of the ids (doc_id, d1, d2): sent to all tasks while their counted number is small, else by a shuffle."""
     wanted = ids if ids.count() > BROADCAST_IDS else F.broadcast(ids)
@@ -219,21 +255,25 @@ def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, stage: Stage, name: str, whole: bool = True) -> DataFrame:
-    """(set, rep, n, bits, s) of each wanted class (set = d1): size, parity bitmap and, if asked for, the whole shingle set."""
+    """(set, n, bits, s) of each wanted class (set = d1): size, parity bitmap and, if asked for, the whole shingle set."""
     ids = stage.write(classes.join(wanted.select(F.col("set").alias("d1")).distinct(), "d1", "left_semi").select(F.col("rep").alias("doc_id"), "d1", "d2"), f"{name}-ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part, out = b.slice(at, 512).to_pydict(), []
-                for doc_id, text, d1, d2 in zip(*(part[c] for c in ("doc_id", "__text", "d1", "d2"))):
-                    s = shingles(text)
-                    if digest(s) == (d1, d2):  # an id may stand on several rows
-                        out.append((d1, doc_id, len(s), bitmap(s), s.tobytes() if whole else None))
-                types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)], names=["set", "rep", "n", "bits", "s"])
+                for text, d1, d2 in zip(*(part[c] for c in ("__text", "d1", "d2"))):
+                    s = shingles(text) if d1 not in seen else None
+                    if s is not None and digest(s) == (d1, d2):  # an id may stand on several rows
+                        if len(seen) >= REMEMBERED:
+                            seen.clear()
+                        seen.add(d1)
+                        out.append((d1, len(s), bitmap(s), s.tobytes() if whole else None))
+                types = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)], names=["set", "n", "bits", "s"])
 
-    return stage.write(_texts_of(docs, ids).mapInArrow(run, "set long, rep long, n long, bits binary, s binary"), name, TEXTS)
+    return stage.write(_texts_of(docs, ids).mapInArrow(run, "set long, n long, bits binary, s binary"), name, TEXTS)
 
 
 def bitmap(s: np.ndarray) -> bytes:
@@ -283,17 +323,23 @@ def _near(pairs: DataFrame, sets: DataFrame, stage: Stage) -> DataFrame:
 
 
 def _links(near: DataFrame, sets: DataFrame, stage: Stage) -> DataFrame:
-    """The links (a, b), as representatives' ids, among pairs of classes whose whole sets are given; written."""
+    """The links (a, b) among pairs of classes whose whole sets are given; written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 p = b.slice(at, 256).to_pydict()
-                ok = [(x, y) for x, y, u, v in zip(p["arep"], p["brep"], p["as"], p["bs"]) if _linked(u, v)]
+                ok = [(x, y) for x, y, u, v in zip(p["a"], p["b"], p["as"], p["bs"]) if _linked(u, v)]
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in ok], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    both = near.join(_side(sets, "a", "rep", "s"), "a").join(_side(sets, "b", "rep", "s"), "b")
-    return stage.write(both.select("arep", "brep", "as", "bs").mapInArrow(run, "a long, b long"), "links", TEXTS)
+    both = near.join(_side(sets, "a", "s"), "a").join(_side(sets, "b", "s"), "b")
+    return stage.write(both.select("a", "b", "as", "bs").mapInArrow(run, "a long, b long"), "links", TEXTS)
+
+
+def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, stage: Stage, name: str) -> DataFrame:
+    """The links (a, b) among candidate pairs of classes: bitmaps first, whole sets of what remains."""
+    near = _near(pairs, _whole_sets(docs, classes, _ends(pairs), stage, f"{name}-bitmaps", whole=False), stage)
+    return _links(near, _whole_sets(docs, classes, _ends(near), stage, f"{name}-sets"), stage)
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -342,8 +388,9 @@ def _still_short(short: DataFrame) -> DataFrame:
     return short.select("set", "s", "often").mapInArrow(run, "set long, s binary")
 
 
-def _prefixes(rest: DataFrame, stage: Stage) -> DataFrame:
-    """(key, set): the rarest shingles of each set, as many as a partner can lack plus one; counted over these sets."""
+def _prefixes(rest: DataFrame, stage: Stage, small: int) -> tuple[DataFrame, DataFrame]:
+    """(key, set): the rarest shingles of each set, as many as a partner can lack plus one, counted over these sets;
+    and (set, alone): how many shingles of a set at most ``small`` sets have."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -356,8 +403,16 @@ def _prefixes(rest: DataFrame, stage: Stage) -> DataFrame:
     tokens = stage.write(rest.select("set", "s").mapInArrow(run, "key long, set long"), "tokens")
     counts = stage.write(tokens.groupBy("key").count(), "token-counts")
     each = tokens.join(counts, "key").groupBy("set").agg(F.sort_array(F.collect_list(F.struct("count", "key"))).alias("t"))
+    each = stage.write(each.select("set", "t", F.size(F.filter("t", lambda x: x["count"] <= small)).alias("alone")), "ordered")
+    n, starts = F.size("t"), F.array(*[F.lit(int(x)).cast("long") for x in bands()])
+    band = F.size(F.filter(starts, lambda x: x <= n))
+    below = F.ceil(n * 4 / 5) < F.element_at(starts, band)  # a partner may lie in the band below, as in ``schemes``
+    of_bands = F.when(below & (band > 1), F.array(band, band - 1)).otherwise(F.array(band))
     # a partner shares at least ceil(0.8 n) shingles, so it lacks at most n - ceil(0.8 n)
-    return each.select("set", F.explode(F.slice("t", 1, (F.size("t") - F.ceil(F.size("t") * 4 / 5) + 1).cast("int"))).alias("t")).select(F.col("t.key").alias("key"), "set")
+    prefix = F.slice("t", 1, (n - F.ceil(n * 4 / 5) + 1).cast("int"))
+    rows = each.select("set", F.explode(prefix).alias("shingle"), of_bands.alias("bands"))
+    keyed = rows.select("set", "shingle", F.explode("bands").alias("band")).select(F.xxhash64("shingle.key", "band").alias("key"), "set")
+    return keyed, each.select("set", "alone")
 
 
 def _merge(comp: DataFrame, links: DataFrame, stage: Stage) -> DataFrame:
@@ -373,38 +428,86 @@ def _merge(comp: DataFrame, links: DataFrame, stage: Stage) -> DataFrame:
     return stage.write(moved.unionByName(new), "components")
 
 
-def _large_groups(grouped: DataFrame, sets: DataFrame, comp: DataFrame, stage: Stage) -> DataFrame:
-    """Components after comparing inside the groups (key, set) of frequent keys, until all that is connected is found."""
-    ids = sets.select("set", F.col("rep").alias("node"))
-    turn = 0
-    while True:
-        state = grouped.join(ids, "set").join(comp, "node", "left").select("key", "set", F.coalesce("component", "node").alias("c"))
-        state = stage.write(state.distinct(), "members")
-        parts = state.groupBy("key", "c").count().groupBy("key").agg(F.sum("count").alias("n"), F.max(F.struct("count", "c")).alias("most"))
-        parts = parts.select("key", "n", F.col("most.c").alias("top"), (F.col("n") - F.col("most.count")).alias("few")).filter("few > 0")
-        parts = stage.write(parts, "open-groups")
-        members, cost = parts.agg(F.sum("n"), F.sum(F.col("n").cast("double") * F.col("few"))).first()
-        if not members:
+def _distances(pairs: DataFrame, sets: DataFrame, stage: Stage) -> DataFrame:
+    """(a, b, d, linked): elements in which the whole sets of each pair differ."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                p, far, linked = part.to_pydict(), [], []
+                for u, v in zip(p["as"], p["bs"]):
+                    x, y = np.frombuffer(u, np.uint64), np.frombuffer(v, np.uint64)
+                    both = np.concatenate([x, y])
+                    both.sort()
+                    same = int((both[1:] == both[:-1]).sum())
+                    far.append(len(both) - 2 * same)
+                    linked.append(100 * same >= 80 * (len(both) - same))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in range(2)), pa.array(far, pa.int64()), pa.array(linked, pa.bool_())], names=["a", "b", "d", "linked"])
+
+    both = pairs.join(_side(sets, "a", "s"), "a").join(_side(sets, "b", "s"), "b")
+    return stage.write(both.select("a", "b", "as", "bs").mapInArrow(run, "a long, b long, d long, linked boolean"), "distances", TEXTS)
+
+
+def _large_groups(grouped: DataFrame, alone: DataFrame, sets: DataFrame, comp: DataFrame, stage: Stage) -> DataFrame:
+    """Components after comparing inside the groups (key, set) of frequent keys, until all that is connected is found.
+
+    The rarest shingle that two linked sets share is in both prefixes.  If at most ``small`` sets have it, the pair has met already.  So
+    of a pair that has not, no shared shingle is that rare: all shingles that few sets have (``alone``) count as differences.
+    A set with more of them than a link allows leaves the groups, and two sets meet only if theirs together are within it.
+    Groups of the same sets are one.  Each round has one leader per open
+    group, the set with the fewest rare shingles (in a group of near copies the least changed text), from the second round on one
+    outside the group's largest component, and measures how many elements every member differs from it in.  Differences are a
+    metric: two sets whose distances from a leader differ by more than a link allows cannot be linked.  So sets that are still
+    apart after the rounds only meet others in a neighbouring ring around the leader."""
+    # a partner shares at least 4/5 of a set's shingles
+    known = sets.select("set", "n").distinct().join(alone, "set").filter("5 * alone <= n")
+    grouped = grouped.join(known.select("set"), "set").select("key", "set")
+    of_key = grouped.groupBy("key").agg(F.sum(F.xxhash64("set").cast("decimal(38,0)")).alias("h"), F.count(F.lit(1)).alias("m"))
+    one = of_key.groupBy("h", "m").agg(F.min("key").alias("key")).select("key")
+    members = stage.write(grouped.join(one, "key").join(known, "set"), "group-members")
+    rings = []  # per round: (key, set, d)
+    for turn in range(LEADER_ROUNDS + 1):
+        state = members.join(comp.withColumnRenamed("node", "set"), "set", "left").select("key", "set", "n", "alone", F.coalesce("component", "set").alias("c"))
+        state = stage.write(state, "members")
+        parts = state.groupBy("key", "c").count().groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("count", "c")).alias("most"))
+        parts = stage.write(parts.filter("parts > 1").select("key", F.col("most.c").alias("top")), "open-groups")
+        if not parts.take(1):
             return comp
         state = stage.write(state.join(parts, "key"), "open-members")
-        last = turn >= LEADER_ROUNDS or cost <= ONE_BY_ONE * members
-        if last:  # the smaller parts of each group against all of it
-            few = stage.write(state.filter("c <> top").select("key", F.col("set").alias("a"), F.col("c").alias("ca")), "small-parts")
-            pairs = state.select("key", "set", "c").join(few, "key").filter("c <> ca").select(F.least("a", "set").alias("a"), F.greatest("a", "set").alias("b")).distinct()
-        else:  # one leader a group, another one each round
-            order = F.struct(F.xxhash64("set", F.lit(turn)).alias("h"), "set", "c")
-            leader = state.groupBy("key").agg(F.min(order).alias("l")).select("key", F.col("l.set").alias("b"), F.col("l.c").alias("lc"))
-            pairs = state.join(stage.write(leader, "leaders"), "key").filter("c <> lc").select(F.col("set").alias("a"), "b").distinct()
-        comp = _merge(comp, _links(_near(stage.write(pairs, "group-pairs"), sets, stage), sets, stage), stage)
-        if last:
-            return comp
-        turn += 1
+        if turn == LEADER_ROUNDS:
+            break
+        order = F.struct((F.col("c") == F.col("top")) if turn else F.lit(False), "alone", F.xxhash64("set", F.lit(turn)).alias("x"), "set")
+        leader = stage.write(state.groupBy("key").agg(F.min(order).alias("l")).select("key", F.col("l.set").alias("b")), "leaders")
+        led = state.join(leader, "key").select("key", F.col("set").alias("a"), "b")
+        far = _distances(stage.write(led.filter("a <> b").select("a", "b").distinct(), "group-pairs"), sets, stage)
+        rings.append(stage.write(led.join(far.select("a", "b", "d").distinct(), ["a", "b"], "left").select("key", F.col("a").alias("set"), F.coalesce("d", F.lit(0)).alias(f"d{turn}")), "rings"))
+        comp = _merge(comp, far.filter("linked").select("a", "b"), stage)
+    for ring in rings:
+        state = state.join(ring, ["key", "set"])
+    # the width of a ring: what a link allows between the largest sets of the group, whose sizes differ by a bounded factor
+    width = state.groupBy("key").agg((F.floor(F.max("n") * 2 / 9) + 1).alias("width"))
+    state = stage.write(state.join(width, "key").withColumn("ring", F.floor(F.col("d0") / F.col("width"))), "ringed")
+    names = ["n", "alone", "c", *[f"d{t}" for t in range(len(rings))]]
+    few = state.filter("c <> top").select("key", F.explode(F.array(*[F.col("ring") + k for k in (-1, 0, 1)])).alias("ring"), F.col("set").alias("a"), *[F.col(x).alias(f"a{x}") for x in names])
+    allowed = F.floor((F.col("n") + F.col("an")) / 9)
+    near = (F.col("c") != F.col("ac")) & (4 * F.greatest("n", "an") <= 5 * F.least("n", "an")) & (F.col("alone") + F.col("aalone") <= allowed)
+    # d = 2 |x - y| + |y| - |x|, and x - y holds the rare shingles of x
+    near = near & (2 * F.col("alone") + F.col("an") - F.col("n") <= allowed) & (2 * F.col("aalone") + F.col("n") - F.col("an") <= allowed)
+    for t in range(len(rings)):
+        near = near & (F.abs(F.col(f"d{t}") - F.col(f"ad{t}")) <= allowed)
+    met = state.join(few, (state["key"] == few["key"]) & (state["ring"] == few["ring"]) & near)
+    pairs = met.select(F.least("a", "set").alias("a"), F.greatest("a", "set").alias("b")).distinct()
+    return _merge(comp, _links(_near(stage.write(pairs, "group-pairs"), sets, stage), sets, stage), stage)
 
 
 def similar_documents(docs: DataFrame, stage: Stage | None = None, small: int = SMALL) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every row of ``docs``."""
-    spark = docs.sparkSession
-    stage = stage or Stage(spark, "jaccard")
+    return _judged(docs, stage or Stage(docs.sparkSession, "jaccard"), small).select("doc_id", "n_shingles", "component_id")
+
+
+def _judged(docs: DataFrame, stage: Stage, small: int = SMALL) -> DataFrame:
+    """doc_id, text_id, n_shingles, component (a number for each group of linked sets) and component_id of every row."""
     p = stage.partitions()
     sets = stage.write(_sets(docs), "sets", TEXTS)
     classes = stage.write(
@@ -412,46 +515,65 @@ def similar_documents(docs: DataFrame, stage: Stage | None = None, small: int =
         "classes",
     )
     found = stage.write(_runs(_expand(sets), p, small), "first")
-    pairs = stage.write(found.filter("kind = 0").select("a", "b").distinct(), "pairs")
+    # large groups are connected first, so that pairs inside them need not meet
+    often = found.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("set"))
+    keys = sets.filter("keys is not null").groupBy(F.col("d1").alias("set")).agg((F.max(F.length("keys")) / 8).cast("long").alias("k"), F.max("spare").alias("spare"))
+    keys = stage.write(keys, "key-numbers")
+    stars = stage.write(_stars(often, keys), "stars")
+    comp = stage.write(components(_links(stars, _whole_sets(docs, classes, _ends(stars), stage, "star-sets"), stage), stage), "components")
+    cheap = _labelled(found.filter("kind = 2").select(F.col("a").alias("key"), F.col("b").alias("set")), comp)
+    pairs = stage.write(_runs(cheap, p, small).select("a", "b").distinct(), "pairs")
     # sets with more frequent keys than segments to spare
-    often = found.filter("kind = 1").groupBy(F.col("b").alias("set")).count()
-    spare = sets.filter("keys is not null").select(F.col("d1").alias("set"), "spare").distinct()
-    short = stage.write(spare.join(often, "set", "left").filter(F.coalesce("count", F.lit(0)) > F.col("spare")).select("set"), "short")
+    counts = often.groupBy("set").count()
+    short = stage.write(keys.join(counts, "set", "left").filter(F.coalesce("count", F.lit(0)) > F.col("spare")).select("set"), "short")
     groups = short_sets = None
     if short.take(1):
         short_sets = _whole_sets(docs, classes, short, stage, "short-sets")
-        second = stage.write(_runs(_second(short_sets), p, small), "second")
+        second = stage.write(_runs(_labelled(_second(short_sets), comp), p, small), "second")
         pairs = stage.write(pairs.unionByName(second.filter("kind = 0").select("a", "b")).distinct(), "pairs")
         often = second.filter("kind = 1").groupBy(F.col("b").alias("set")).agg(F.collect_set("a").alias("often"))
         rest = stage.write(_still_short(short_sets.join(often, "set", "left")), "rest")
         if rest.take(1):
-            third = stage.write(_runs(_prefixes(rest, stage), p, small), "third")
+            prefixes, alone = _prefixes(rest, stage, small)
+            third = stage.write(_runs(_labelled(prefixes, comp), p, small), "third")
             pairs = stage.write(pairs.unionByName(third.filter("kind = 0").select("a", "b")).distinct(), "pairs")
             groups = third.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("set"))
-    near = _near(pairs, _whole_sets(docs, classes, _ends(pairs), stage, "candidate-bitmaps", whole=False), stage)
-    whole = _whole_sets(docs, classes, _ends(near), stage, "candidate-sets")
-    comp = stage.write(components(_links(near, whole, stage), stage), "components")
+    comp = _merge(comp, _verified(docs, classes, pairs, stage, "candidate"), stage)
     if groups is not None:
-        comp = _large_groups(groups, short_sets, comp, stage)
-    special = classes.join(comp.withColumnRenamed("node", "rep"), "rep", "left").filter("copies > 1 or component is not null")
-    special = stage.write(special.select("d1", "d2", F.coalesce("component", "rep").alias("component")), "special")
-    out = sets.select("doc_id", "n", "d1", "d2").join(special, ["d1", "d2"], "left")
-    own = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id")))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"))
-
+        comp = _large_groups(groups, alone, short_sets, comp, stage)
+    grouped = classes.join(comp.withColumnRenamed("node", "d1"), "d1", "left").select("d1", "d2", "rep", "copies", F.coalesce("component", "d1").alias("component"))
+    grouped = stage.write(grouped.filter("copies > 1").unionByName(grouped.filter("copies = 1").join(comp.select(F.col("node").alias("d1")), "d1", "left_semi")), "grouped")
+    least = grouped.groupBy("component").agg(F.min("rep").alias("least"))
+    special = stage.write(grouped.join(least, "component").select("d1", "d2", "component", "least"), "special")
+    out = sets.select("doc_id", "text_id", "n", "d1", "d2").join(special, ["d1", "d2"], "left")
+    own = F.when(F.col("doc_id").isNotNull(), F.when(F.col("n") > 0, F.coalesce("least", "doc_id")).otherwise(F.col("doc_id")))
+    return out.select("doc_id", "text_id", F.col("n").alias("n_shingles"), F.coalesce("component", "d1").alias("component"), own.alias("component_id"))
 
 
 def keep_one_of_each(docs: DataFrame, stage: Stage | None = None) -> DataFrame:
-    """The documents whose id is their component's, so one of each group of near copies, with their columns.
-    Rows whose id is null stay; of rows that repeat an id, the first in the order of all columns stays."""
+    """One document of each group of near copies, with its columns: that with the smallest id.
+
+    Rows whose id is null stay, and so do those without words.  A row is judged by its own set: of rows that repeat an id, one that belongs to
+    another document's group goes, one with a text of its own stays, and of rows with the same id and the same set the first by text stays.
+    """
     spark = docs.sparkSession
     stage = stage or Stage(spark, "jaccard")
-    said = stage.write(similar_documents(docs, stage).filter("doc_id is not null"), "said")
-    gone = stage.write(said.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    twice = stage.write(said.filter("doc_id = component_id").groupBy("doc_id").count().filter("count > 1").select("doc_id"), "repeated-ids")
-    near = lambda ids: ids if ids.count() > BROADCAST_IDS else F.broadcast(ids)
-    kept = docs.join(near(gone), "doc_id", "left_anti").select(*docs.columns)
-    if not twice.take(1):
-        return kept
-    again = kept.join(near(twice), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("r")).select("r.*")
-    return kept.join(near(twice), "doc_id", "left_anti").select(*docs.columns).unionByName(again.select(*docs.columns))
+    said = stage.write(_judged(docs, stage).filter("doc_id is not null and n_shingles > 0"), "said")
+    # of each group the smallest id stays, and where that stands on several rows of the group, the smallest text hash
+    kept = said.filter("doc_id = component_id").groupBy("component", "component_id").agg(F.min("text_id").alias("text_id"), F.count(F.lit(1)).alias("rows"))
+    kept = stage.write(kept, "kept")
+    gone = said.filter("doc_id <> component_id").select("doc_id", "text_id")
+    more = said.filter("doc_id = component_id").join(kept.filter("rows > 1").select("component", F.col("text_id").alias("kept_text")), "component")
+    gone = gone.union(more.filter("text_id <> kept_text").select("doc_id", "text_id"))
+    gone = stage.write(gone.select(F.col("doc_id").alias("of_doc"), F.col("text_id").alias("of_text")).distinct(), "gone")
+    rows = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("given"))
+    match = (F.col("given.doc_id").cast("long") == F.col("of_doc")) & (F.xxhash64("given.text") == F.col("of_text"))
+    left = rows.join(gone if gone.count() > BROADCAST_IDS else F.broadcast(gone), match, "left_anti")
+    # rows with the same id and text stand several times: one of them stays
+    again = stage.write(kept.filter("rows > 1").select("component_id", "text_id"), "repeated")
+    columns = [F.col(f"given.`{c}`").alias(c) for c in docs.columns]
+    if not again.take(1):
+        return left.select(*columns)
+    hit = (F.col("given.doc_id").cast("long") == F.col("component_id")) & (F.xxhash64("given.text") == F.col("text_id"))
+    several = left.join(again, hit, "left_semi").withColumn("r", F.row_number().over(Window.partitionBy("given.doc_id", F.xxhash64("given.text")).orderBy(F.to_json("given"))))
+    return left.join(again, hit, "left_anti").select(*columns).unionByName(several.filter("r = 1").select(*columns))

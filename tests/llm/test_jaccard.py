@@ -76,3 +76,41 @@ def test_edge_rows(spark):
     assert kept.columns == docs.columns
     assert sorted((str(x.doc_id) for x in kept.collect())) == sorted(map(str, [1, 2, 3, 4, 7, 9, 10, 11, None]))
     assert jaccard.similar_documents(docs.limit(0)).count() == 0
+
+
+def test_rows_that_repeat_an_id_are_judged_by_their_own_text(spark):
+    a, b = [f"w{k}" for k in range(60)], [f"v{k}" for k in range(60)]
+    near = " ".join([*a[:-1], "x"])
+    rows = [(1, " ".join(a), {"k": 1}), (5, near, {"k": 2}), (5, " ".join(b), {"k": 3}), (9, " ".join(b), {"k": 4}), (None, near, None), (7, "", None), (7, None, None)]
+    rows += [(3, "a text that stands twice under one id", {"k": k}) for k in (6, 5, 7)] + [(4, "A text that stands twice under one id", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, component map<string,int>").repartition(3)
+    got = sorted(((x.doc_id, x.text, x.component) for x in jaccard.keep_one_of_each(docs).collect()), key=str)
+    assert got == sorted([rows[0], rows[2], rows[4], rows[5], rows[6], (3, rows[7][1], {"k": 5})], key=str)
+    groups = {(x.doc_id, x.n_shingles): x.component_id for x in jaccard.similar_documents(docs).collect()}
+    assert groups[5, 56] in (1, 5) and groups[9, 56] == 5 and groups[4, 4] == 3
+
+
+def many(r, sizes):
+    """Groups of near copies: every member has some words of its group's text changed."""
+    out = []
+    for g, size in enumerate(sizes):
+        base = [f"g{g}w{k}" for k in range(r.randint(70, 110))]
+        for _ in range(size):
+            w = base[:]
+            for _ in range(r.randint(0, 3)):
+                w[r.randrange(len(w))] = f"x{r.randrange(10**6)}"
+            out.append((len(out), " ".join(w)))
+    return out
+
+
+def test_pairs_of_a_large_group_grow_with_its_members(spark, monkeypatch):
+    """Rows that the joins of candidates make, at two sizes of one group of near copies."""
+    made = {}
+    near, measured = jaccard._near, jaccard._distances
+    monkeypatch.setattr(jaccard, "_near", lambda pairs, sets, stage: (made.__setitem__(size, made.get(size, 0) + pairs.count()), near(pairs, sets, stage))[1])
+    monkeypatch.setattr(jaccard, "_distances", lambda pairs, sets, stage: (made.__setitem__(size, made.get(size, 0) + pairs.count()), measured(pairs, sets, stage))[1])
+    for size in (80, 320):
+        rows = many(random.Random(size), [size, 5, 2, 40])
+        got = jaccard.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), small=8).collect()
+        assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute(rows)
+    assert made[320] < 7 * made[80], made
