@@ -234,15 +234,14 @@ def _labelled(keyed: DataFrame, comp: DataFrame) -> DataFrame:
 
 
 def _stars(often: DataFrame, keys: DataFrame) -> DataFrame:
-    """Pairs (a, b) that connect large groups: a set with the leader of each of its two most frequent segment keys.
-
-    ``often`` has (key, set) of the frequent keys, ``keys`` the number of keys of each set.  The leader is the set with the fewest keys that
-    are not frequent, in large groups of copies the text that was changed least."""
-    of_key = often.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    own = often.groupBy("set").agg(F.count(F.lit(1)).alias("m")).join(keys, "set").select("set", (F.col("k") - F.col("m")).alias("odd"))
-    rows = often.join(of_key, "key").join(own, "set")
-    rank = Window.partitionBy("set").orderBy(F.col("n").desc(), "key")
-    top = rows.withColumn("r", F.row_number().over(rank)).filter("r <= 2").select("key", "set", "odd")
+    """Pairs (a, b) that connect large groups: a set with the leaders of two of its frequent segment keys.
+
+    ``often`` has (key, set) of the frequent keys, ``keys`` the number k of keys of each set.  A set goes with the smallest and the
+    greatest of its frequent keys (keys are hashes, so near copies mostly choose the same ones): one aggregation, no
+    join of all rows.  The leader is the set with the fewest keys that are not frequent, in large groups of copies the text
+    that was changed least."""
+    chosen = often.groupBy("set").agg(F.min("key").alias("x"), F.max("key").alias("y"), F.count(F.lit(1)).alias("m"))
+    top = chosen.join(keys, "set").select(F.explode(F.array_distinct(F.array("x", "y"))).alias("key"), "set", (F.col("k") - F.col("m")).alias("odd"))
     leader = top.groupBy("key").agg(F.min(F.struct("odd", "set")).alias("l")).select("key", F.col("l.set").alias("leader"))
     pairs = top.join(leader, "key").filter("set <> leader")
     return pairs.select(F.least("set", "leader").alias("a"), F.greatest("set", "leader").alias("b")).distinct()
