@@ -1,17 +1,19 @@
-"""Near-duplicate vectors by random-hyperplane passes.
+"""Near-duplicate vectors by sorted projection passes.
 
-Each pass gives every vector a key: the signs of its projections on ``bits``
-random directions, joined to one number.  Vectors of one pass and length with one key are a
-run, and all vectors of a run are compared in double precision; a long run is cut
-into blocks, and every block meets every block, spread over tasks.  Links found in
-any pass are joined into components.
+Each pass gives every vector a key, the signs of its projections on random directions,
+concatenated to one number, and orders the vectors of one length lexicographically by it.  In that order
+a vector is compared in double precision with its neighbours in a window: the ``window`` rows before it, and
+beyond them all rows before it that agree with it in the ``bits`` leading signs (a run).  The order is dealt
+to tasks by ranges that end between runs, and each task streams through its ranges with
+the rows of one window in memory.  A run of more than ``block`` rows is cut into blocks, and every block
+meets every block, spread over tasks.  Verified pairs of all passes are united to components.
 
 Finding probability: a pair at the threshold (cosine 0.9) agrees in a sign with
 probability 0.856 whatever the other vectors are, so it shares a run of ``bits`` signs with
 0.856 ** bits.  The number of passes is derived from the bits so that such a pair is missed
 in all passes with a probability of at most ``miss``, at every table size and inside
-hot groups; closer pairs are missed less often.  The bits are those with the least work by the
-counted run lengths of one pass; small tables have no bits, one run, and an exact result.
+hot groups; closer pairs are missed less often, and what a window finds beyond the runs comes on top.
+The bits are those with the least work by the counted run lengths of one pass.
 
 A last step counts the direct links inside each component exactly, block of members
 against block of members.  Blocks of one component are spread over tasks, and a task
@@ -46,8 +48,9 @@ from .components import components
 class Settings:
     threshold: float = 0.9
     miss: float = 1e-4  # probability that a pair at the threshold meets in no pass
-    block: int = 1024  # rows of a comparison block
-    gather: int = 4096  # rows of short runs that a task compares at once
+    window: int = 128  # neighbours before a row that it is compared with, whatever their signs
+    finer: int = 8  # signs of a key beyond those of its run; they order the rows inside it
+    block: int = 1024  # rows of a block of a long run
     seed: int = 2
 
 
@@ -62,9 +65,16 @@ def passes(bits: int, s: Settings) -> int:
     return 1 if together >= 1 else math.ceil(math.log(s.miss) / math.log1p(-together))
 
 
-def _unit(raw: list[bytes]) -> np.ndarray:
-    x = np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1)
-    x = x / np.abs(x).max(axis=1, keepdims=True)
+def _raw(x: np.ndarray) -> list[bytes]:
+    """Bytes of each row, in single precision where that loses nothing."""
+    with np.errstate(over="ignore"):
+        short = x.astype(np.float32)
+    return [v.tobytes() if same else w.tobytes() for v, w, same in zip(short, x, (short == x).all(axis=1))]
+
+
+def _unit(raw: list[bytes], dim: int) -> np.ndarray:
+    x = np.array([np.frombuffer(v, np.float32 if len(v) == 4 * dim else np.float64) for v in raw], np.float64)
+    x /= np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -89,7 +99,7 @@ def _keyed(classes: DataFrame, n_passes: int, bits: int, s: Settings, vectors: b
                     directions = {dim: _directions(dim, n_passes * bits, s)}  # those of one length at a time
                 part = b.take(pa.array(np.flatnonzero(sizes == dim)[at : at + 1024]))
                 x = np.array(part.column(1).to_pylist(), np.float64)
-                raw = pa.array([row.tobytes() for row in x] if vectors else [None] * len(x), pa.binary())
+                raw = pa.array(_raw(x) if vectors else [None] * len(x), pa.binary())
                 with np.errstate(over="ignore", invalid="ignore"):
                     peak = np.abs(x).max(axis=1, keepdims=True)
                     signs = (x / peak) @ directions[dim].T >= 0
@@ -102,16 +112,14 @@ def _keyed(classes: DataFrame, n_passes: int, bits: int, s: Settings, vectors: b
 
 
 def _bits(classes: DataFrame, n: int, s: Settings) -> int:
-    """Number of signs with the least work: copies of rows that are dealt, and comparisons by the run lengths of one pass."""
-    if n <= s.block:
-        return 0
-    usual = math.ceil(math.log2(n / s.block))
-    tried, most = list(range(max(usual - 3, 0), usual + 9)), usual + 8
+    """Number of leading signs with the least work: copies of rows that are dealt, and comparisons by the run lengths of one pass."""
+    usual = max(math.ceil(math.log2(max(n, 1) / s.block)), 0)
+    tried, most = list(range(max(usual - 3, 1), usual + 9)), usual + 8
     keys = _keyed(classes, 1, most, s, vectors=False).select("dim", "key", F.explode(F.array(*[F.lit(x) for x in tried])).alias("bits"))
     runs = keys.groupBy("bits", "dim", F.expr(f"shiftright(key, {most} - bits)").alias("run")).agg(F.count(F.lit(1)).alias("size"))
     pairs = {r["bits"]: r["pairs"] for r in runs.groupBy("bits").agg(F.sum(F.col("size").cast("double") * F.col("size")).alias("pairs")).collect()}  # one row per number of bits
     # to deal a row out costs as much as some thousand comparisons
-    return min(tried, key=lambda x: passes(x, s) * (1000.0 * n + pairs[x] * (1 + 1000 / s.block)))
+    return min(tried, key=lambda x: passes(x, s) * ((1000.0 + s.window) * n + pairs.get(x, 0) * (1 + 1000 / s.block)))
 
 
 def _forest(near: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int]]:
@@ -134,34 +142,56 @@ def _forest(near: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> list[tuple[int,
     return out
 
 
-def _pass_links(keyed: DataFrame, n: int, s: Settings, stage: Stage) -> DataFrame:
-    """Links (a, b) inside the runs of each pass, as a forest per run or pair of blocks."""
-    sizes = stage.write(keyed.groupBy("pass", "dim", "key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > s.block), "long-runs")
-    dealt = keyed.join(sizes, ["pass", "dim", "key"], "left").withColumn("n", F.ceil(F.col("size") / s.block).cast("int"))
-    dealt = dealt.withColumn("own", F.when(F.col("n").isNotNull(), F.pmod(F.xxhash64("node"), F.col("n")).cast("int")))
-    # short runs are gathered by a hash of their key; each block of a long one meets every block of it once
-    gathered = F.pmod(F.xxhash64("key"), F.lit(math.ceil(n / s.gather)))
-    other = F.explode(F.when(F.col("n").isNull(), F.array(F.lit(-1))).otherwise(F.sequence(F.lit(0), F.col("n") - 1)))
-    met = dealt.withColumn("other", other).withColumn("part", F.when(F.col("n").isNull(), gathered).otherwise(F.col("key")))
-    met = met.select("pass", "dim", "part", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "key", "node", "x")
+def _window_links(ordered: DataFrame, s: Settings) -> DataFrame:
+    """Links (a, b) of sorted rows (pass, dim, run, node, x) with the rows of their windows, as a forest per stretch of ``window`` rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, before = None, None  # pass and length of the rows before, and those of them that the window still holds
+        for b in batches:
+            number, dims, runs, nodes = (b.column(k).to_numpy() for k in range(4))
+            change = np.flatnonzero((np.diff(number) != 0) | (np.diff(dims) != 0)) + 1
+            for start, end in zip(np.r_[0, change], np.r_[change, b.num_rows]):
+                for at in range(start, end, s.window):
+                    part = slice(at, min(at + s.window, end))
+                    u = _unit(b.column(4).slice(at, part.stop - at).to_pylist(), int(dims[at]))
+                    if last != (last := (number[at], dims[at])):
+                        before = (np.zeros(0, np.int64), np.zeros(0, np.int64), u[:0])
+                    r, node, v = (np.concatenate(x) for x in zip(before, (runs[part], nodes[part], u)))
+                    near = u @ v.T >= s.threshold
+                    np.fill_diagonal(near[:, len(before[0]) :], False)
+                    found = np.array(_forest(near, nodes[part], node), np.int64).reshape(-1, 2)
+                    if len(found):
+                        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+                    keep = max(min(len(r) - s.window, int(np.searchsorted(r, r[-1]))), 0)
+                    before = (r[keep:], node[keep:], v[keep:])
+
+    return ordered.select("pass", "dim", "run", "node", "x").mapInArrow(run, "a long, b long")
+
+
+def _block_links(rows: DataFrame, s: Settings) -> DataFrame:
+    """Links (a, b) inside long runs, as a forest per pair of blocks of rows (pass, dim, run, size, node, x)."""
+    dealt = rows.withColumn("n", F.ceil(F.col("size") / s.block).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("n")).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))  # each block meets every block once
+    met = met.select("pass", "dim", "run", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "x")
 
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("key")
-        u, node, key, own = _unit(pdf["x"].tolist()), pdf["node"].to_numpy(), pdf["key"].to_numpy(), pdf["own"]
-        lo, hi = pdf["lo"].iloc[0], pdf["hi"].iloc[0]
-        out = []
-        if lo != hi:
-            is_lo = (own == lo).to_numpy()
-            return pd.DataFrame(_forest(u[is_lo] @ u[~is_lo].T >= s.threshold, node[is_lo], node[~is_lo]), columns=["a", "b"]).astype("int64")
-        starts = np.r_[0, np.flatnonzero(np.diff(key)) + 1, len(key)]
-        for a, b in zip(starts[:-1], starts[1:]):
-            if b - a > 1:
-                near = u[a:b] @ u[a:b].T >= s.threshold
-                np.fill_diagonal(near, False)
-                out += _forest(near, node[a:b], node[a:b])
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
-    return met.groupBy("pass", "dim", "part", "lo", "hi").applyInPandas(links, "a long, b long")
+        u, node = _unit(pdf["x"].tolist(), int(pdf["dim"].iloc[0])), pdf["node"].to_numpy()
+        is_lo, same = (pdf["own"] == pdf["lo"]).to_numpy(), pdf["lo"].iloc[0] == pdf["hi"].iloc[0]
+        is_hi = is_lo if same else ~is_lo
+        near = u[is_lo] @ u[is_hi].T >= s.threshold
+        if same:
+            np.fill_diagonal(near, False)
+        return pd.DataFrame(_forest(near, node[is_lo], node[is_hi]), columns=["a", "b"]).astype("int64")
+
+    return met.groupBy("pass", "dim", "run", "lo", "hi").applyInPandas(links, "a long, b long")
+
+
+def _pass_links(keyed: DataFrame, s: Settings, stage: Stage) -> DataFrame:
+    """Links (a, b) that the windows of all passes find; ``keyed`` has the keys without their ``finer`` signs in ``run``."""
+    run = ["pass", "dim", "run"]
+    sizes = stage.write(keyed.groupBy(*run).agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > s.block), "long-runs")
+    ordered = keyed.join(sizes, run, "left_anti").repartitionByRange(*run).sortWithinPartitions("pass", "dim", "key", "node")
+    return _window_links(ordered, s).unionByName(_block_links(keyed.join(sizes, run), s))
 
 
 def _direct_links(members: DataFrame, s: Settings, stage: Stage) -> DataFrame:
@@ -198,9 +228,9 @@ def near_vectors(vectors: DataFrame, settings: Settings = Settings(), stage: Sta
     classes = _classes(vectors, stage)
     n = classes.count()
     bits = _bits(classes, n, s)
-    # keys are written: the run lengths and the rows of the runs come from the same table
-    keyed = stage.write(_keyed(classes, passes(bits, s), bits, s), "keyed")
-    comp = components(stage.write(_pass_links(keyed, n, s, stage), "links"), stage)
+    # keys are written: the run lengths, the bounds of the ranges and the rows come from the same table
+    keyed = _keyed(classes, passes(bits, s), bits + s.finer, s).withColumn("run", F.shiftright("key", s.finer))
+    comp = components(stage.write(_pass_links(stage.write(keyed, "keyed"), s, stage), "links"), stage)
     comp = stage.write(comp, "components")
     linked = _direct_links(classes.join(comp, "node"), s, stage)
     known = classes.join(comp, "node", "left").join(linked, "node", "left").filter("copies > 1 or component is not null")
