@@ -6,9 +6,11 @@ machines then separate the languages inside it.  Features are hashed byte
 a score is the mean weight of a text's grams.
 
 Families come from a table of well-known codes; a code not listed is a family of its own.
-Learning reads at most ``per_language`` texts of a language (a documented
-bound, picked by a hash of the id) of at most ``max_languages`` languages, the
-most frequent ones.  Prediction is per row without a shuffle.
+Learning reads at most ``per_language`` different texts of each language (a documented bound on
+labelled rows, picked by a hash of id and text; the hash is cut at a bound that follows from the language's
+count, so few rows more than those are ever ranked).  Every language is learnt.  A machine's weights are
+kept for the buckets that its texts hold, one row per machine.  Prediction is per row without a shuffle: the
+machines of families first, then only those inside the chosen family.
 
 Defined results: ``und`` with score 0 for a null text or a text without a
 letter, and for every text when nothing could be learnt; one known language only: that
@@ -50,7 +52,6 @@ class Settings:
     bits: int = 17
     sizes: tuple[int, ...] = (2, 3, 4)
     per_language: int = 800  # texts of a language that the learner reads at most
-    max_languages: int = 100
     cost: float = 10.0
     epochs: int = 12
     scale: float = 30.0  # brings shares of grams to vectors of a length near 1
@@ -87,10 +88,17 @@ def grams(text: str | None, s: Settings) -> Iterator[np.ndarray]:
 
 def vector(text: str | None, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Sparse shares of grams: buckets and values."""
-    parts = list(grams(text, s))
-    if not parts:
+    parts = grams(text, s)
+    first = [x for _, x in zip(s.sizes, parts)]  # those of one slice, which is the whole of most texts
+    if not first:
         return np.zeros(0, np.int32), np.zeros(0, np.float32)
-    at, count = np.unique(np.concatenate(parts), return_counts=True)
+    at, count = np.unique(np.concatenate(first), return_counts=True)
+    if len(at) and (rest := next(parts, None)) is not None:
+        whole = np.bincount(at, count, 1 << s.bits) + np.bincount(rest, minlength=1 << s.bits)
+        for x in parts:
+            whole += np.bincount(x, minlength=1 << s.bits)
+        at = np.flatnonzero(whole).astype(np.int32)
+        count = whole[at]
     return at, (s.scale * count / count.sum()).astype(np.float32)
 
 
@@ -117,30 +125,33 @@ def svm(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, s: Settings) -
 
 
 def fit(examples: list[tuple[str, tuple[np.ndarray, np.ndarray]]], s: Settings) -> dict:
-    """{"families": {family: [languages]}, "pairs": [(level, a, b)], "w": matrix, "bias": vector}."""
+    """{"families": {family: [languages]}, "machines": {(level, a, b): (buckets, weights, bias)}}."""
     langs = sorted({lang for lang, _ in examples})
     families = {f: [x for x in langs if family(x) == f] for f in sorted({family(x) for x in langs})}
     pairs = [("family", a, b) for a, b in combinations(families, 2)]
     pairs += [("lang", a, b) for members in families.values() for a, b in combinations(members, 2)]
-    w, bias = np.zeros((1 << s.bits, len(pairs)), np.float32), np.zeros(len(pairs))
-    for k, (level, a, b) in enumerate(pairs):
+    machines = {}
+    for level, a, b in pairs:
         of = family if level == "family" else str
         chosen = [(v, 1 if of(lang) == a else -1) for lang, v in examples if of(lang) in (a, b)]
-        w[:, k], bias[k] = svm([v for v, _ in chosen], np.array([y for _, y in chosen]), s)
-    return {"families": families, "pairs": pairs, "w": w, "bias": bias}
+        w, bias = svm([v for v, _ in chosen], np.array([y for _, y in chosen]), s)
+        at = np.flatnonzero(w).astype(np.int32)
+        machines[level, a, b] = (at, w[at], bias)
+    return {"families": families, "machines": machines}
 
 
 def train(docs: DataFrame, settings: Settings = Settings(), hold_out=held_out) -> dict:
     s = settings
     seen = docs.select("doc_id", F.col("text").alias("__text"), F.col("lang").alias("__lang"))
-    seen = seen.filter(F.col("__lang").isNotNull() & F.col("__text").isNotNull() & ~hold_out(F.col("doc_id")))
-    # ids first (narrow), texts of the bounded choice only
-    ids = seen.select("doc_id", "__lang").filter(F.col("doc_id").isNotNull())
-    common = ids.groupBy("__lang").count().orderBy(F.desc("count"), "__lang").limit(s.max_languages).select("__lang")
-    order = Window.partitionBy("__lang").orderBy(F.xxhash64("doc_id", F.lit(s.seed)), "doc_id")
-    chosen = ids.join(F.broadcast(common), "__lang", "left_semi").withColumn("__rank", F.row_number().over(order))
-    chosen = chosen.filter(F.col("__rank") <= s.per_language).select("doc_id", "__lang").distinct()
-    rows = seen.join(F.broadcast(chosen), ["doc_id", "__lang"]).select("__lang", "doc_id", "__text")
+    seen = seen.filter(F.col("__lang").isNotNull() & F.col("__text").isNotNull() & F.col("doc_id").isNotNull() & ~hold_out(F.col("doc_id")))
+    counts = seen.groupBy("__lang").agg(F.count(F.lit(1)).alias("__count"))
+    place = F.xxhash64("doc_id", "__text", F.lit(s.seed)).alias("__place")
+    share = F.pmod(F.col("__place"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    near = seen.select("*", place).join(counts, "__lang").filter(share < (2.0 * s.per_language + 100) / F.col("__count"))
+    # copies of one row have one place, so they are one before the ranking
+    once = near.groupBy("__lang", "doc_id", "__place").agg(F.min("__text").alias("__text"))
+    order = Window.partitionBy("__lang").orderBy("__place", "doc_id")
+    rows = once.withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= s.per_language).select("__lang", "doc_id", "__text")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -150,52 +161,61 @@ def train(docs: DataFrame, settings: Settings = Settings(), hold_out=held_out) -
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [(lang, (np.frombuffer(at, np.int32), np.frombuffer(v, np.float32))) for b in batches for lang, at, v in zip(*(b.column(k).to_pylist() for k in (0, 2, 3))) if at]
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows, s))], pa.binary())], names=["model"])
+        model = fit(rows, s)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps({"families": model["families"]})], pa.binary())], names=["model"])
+        for machine in model["machines"].items():
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(machine)], pa.binary())], names=["model"])
 
     made = rows.mapInArrow(features, f"lang string, doc_id {dict(docs.dtypes)['doc_id']}, at binary, value binary")
     got = made.repartition(1).sortWithinPartitions("lang", "doc_id").mapInArrow(learn, "model binary").collect()
-    return pickle.loads(bytes(got[0].model)) if got else fit([], s)
+    parts = [pickle.loads(bytes(x.model)) for x in got]
+    return {"families": next((x["families"] for x in parts if isinstance(x, dict)), {}), "machines": dict(x for x in parts if isinstance(x, tuple))}
 
 
 class Predictor:
     """Votes of the family machines, then of the machines inside the family."""
 
     def __init__(self, model: dict, s: Settings):
-        self.s, self.m = s, model
-        self.by = {key: k for k, key in enumerate(model["pairs"])}
-
-    def winner(self, level: str, names: list[str], margin: np.ndarray) -> tuple[str, float]:
+        self.s, self.m, self.groups = s, model, {}
+
+    def group(self, level: str, names: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row of each bucket in the weights of the machines between ``names``, those rows, and the biases; row 0 is empty."""
+        if (level, names) not in self.groups:
+            machines = [self.m["machines"][level, a, b] for a, b in combinations(names, 2)]
+            row, used = np.zeros(1 << self.s.bits, np.int32), np.unique(np.concatenate([at for at, _, _ in machines]))
+            row[used] = np.arange(1, len(used) + 1)
+            w = np.zeros((len(used) + 1, len(machines)), np.float32)
+            for k, (at, value, _) in enumerate(machines):
+                w[row[at], k] = value
+            self.groups[level, names] = row, w, np.array([bias for _, _, bias in machines])
+        return self.groups[level, names]
+
+    def winner(self, level: str, names: list[str], at: np.ndarray, share: np.ndarray) -> tuple[str, float]:
         if len(names) == 1:
             return names[0], 1.0
+        row, w, bias = self.group(level, tuple(names))
+        margin = bias.copy()
+        for k in range(0, len(at), 4096):
+            margin += share[k : k + 4096] @ w[row[at[k : k + 4096]]]
         votes, least = dict.fromkeys(names, 0.0), dict.fromkeys(names, np.inf)
-        for a, b in combinations(names, 2):
-            v = margin[self.by[level, a, b]]
+        for v, (a, b) in zip(margin, combinations(names, 2)):
             votes[a if v >= 0 else b] += 1
             least[a], least[b] = min(least[a], v), min(least[b], -v)
         best = max(names, key=lambda x: (votes[x], least[x]))
         return best, float(1 / (1 + np.exp(-2 * np.clip(least[best], -30, 30))))
 
     def __call__(self, text: str | None) -> tuple[str, float]:
-        total, n = np.zeros(len(self.m["pairs"])), 0
-        for at in grams(text, self.s):
-            n += len(at)
-            if len(self.m["pairs"]):
-                total += [np.take(w, at).sum(dtype=np.float64) for w in self.columns()]
-        if not n or not self.m["families"]:
+        at, share = vector(text, self.s)
+        if not len(at) or not self.m["families"]:
             return "und", 0.0
-        margin = total * (self.s.scale / n) + self.m["bias"]
-        fam, sure = self.winner("family", list(self.m["families"]), margin)
-        lang, within = self.winner("lang", self.m["families"][fam], margin)
+        fam, sure = self.winner("family", list(self.m["families"]), at, share)
+        lang, within = self.winner("lang", self.m["families"][fam], at, share)
         return lang, sure * within
 
-    def columns(self) -> list[np.ndarray]:
-        if not hasattr(self, "_columns"):
-            self._columns = [np.ascontiguousarray(self.m["w"][:, k]) for k in range(len(self.m["pairs"]))]
-        return self._columns
-
 
 def predict(docs: DataFrame, model: dict, settings: Settings = Settings(), text: str = "text") -> DataFrame:
-    """All columns of ``docs``, lang_pred and score."""
+    """All columns of ``docs``, lang_pred and score; own columns of these two names are replaced."""
+    docs = docs.drop("lang_pred", "score")
     shared, names, s = docs.sparkSession.sparkContext.broadcast(model), docs.columns, settings
     at_text = names.index(text)
 

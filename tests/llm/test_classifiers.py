@@ -36,8 +36,8 @@ def test_language_without_examples(spark):
 def test_family_machines_come_first():
     r = langid.Settings(per_language=5)
     model = langid.fit([(lang, langid.vector(t, r)) for _, t, lang in sample(40, 2)], r)
-    assert [p for p in model["pairs"] if p[0] == "family"] == [("family", "germanic", "romance")]
-    assert ("lang", "de", "en") in model["pairs"] and ("lang", "de", "fr") not in model["pairs"]
+    assert [p for p in model["machines"] if p[0] == "family"] == [("family", "germanic", "romance")]
+    assert ("lang", "de", "en") in model["machines"] and ("lang", "de", "fr") not in model["machines"]
 
 
 def test_toxic_words_are_learnt_and_clean_texts_left_alone(spark):
@@ -66,3 +66,24 @@ def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {x.score for x in toxicity.toxicity_scores(docs, none).collect()} == {0.0}
     assert toxicity.toxicity_scores(docs.limit(0), none).count() == 0
+
+
+def test_every_language_is_learnt_from_a_bounded_choice(spark):
+    """More languages than a hundred, each of one made-up letter pair; copies of a row count once in the choice."""
+    few = langid.Settings(per_language=3, epochs=3, bits=12)
+    names = [f"x{i:03d}" for i in range(104)]
+    text = lambda i, k: " ".join([chr(0x4E00 + i) * 3, chr(0x4E00 + i) * (k + 2)])
+    rows = [(10 * i + k, text(i, k), lang) for i, lang in enumerate(names) for k in range(2)] + [(7, "aaa bbb", "x000")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = langid.train(docs, few, hold_out=lambda _: F.lit(False))
+    assert list(model["families"]) == [f"only {x}" for x in names] and len(model["machines"]) == 104 * 103 // 2
+    said = langid.predict(docs.filter("doc_id <> 7").withColumn("lang_pred", F.lit(1)), model, few)
+    assert said.columns == ["doc_id", "text", "lang", "lang_pred", "score"]
+    assert sum(x.lang == x.lang_pred for x in said.collect()) >= 200
+
+
+def test_slices_of_a_long_text_add_up(monkeypatch):
+    s, t = langid.Settings(), "some words of a text " * 120_000  # more than two slices
+    at, share = langid.vector(t, s)
+    one, part = langid.vector(t[: 21 * 40_000], s)
+    assert (at == one).all() and abs(share - part).max() < 1e-2 and abs(share.sum() - s.scale) < 1e-3
