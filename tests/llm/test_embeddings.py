@@ -77,3 +77,22 @@ def test_each_length_is_compared_among_its_own(spark):
     got = {x.vec_id: (x.n_links, x.component_id) for x in embeddings.near_vectors(df, embeddings.Settings(block=64)).collect()}
     assert all(got[1000 + i] == (1, 1000 + i) == got[2000 + i] for i in range(50))
     assert [got[i] for i in range(3000, 3004)] == [(2, 3000)] * 3 + [(0, 3003)]
+
+
+def test_a_window_reaches_beyond_its_run(spark):
+    """Rows of one pass in sorted order: neighbours within ``window`` meet whatever their signs, farther ones only inside a run."""
+    rows = [(0, 2, run, node, np.array([1.0, node * 1e-3]).tobytes()) for node, run in enumerate([0, 1, 1, 1, 1, 1, 1, 1, 1, 1, 2, 3, 4, 5, 6])]
+    df = spark.createDataFrame([(*r[:3], r[3], bytearray(r[4])) for r in rows], "pass int, dim int, run long, node long, x binary").coalesce(1).sortWithinPartitions("node")
+    found = {frozenset(x) for x in embeddings._window_links(df, embeddings.Settings(window=2)).collect()}
+    comp = list(range(15))
+    for _ in range(15):
+        for a, b in map(tuple, found):
+            comp[a] = comp[b] = min(comp[a], comp[b])
+    assert comp == [0] * 15
+    near = {frozenset(x) for x in embeddings._window_links(df.filter("node in (0, 1, 13, 14)"), embeddings.Settings(window=1)).collect()}
+    assert near == {frozenset((0, 1)), frozenset((1, 13)), frozenset((13, 14))}
+
+
+def test_small_tables_take_the_same_path(spark):
+    df = spark.createDataFrame([(i, [float(i % 5), 1.0, 2.0]) for i in range(30)], "vec_id long, embedding array<double>")
+    assert embeddings._bits(df.selectExpr("vec_id as node", "embedding as e"), 30, embeddings.Settings()) >= 1

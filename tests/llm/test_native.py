@@ -140,3 +140,23 @@ def test_rare_entities_short_names_and_identifiers(spark):
     rows[0] = (0, "Ana wrote from x1@site.org")
     clean = {x.doc_id: x.text for x in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert "Ana" not in clean[0] and "[EMAIL]" in clean[0]
+
+
+def test_long_texts_and_taken_names(spark):
+    """A text of very many lines, a line of very many addresses, and columns that bear the names the operator adds."""
+    lines = "\n".join(f"some words here {i}" for i in range(100_000)) + "\nwrite to zorb ann@example.org"
+    line = " ".join(f"u{i}@ex{i % 7}.org" for i in range(5000)) + " tail words"
+    rows = [(1, lines, "own", 5, "r"), (2, line, None, None, None), (3, None, "own", 5, "r"), (4, "", "own", 5, "r")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans string, __email int, row string")
+    got = {x.doc_id: x for x in pii.personal_data_spans(docs).collect()}
+    at = lines.index("ann@")
+    assert (got[1].n_email, got[2].n_email, got[3].spans, got[4].spans) == (1, 5000, "", "")
+    assert got[1].spans.startswith(f"email:{at}:{at + 15}")
+    assert [tuple(map(int, x.split(":")[1:])) for x in got[2].spans.split(",") if x.startswith("email")] == [m.span() for m in re.finditer(r"\S+@\S+", line)]
+    clean = pii.sanitise(docs)
+    assert clean.columns == docs.columns
+    clean = {x.doc_id: x for x in clean.collect()}
+    assert clean[1].spans == "own" and clean[1]["__email"] == 5 and clean[1].row == "r" and clean[3].text is None and clean[4].text == ""
+    assert clean[2].text.count("[EMAIL]") == 5000 and "@" not in clean[1].text
+    found = pii.find_personal_data(docs)
+    assert found.columns[:5] == docs.columns and found.columns[5:] == ["___email", "__ip", "__card", "__phone", "_spans"]
