@@ -227,11 +227,15 @@ def repeated_passages(docs: DataFrame, settings: Settings = Settings(), stage: S
     hits = runs.select("digest", "doc_id", "text_id", "start", "partner").join(places, ["digest", "partner"])
     pairs = hits.groupBy("doc_id", "text_id", "partner", F.col("p.text_id").alias("ptext_id")).agg(F.collect_list(F.struct("start", F.col("p.start").alias("pstart"))).alias("places"))
     pairs = stage.write(pairs, "pairs")
-    needed = pairs.select("doc_id", "text_id").union(pairs.select("partner", "ptext_id")).distinct()
+    # a text is written with its links, so that it moves once to them and once more to each partner; partners alone are shuffled again
+    links = pairs.groupBy("doc_id", "text_id").agg(F.collect_list(F.struct("partner", "ptext_id", "places")).alias("links"))
+    partners = pairs.select(F.col("partner").alias("doc_id"), F.col("ptext_id").alias("text_id")).distinct().withColumn("is_partner", F.lit(True))
     texts = docs.filter("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_id"), "text")
-    texts = stage.write(texts.join(needed, ["doc_id", "text_id"], "left_semi").dropDuplicates(["doc_id", "text_id"]), "texts")
-    others = texts.select(F.col("doc_id").alias("partner"), F.col("text_id").alias("ptext_id"), F.col("text").alias("ptext"))
-    exact = stage.write(_exact(pairs.join(texts, ["doc_id", "text_id"]).join(others, ["partner", "ptext_id"]), settings), "exact", 512)
+    texts = texts.join(links.join(partners, ["doc_id", "text_id"], "full"), ["doc_id", "text_id"])
+    texts = stage.write(texts.dropDuplicates(["doc_id", "text_id"]), "texts")
+    own = texts.filter("links is not null").select("doc_id", "text_id", "text", F.explode("links").alias("l")).select("doc_id", "text_id", "text", "l.*")
+    others = texts.filter("is_partner").select(F.col("doc_id").alias("partner"), F.col("text_id").alias("ptext_id"), F.col("text").alias("ptext"))
+    exact = stage.write(_exact(own.join(others, ["partner", "ptext_id"]), settings), "exact", 512)
     of_text = exact.groupBy("doc_id", "text_id").agg(F.collect_list(F.struct("partner", "start", "end", "n_words", "at")).alias("found"))
 
     def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
