@@ -34,16 +34,23 @@ class Stage:
         self._n = 0
 
     def write(self, df: DataFrame, name: str, rows_per_batch: int | None = None) -> DataFrame:
-        """``rows_per_batch``: rows that a Python worker gets at once during this write (whole texts are large)."""
+        """``rows_per_batch``: rows that a Python worker gets at once during this write (whole texts are large).
+
+        The shuffle files of the write are removed when it ends, not when the driver happens to collect garbage:
+        every read is of the written table."""
         self._n += 1
-        path, key, conf = f"{self.root}/{self._n:03d}-{name}", "spark.sql.execution.arrow.maxRecordsPerBatch", self.spark.conf
-        before = conf.get(key)
+        path, conf = f"{self.root}/{self._n:03d}-{name}", self.spark.conf
+        during = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
         if rows_per_batch:
-            conf.set(key, str(rows_per_batch))
+            during["spark.sql.execution.arrow.maxRecordsPerBatch"] = str(rows_per_batch)
+        before = {key: conf.get(key) for key in during}
         try:
+            for key, value in during.items():
+                conf.set(key, value)
             df.write.parquet(path)
         finally:
-            conf.set(key, before)
+            for key, value in before.items():
+                conf.set(key, value)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def partitions(self) -> int:
