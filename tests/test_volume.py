@@ -90,3 +90,16 @@ def test_cleaning_answers_do_not_build_the_mart(spark, tmp_path):
     w = Warehouse(spark, SMALL + "/")
     w.root, w.table_prefix = str(tmp_path / "w" / "tag"), "souk_volume_test"
     assert CK.clean_summary(w).count() == 9 and not {"fact_order_master", "mart_customer_features"} & set(w._tables)
+
+
+def test_profiles_count_the_keys_of_the_tables_they_read(spark, tmp_path):
+    from souk.plans.catalog import QUERIES
+    from souk.plans.warehouse import Warehouse
+
+    from .conftest import SMALL
+
+    w = Warehouse(spark, SMALL + "/")
+    w.root = str(tmp_path / "w" / "tag")
+    counted = lambda: {n for n in w._tables if n.startswith("key_counts_")}
+    assert QUERIES["profile_multi_record_entities"](w).count() == 1 and counted() == {"key_counts_payments"}
+    assert QUERIES["profile_key_overlap"](w).count() == 10 and not counted() & {"key_counts_geolocation", "key_counts_category_translation"}
