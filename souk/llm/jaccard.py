@@ -10,8 +10,9 @@ usable segments than a partner can differ in, at least one of them is equal in b
 
 Cost-based allocation decides what each set relies on:
 
-1. Keys held by at most ``small`` sets are cheap: their pairs become
-   candidates.  More frequent keys are left out (value 0).
+1. Keys held by at most ``small`` sets are cheap: pairs become
+   candidates if the cheap keys that they share, and the frequent ones that they may share, are as many
+   as a link leaves equal (a partner spoils at most one segment with each differing element).  More frequent keys are left out (value 0).
 2. Sets that then lack usable segments also index the one-deletion
    neighbourhoods of their cheap segments: such a segment still detects a partner that
    differs in one element there, so it counts twice.  This step is exact
@@ -24,6 +25,7 @@ Cost-based allocation decides what each set relies on:
 
 Since components are asked for, pairs already connected need not meet: sets with frequent segment keys are first
 compared with a leader each (``_stars``), and cheap keys then only pair sets of different components.
+Sets of one task that share a key of step 2 travel as one row, so that a group of near copies makes rows for what differs in it.
 
 Candidates first meet as parity bitmaps: bits in which two bitmaps differ are
 at most as many as the elements in which the sets differ, so a pair with more of
@@ -59,6 +61,8 @@ LEADER_ROUNDS = 2  # rounds with one leader per large group, before rings around
 TEXTS = 500  # whole texts that a Python worker gets at once
 REMEMBERED = 200_000  # sets that a task knows as written already; more are only written again
 BROADCAST_IDS = 1_000_000  # rows of at most three longs; 24 MB
+PACK = 1_000_000  # keys that a task sorts at once to put the sets of a key in one row
+MEMBERS = 256  # sets in such a row at most
 _HASHER = WordHasher(100_000)
 _C = odd_constants(2 * WORDS + 2, 7)
 _DIGEST = odd_constants(2, 70)
@@ -102,31 +106,35 @@ def schemes(n: int) -> list[tuple[int, int, int]]:
     return [(s, 1 if top < 4 else 32 * top // 100 + 3, need) for s, top, need in out]
 
 
+def _of_scheme(key: np.ndarray, scheme: int) -> np.ndarray:
+    return (key & ~np.uint64(1)) | np.uint64(scheme & 1)
+
+
 def segment_keys(s: np.ndarray, scheme: int, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Per segment that is not empty: key, start in s, size, and base (the part of a key that names scheme and segment)."""
+    """Per segment that is not empty: key (its last bit tells a set's two schemes apart), start in s, size, and base (the part of a key that names scheme and segment)."""
     seg = ((s >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)  # s is sorted, so segments are runs
     start = np.flatnonzero(np.r_[True, seg[1:] != seg[:-1]])
     size = np.diff(np.r_[start, len(s)])
     with np.errstate(over="ignore"):
         base = (seg[start] * _C[2 * WORDS] + np.uint64(scheme + 1)) * _C[2 * WORDS + 1]
-        key = mix64(np.add.reduceat(mix64(s), start) + base)
+        key = _of_scheme(mix64(np.add.reduceat(mix64(s), start) + base), scheme)
     return key, start, size, base
 
 
-def deletion_keys(s: np.ndarray, start: np.ndarray, size: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def deletion_keys(s: np.ndarray, scheme: int, start: np.ndarray, size: np.ndarray, base: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Keys of segments with one element left out (an emptied segment has no key), and the segment of each."""
     own = np.repeat(np.arange(len(start)), size)
     m = mix64(s)
     with np.errstate(over="ignore"):
         left = np.add.reduceat(m, start)[own] - m
-        key = mix64(left + base[own])
+        key = _of_scheme(mix64(left + base[own]), scheme)
     many = size[own] > 1
     return key[many], own[many]
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """doc_id, text_id, n, d1, d2, spare, keys: of each document; keys (binary) only with the first copy of a set in a task.
-    ``spare``: segments beyond the needed ones, the least over the schemes."""
+    """doc_id, text_id, n, d1, d2, band, spare0, spare1, keys: of each document; keys (binary) only with the first copy of a set in a task.
+    ``spare0``, ``spare1``: segments beyond the needed ones in the scheme of even and of odd number, null without it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
@@ -135,20 +143,22 @@ def _sets(docs: DataFrame) -> DataFrame:
                 part, out = b.slice(at, 512), []
                 for doc_id, text in zip(part.column(0), part.column(2)):
                     s = shingles(text.as_py())
-                    d, spare, keys = digest(s), None, None
+                    d, band, spare, keys = digest(s), None, [None, None], None
                     if len(s) and doc_id.is_valid and d not in seen:
                         if len(seen) >= REMEMBERED:
                             seen.clear()
                         seen.add(d)
-                        each = [(segment_keys(s, k, m)[0], need) for k, m, need in schemes(len(s))]
-                        spare = min(len(k) - need for k, need in each)
-                        keys = b"".join(k.tobytes() for k, _ in each)
-                    out.append((len(s), *d, spare, keys))
-                columns = [pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], names=["doc_id", "text_id", "n", "d1", "d2", "spare", "keys"])
+                        each = [(k, segment_keys(s, k, m)[0], need) for k, m, need in schemes(len(s))]
+                        band = each[0][0]
+                        for k, own, need in each:
+                            spare[k & 1] = len(own) - need
+                        keys = b"".join(own.tobytes() for _, own, _ in each)
+                    out.append((len(s), *d, band, *spare, keys))
+                columns = [pa.array([x[k] for x in out], t) for k, t in enumerate((*[pa.int64()] * 6, pa.binary()))]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], names=["doc_id", "text_id", "n", "d1", "d2", "band", "spare0", "spare1", "keys"])
 
     chosen = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), F.col("text").alias("__text"))
-    return chosen.mapInArrow(run, "doc_id long, text_id long, n long, d1 long, d2 long, spare long, keys binary")
+    return chosen.mapInArrow(run, "doc_id long, text_id long, n long, d1 long, d2 long, band long, spare0 long, spare1 long, keys binary")
 
 
 def _expand(sets: DataFrame) -> DataFrame:
@@ -166,15 +176,25 @@ def _expand(sets: DataFrame) -> DataFrame:
 
 
 def _runs(keyed: DataFrame, partitions: int, small: int) -> DataFrame:
-    """Reads (key, set, c) sorted by key, c a component or null: (0, a, b) for each pair of sets in different components
-    of a key of at most ``small`` sets; (1, key, set) for each row of a more frequent one; without the column c,
-    (2, key, set) for each row of a key of two to ``small`` sets instead of pairs.
+    """Reads (key, set, c) sorted by key, c a component or null: (0, a, b, even, odd) for each pair of sets in different components
+    that share keys of at most ``small`` sets, so many of schemes of even and odd number (a pair may come again with more); (1, key, set) for each row of a more frequent one; without the column c,
+    (2, key, set) for each row of a key of two to ``small`` sets instead of pairs.  Rows may also come as (key, members), as
+    ``_second`` packs them; a row of a frequent key may then come twice.
     Memory: one batch and one run of ``small`` rows."""
-    labelled = "c" in keyed.columns
+    packed = "members" in keyed.columns
+    labelled = packed or "c" in keyed.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(kind, a, b):
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b)], names=["kind", "a", "b"])
+        def out(kind, a, b, *shared):
+            shared = [pa.array(x) for x in shared] or [pa.nulls(len(a), pa.int64())] * 2
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(a), pa.array(b), *shared], names=["kind", "a", "b", "even", "odd"])
+
+        def rows(b):
+            if not packed:
+                return b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2 if labelled else 1).to_numpy()
+            members = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in b.column(1).to_pylist()]
+            own = np.concatenate([np.zeros((0, 2), np.int64), *members])
+            return np.repeat(b.column(0).to_numpy(), [len(x) for x in members]), own[:, 0], own[:, 1]
 
         def closed(key, own, label):
             start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
@@ -187,10 +207,11 @@ def _runs(keyed: DataFrame, partitions: int, small: int) -> DataFrame:
                     i, j = np.triu_indices(k, 1)
                     x, y = at[:, i].ravel(), at[:, j].ravel()
                     apart = label[x] != label[y]
-                    pairs.append(np.stack([own[x[apart]], own[y[apart]]], 1))
+                    pairs.append(np.stack([own[x[apart]], own[y[apart]], key[x[apart]] & 1], 1))
                 if pairs:
-                    pairs = np.unique(np.concatenate(pairs), axis=0)  # rows of a run are sorted by set, so a < b
-                    yield out(0, np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]))
+                    pairs, shared = np.unique(np.concatenate(pairs), axis=0, return_counts=True)  # rows of a run are sorted by set, so a < b
+                    a, b, last = np.ascontiguousarray(pairs.T)
+                    yield out(0, a, b, shared * (1 - last), shared * last)
             elif few.any():
                 shared = np.repeat(few, size)
                 yield out(2, key[shared], own[shared])
@@ -201,8 +222,10 @@ def _runs(keyed: DataFrame, partitions: int, small: int) -> DataFrame:
         key = own = label = np.zeros(0, np.int64)
         hot = None  # (key, last set) of a frequent run that goes on
         for b in batches:
-            key, own = np.r_[key, b.column(0).to_numpy()], np.r_[own, b.column(1).to_numpy()]
-            label = np.r_[label, b.column(2).to_numpy()] if labelled else own
+            key, own, label = (np.r_[x, y] for x, y in zip((key, own, label), rows(b)))
+            if packed:
+                order = np.lexsort((own, key))
+                key, own, label = key[order], own[order], label[order]
             fresh = np.r_[True, (key[1:] != key[:-1]) | (own[1:] != own[:-1])]
             key, own, label = key[fresh], own[fresh], label[fresh]
             if hot is not None:
@@ -223,8 +246,8 @@ def _runs(keyed: DataFrame, partitions: int, small: int) -> DataFrame:
         if len(key):
             yield from closed(key, own, label)
 
-    dealt = keyed.repartition(partitions, "key").sortWithinPartitions("key", "set")
-    return dealt.mapInArrow(run, "kind int, a long, b long")
+    dealt = keyed.repartition(partitions, "key").sortWithinPartitions(*(["key"] if packed else ["key", "set"]))
+    return dealt.mapInArrow(run, "kind int, a long, b long, even long, odd long")
 
 
 def _labelled(keyed: DataFrame, comp: DataFrame) -> DataFrame:
@@ -233,15 +256,25 @@ def _labelled(keyed: DataFrame, comp: DataFrame) -> DataFrame:
     return keyed.join(known, "set", "left").select("key", "set", F.coalesce("component", "set").alias("c"))
 
 
+def _enough(pairs: DataFrame, allotted: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose shared cheap keys, with as many of the frequent ones as both have, can be those of a link: in
+    the scheme of the smaller one's band at least ``spare`` + 1 of a set's segments are equal in both."""
+    for x in ("a", "b"):
+        pairs = pairs.join(allotted.select(F.col("set").alias(x), *[F.col(c).alias(x + c) for c in allotted.columns if c != "set"]), x)
+    enough = [F.col(shared) + F.least(f"aoften{p}", f"boften{p}") > F.greatest(f"aspare{p}", f"bspare{p}") for p, shared in enumerate(("even", "odd"))]
+    return pairs.filter(F.when(F.least("aband", "bband") % 2 == 0, enough[0]).otherwise(enough[1])).select("a", "b")
+
+
 def _stars(often: DataFrame, keys: DataFrame) -> DataFrame:
     """Pairs (a, b) that connect large groups: a set with the leaders of two of its frequent segment keys.
 
     ``often`` has (key, set) of the frequent keys, ``keys`` the number k of keys of each set.  A set goes with the smallest and the
     greatest of its frequent keys (keys are hashes, so near copies mostly choose the same ones): one aggregation, no
     join of all rows.  The leader is the set with the fewest keys that are not frequent, in large groups of copies the text
-    that was changed least."""
+    that was changed least.  Sets of which three keys in four or more are not frequent (they only hold a common line) have no leader:
+    more differing segments than that leave hardly a link, and what links them all the same is found by their other keys."""
     chosen = often.groupBy("set").agg(F.min("key").alias("x"), F.max("key").alias("y"), F.count(F.lit(1)).alias("m"))
-    top = chosen.join(keys, "set").select(F.explode(F.array_distinct(F.array("x", "y"))).alias("key"), "set", (F.col("k") - F.col("m")).alias("odd"))
+    top = chosen.join(keys, "set").select(F.explode(F.array_distinct(F.array("x", "y"))).alias("key"), "set", (F.col("k") - F.col("m")).alias("odd"), "k").filter("4 * odd < 3 * k")
     leader = top.groupBy("key").agg(F.min(F.struct("odd", "set")).alias("l")).select("key", F.col("l.set").alias("leader"))
     pairs = top.join(leader, "key").filter("set <> leader")
     return pairs.select(F.least("set", "leader").alias("a"), F.greatest("set", "leader").alias("b")).distinct()
@@ -345,22 +378,45 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
 
 
+def _lacking(n: int, lacks: int) -> list[tuple[int, int, int]]:
+    """The schemes of a set of n shingles whose bit (1: even number, 2: odd) is in ``lacks``."""
+    return [x for x in schemes(n) if lacks >> (x[0] & 1) & 1]
+
+
 def _second(short: DataFrame) -> DataFrame:
-    """(key, set) rows of the sets that lack segments: all their segments and one-deletion neighbourhoods."""
+    """(key, members) of the sets (set, s, c, lacks) that lack segments: all segments and one-deletion neighbourhoods of the schemes in which they do; members: (set, c) of
+    the sets of a task that share the key, in rows of at most ``MEMBERS``."""
+
+    def packed(keys: list[np.ndarray], owns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        key, own = np.concatenate(keys), np.concatenate(owns)
+        order = np.argsort(key, kind="stable")
+        key, own = key[order], own[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        place = np.arange(len(key)) - np.repeat(first, np.diff(np.r_[first, len(key)]))
+        start = np.flatnonzero(place % MEMBERS == 0)
+        for at in range(0, len(start), 4096):
+            lo = start[at : at + 4096]
+            hi = np.r_[lo[1:], start[at + 4096] if at + 4096 < len(start) else len(key)]
+            members = pa.array([own[x:y].tobytes() for x, y in zip(lo, hi)], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(key[lo]), members], names=["key", "members"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, owns, held = [], [], 0
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                keys, owns = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-                for own, data in zip(*(b.slice(at, 256).column(k).to_pylist() for k in range(2))):
-                    s = np.frombuffer(data, np.uint64)
-                    for scheme, m, _ in schemes(len(s)):
-                        key, start, size, base = segment_keys(s, scheme, m)
-                        keys.append(np.r_[key, deletion_keys(s, start, size, base)[0]].view(np.int64))
-                        owns.append(np.full(len(keys[-1]), own))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(owns))], names=["key", "set"])
-
-    return short.select("set", "s").mapInArrow(run, "key long, set long")
+            for own, data, c, lacks in zip(*(b.column(k).to_pylist() for k in range(4))):
+                s = np.frombuffer(data, np.uint64)
+                for scheme, m, _ in _lacking(len(s), lacks):
+                    key, start, size, base = segment_keys(s, scheme, m)
+                    keys.append(np.r_[key, deletion_keys(s, scheme, start, size, base)[0]].view(np.int64))
+                    owns.append(np.full((len(keys[-1]), 2), (own, c)))
+                    held += len(keys[-1])
+                if held >= PACK:
+                    yield from packed(keys, owns)
+                    keys, owns, held = [], [], 0
+        if held:
+            yield from packed(keys, owns)
+
+    return short.select("set", "s", "c", "lacks").mapInArrow(run, "key long, members binary")
 
 
 def _still_short(short: DataFrame) -> DataFrame:
@@ -370,11 +426,11 @@ def _still_short(short: DataFrame) -> DataFrame:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 out = []
-                for own, data, often in zip(*(b.slice(at, 256).column(k).to_pylist() for k in range(3))):
+                for own, data, often, lacks in zip(*(b.slice(at, 256).column(k).to_pylist() for k in range(4))):
                     s, often = np.frombuffer(data, np.uint64), np.array(often or [], np.int64)
-                    for scheme, m, need in schemes(len(s)):
+                    for scheme, m, need in _lacking(len(s), lacks):
                         key, start, size, base = segment_keys(s, scheme, m)
-                        gone, seg = deletion_keys(s, start, size, base)
+                        gone, seg = deletion_keys(s, scheme, start, size, base)
                         once = ~np.isin(key.view(np.int64), often)
                         # an emptied segment has no key, and a frequent neighbour is left out: such segments count once
                         twice = once & (size > 1)
@@ -384,7 +440,7 @@ def _still_short(short: DataFrame) -> DataFrame:
                             break
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.binary()))], names=["set", "s"])
 
-    return short.select("set", "s", "often").mapInArrow(run, "set long, s binary")
+    return short.select("set", "s", "often", "lacks").mapInArrow(run, "set long, s binary")
 
 
 def _prefixes(rest: DataFrame, stage: Stage, small: int) -> tuple[DataFrame, DataFrame]:
@@ -516,22 +572,29 @@ def _judged(docs: DataFrame, stage: Stage, small: int = SMALL) -> DataFrame:
     found = stage.write(_runs(_expand(sets), p, small), "first")
     # large groups are connected first, so that pairs inside them need not meet
     often = found.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("set"))
-    keys = sets.filter("keys is not null").groupBy(F.col("d1").alias("set")).agg((F.max(F.length("keys")) / 8).cast("long").alias("k"), F.max("spare").alias("spare"))
+    keys = sets.filter("keys is not null").groupBy(F.col("d1").alias("set")).agg((F.max(F.length("keys")) / 8).cast("long").alias("k"), *[F.max(c).alias(c) for c in ("band", "spare0", "spare1")])
     keys = stage.write(keys, "key-numbers")
     stars = stage.write(_stars(often, keys), "stars")
     comp = stage.write(components(_links(stars, _whole_sets(docs, classes, _ends(stars), stage, "star-sets"), stage), stage), "components")
+    counts = often.groupBy("set").agg(*[F.count_if(F.pmod("key", F.lit(2)) == x).alias(f"often{x}") for x in (0, 1)])
+    allotted = keys.join(counts, "set", "left").select("set", "band", "spare0", "spare1", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("often0", "often1")])
+    allotted = stage.write(allotted, "allotted")
     cheap = _labelled(found.filter("kind = 2").select(F.col("a").alias("key"), F.col("b").alias("set")), comp)
-    pairs = stage.write(_runs(cheap, p, small).select("a", "b").distinct(), "pairs")
-    # sets with more frequent keys than segments to spare
-    counts = often.groupBy("set").count()
-    short = stage.write(keys.join(counts, "set", "left").filter(F.coalesce("count", F.lit(0)) > F.col("spare")).select("set"), "short")
+    pairs = stage.write(_runs(cheap, p, small).groupBy("a", "b").agg(F.sum("even").alias("even"), F.sum("odd").alias("odd")), "shared-keys")
+    pairs = stage.write(_enough(pairs, allotted), "pairs")
+    # sets with more frequent keys than segments to spare in a scheme: in another one, a partner shares a cheap key
+    lacks = F.expr("if(often0 > spare0, 1, 0) + if(often1 > spare1, 2, 0)")
+    short = stage.write(allotted.select("set", lacks.alias("lacks")).filter("lacks > 0"), "short")
     groups = short_sets = None
     if short.take(1):
         short_sets = _whole_sets(docs, classes, short, stage, "short-sets")
-        second = stage.write(_runs(_labelled(_second(short_sets), comp), p, small), "second")
+        labels = comp.withColumnRenamed("node", "set")
+        lacking = short_sets.join(short, "set")
+        labelled = lacking.join(labels, "set", "left").select("set", "s", F.coalesce("component", "set").alias("c"), "lacks")
+        second = stage.write(_runs(_second(labelled), p, small), "second")
         pairs = stage.write(pairs.unionByName(second.filter("kind = 0").select("a", "b")).distinct(), "pairs")
         often = second.filter("kind = 1").groupBy(F.col("b").alias("set")).agg(F.collect_set("a").alias("often"))
-        rest = stage.write(_still_short(short_sets.join(often, "set", "left")), "rest")
+        rest = stage.write(_still_short(lacking.join(often, "set", "left")), "rest")
         if rest.take(1):
             prefixes, alone = _prefixes(rest, stage, small)
             third = stage.write(_runs(_labelled(prefixes, comp), p, small), "third")

@@ -114,3 +114,32 @@ def test_pairs_of_a_large_group_grow_with_its_members(spark, monkeypatch):
         got = jaccard.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), small=8).collect()
         assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute(rows)
     assert made[320] < 7 * made[80], made
+
+
+def test_documents_that_share_a_line_do_not_meet(spark, monkeypatch):
+    """A few segments in common cannot be a link: no texts are read again for such pairs."""
+    r, met, near = random.Random(5), [], jaccard._near
+    monkeypatch.setattr(jaccard, "_near", lambda pairs, sets, stage: (met.extend(pairs.collect()), near(pairs, sets, stage))[1])
+    word = lambda: f"w{r.randrange(10**6)}"
+    rows = []
+    for _ in range(12):
+        line = [word() for _ in range(15)]
+        rows += [(len(rows) + k, " ".join([*line, *[word() for _ in range(120)]])) for k in range(6)]
+    rows.append((len(rows), rows[0][1] + " " + word()))
+    got = jaccard.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute(rows)
+    assert len(met) == 1, met
+
+
+def test_near_copies_of_a_task_share_rows(spark, monkeypatch):
+    """The second step makes rows for what differs in a group, not one for each key of each member."""
+    made, second = [], jaccard._second
+    monkeypatch.setattr(jaccard, "_second", lambda sets: (made.append((sets.count(), second(sets).count())), second(sets))[1])
+    r = random.Random(3)
+    base = [f"b{k}" for k in range(100)]
+    rows = [(i, " ".join([*base[:60], *[f"x{r.randrange(10**6)}" for _ in range(4)], *base[60:]])) for i in range(120)]
+    rows += [(1000 + i, " ".join([*base[:70], *[f"y{r.randrange(10**6)}" for _ in range(30)]])) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = jaccard.similar_documents(docs, small=8).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute(rows)
+    assert made and all(rows < 100 * sets for sets, rows in made), made
