@@ -179,7 +179,7 @@ def _runs(keyed: DataFrame, partitions: int, small: int) -> DataFrame:
     """Reads (key, set, c) sorted by key, c a component or null: (0, a, b, even, odd) for each pair of sets in different components
     that share keys of at most ``small`` sets, so many of schemes of even and odd number (a pair may come again with more); (1, key, set) for each row of a more frequent one; without the column c,
     (2, key, set) for each row of a key of two to ``small`` sets instead of pairs.  Rows may also come as (key, members), as
-    ``_second`` packs them; a row of a frequent key may then come twice.
+    ``_second`` packs them; a row of a frequent key may then come twice, and only if it is to be told.
     Memory: one batch and one run of ``small`` rows."""
     packed = "members" in keyed.columns
     labelled = packed or "c" in keyed.columns
@@ -191,12 +191,12 @@ def _runs(keyed: DataFrame, partitions: int, small: int) -> DataFrame:
 
         def rows(b):
             if not packed:
-                return b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2 if labelled else 1).to_numpy()
-            members = [np.frombuffer(x, np.int64).reshape(-1, 2) for x in b.column(1).to_pylist()]
-            own = np.concatenate([np.zeros((0, 2), np.int64), *members])
-            return np.repeat(b.column(0).to_numpy(), [len(x) for x in members]), own[:, 0], own[:, 1]
+                return b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2 if labelled else 1).to_numpy(), np.ones(b.num_rows, bool)
+            members = [np.frombuffer(x, np.int64).reshape(-1, 3) for x in b.column(1).to_pylist()]
+            own = np.concatenate([np.zeros((0, 3), np.int64), *members])
+            return np.repeat(b.column(0).to_numpy(), [len(x) for x in members]), own[:, 0], own[:, 1], own[:, 2] > 0
 
-        def closed(key, own, label):
+        def closed(key, own, label, told):
             start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             size = np.diff(np.r_[start, len(key)])
             few = (size > 1) & (size <= small)
@@ -215,36 +215,37 @@ def _runs(keyed: DataFrame, partitions: int, small: int) -> DataFrame:
             elif few.any():
                 shared = np.repeat(few, size)
                 yield out(2, key[shared], own[shared])
-            often = np.repeat(size > small, size)
+            often = np.repeat(size > small, size) & told
             if often.any():
                 yield out(1, key[often], own[often])
 
         key = own = label = np.zeros(0, np.int64)
+        told = np.zeros(0, bool)
         hot = None  # (key, last set) of a frequent run that goes on
         for b in batches:
-            key, own, label = (np.r_[x, y] for x, y in zip((key, own, label), rows(b)))
+            key, own, label, told = (np.r_[x, y] for x, y in zip((key, own, label, told), rows(b)))
             if packed:
-                order = np.lexsort((own, key))
-                key, own, label = key[order], own[order], label[order]
+                order = np.lexsort((~told, own, key))
+                key, own, label, told = key[order], own[order], label[order], told[order]
             fresh = np.r_[True, (key[1:] != key[:-1]) | (own[1:] != own[:-1])]
-            key, own, label = key[fresh], own[fresh], label[fresh]
+            key, own, label, told = key[fresh], own[fresh], label[fresh], told[fresh]
             if hot is not None:
                 n = int(np.searchsorted(key, hot[0], side="right"))
-                more = own[:n][own[:n] != hot[1]]
+                more = own[:n][(own[:n] != hot[1]) & told[:n]]
                 if len(more):
                     yield out(1, np.full(len(more), hot[0]), more)
                     hot = (hot[0], more[-1])
-                key, own, label = key[n:], own[n:], label[n:]
+                key, own, label, told = key[n:], own[n:], label[n:], told[n:]
                 hot = hot if not len(key) else None
             if len(key):
                 last = int(np.searchsorted(key, key[-1]))
-                yield from closed(key[:last], own[:last], label[:last]) if last else ()
-                key, own, label = key[last:], own[last:], label[last:]
+                yield from closed(key[:last], own[:last], label[:last], told[:last]) if last else ()
+                key, own, label, told = key[last:], own[last:], label[last:], told[last:]
                 if len(key) > small:
-                    yield out(1, key, own)
-                    hot, key, own, label = (key[0], own[-1]), key[:0], own[:0], label[:0]
+                    yield out(1, key[told], own[told])
+                    hot, key, own, label, told = (key[0], own[-1]), key[:0], own[:0], label[:0], told[:0]
         if len(key):
-            yield from closed(key, own, label)
+            yield from closed(key, own, label, told)
 
     dealt = keyed.repartition(partitions, "key").sortWithinPartitions(*(["key"] if packed else ["key", "set"]))
     return dealt.mapInArrow(run, "kind int, a long, b long, even long, odd long")
@@ -384,8 +385,8 @@ def _lacking(n: int, lacks: int) -> list[tuple[int, int, int]]:
 
 
 def _second(short: DataFrame) -> DataFrame:
-    """(key, members) of the sets (set, s, c, lacks) that lack segments: all segments and one-deletion neighbourhoods of the schemes in which they do; members: (set, c) of
-    the sets of a task that share the key, in rows of at most ``MEMBERS``."""
+    """(key, members) of the sets (set, s, c, lacks, frequent) that lack segments: all segments and one-deletion neighbourhoods of the schemes in which they do; members: (set, c, told) of
+    the sets of a task that share the key, in rows of at most ``MEMBERS``; ``told``: the segment's own key is not frequent, so it matters whether this one is."""
 
     def packed(keys: list[np.ndarray], owns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         key, own = np.concatenate(keys), np.concatenate(owns)
@@ -403,12 +404,15 @@ def _second(short: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, owns, held = [], [], 0
         for b in batches:
-            for own, data, c, lacks in zip(*(b.column(k).to_pylist() for k in range(4))):
-                s = np.frombuffer(data, np.uint64)
+            for own, data, c, lacks, frequent in zip(*(b.column(k).to_pylist() for k in range(5))):
+                s, frequent = np.frombuffer(data, np.uint64), np.array(frequent or [], np.int64)
                 for scheme, m, _ in _lacking(len(s), lacks):
                     key, start, size, base = segment_keys(s, scheme, m)
-                    keys.append(np.r_[key, deletion_keys(s, scheme, start, size, base)[0]].view(np.int64))
-                    owns.append(np.full((len(keys[-1]), 2), (own, c)))
+                    gone, seg = deletion_keys(s, scheme, start, size, base)
+                    told = ~np.isin(key.view(np.int64), frequent)
+                    keys.append(np.r_[key, gone].view(np.int64))
+                    owns.append(np.full((len(keys[-1]), 3), (own, c, 0)))
+                    owns[-1][:, 2] = np.r_[told, told[seg]]
                     held += len(keys[-1])
                 if held >= PACK:
                     yield from packed(keys, owns)
@@ -416,18 +420,19 @@ def _second(short: DataFrame) -> DataFrame:
         if held:
             yield from packed(keys, owns)
 
-    return short.select("set", "s", "c", "lacks").mapInArrow(run, "key long, members binary")
+    return short.select("set", "s", "c", "lacks", "frequent").mapInArrow(run, "key long, members binary")
 
 
 def _still_short(short: DataFrame) -> DataFrame:
-    """The sets whose segments, valued 0, 1 or 2, do not reach what they need even with deletions; ``often``: keys frequent there."""
+    """The sets whose segments, valued 0, 1 or 2, do not reach what they need even with deletions; ``often``: keys frequent
+    there, ``frequent``: segments that are frequent among all sets (value 0)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 256):
                 out = []
-                for own, data, often, lacks in zip(*(b.slice(at, 256).column(k).to_pylist() for k in range(4))):
-                    s, often = np.frombuffer(data, np.uint64), np.array(often or [], np.int64)
+                for own, data, often, lacks, frequent in zip(*(b.slice(at, 256).column(k).to_pylist() for k in range(5))):
+                    s, often = np.frombuffer(data, np.uint64), np.array((often or []) + (frequent or []), np.int64)
                     for scheme, m, need in _lacking(len(s), lacks):
                         key, start, size, base = segment_keys(s, scheme, m)
                         gone, seg = deletion_keys(s, scheme, start, size, base)
@@ -440,7 +445,7 @@ def _still_short(short: DataFrame) -> DataFrame:
                             break
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.binary()))], names=["set", "s"])
 
-    return short.select("set", "s", "often", "lacks").mapInArrow(run, "set long, s binary")
+    return short.select("set", "s", "often", "lacks", "frequent").mapInArrow(run, "set long, s binary")
 
 
 def _prefixes(rest: DataFrame, stage: Stage, small: int) -> tuple[DataFrame, DataFrame]:
@@ -589,8 +594,9 @@ def _judged(docs: DataFrame, stage: Stage, small: int = SMALL) -> DataFrame:
     if short.take(1):
         short_sets = _whole_sets(docs, classes, short, stage, "short-sets")
         labels = comp.withColumnRenamed("node", "set")
-        lacking = short_sets.join(short, "set")
-        labelled = lacking.join(labels, "set", "left").select("set", "s", F.coalesce("component", "set").alias("c"), "lacks")
+        frequent = often.groupBy("set").agg(F.collect_list("key").alias("frequent"))
+        lacking = short_sets.join(short, "set").join(frequent, "set", "left")
+        labelled = lacking.join(labels, "set", "left").select("set", "s", F.coalesce("component", "set").alias("c"), "lacks", "frequent")
         second = stage.write(_runs(_second(labelled), p, small), "second")
         pairs = stage.write(pairs.unionByName(second.filter("kind = 0").select("a", "b")).distinct(), "pairs")
         often = second.filter("kind = 1").groupBy(F.col("b").alias("set")).agg(F.collect_set("a").alias("often"))
