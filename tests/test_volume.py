@@ -103,3 +103,16 @@ def test_profiles_count_the_keys_of_the_tables_they_read(spark, tmp_path):
     counted = lambda: {n for n in w._tables if n.startswith("key_counts_")}
     assert QUERIES["profile_multi_record_entities"](w).count() == 1 and counted() == {"key_counts_payments"}
     assert QUERIES["profile_key_overlap"](w).count() == 10 and not counted() & {"key_counts_geolocation", "key_counts_category_translation"}
+
+
+def test_unloaded_csv_is_compressed_in_bounded_files(spark, tmp_path, monkeypatch):
+    from souk.sources import csv as csv_io
+
+    monkeypatch.setattr(csv_io, "ROWS_PER_FILE", 50, raising=False)
+    odd = ["  padded ", 'say "x", y', None, "two\nlines", "plain"]
+    df = spark.createDataFrame([(i, odd[i % 5]) for i in range(220)] + [(None, "n")], "k bigint, s string").coalesce(1)
+    csv_io.write_csv(df, str(tmp_path / "out"))
+    files = [f.name for f in (tmp_path / "out").glob("part-*")]
+    assert len(files) == 5 and all(f.endswith(".csv.gz") for f in files)
+    lines = csv_io.read_csv(spark, str(tmp_path / "out"), df.schema, free_text=True)
+    assert _rows(lines) == _rows(df.withColumn("_bad_line", F.lit(None)))
