@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Stage, WordHasher, ascii_words, mix64, odd_constants
-from .components import components
+from .components import components, components_of, ordered
 
 WORDS = 5
 SMALL = 32  # an index key of at most so many sets pairs them all
@@ -61,6 +61,7 @@ LEADER_ROUNDS = 2  # rounds with one leader per large group, before rings around
 TEXTS = 500  # whole texts that a Python worker gets at once
 REMEMBERED = 200_000  # sets that a task knows as written already; more are only written again
 BROADCAST_IDS = 1_000_000  # rows of at most three longs; 24 MB
+BROADCAST_SETS = 6_000_000  # bytes of whole sets, bitmaps or numbers of sets that are sent to all tasks
 PACK = 1_000_000  # keys that a task sorts at once to put the sets of a key in one row
 MEMBERS = 256  # sets in such a row at most
 _HASHER = WordHasher(100_000)
@@ -260,22 +261,30 @@ def _labelled(keyed: DataFrame, comp: DataFrame) -> DataFrame:
 def _enough(pairs: DataFrame, allotted: DataFrame) -> DataFrame:
     """The pairs (a, b) whose shared cheap keys, with as many of the frequent ones as both have, can be those of a link: in
     the scheme of the smaller one's band at least ``spare`` + 1 of a set's segments are equal in both."""
+    allotted = _light(allotted)
     for x in ("a", "b"):
         pairs = pairs.join(allotted.select(F.col("set").alias(x), *[F.col(c).alias(x + c) for c in allotted.columns if c != "set"]), x)
     enough = [F.col(shared) + F.least(f"aoften{p}", f"boften{p}") > F.greatest(f"aspare{p}", f"bspare{p}") for p, shared in enumerate(("even", "odd"))]
     return pairs.filter(F.when(F.least("aband", "bband") % 2 == 0, enough[0]).otherwise(enough[1])).select("a", "b")
 
 
-def _stars(often: DataFrame, keys: DataFrame) -> DataFrame:
+def _allotted(often: DataFrame, sets: DataFrame) -> DataFrame:
+    """Of each set that has keys: their number k, its band and spare segments, and of its frequent keys (``often``: key, set) how
+    many are of schemes of even and odd number, the smallest x and the greatest y."""
+    keys = sets.filter("keys is not null").groupBy(F.col("d1").alias("set")).agg((F.max(F.length("keys")) / 8).cast("long").alias("k"), *[F.max(c).alias(c) for c in ("band", "spare0", "spare1")])
+    counts = often.groupBy("set").agg(F.min("key").alias("x"), F.max("key").alias("y"), *[F.count_if(F.pmod("key", F.lit(2)) == v).alias(f"often{v}") for v in (0, 1)])
+    return keys.join(counts, "set", "left").select("set", "k", "band", "spare0", "spare1", "x", "y", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("often0", "often1")])
+
+
+def _stars(allotted: DataFrame) -> DataFrame:
     """Pairs (a, b) that connect large groups: a set with the leaders of two of its frequent segment keys.
 
-    ``often`` has (key, set) of the frequent keys, ``keys`` the number k of keys of each set.  A set goes with the smallest and the
-    greatest of its frequent keys (keys are hashes, so near copies mostly choose the same ones): one aggregation, no
-    join of all rows.  The leader is the set with the fewest keys that are not frequent, in large groups of copies the text
+    A set goes with the smallest and the greatest of its frequent keys (keys are hashes, so near copies mostly choose the
+    same ones): no join of all rows.  The leader is the set with the fewest keys that are not frequent, in large groups of copies the text
     that was changed least.  Sets of which three keys in four or more are not frequent (they only hold a common line) have no leader:
     more differing segments than that leave hardly a link, and what links them all the same is found by their other keys."""
-    chosen = often.groupBy("set").agg(F.min("key").alias("x"), F.max("key").alias("y"), F.count(F.lit(1)).alias("m"))
-    top = chosen.join(keys, "set").select(F.explode(F.array_distinct(F.array("x", "y"))).alias("key"), "set", (F.col("k") - F.col("m")).alias("odd"), "k").filter("4 * odd < 3 * k")
+    chosen = allotted.filter("x is not null").withColumn("odd", F.col("k") - F.col("often0") - F.col("often1")).filter("4 * odd < 3 * k")
+    top = chosen.select(F.explode(F.array_distinct(F.array("x", "y"))).alias("key"), "set", "odd")
     leader = top.groupBy("key").agg(F.min(F.struct("odd", "set")).alias("l")).select("key", F.col("l.set").alias("leader"))
     pairs = top.join(leader, "key").filter("set <> leader")
     return pairs.select(F.least("set", "leader").alias("a"), F.greatest("set", "leader").alias("b")).distinct()
@@ -341,6 +350,13 @@ def _side(sets: DataFrame, key: str, *columns: str) -> DataFrame:
     return sets.select(F.col("set").alias(key), *[F.col(c).alias(key + c) for c in columns])
 
 
+def _light(sets: DataFrame, *binary: str) -> DataFrame:
+    """Written rows of sets, marked to be sent to all tasks while their counted bytes (of longs and of the ``binary`` columns) are few; else joins shuffle them."""
+    longs = 8 * (len(sets.columns) - len(binary))
+    size = sets.agg(F.sum(sum((F.coalesce(F.length(c), F.lit(0)) for c in binary), F.lit(longs)))).first()[0] or 0
+    return F.broadcast(sets) if size <= BROADCAST_SETS else sets
+
+
 def _near(pairs: DataFrame, sets: DataFrame, stage: Stage) -> DataFrame:
     """The candidate pairs (a, b) of classes whose bitmaps allow a link; written."""
 
@@ -371,8 +387,8 @@ def _links(near: DataFrame, sets: DataFrame, stage: Stage) -> DataFrame:
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, stage: Stage, name: str) -> DataFrame:
     """The links (a, b) among candidate pairs of classes: bitmaps first, whole sets of what remains."""
-    near = _near(pairs, _whole_sets(docs, classes, _ends(pairs), stage, f"{name}-bitmaps", whole=False), stage)
-    return _links(near, _whole_sets(docs, classes, _ends(near), stage, f"{name}-sets"), stage)
+    near = _near(pairs, _light(_whole_sets(docs, classes, _ends(pairs), stage, f"{name}-bitmaps", whole=False), "bits", "s"), stage)
+    return _links(near, _light(_whole_sets(docs, classes, _ends(near), stage, f"{name}-sets"), "bits", "s"), stage)
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -478,11 +494,10 @@ def _prefixes(rest: DataFrame, stage: Stage, small: int) -> tuple[DataFrame, Dat
 def _merge(comp: DataFrame, links: DataFrame, stage: Stage) -> DataFrame:
     """Components after more links: those of the links between components, put on the nodes."""
     label = lambda df, c: df.join(comp.select(F.col("node").alias(c), F.col("component").alias("c" + c)), c, "left").withColumn(c, F.coalesce("c" + c, c))
-    joined = label(label(links.select("a", "b"), "a"), "b").select("a", "b").filter("a <> b")
-    joined = stage.write(joined, "joined")
+    joined = stage.write(ordered(label(label(links.select("a", "b"), "a"), "b").select("a", "b")), "joined")
     if not joined.take(1):
         return comp
-    more = stage.write(components(joined, stage), "merged").select(F.col("node").alias("component"), F.col("component").alias("c"))
+    more = stage.write(components_of(joined, stage), "merged").select(F.col("node").alias("component"), F.col("component").alias("c"))
     moved = comp.join(more, "component", "left").select("node", F.coalesce("c", "component").alias("component"))
     new = more.select(F.col("component").alias("node"), F.col("c").alias("component")).join(comp, "node", "left_anti")
     return stage.write(moved.unionByName(new), "components")
@@ -577,16 +592,12 @@ def _judged(docs: DataFrame, stage: Stage, small: int = SMALL) -> DataFrame:
     found = stage.write(_runs(_expand(sets), p, small), "first")
     # large groups are connected first, so that pairs inside them need not meet
     often = found.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("set"))
-    keys = sets.filter("keys is not null").groupBy(F.col("d1").alias("set")).agg((F.max(F.length("keys")) / 8).cast("long").alias("k"), *[F.max(c).alias(c) for c in ("band", "spare0", "spare1")])
-    keys = stage.write(keys, "key-numbers")
-    stars = stage.write(_stars(often, keys), "stars")
-    comp = stage.write(components(_links(stars, _whole_sets(docs, classes, _ends(stars), stage, "star-sets"), stage), stage), "components")
-    counts = often.groupBy("set").agg(*[F.count_if(F.pmod("key", F.lit(2)) == x).alias(f"often{x}") for x in (0, 1)])
-    allotted = keys.join(counts, "set", "left").select("set", "band", "spare0", "spare1", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("often0", "often1")])
-    allotted = stage.write(allotted, "allotted")
+    allotted = stage.write(_allotted(often, sets), "allotted")
+    stars = stage.write(_stars(allotted), "stars")
+    comp = stage.write(components(_links(stars, _light(_whole_sets(docs, classes, _ends(stars), stage, "star-sets"), "bits", "s"), stage), stage), "components")
     cheap = _labelled(found.filter("kind = 2").select(F.col("a").alias("key"), F.col("b").alias("set")), comp)
     pairs = stage.write(_runs(cheap, p, small).groupBy("a", "b").agg(F.sum("even").alias("even"), F.sum("odd").alias("odd")), "shared-keys")
-    pairs = stage.write(_enough(pairs, allotted), "pairs")
+    pairs = _enough(pairs, allotted.drop("k", "x", "y"))
     # sets with more frequent keys than segments to spare in a scheme: in another one, a partner shares a cheap key
     lacks = F.expr("if(often0 > spare0, 1, 0) + if(often1 > spare1, 2, 0)")
     short = stage.write(allotted.select("set", lacks.alias("lacks")).filter("lacks > 0"), "short")
@@ -595,20 +606,21 @@ def _judged(docs: DataFrame, stage: Stage, small: int = SMALL) -> DataFrame:
         short_sets = _whole_sets(docs, classes, short, stage, "short-sets")
         labels = comp.withColumnRenamed("node", "set")
         frequent = often.groupBy("set").agg(F.collect_list("key").alias("frequent"))
-        lacking = short_sets.join(short, "set").join(frequent, "set", "left")
+        lacking = stage.write(short_sets.join(short, "set").join(frequent, "set", "left"), "lacking")
         labelled = lacking.join(labels, "set", "left").select("set", "s", F.coalesce("component", "set").alias("c"), "lacks", "frequent")
         second = stage.write(_runs(_second(labelled), p, small), "second")
-        pairs = stage.write(pairs.unionByName(second.filter("kind = 0").select("a", "b")).distinct(), "pairs")
+        pairs = pairs.unionByName(second.filter("kind = 0").select("a", "b"))
         often = second.filter("kind = 1").groupBy(F.col("b").alias("set")).agg(F.collect_set("a").alias("often"))
         rest = stage.write(_still_short(lacking.join(often, "set", "left")), "rest")
         if rest.take(1):
             prefixes, alone = _prefixes(rest, stage, small)
             third = stage.write(_runs(_labelled(prefixes, comp), p, small), "third")
-            pairs = stage.write(pairs.unionByName(third.filter("kind = 0").select("a", "b")).distinct(), "pairs")
+            pairs = pairs.unionByName(third.filter("kind = 0").select("a", "b"))
             groups = third.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("set"))
+    pairs = stage.write(pairs.distinct() if short_sets is not None else pairs, "pairs")
     comp = _merge(comp, _verified(docs, classes, pairs, stage, "candidate"), stage)
     if groups is not None:
-        comp = _large_groups(groups, alone, short_sets, comp, stage)
+        comp = _large_groups(groups, alone, _light(short_sets, "bits", "s"), comp, stage)
     grouped = classes.join(comp.withColumnRenamed("node", "d1"), "d1", "left").select("d1", "d2", "rep", "copies", F.coalesce("component", "d1").alias("component"))
     grouped = stage.write(grouped.filter("copies > 1").unionByName(grouped.filter("copies = 1").join(comp.select(F.col("node").alias("d1")), "d1", "left_semi")), "grouped")
     least = grouped.groupBy("component").agg(F.min("rep").alias("least"))

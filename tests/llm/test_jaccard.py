@@ -143,3 +143,14 @@ def test_near_copies_of_a_task_share_rows(spark, monkeypatch):
     got = jaccard.similar_documents(docs, small=8).collect()
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute(rows)
     assert made and all(rows < 100 * sets for sets, rows in made), made
+
+
+def test_large_sets_are_shuffled(spark, monkeypatch):
+    sets = spark.createDataFrame([(k, 5, bytes(100), bytes(500)) for k in range(100)], "set long, n long, bits binary, s binary")
+    plan = lambda: jaccard._light(sets, "bits", "s")._jdf.queryExecution().toString()
+    assert "broadcast" in plan()
+    monkeypatch.setattr(jaccard, "BROADCAST_SETS", 60_000)  # 600 bytes and two longs a row
+    assert "broadcast" not in plan()
+    rows = corpus(3)
+    got = jaccard.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), small=3).collect()
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute(rows)
