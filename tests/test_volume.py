@@ -92,6 +92,24 @@ def test_cleaning_answers_do_not_build_the_mart(spark, tmp_path):
     assert CK.clean_summary(w).count() == 9 and not {"fact_order_master", "mart_customer_features"} & set(w._tables)
 
 
+def test_retention_answers_build_orders_and_customers_alone(spark, tmp_path):
+    """The bitmaps are those of the whole fact, from the two tables that they need."""
+    from souk.plans import analytics as A
+    from souk.plans.catalog import QUERIES
+    from souk.plans.warehouse import Warehouse, warehouse
+
+    from .conftest import SMALL
+
+    w = Warehouse(spark, SMALL + "/")
+    w.root, w.table_prefix = str(tmp_path / "w" / "tag"), "souk_retention_test"
+    rows = _rows(QUERIES["cohort_retention_matrix"](w))
+    assert {n for n in w._tables if n.startswith("raw_")} == {"raw_orders", "raw_customers"} and "fact_order_master" not in w._tables
+    fact = warehouse(spark, SMALL).fact()
+    assert rows == _rows(A.cohort_retention_matrix(A.active_months(fact)))
+    assert _rows(w.active_months()) == _rows(A.active_months(fact))
+    assert _rows(w.purchases()) == _rows(fact.select("customer_unique_id", "order_purchase_timestamp"))
+
+
 def test_profiles_count_the_keys_of_the_tables_they_read(spark, tmp_path):
     from souk.plans.catalog import QUERIES
     from souk.plans.warehouse import Warehouse
