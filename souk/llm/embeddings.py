@@ -230,7 +230,8 @@ def near_vectors(vectors: DataFrame, settings: Settings = Settings(), stage: Sta
     bits = _bits(classes, n, s)
     # keys are written: the run lengths, the bounds of the ranges and the rows come from the same table
     keyed = _keyed(classes, passes(bits, s), bits + s.finer, s).withColumn("run", F.shiftright("key", s.finer))
-    comp = components(stage.write(_pass_links(stage.write(keyed, "keyed"), s, stage), "links"), stage)
+    # each link is written once, after the shuffle that unites the passes: a task of a pass has few of them, and a file each costs more than they do
+    comp = components(_pass_links(stage.write(keyed, "keyed"), s, stage), stage)
     comp = stage.write(comp, "components")
     linked = _direct_links(classes.join(comp, "node"), s, stage)
     known = classes.join(comp, "node", "left").join(linked, "node", "left").filter("copies > 1 or component is not null")

@@ -1,6 +1,9 @@
+import os
+
 import numpy as np
 
 from souk.llm import embeddings
+from souk.llm.common import Stage
 
 
 def brute(rows):
@@ -96,3 +99,13 @@ def test_a_window_reaches_beyond_its_run(spark):
 def test_small_tables_take_the_same_path(spark):
     df = spark.createDataFrame([(i, [float(i % 5), 1.0, 2.0]) for i in range(30)], "vec_id long, embedding array<double>")
     assert embeddings._bits(df.selectExpr("vec_id as node", "embedding as e"), 30, embeddings.Settings()) >= 1
+
+
+def test_links_of_the_passes_are_written_once(spark):
+    r = np.random.default_rng(5)
+    base = r.standard_normal((40, 16))
+    rows = [(i, (base[i % 40] + 0.05 * r.standard_normal(16)).tolist()) for i in range(160)]
+    stage = Stage(spark, "test")
+    got = {x.vec_id: (x.n_links, x.component_id, x.kept) for x in embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), stage=stage).collect()}
+    assert got == brute(rows)
+    assert sum(x.endswith("-links") for x in os.listdir(stage.root.removeprefix("file://"))) == 1
