@@ -59,6 +59,7 @@ WORDS = 5
 SMALL = 32  # an index key of at most so many sets pairs them all
 LEADER_ROUNDS = 2  # rounds with one leader per large group, before rings around the leaders decide who meets
 TEXTS = 500  # whole texts that a Python worker gets at once
+LISTS = 2_000  # lists of keys, or of shingles, that a Python worker gets at once
 REMEMBERED = 200_000  # sets that a task knows as written already; more are only written again
 BROADCAST_IDS = 1_000_000  # rows of at most three longs; 24 MB
 BROADCAST_SETS = 6_000_000  # bytes of whole sets, bitmaps or numbers of sets that are sent to all tasks
@@ -69,6 +70,11 @@ _C = odd_constants(2 * WORDS + 2, 7)
 _DIGEST = odd_constants(2, 70)
 
 
+def forget_words() -> None:
+    """Empties the hasher of this process when a task ends: its worker lives on and would keep the memory."""
+    _HASHER.clear()
+
+
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles."""
     h = _HASHER.array(ascii_words(text))
@@ -157,6 +163,7 @@ def _sets(docs: DataFrame) -> DataFrame:
                     out.append((len(s), *d, band, *spare, keys))
                 columns = [pa.array([x[k] for x in out], t) for k, t in enumerate((*[pa.int64()] * 6, pa.binary()))]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns], names=["doc_id", "text_id", "n", "d1", "d2", "band", "spare0", "spare1", "keys"])
+        forget_words()
 
     chosen = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text"), F.col("text").alias("__text"))
     return chosen.mapInArrow(run, "doc_id long, text_id long, n long, d1 long, d2 long, band long, spare0 long, spare1 long, keys binary")
@@ -176,12 +183,12 @@ def _expand(sets: DataFrame) -> DataFrame:
     return sets.filter("keys is not null").select("d1", "keys").mapInArrow(run, "key long, set long")
 
 
-def _runs(keyed: DataFrame, partitions: int, small: int) -> DataFrame:
+def _runs(keyed: DataFrame, small: int) -> DataFrame:
     """Reads (key, set, c) sorted by key, c a component or null: (0, a, b, even, odd) for each pair of sets in different components
     that share keys of at most ``small`` sets, so many of schemes of even and odd number (a pair may come again with more); (1, key, set) for each row of a more frequent one; without the column c,
     (2, key, set) for each row of a key of two to ``small`` sets instead of pairs.  Rows may also come as (key, members), as
     ``_second`` packs them; a row of a frequent key may then come twice, and only if it is to be told.
-    Memory: one batch and one run of ``small`` rows."""
+    Memory: one batch and one run of ``small`` rows.  Keys are dealt by their own volume, so few rows make few tasks and files."""
     packed = "members" in keyed.columns
     labelled = packed or "c" in keyed.columns
 
@@ -248,7 +255,7 @@ def _runs(keyed: DataFrame, partitions: int, small: int) -> DataFrame:
         if len(key):
             yield from closed(key, own, label, told)
 
-    dealt = keyed.repartition(partitions, "key").sortWithinPartitions(*(["key"] if packed else ["key", "set"]))
+    dealt = keyed.repartition("key").sortWithinPartitions(*(["key"] if packed else ["key", "set"]))
     return dealt.mapInArrow(run, "kind int, a long, b long, even long, odd long")
 
 
@@ -314,6 +321,7 @@ def _whole_sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, stage: S
                         out.append((d1, len(s), bitmap(s), s.tobytes() if whole else None))
                 types = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(types)], names=["set", "n", "bits", "s"])
+        forget_words()
 
     return stage.write(_texts_of(docs, ids).mapInArrow(run, "set long, n long, bits binary, s binary"), name, TEXTS)
 
@@ -476,7 +484,7 @@ def _prefixes(rest: DataFrame, stage: Stage, small: int) -> tuple[DataFrame, Dat
                 own = np.repeat(part.column(0).to_numpy(), [len(k) for k in keys])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(own)], names=["key", "set"])
 
-    tokens = stage.write(rest.select("set", "s").mapInArrow(run, "key long, set long"), "tokens")
+    tokens = stage.write(rest.select("set", "s").mapInArrow(run, "key long, set long"), "tokens", LISTS)
     counts = stage.write(tokens.groupBy("key").count(), "token-counts")
     each = tokens.join(counts, "key").groupBy("set").agg(F.sort_array(F.collect_list(F.struct("count", "key"))).alias("t"))
     each = stage.write(each.select("set", "t", F.size(F.filter("t", lambda x: x["count"] <= small)).alias("alone")), "ordered")
@@ -583,20 +591,19 @@ def similar_documents(docs: DataFrame, stage: Stage | None = None, small: int =
 
 def _judged(docs: DataFrame, stage: Stage, small: int = SMALL) -> DataFrame:
     """doc_id, text_id, n_shingles, component (a number for each group of linked sets) and component_id of every row."""
-    p = stage.partitions()
     sets = stage.write(_sets(docs), "sets", TEXTS)
     classes = stage.write(
         sets.filter("doc_id is not null and n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n")),
         "classes",
     )
-    found = stage.write(_runs(_expand(sets), p, small), "first")
+    found = stage.write(_runs(_expand(sets), small), "first", LISTS)
     # large groups are connected first, so that pairs inside them need not meet
     often = found.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("set"))
     allotted = stage.write(_allotted(often, sets), "allotted")
     stars = stage.write(_stars(allotted), "stars")
     comp = stage.write(components(_links(stars, _light(_whole_sets(docs, classes, _ends(stars), stage, "star-sets"), "bits", "s"), stage), stage), "components")
     cheap = _labelled(found.filter("kind = 2").select(F.col("a").alias("key"), F.col("b").alias("set")), comp)
-    pairs = stage.write(_runs(cheap, p, small).groupBy("a", "b").agg(F.sum("even").alias("even"), F.sum("odd").alias("odd")), "shared-keys")
+    pairs = stage.write(_runs(cheap, small).groupBy("a", "b").agg(F.sum("even").alias("even"), F.sum("odd").alias("odd")), "shared-keys")
     pairs = _enough(pairs, allotted.drop("k", "x", "y"))
     # sets with more frequent keys than segments to spare in a scheme: in another one, a partner shares a cheap key
     lacks = F.expr("if(often0 > spare0, 1, 0) + if(often1 > spare1, 2, 0)")
@@ -608,13 +615,13 @@ def _judged(docs: DataFrame, stage: Stage, small: int = SMALL) -> DataFrame:
         frequent = often.groupBy("set").agg(F.collect_list("key").alias("frequent"))
         lacking = stage.write(short_sets.join(short, "set").join(frequent, "set", "left"), "lacking")
         labelled = lacking.join(labels, "set", "left").select("set", "s", F.coalesce("component", "set").alias("c"), "lacks", "frequent")
-        second = stage.write(_runs(_second(labelled), p, small), "second")
+        second = stage.write(_runs(_second(labelled), small), "second", LISTS)
         pairs = pairs.unionByName(second.filter("kind = 0").select("a", "b"))
         often = second.filter("kind = 1").groupBy(F.col("b").alias("set")).agg(F.collect_set("a").alias("often"))
-        rest = stage.write(_still_short(lacking.join(often, "set", "left")), "rest")
+        rest = stage.write(_still_short(lacking.join(often, "set", "left")), "rest", LISTS)
         if rest.take(1):
             prefixes, alone = _prefixes(rest, stage, small)
-            third = stage.write(_runs(_labelled(prefixes, comp), p, small), "third")
+            third = stage.write(_runs(_labelled(prefixes, comp), small), "third")
             pairs = pairs.unionByName(third.filter("kind = 0").select("a", "b"))
             groups = third.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("set"))
     pairs = stage.write(pairs.distinct() if short_sets is not None else pairs, "pairs")

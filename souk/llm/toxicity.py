@@ -28,12 +28,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHasher, letter_words, mix64, odd_constants
+from .common import ROWS_PER_BATCH, WordHasher, letter_words, mix64, odd_constants, settings_during
 
 THRESHOLD = 0.7
+TEXTS = 1000  # whole texts, or lists of buckets, that a Python worker gets at once while training
 _HASHER = WordHasher(200_000)
 
 
+def forget_words() -> None:
+    """Empties the hasher of this process when a task ends: its worker lives on and would keep the memory."""
+    _HASHER.clear()
+
+
 @dataclass(frozen=True)
 class Settings:
     bits: int = 22
@@ -95,7 +101,9 @@ def ftrl(rows: list[tuple[int, np.ndarray]], s: Settings) -> tuple[float, np.nda
             n[at] = ni + g * g
             zb += g - (np.sqrt(nb + g * g) - np.sqrt(nb)) / s.alpha * b
             nb += g * g
-    return -zb / ((s.beta + np.sqrt(nb)) / s.alpha), weights(z, n)
+    at, w = np.flatnonzero(np.abs(z) > s.l1), np.zeros(1 << s.bits)
+    w[at] = weights(z[at], n[at])
+    return -zb / ((s.beta + np.sqrt(nb)) / s.alpha), w
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Settings = Settings(), hold_out=held_out) -> Model:
@@ -111,9 +119,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Se
         for b in batches:
             at = [np.unique(buckets_of(t.as_py(), s)).astype("<i4").tobytes() for t in b.column(3)]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(at, pa.binary())], names=["o", "doc_id", "y", "at"])
+        forget_words()
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data = [(y, np.frombuffer(at, "<i4")) for b in batches for y, at in zip(b.column(2).to_pylist(), b.column(3).to_pylist())][: s.max_rows]
+        # views of the batches' own memory, which goes back whole when the task ends
+        data = [(y, np.frombuffer(at.as_buffer(), "<i4")) for b in batches for y, at in zip(b.column(2).to_pylist(), b.column(3))][: s.max_rows]
         total, ones = len(data), sum(y for y, _ in data)
         if 0 < ones < total:
             bias, w = ftrl(data, s)
@@ -124,7 +134,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", settings: Se
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(value, pa.float64())], names=["bucket", "weight"])
 
     made = rows.mapInArrow(features, f"o long, doc_id {dict(docs.dtypes)['doc_id']}, y int, at binary")
-    model = made.repartition(1).sortWithinPartitions("o", "doc_id").mapInArrow(learn, "bucket long, weight double").toPandas()
+    learnt = made.repartition(1).sortWithinPartitions("o", "doc_id").mapInArrow(learn, "bucket long, weight double")
+    with settings_during(docs.sparkSession, {ROWS_PER_BATCH: str(TEXTS)}):
+        model = learnt.toPandas()
     if not len(model):
         return Model(s, base=0.0)
     at, w = model["bucket"].to_numpy(), model["weight"].to_numpy()
@@ -155,6 +167,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", out: str = "score")
                         k = np.unique(k[w[k] != 0])  # each feature counts once
                         sums.append(float(1 / (1 + np.exp(-np.clip(m.bias + float(w[k].sum(dtype=np.float64)), -35, 35)))))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(sums, pa.float64())], names=[*names, out])
+        forget_words()
 
     return docs.mapInArrow(run, docs.select("*").schema.add(out, "double", False))
 

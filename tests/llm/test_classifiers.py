@@ -1,7 +1,10 @@
 import random
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
-from souk.llm import langid, toxicity
+from souk.llm import jaccard, langid, toxicity
+from souk.llm.common import ROWS_PER_BATCH
 
 ALPHABETS = {"en": "thewandofi", "de": "schüeignuß", "fr": "éèlaquiouê", "es": "ñciónlosad"}
 
@@ -87,3 +90,28 @@ def test_slices_of_a_long_text_add_up(monkeypatch):
     at, share = langid.vector(t, s)
     one, part = langid.vector(t[: 21 * 40_000], s)
     assert (at == one).all() and abs(share - part).max() < 1e-2 and abs(share.sum() - s.scale) < 1e-3
+
+
+def test_idle_workers_keep_no_words(spark):
+    """Python workers live on after a task; what they remember of its words goes with the task."""
+    docs = spark.createDataFrame([(i, " ".join(f"{c}{i}" for c in "abcdefgh")) for i in range(64)], "doc_id long, text string").repartition(8)
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    assert toxicity.toxicity_scores(docs, labels).count() == 64 and jaccard.similar_documents(docs).count() == 64
+
+    def held(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"words": [len(toxicity._HASHER) + len(jaccard._HASHER)] * b.num_rows})
+
+    assert spark.range(0, 64, 1, 8).mapInArrow(held, "words long").agg(F.max("words")).first()[0] == 0
+
+
+def test_training_reads_small_batches_and_restores_the_setting(spark, monkeypatch):
+    """The learner gets all rows in order, however few come at once."""
+    docs = spark.createDataFrame([(i, f"good word{i % 7}" if i % 2 else f"vile word{i % 5}") for i in range(90)] + [(500, "...")], "doc_id long, text string").repartition(3)
+    labels = docs.select("doc_id", (F.col("doc_id") % 2 == 0).cast("int").alias("toxic"))
+    before = spark.conf.get(ROWS_PER_BATCH)
+    want = toxicity.train(docs, labels)
+    monkeypatch.setattr(toxicity, "TEXTS", 4)
+    got = toxicity.train(docs, labels)
+    assert spark.conf.get(ROWS_PER_BATCH) == before
+    assert want.bias == got.bias and np.array_equal(want.buckets, got.buckets) and np.array_equal(want.weights, got.weights) and len(got.buckets)

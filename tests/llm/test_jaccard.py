@@ -1,8 +1,9 @@
+import glob
 import random
 
 import pytest
 from souk.llm import jaccard
-from souk.llm.common import ascii_words
+from souk.llm.common import Stage, ascii_words
 
 
 def brute(rows):
@@ -154,3 +155,16 @@ def test_large_sets_are_shuffled(spark, monkeypatch):
     rows = corpus(3)
     got = jaccard.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), small=3).collect()
     assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute(rows)
+
+
+def test_keys_are_dealt_by_their_volume(spark):
+    """A small table makes few files, however many shuffle partitions there are."""
+    rows, stage, before = corpus(4), Stage(spark, "test"), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "48")
+    try:
+        got = jaccard.similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), stage, small=4).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert {x.doc_id: (x.n_shingles, x.component_id) for x in got} == brute(rows)
+    files = {name: len(glob.glob(f"{stage.root.removeprefix('file://')}/*-{name}/part-*")) for name in ("first", "second")}
+    assert all(0 < n <= 4 for n in files.values()), files
